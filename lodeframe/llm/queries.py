@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, mixing, toxicity, url_filter
+from . import byte_bpe, chat_format, html_extract, mixing, spotsigs, toxicity, url_filter
 from .storage import documents
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -76,10 +76,32 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(documents(spark, sf_dir), rank_file, public_tokenizers.PATTERN)
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract_pages(documents(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # lengths apart by more than a hundred times prove a likeness under 0.01, which counts as 0
+    done = spotsigs.compare_with_edited(documents(spark, sf_dir), floor=0.01)
+    return done.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.digest(F.col("signatures")).alias("fingerprint"),
+        spotsigs.digest(F.col("edited_signatures")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        F.size("signatures").alias("n_signatures"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
     "op3_url_filter": op3_url_filter,
     "op4_source_mix": op4_source_mix,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_html_extract": op6_html_extract,
+    "op7_spotsigs": op7_spotsigs,
 }
