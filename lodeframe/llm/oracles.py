@@ -78,3 +78,23 @@ WITH RECURSIVE sized AS (
 )
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source, copies FROM counted
 """
+
+ORACLE_SQL["op9_substring_dedup"] = r"""
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM worded)
+), least AS (
+  SELECT win, min(doc_id) AS first_doc FROM windows GROUP BY win HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM windows JOIN least USING (win) WHERE doc_id > first_doc
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM worded
+), kept AS (
+  SELECT p.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM placed p ANTI JOIN covered c ON p.doc_id = c.doc_id AND p.pos = c.pos GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM worded w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""

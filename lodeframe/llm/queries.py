@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, html_extract, mixing, spotsigs, toxicity, url_filter
+from . import byte_bpe, chat_format, html_extract, mixing, spotsigs, substring_dedup, toxicity, url_filter
 from .storage import documents
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -96,6 +96,11 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.deduplicated(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -104,4 +109,5 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_html_extract": op6_html_extract,
     "op7_spotsigs": op7_spotsigs,
+    "op9_substring_dedup": op9_substring_dedup,
 }
