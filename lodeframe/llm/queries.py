@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, html_extract, mixing, spotsigs, substring_dedup, toxicity, url_filter
+from . import byte_bpe, chat_format, html_extract, media_columns, mixing, spotsigs, substring_dedup, toxicity, url_filter
 from .storage import documents
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -96,6 +96,20 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = media_columns.media_columns(documents(spark, sf_dir))
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("samples").cast("long").alias("payload_bytes"),
+        F.sha2("samples", 256).alias("payload_sha256"),
+        F.crc32(F.substring("samples", -media_columns.BLOCK, media_columns.BLOCK)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.deduplicated(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
@@ -109,5 +123,6 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_html_extract": op6_html_extract,
     "op7_spotsigs": op7_spotsigs,
+    "op8_media_columns": op8_media_columns,
     "op9_substring_dedup": op9_substring_dedup,
 }
