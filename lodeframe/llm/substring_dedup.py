@@ -8,11 +8,13 @@ smaller id; windows are judged on the input.
    windows are estimated to occur more than once (``windows.merged_sketch``).
    Estimates are never too low, so no repeated window is lost.
 2. A second pass keeps the windows estimated repeated.  Each task groups its own
-   first: a window's rows beyond the smallest id in the task are decided there,
-   so at most one row a task and window is shuffled, however common the window.
-3. Those are dealt by the window's hash and grouped exactly (96 bits of hash);
-   all but the smallest id are removed windows.
-4. Positions, packed, return to their documents, which cut the covered words.
+   first: a window's places beyond the smallest id in the task are decided there,
+   so a task sends each window once, however common the window.
+3. Those are dealt into buckets of the hash, in packed columns, and grouped
+   exactly (96 bits of hash); all but the smallest id are removed windows.  There
+   are as many buckets as keep one within a task's memory.
+4. Positions, packed, return to the blocks of their documents, which cut the
+   covered words.
 
 Defined cases: a null text has no words; documents with fewer than ``size`` words
 keep all; a window repeated inside one document only stays; rows with a null id
@@ -24,26 +26,25 @@ columns are carried along where rows are returned.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .windows import MAX_CELLS, merged_sketch, pack, unpack, window_hashes, word_hashes
+from .windows import MAX_CELLS, estimated_windows, merged_sketch, pack, unpack, window_hashes, word_hashes
 
 SIZE = 13
 #: Candidate windows that a task gathers before it groups and sends them.
 GATHER = 1_500_000
-ROW = "key long, check int, doc_id long, part int, pos int, more binary"
-NAMES = ["key", "check", "doc_id", "part", "pos", "more"]
-
-
-def _grouped(starts: np.ndarray) -> np.ndarray:
-    """For each row the index of its group's first row."""
-    return np.maximum.accumulate(np.where(starts, np.arange(len(starts)), 0))
+#: Windows and bytes of text that a bucket and a block may hold about.
+BUCKET_WINDOWS, BLOCK_BYTES = 2_000_000, 4_000_000
+PLACES = ["docs", "parts", "counts", "places"]
+PLACES_DDL = "docs binary, parts binary, counts binary, places binary"
+DEDUP = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -53,190 +54,180 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed_by_document(doc: np.ndarray, part: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    order = np.lexsort((pos, part, doc))
-    doc, part, pos = doc[order], part[order], pos[order]
+def _heads(starts: np.ndarray) -> np.ndarray:
+    """For each row the index of its group's first row."""
+    return np.maximum.accumulate(np.where(starts, np.arange(len(starts)), 0))
+
+
+def pack_places(doc: np.ndarray, part: np.ndarray, pos: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """Places sorted by document and position: documents, their numbers of places, packed positions."""
     starts = np.flatnonzero(_changes(doc, part))
-    for a, b in zip(starts, np.append(starts[1:], len(doc)), strict=True):
-        yield int(doc[a]), int(part[a]), pack(np.unique(pos[a:b]))
+    steps = np.diff(pos.astype(np.int64), prepend=0)
+    steps[starts] = pos[starts]
+    counts = np.diff(starts, append=len(doc)).astype(np.int32)
+    return doc[starts].astype(np.int64).tobytes(), part[starts].astype(np.int32).tobytes(), counts.tobytes(), pack(np.cumsum(steps))
 
 
-class Gathered:
-    """Candidate windows of a task, in columns."""
+def unpack_places(docs: bytes, parts: bytes, counts: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = np.frombuffer(counts, np.int32)
+    run = unpack(places)
+    starts = np.cumsum(n) - n
+    before = np.where(starts > 0, run[starts - 1], 0)
+    return np.repeat(np.frombuffer(docs, np.int64), n), np.repeat(np.frombuffer(parts, np.int32), n), (run - np.repeat(before, n)).astype(np.int32)
 
-    def __init__(self) -> None:
-        self.columns: list[list[np.ndarray]] = [[], [], [], [], []]
-        self.count = 0
 
-    def add(self, key: np.ndarray, check: np.ndarray, doc: int, part: int, pos: np.ndarray) -> None:
-        n = len(key)
-        for column, values in zip(self.columns, (key, check, np.full(n, doc), np.full(n, part, np.int32), pos.astype(np.int32)), strict=True):
-            column.append(values)
-        self.count += n
+def block_of(doc: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each document, as ``crc32(id as text) % blocks``."""
+    ids, back = np.unique(doc, return_inverse=True)
+    return np.array([zlib.crc32(str(int(d)).encode()) % blocks for d in ids], np.int64)[back]
 
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        """Undecided windows (one row for each window and this task's smallest id), and packed decided ones."""
-        if not self.count:
-            return
-        key, check, doc, part, pos = (np.concatenate(c) for c in self.columns)
-        self.__init__()
-        order = np.lexsort((pos, part, doc, check, key))
-        key, check, doc, part, pos = key[order], check[order], doc[order], part[order], pos[order]
-        head = _grouped(_changes(key, check))
-        decided = doc > doc[head]
-        # further places of the same window in the same row travel with its first
-        first = _changes(key, check, doc, part) & ~decided
-        same = ~decided & ~first
-        more: dict[int, bytes] = {}
-        if same.any():
-            owner = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            at = np.flatnonzero(same)
-            edges = np.flatnonzero(_changes(owner[at]))
-            for a, b in zip(edges, np.append(edges[1:], len(at)), strict=True):
-                more[int(owner[at[a]])] = pack(pos[at[a:b]])
-        rows = np.flatnonzero(first)
-        extra = pa.array([more.get(int(r)) for r in rows] if more else [None] * len(rows), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[rows].view(np.int64)), pa.array(check[rows]), pa.array(doc[rows]), pa.array(part[rows]), pa.array(pos[rows]), extra], NAMES
-        )
-        yield from decided_batches(packed_by_document(doc[decided], part[decided], pos[decided]))
-
-
-def decided_batches(rows: Iterable[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-    """Packed positions pass the exact grouping under a key of their own (position -1)."""
-    found = list(rows)
-    if found:
-        keys = [xxhash.xxh3_64_intdigest(f"{d}:{p}") - 2**63 for d, p, _ in found]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.int64()),
-                pa.array([0] * len(found), pa.int32()),
-                pa.array([d for d, _, _ in found], pa.int64()),
-                pa.array([p for _, p, _ in found], pa.int32()),
-                pa.array([-1] * len(found), pa.int32()),
-                pa.array([x for _, _, x in found], pa.binary()),
-            ],
-            NAMES,
-        )
-
-
-def removed_windows(docs: DataFrame, size: int = SIZE, max_cells: int = MAX_CELLS) -> DataFrame:
-    """Packed starts of removed windows, ``(doc_id, part, starts)``, of ``docs(doc_id, part, data)``.
-
-    A document may have several rows; their positions are to be united.
-    """
+
+def _split(by: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of ``order`` by the value that ``by`` has there; ``order`` sorts ``by``."""
+    starts = np.flatnonzero(_changes(by[order]))
+    for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
+        yield int(by[order[a]]), order[a:b]
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    types = [pa.int32() if n in ("bucket", "block") else pa.binary() for n in names]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+
+def decided_rows(doc: np.ndarray, part: np.ndarray, pos: np.ndarray, blocks: int) -> list[tuple]:
+    """``(block, places)`` of removed windows."""
+    if not len(doc):
+        return []
+    block = block_of(doc, blocks)
+    order = np.lexsort((pos, part, doc, block))
+    return [(k, *pack_places(doc[rows], part[rows], pos[rows])) for k, rows in _split(block, order)]
+
+
+def removed_windows(docs: DataFrame, blocks: int, windows: int, size: int = SIZE, max_cells: int = MAX_CELLS) -> DataFrame:
+    """Packed starts of removed windows by block of documents, of ``docs(doc_id, part, data)``."""
     spark = docs.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), windows // BUCKET_WINDOWS + 1)
     usable = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= 2 * size - 1))
 
     def hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         for data in texts:
             yield window_hashes(word_hashes(data), size)
 
-    sketch = spark.sparkContext.broadcast(merged_sketch(usable, hashes, max_cells))
+    sketch = spark.sparkContext.broadcast(merged_sketch(usable, hashes, windows, max_cells))
+    names = ["bucket", "keys", "checks", *PLACES]
+
+    def sent(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        key, check, doc, part, pos = (np.concatenate([h[k] for h in held]) for k in range(5))
+        order = np.lexsort((doc, check, key))
+        head = order[_heads(_changes(key[order], check[order]))]
+        gone = np.zeros(len(key), bool)
+        gone[order] = doc[order] > doc[head]
+        # decided here: they pass the buckets without keys
+        rows = [(k % buckets, b"", b"", *places) for k, *places in decided_rows(doc[gone], part[gone], pos[gone], blocks)]
+        open_rows = np.flatnonzero(~gone)
+        bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        order = open_rows[np.lexsort((pos[open_rows], part[open_rows], doc[open_rows], bucket[open_rows]))]
+        for k, at in _split(bucket, order):
+            rows.append((k, key[at].tobytes(), check[at].tobytes(), *pack_places(doc[at], part[at], pos[at])))
+        yield _batch(rows, names)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Gathered()
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for batch in batches:
             for doc, part, data in zip(batch["doc_id"], batch["part"], batch["data"], strict=True):
                 ids = word_hashes(data.as_py() or b"")
                 h = window_hashes(ids, size)
                 pos = np.flatnonzero(sketch.value.repeated(h))
-                if len(pos):
-                    check = window_hashes(ids, size, 1)[pos].astype(np.uint32).view(np.int32)
-                    found.add(h[pos], check, doc.as_py(), part.as_py(), pos)
-                if found.count >= GATHER:
-                    yield from found.batches()
-        yield from found.batches()
-
-    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int, int] | None = None  # the open group and its smallest id
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        count = 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            doc, part, pos = (np.concatenate([h[k] for h in held]) for k in range(3))
-            rows = list(packed_by_document(doc, part, pos))
-            yield as_starts(rows)
-
-        def as_starts(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-                ["doc_id", "part", "starts"],
-            )
-
+                n = len(pos)
+                if n:
+                    check = window_hashes(ids, size, 1)[pos].astype(np.uint32)
+                    held.append((h[pos], check, np.full(n, doc.as_py(), np.int64), np.full(n, part.as_py(), np.int32), pos.astype(np.int32)))
+                    count += n
+                if count >= GATHER:
+                    yield from sent(held)
+                    held, count = [], 0
+        yield from sent(held)
+
+    def grouped(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            pos = batch["pos"].to_numpy()
-            passed = np.flatnonzero(pos < 0)
-            if len(passed):
-                kept = batch.take(pa.array(passed))
-                yield pa.RecordBatch.from_arrays([kept["doc_id"], kept["part"], kept["more"]], ["doc_id", "part", "starts"])
-            rows = np.flatnonzero(pos >= 0)
-            if not len(rows):
-                continue
-            key, check, doc, part = (batch[c].to_numpy()[rows] for c in NAMES[:4])
-            least = doc[_grouped(_changes(key, check))]
-            if last and (int(key[0]), int(check[0])) == last[:2]:
-                opened = (key == key[0]) & (check == check[0])
-                least = np.where(opened, last[2], least)
-            last = (int(key[-1]), int(check[-1]), int(least[-1]))
-            gone = np.flatnonzero(doc > least)
-            if len(gone):
-                held.append((doc[gone], part[gone], pos[rows[gone]]))
-                count += len(gone)
-                further = batch["more"].take(pa.array(rows[gone]))
-                if further.null_count < len(further):
-                    for k, x in enumerate(further):
-                        if x.is_valid:
-                            places = unpack(x.as_py())
-                            held.append((np.full(len(places), doc[gone[k]]), np.full(len(places), part[gone[k]], np.int32), places.astype(np.int32)))
-                            count += len(places)
-            if count >= GATHER:
-                yield from out()
-                held, count = [], 0
+            for row in zip(*[batch[c] for c in names[1:]], strict=True):
+                keys, checks, *places = (x.as_py() for x in row)
+                doc, part, pos = unpack_places(*places)
+                if keys:
+                    held.append((np.frombuffer(keys, np.uint64), np.frombuffer(checks, np.uint32), doc, part, pos))
+                else:
+                    yield _batch([(int(block_of(doc[:1], blocks)[0]), *places)], ["block", *PLACES])
         if held:
-            yield from out()
-
-    rows = usable.mapInArrow(candidates, ROW)
-    dealt = rows.repartition("key").sortWithinPartitions("key", "check", "doc_id")
-    return dealt.mapInArrow(grouped, "doc_id long, part int, starts binary")
+            keys, checks, doc, part, pos = (np.concatenate([h[k] for h in held]) for k in range(5))
+            order = np.lexsort((doc, checks, keys))
+            keys, checks, doc, part, pos = keys[order], checks[order], doc[order], part[order], pos[order]
+            gone = doc > doc[_heads(_changes(keys, checks))]
+            if rows := decided_rows(doc[gone], part[gone], pos[gone], blocks):
+                yield _batch(rows, ["block", *PLACES])
+
+    ddl = f"bucket int, keys binary, checks binary, {PLACES_DDL}"
+    return usable.mapInArrow(candidates, ddl).groupBy("bucket").applyInArrow(grouped, f"block int, {PLACES_DDL}")
+
+
+def cut(raw: bytes, places: np.ndarray | None, size: int) -> tuple[str, int, int, str]:
+    """Text without the words of the windows at ``places``, words before, words removed, digest of the kept words."""
+    words = raw.split()
+    n = len(words)
+    if places is not None and len(places):
+        edge = np.zeros(n + 1, np.int64)
+        np.add.at(edge, places, 1)
+        np.add.at(edge, np.minimum(places + size, n), -1)
+        words = [words[k] for k in np.flatnonzero(np.cumsum(edge[:n]) == 0)]
+    kept = b" ".join(words)
+    return (raw if len(words) == n else kept).decode(), n, n - len(words), hashlib.sha256(kept).hexdigest()
 
 
 def deduplicated(docs: DataFrame, size: int = SIZE, max_cells: int = MAX_CELLS) -> DataFrame:
     """Each row of ``docs`` with ``text`` without its removed words.
 
-    Returns the columns of ``docs`` and ``n_words, n_removed, kept_sha256``
-    (of the kept words joined by one space) in the struct ``dedup``.  A text of
-    which nothing is removed stays as it is.
+    Returns the columns of ``docs`` and ``n_words, n_removed, kept_sha256`` (of
+    the kept words joined by one space) in the struct ``dedup``.  A text of which
+    nothing is removed stays as it is.
     """
     columns = docs.columns
+    spark = docs.sparkSession
+    data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("part"), F.col("text").cast("binary").alias("data"))
+    windows = estimated_windows(data)
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), windows * 6 // BLOCK_BYTES + 1)
     repeated_ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()
-    part: Column = F.crc32(F.coalesce("text", F.lit(""))).cast("int") if repeated_ids else F.lit(0)
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"))
-    data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.col("text").cast("binary").alias("data"))
-    starts = removed_windows(data, size, max_cells).groupBy("doc_id", "part").agg(F.collect_list("starts").alias("starts"))
-    joined = keyed.join(starts, ["doc_id", "part"], "left").select("row", "starts")
-
-    @F.arrow_udf("struct<text:string,n_words:bigint,n_removed:bigint,kept_sha256:string>")
-    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, all_starts in batches:
-            out = []
-            for text, packed in zip(texts.cast(pa.binary()), all_starts, strict=True):
-                raw = text.as_py()
-                words = (raw or b"").split()
-                n = len(words)
-                if packed.is_valid:
-                    edge = np.zeros(n + 1, np.int64)
-                    for x in packed.as_py():
-                        places = unpack(x)
-                        np.add.at(edge, places, 1)
-                        np.add.at(edge, np.minimum(places + size, n), -1)
-                    keep = np.flatnonzero(np.cumsum(edge[:n]) == 0)
-                    words = [words[k] for k in keep]
-                kept = b" ".join(words)
-                shown = (raw and raw.decode()) if len(words) == n else kept.decode()
-                out.append({"text": shown, "n_words": n, "n_removed": n - len(words), "kept_sha256": hashlib.sha256(kept).hexdigest()})
-            yield pa.array(out, pa.struct([("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]))
-
-    done = joined.withColumn("cut", cut(F.col("row.text"), F.col("starts")))
-    kept = [F.col("cut.text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns]
-    return done.select(*kept, F.struct("cut.n_words", "cut.n_removed", "cut.kept_sha256").alias("dedup"))
+    # rows that repeat an id are told apart by their text
+    part = F.shiftright(F.crc32(F.coalesce("data", F.lit(b""))), 1).cast("int") if repeated_ids else F.lit(0)
+    removed = removed_windows(data.withColumn("part", part), blocks, windows, size, max_cells)
+    block = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))), F.lit(blocks)).cast("int")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"]).alias("row"),
+        block.alias("block"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("binary").alias("data"),
+    ).withColumn("part", part)
+
+    def cut_block(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        starts: dict[tuple[int, int], list[np.ndarray]] = {}
+        for row in zip(*[right[c] for c in PLACES], strict=True):
+            doc, part_, pos = unpack_places(*(x.as_py() for x in row))
+            for _, at in _split(np.cumsum(_changes(doc, part_)), np.arange(len(doc))):
+                starts.setdefault((int(doc[at[0]]), int(part_[at[0]])), []).append(pos[at])
+        out: list[tuple[str | None, int, int, str]] = []
+        for doc, part_, raw in zip(left["doc_id"], left["part"], left["data"], strict=True):
+            found = starts.get((doc.as_py(), part_.as_py()))
+            text, n, gone, sha = cut(raw.as_py() or b"", np.concatenate(found) if found else None, size)
+            out.append((text if raw.is_valid else None, n, gone, sha))
+        row = left["row"].combine_chunks()
+        row = row.chunk(0) if isinstance(row, pa.ChunkedArray) else row
+        texts = pa.array([x[0] for x in out], pa.string())
+        cells = {c: texts if c == "text" else row.field(c) for c in columns}
+        fields = [pa.array([x[k] for x in out], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.string()))]
+        cells["dedup"] = pa.StructArray.from_arrays(fields, DEDUP.fieldNames())
+        return pa.table(cells)
+
+    schema = StructType([*docs.schema.fields, StructField("dedup", DEDUP)])
+    return rows.groupBy("block").cogroup(removed.groupBy("block")).applyInArrow(cut_block, schema)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 DEPTH = 2
-CELLS_PER_WINDOW = 3
+CELLS_PER_WINDOW = 2
 #: Upper bound of a sketch row: 2 ** 30 cells are 128 MB as bits.
 MAX_CELLS = 2**30
 SLICE_CELLS = 2**24
@@ -88,6 +88,11 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(raw.astype(np.int64))[raw != 255]
 
 
+def estimated_windows(texts: DataFrame) -> int:
+    """About how many windows the binary column ``data`` holds; sizes depend on it, results don't."""
+    return (texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // BYTES_PER_WORD
+
+
 @dataclass(frozen=True)
 class Shape:
     """Cells of a row and of its slices."""
@@ -132,14 +137,15 @@ def _slices(cells: np.ndarray, shape: Shape) -> Iterator[tuple[int, bytes, bytes
             yield k, pack(once[a[k] : a[k + 1]] - np.uint32(edges[k])), pack(twice[b[k] : b[k + 1]] - np.uint32(edges[k]))
 
 
-def merged_sketch(texts: DataFrame, hashes: Callable[[Iterable[bytes]], Iterator[np.ndarray]], max_cells: int = MAX_CELLS) -> Sketch:
+def merged_sketch(
+    texts: DataFrame, hashes: Callable[[Iterable[bytes]], Iterator[np.ndarray]], windows: int, max_cells: int = MAX_CELLS
+) -> Sketch:
     """Sketch of all hashes that ``hashes`` finds in the binary column ``data`` of ``texts``.
 
-    The width follows the amount of text, up to ``max_cells``; beyond, more
+    The width follows the estimated number of ``windows``, up to ``max_cells``; beyond, more
     windows share a cell and more are estimated repeated, none fewer.
     """
-    amount = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    shape = Shape.for_windows(amount // BYTES_PER_WORD, max_cells)
+    shape = Shape.for_windows(windows, max_cells)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
