@@ -98,3 +98,37 @@ WITH worded AS (
 SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM worded w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
+
+ORACLE_SQL["op10_ngram_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda p: array_to_string(words[p:p + 4], ' '))) END AS shingles
+  FROM worded
+), classes AS (
+  SELECT md5(array_to_string(list_sort(shingles), chr(10))) AS class, min(doc_id) AS rep, any_value(shingles) AS shingles, any_value(len(shingles)) AS n
+  FROM sets WHERE len(shingles) > 0 GROUP BY 1
+), exploded AS (
+  SELECT rep, n, unnest(shingles) AS s FROM classes
+), shared AS (
+  SELECT * FROM exploded JOIN (SELECT s FROM exploded GROUP BY s HAVING count(*) > 1) USING (s)
+), pairs AS (
+  SELECT a.rep AS a, b.rep AS b
+  FROM shared a JOIN shared b ON a.s = b.s AND a.rep < b.rep AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reach AS (
+  SELECT rep AS start, rep AS node FROM classes
+  UNION
+  SELECT r.start, e.b FROM reach r JOIN edges e ON r.node = e.a
+), named AS (
+  SELECT start AS rep, min(node) AS component_id FROM reach GROUP BY start
+)
+SELECT d.doc_id, len(d.shingles)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM sets d
+LEFT JOIN classes c ON len(d.shingles) > 0 AND c.class = md5(array_to_string(list_sort(d.shingles), chr(10)))
+LEFT JOIN named n ON n.rep = c.rep
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, html_extract, media_columns, mixing, spotsigs, substring_dedup, toxicity, url_filter
+from . import byte_bpe, chat_format, html_extract, media_columns, mixing, ngram_join, spotsigs, substring_dedup, toxicity, url_filter
 from .storage import documents
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -115,6 +115,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.group_documents(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -125,4 +129,5 @@ QUERIES = {
     "op7_spotsigs": op7_spotsigs,
     "op8_media_columns": op8_media_columns,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
