@@ -151,7 +151,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
     """``docs(doc_id, text)`` encoded and decoded again.
 
     Returns ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, with
-    ``keep_ids``, ``ids`` (array of long).  The rank file is read on the
+    ``keep_ids``, ``ids`` (array of int).  The rank file is read on the
     driver; its lines, whose number is that of the vocabulary, are broadcast.
     """
     spark: SparkSession = docs.sparkSession
@@ -160,7 +160,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
     sent = spark.sparkContext.broadcast(lines)
     key = hashlib.sha256("".join([*lines, pattern]).encode()).hexdigest()
     id_type = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * keep_ids
+    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(key, sent.value, pattern)
@@ -176,7 +176,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
             columns = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int64())))
+                columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
