@@ -39,7 +39,7 @@ from .windows import MAX_CELLS, estimated_windows, merged_sketch, pack, unpack,
 
 SIZE = 13
 #: Candidate windows that a task gathers before it groups and sends them.
-GATHER = 1_500_000
+GATHER = 1_000_000
 #: Windows and bytes of text that a bucket and a block may hold about.
 BUCKET_WINDOWS, BLOCK_BYTES = 2_000_000, 4_000_000
 PLACES = ["docs", "parts", "counts", "places"]

@@ -29,7 +29,7 @@ MAX_CELLS = 2**30
 SLICE_CELLS = 2**24
 LEAST_SLICES = 16
 #: Windows that a task gathers before it sends their cells.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 BYTES_PER_WORD = 6
 
 
