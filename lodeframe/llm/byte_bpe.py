@@ -25,8 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-#: Entries that a piece or pair memory holds before it is emptied.
-MEMORY = 400_000
+#: Entries that the piece and the pair memory hold before they are emptied.
+PIECES, PAIRS = 300_000, 200_000
 
 
 def load_ranks(lines: Iterable[str]) -> list[bytes]:
@@ -46,7 +46,7 @@ class PieceMemory(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = array("I", self.bpe.encode_piece(piece.encode())).tobytes()
         if len(piece) <= 64:
-            if len(self) >= MEMORY:
+            if len(self) >= PIECES:
                 self.clear()
             self[piece] = ids
         return ids
@@ -57,13 +57,14 @@ class ByteBPE:
         # White space is the Unicode property, which \s of this library is not for U+001C to U+001F
         self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.tokens = tokens
+        self.sizes = [len(token) for token in tokens]
         self.ranks = {token: rank for rank, token in enumerate(tokens)}
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.ranks.items():
             if self.merge(token) == [rank]:  # tokens that no merge reaches are never used
                 self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.shorter: dict[int, int] = {}
         self.memory = PieceMemory(self)
 
@@ -79,10 +80,10 @@ class ByteBPE:
         return [ranks[p] for p in parts]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MEMORY:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
@@ -103,29 +104,33 @@ class ByteBPE:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        longest = [-1] * len(data)
-        sizes = self.tokens
+        n, sizes, pairs, longest = len(data), self.sizes, self.pairs, [-1] * len(data)
         for end, rank in self.automaton.iter(data.decode("latin-1")):
-            start = end + 1 - len(sizes[rank])
-            if longest[start] < 0 or len(sizes[rank]) > len(sizes[longest[start]]):
-                longest[start] = rank
+            longest[end + 1 - sizes[rank]] = rank  # of one start, the longest match ends last
         out: list[int] = []
-        open_at = bytearray(b"\x01") * (len(data) + 1)
-        at, rank = 0, longest[0] if data else -1
-        while at < len(data):
-            while rank >= 0 and not (open_at[at + len(sizes[rank])] and (not out or self.compatible(out[-1], rank))):
+        open_at = bytearray(b"\x01") * (n + 1)
+        at, last, rank = 0, -1, longest[0] if n else -1
+        while at < n:
+            while rank >= 0:
+                if open_at[at + sizes[rank]]:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last << 32 | rank)
+                    if self.compatible(last, rank) if fits is None else fits:
+                        break
                 rank = self.next_shorter(rank)
             if rank >= 0:
                 out.append(rank)
-                at += len(sizes[rank])
-                rank = longest[at] if at < len(data) else -1
+                at += sizes[rank]
+                last, rank = rank, longest[at] if at < n else -1
             else:
                 # nothing fits here after this predecessor: give the position up and shorten the predecessor
                 if not out:
                     raise ValueError("bytes without a token")
                 open_at[at] = 0
                 rank = out.pop()
-                at -= len(sizes[rank])
+                at -= sizes[rank]
+                last = out[-1] if out else -1
         return out
 
     def encode(self, text: str) -> bytes:

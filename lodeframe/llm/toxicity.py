@@ -29,7 +29,7 @@ import json
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 PREFIXES = (4, 5, 6)
 WORDS = re.compile(r"[^\W\d_]+")
 SENTENCES = re.compile(r"[^.!?\n]+")
-MEMORY = 300_000
+MEMORY = 100_000
 
 #: Sets of words for groups of people that may replace each other.
 IDENTITY_SETS: tuple[tuple[str, ...], ...] = (
@@ -85,41 +85,50 @@ def counterfactuals(text: str, sets: Sequence[Sequence[str]]) -> Iterator[tuple[
                 yield words, (words - {term}) | {other}
 
 
-def select_features(rows: list[set[str]], labels: np.ndarray, least: int, most: int) -> list[str]:
-    """The features with the highest chi-square, ties by name."""
-    n, pos = len(rows), int(labels.sum())
-    seen: Counter[str] = Counter()
+def features_in(text: str | None) -> set[str]:
+    return {f for w in words_of(text) for f in features_of(w)}
+
+
+def select_features(texts: Sequence[str], labels: np.ndarray, least: int, most: int) -> list[str]:
+    """The features of toxic texts with the highest chi-square, ties by name.
+
+    Only what ``least`` toxic texts have is counted in the others, so memory
+    follows the toxic part of the sample.
+    """
+    n, pos = len(texts), int(labels.sum())
     toxic: Counter[str] = Counter()
-    for words, label in zip(rows, labels, strict=True):
-        found = {f for w in words for f in features_of(w)}
-        seen.update(found)
+    for text, label in zip(texts, labels, strict=True):
         if label:
-            toxic.update(found)
+            toxic.update(features_in(text))
+    toxic = Counter({f: c for f, c in toxic.items() if c >= least})
+    seen = Counter(toxic)
+    for text, label in zip(texts, labels, strict=True):
+        if not label:
+            seen.update(toxic.keys() & features_in(text))
     scored = []
     for f, c in seen.items():
-        if c < least or c == n:
+        if c == n:
             continue
         a, e = toxic[f], c * pos / n
         chi = (a - e) ** 2 / (e * (1 - c / n) * (1 - pos / n))
         # one chance in 100,000 for a feature without relation to the label: there are many features
-        if chi >= 19.5:
+        if a > e and chi >= 19.5:
             scored.append((-chi, f))
     return [f for _, f in sorted(scored)[:most]]
 
 
-def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, most: int, sets: Sequence[Sequence[str]], max_pairs: int = 20_000) -> dict:
+def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, most: int, sets: Sequence[Sequence[str]], max_pairs: int = 5_000) -> dict:
     """Bias and weights by feature."""
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-9), 1 - 1e-9)
         return {"bias": math.log(share / (1 - share)), "weights": {}}
-    rows = [words_of(t) for t in texts]
-    names = select_features(rows, y, least, most)
+    names = select_features(texts, y, least, most)
     index = {f: k for k, f in enumerate(names)}
 
-    def matrix(sets_of_words: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(sets_of_words), len(names) + 1), np.float32)
+    def matrix(sets_of_words: Iterable[set[str]], rows: int) -> np.ndarray:
+        x = np.zeros((rows, len(names) + 1), np.float32)
         x[:, -1] = 1
         for i, words in enumerate(sets_of_words):
             for w in words:
@@ -128,9 +137,9 @@ def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, l
                         x[i, k] = 1
         return x
 
-    x = matrix(rows)
+    x = matrix(map(words_of, texts), len(texts))
     pairs = list(islice((p for t in texts for p in counterfactuals(t or "", sets)), max_pairs))
-    change = matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs]) if pairs else np.zeros((0, x.shape[1]), np.float32)
+    change = matrix((a for a, _ in pairs), len(pairs)) - matrix((b for _, b in pairs), len(pairs)) if pairs else np.zeros((0, x.shape[1]), np.float32)
     change = change[np.abs(change).sum(axis=1) > 0]
     # both classes weigh the same, so the score doesn't depend on how rare toxic rows are
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
@@ -151,11 +160,11 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     use: Column | None = None,
-    sample: int = 3000,
+    sample: int = 1500,
     lam: float = 1.0,
     ridge: float = 2e-5,
     least: int = 3,
-    max_features: int = 3000,
+    max_features: int = 2000,
     identity_sets: Sequence[Sequence[str]] = IDENTITY_SETS,
     label_col: str = "toxic",
 ) -> dict:
