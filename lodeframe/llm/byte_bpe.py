@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from .storage import text_batches
+
 #: Entries that the piece and the pair memory hold before they are emptied.
 PIECES, PAIRS = 300_000, 200_000
 
@@ -160,6 +162,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
     driver; its lines, whose number is that of the vocabulary, are broadcast.
     """
     spark: SparkSession = docs.sparkSession
+    text_batches(spark)
     with open(rank_file) as file:
         lines = list(file)
     sent = spark.sparkContext.broadcast(lines)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .storage import materialize
+from .storage import materialize, text_batches
 from .windows import MAX_CELLS, estimated_windows, merged_sketch, mixed, window_hashes, word_hashes
 
 SIZE = 5
@@ -146,6 +146,7 @@ class Trie:
 def group_documents(docs: DataFrame, size: int = SIZE, chunk: int = CHUNK, max_cells: int = MAX_CELLS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
+    text_batches(spark)
     id_type = dict(docs.dtypes)["doc_id"]
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
 

@@ -23,6 +23,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+ARROW_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Let at most ``TEXT_ROWS`` rows go to Python at once: whole texts are long, and their batches take memory on both sides."""
+    rows = int(spark.conf.get(ARROW_ROWS))
+    if rows <= 0 or rows > TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and return the reread table."""
     spark = df.sparkSession

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .storage import text_batches
 from .windows import MAX_CELLS, estimated_windows, merged_sketch, pack, unpack, window_hashes, word_hashes
 
 SIZE = 13
@@ -195,6 +196,7 @@ def deduplicated(docs: DataFrame, size: int = SIZE, max_cells: int = MAX_CELLS)
     """
     columns = docs.columns
     spark = docs.sparkSession
+    text_batches(spark)
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("part"), F.col("text").cast("binary").alias("data"))
     windows = estimated_windows(data)
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), windows * 6 // BLOCK_BYTES + 1)

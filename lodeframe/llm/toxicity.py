@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import text_batches
+
 PREFIXES = (4, 5, 6)
 WORDS = re.compile(r"[^\W\d_]+")
 SENTENCES = re.compile(r"[^.!?\n]+")
@@ -169,6 +171,7 @@ def train(
     label_col: str = "toxic",
 ) -> dict:
     """Fit on at most ``sample`` labelled rows of each class, those with the lowest id hash among ``use``."""
+    text_batches(docs.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
     marked = marked.where(use) if use is not None else marked
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
@@ -219,6 +222,7 @@ class Scorer:
 
 def score_column(spark, model: dict) -> Callable[[Column | str], Column]:
     """A column function that scores texts by ``model`` in Arrow batches."""
+    text_batches(spark)
     sent = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
