@@ -1,17 +1,30 @@
-"""The registered queries of the engine and their SQL."""
+"""The registered queries of the engine, each beside its DuckDB SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def events_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "facet_filter"
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"lineitem_flags": events_per_type}
-ORACLE_SQL: dict[str, str] = {"lineitem_flags": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag"}
-FLAGSHIP = "lineitem_flags"
+def register(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(query: Query) -> Query:
+        QUERIES[query.__name__] = query
+        if sql is not None:
+            ORACLE_SQL[query.__name__] = sql
+        return query
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from . import queries_corpus, queries_filters, queries_reports, queries_state  # noqa: E402, F401
