@@ -195,21 +195,32 @@ def text_match(text: str, columns: Iterable[str]) -> Column:
     return out
 
 
-def compile_state(state: State, catalog: Catalog, currency: str | None = None, **options: Any) -> CompiledQuery:
-    hard = [c for c in state.conditions if not c.soft]
+def query_parameters(state: State, catalog: Catalog, currency: str | None = None) -> tuple[dict[str, str], tuple[dict[str, Any], ...]]:
+    """Parameter strings and ranking hints of a state; needs no session."""
     for c in state.conditions:
         if catalog[c.field].unit_kind == "currency" and currency is None:
             raise PredicateError([Problem("invalid_unit", c.field, "the column's currency is required")])
     parameters = {"q": state.query_text or "*", "query_by": ",".join(catalog.text_columns)}
+    hard = [c for c in state.conditions if not c.soft]
     if hard:
         parameters["filter_by"] = " && ".join(as_text(c, catalog, currency) for c in hard)
-    order: tuple[Column, ...] = ()
     if state.sort is not None:
-        spec = next(s for s in catalog.sorts if s.name == state.sort[0])
-        parameters["sort_by"] = f"{spec.column}:{state.sort[1]}"
-        order = (F.col(spec.column).asc_nulls_last() if state.sort[1] == "asc" else F.col(spec.column).desc_nulls_last(),)
+        parameters["sort_by"] = f"{_sort_column(state, catalog)}:{state.sort[1]}"
     hints = tuple(normalized(c, catalog, currency).write() | {"index_field": catalog[c.field].column} for c in state.conditions if c.soft)
-    predicate = all_of(hard, catalog, currency=currency, **options)
+    return parameters, hints
+
+
+def _sort_column(state: State, catalog: Catalog) -> str:
+    return next(s.column for s in catalog.sorts if state.sort is not None and s.name == state.sort[0])
+
+
+def compile_state(state: State, catalog: Catalog, currency: str | None = None, **options: Any) -> CompiledQuery:
+    parameters, hints = query_parameters(state, catalog, currency)
+    order: tuple[Column, ...] = ()
+    if state.sort is not None:
+        column = F.col(_sort_column(state, catalog))
+        order = (column.asc_nulls_last() if state.sort[1] == "asc" else column.desc_nulls_last(),)
+    predicate = all_of((c for c in state.conditions if not c.soft), catalog, currency=currency, **options)
     if state.query_text is not None and catalog.text_columns:
         predicate = predicate & text_match(state.query_text, catalog.text_columns)
     return CompiledQuery(parameters, hints, predicate, order)
