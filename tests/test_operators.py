@@ -235,3 +235,76 @@ def test_stream_equals_batch(spark, tmp_path):
     by = {(r.session, r.seq): r for r in batch}
     assert [by["s1", k].committed for k in (1, 2, 3, 4)] == [True, False, True, False]
     assert by["s1", 4].state == by["s1", 3].state and by["s1", 3]["filter"] == "flavor:=[matcha] && price:<=5"
+
+
+def answer(**parts):
+    base = dict.fromkeys(("gender_preference", "technician_gender", "start_time", "duration_minutes", "technician_name")) | {
+        "action": "final", "preferences": [], "technician_status": "not_checked", "confirmation": False, "info_complete": False, "unrelated": False,
+        "missing_info": ["start_time", "duration_minutes"], "reply_type": "ask_start_time_and_duration", "reply": "when?",
+    }
+    return base | parts
+
+
+def test_output_contracts(spark):
+    from lodeframe.operators import appointments as A
+
+    call = {"action": "tool_call", "tool_name": "find", "arguments": {"technician_name": None, "start_time": "2026-01-01 10:00", "duration_minutes": 60, "gender_preference": "female", "preferences": ["x"]}}
+    cases = {
+        "": [answer(), call, answer(reply_type="handoff", reply=None), answer(preferences=["a", "b"], start_time="2026-01-01 10:00", missing_info=["duration_minutes"])],
+        "keys": [answer(more=1)],
+        "missing_info": [answer(missing_info=["duration_minutes", "start_time"])],
+        "duration_minutes": [answer(duration_minutes=True), answer(duration_minutes=0), call | {"arguments": call["arguments"] | {"duration_minutes": None}}],
+        "reply": [answer(reply=None), answer(reply="```x"), answer(reply_type="handoff")],
+        "preferences": [answer(preferences=["a", "a"]), answer(preferences=[" "]), answer(preferences=[1])],
+        "flags": [answer(unrelated=0)],
+        "start_time": [answer(start_time="soon")],
+        "arguments": [call | {"arguments": {}}],
+    }
+    rows = [(name, json.dumps(x)) for name, group in cases.items() for x in group] + [("json", "nope")]
+    df = spark.createDataFrame(rows, "want string, t string").withColumn("v", strict_object(F.col("t")))
+    for r in df.select("want", "t", A.output_errors(F.col("v")).alias("e")).collect():
+        assert (r.want in r.e) if r.want else r.e == [], (r.want, r.t, r.e)
+    raw = spark.createDataFrame([(json.dumps(answer()), ["N"]), (json.dumps(answer(missing_info=[], technician_name="M", technician_status="available")), ["N"])], "t string, q array<string>").withColumn("v", strict_object(F.col("t")))
+    found = [r[0] for r in raw.select(A.consistency_errors(F.col("v"), F.col("q"))).collect()]
+    assert found[0] == [] and set(found[1]) == {"missing_info", "name_source"}
+
+
+def test_replies(spark):
+    from lodeframe.operators import appointments as A
+
+    one = spark.range(1)
+    get = lambda c: one.select(c).first()[0]
+    assert get(A.names_in(F.lit("已找到王芳技师，老师李明。一位技师"))) == ["王芳", "李明"]
+    gold = F.parse_json(F.lit(json.dumps(answer(technician_name="王芳", duration_minutes=90, start_time="2026-03-01 14:30", preferences=["安静"]))))
+    need = F.array(*map(F.lit, ("technician_name", "duration_minutes", "start_time", "preferences")))
+    good = A.reply_errors(F.lit("为您安排王芳技师，2点半，一个半小时，安静"), gold, need)
+    assert get(good[1]) == [] and get(good[0]) == 6
+    bad = A.reply_errors(F.lit("安排李明技师，3点"), gold, need)
+    assert set(get(bad[1])) == {"technician_name", "duration_minutes", "start_time", "unsupported_technician_name", "preference:安静"}
+    assert get(A.faithfulness(bad[0], bad[1])) == pytest.approx(1 / 6)
+
+
+def test_generation(spark):
+    from lodeframe.operators import generation as G
+
+    cells = G.grid(spark, {"a": ["x", "y"], "b": [1, 2, 3]})
+    assert cells.count() == 6
+    turns = G.rotate(spark.range(9).withColumn("g", F.lit("g")), "g", "id", ["p", "q", "r"], "s")
+    assert {r.choice: r["count"] for r in turns.groupBy("choice").count().collect()} == {"p": 3, "q": 3, "r": 3}
+    assert [r.grp for r in G.plan_errors(cells, {"x": 3, "z": 1}, "a").collect()] == ["z"]
+    prefix = G.prompt_prefix(CATALOG, ["rule"])
+    rows = G.render_prompts(spark.createDataFrame([(None, "hi")], "s string, t string"), prefix, "s", "t")
+    m = rows.first().messages
+    assert m[0].content.endswith("State: null") and m[1].content == "hi" and "size_g" not in prefix
+    assert rows.select(G.render_template(F.col("messages"))).first()[0].endswith("<|im_start|>user\nhi<|im_end|>\n")
+    talk = spark.sql("select array(named_struct('role','system','content','s'), named_struct('role','user','content','q'), named_struct('role','assistant','content','a')) m")
+    r = G.sharegpt(talk, "m").first()
+    assert r.system == "s" and [c["from"] for c in r.conversations] == ["human", "gpt"]
+    with pytest.raises(Exception, match="alternate"):
+        G.sharegpt(spark.sql("select array(named_struct('role','user','content','q')) m"), "m").collect()
+    assert G.config_merge({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}}) == {"a": {"b": 3, "c": 2}}
+    with pytest.raises(ValueError):
+        G.config_merge({}, {"z": 1}, frozenset("a"))
+    with pytest.raises(KeyError):
+        G.tool_schema("x", {})
+    assert spark.createDataFrame([("a b",), (None,)], "t string").select(F.sum(G.pluggable_count(lambda t: len(t.split()))(F.col("t")))).first()[0] == 2
