@@ -42,7 +42,7 @@ SIZE = 13
 #: Candidate windows that a task gathers before it groups and sends them.
 GATHER = 1_000_000
 #: Windows and bytes of text that a bucket and a block may hold about.
-BUCKET_WINDOWS, BLOCK_BYTES = 2_000_000, 4_000_000
+BUCKET_WINDOWS, BLOCK_BYTES = 1_000_000, 4_000_000
 PLACES = ["docs", "parts", "counts", "places"]
 PLACES_DDL = "docs binary, parts binary, counts binary, places binary"
 DEDUP = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
