@@ -50,22 +50,35 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
     return df.withColumn("_row", F.row_number().over(w)).where(F.col("_row") <= k).drop("_row")
 
 
+#: Groups whose sizes may become literals of a plan.
+FEW_GROUPS = 1000
+
+
 def interleave(df: DataFrame, group: str, order: str, width: int = 4096) -> DataFrame:
     """Round robin over groups, first-seen groups first: adds ``position`` from 1.
 
     ``order`` is a whole number; rows are numbered in buckets of ``width`` of it.
+    A row's position follows from its round and the groups' sizes alone: earlier
+    rounds took ``min(size, round - 1)`` of each group. Up to ``FEW_GROUPS`` groups
+    (counted) that is arithmetic on literals; more are placed by a window a round.
     """
-    seen = df.groupBy(group).agg(F.min(order).alias("_seen"))
-    ranked_groups = seen.withColumn("_group_rank", F.row_number().over(Window.orderBy("_seen"))).drop("_seen")
+    groups = df.groupBy(group).agg(F.min(order).alias("_seen"), F.count("*").alias("_size"))
+    few = groups.orderBy("_seen").limit(FEW_GROUPS + 1).collect()
     rounds = distributed_rank(df, [group], [F.col(order)], F.floor(F.col(order) / width), "round")
-    placed = rounds.join(ranked_groups, group)
-    # rows of earlier rounds
+    if len(few) <= FEW_GROUPS:
+        sizes = F.array(*[F.lit(r["_size"]) for r in few]) if few else F.array().cast("array<bigint>")
+        types = dict(df.dtypes)
+        ranks = df.sparkSession.createDataFrame([(r[0], k) for k, r in enumerate(few)], f"`{group}` {types[group]}, _rank int")
+        placed = rounds.alias("a").join(F.broadcast(ranks).alias("b"), F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}")))
+        before = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, n: acc + F.least(n, F.col("round") - 1))
+        beside = F.size(F.filter(F.slice(sizes, F.lit(1), F.col("_rank")), lambda n: n >= F.col("round")))
+        return placed.select(*[F.col(f"a.{c}") for c in df.columns], (before + beside + 1).cast("long").alias("position"))
+    ranked = groups.withColumn("_rank", F.row_number().over(Window.orderBy("_seen"))).drop("_seen", "_size")
     per_round = rounds.groupBy("round").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_round.select("round", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("round").orderBy("_group_rank")
-    placed = placed.withColumn("_at", F.row_number().over(inside)).join(offsets, "round")
-    return placed.withColumn("position", (F.col("_offset") + F.col("_at")).cast("long")).drop("_at", "_offset", "_group_rank", "round")
+    offsets = per_round.select("round", F.coalesce(F.sum("_n").over(Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("round").orderBy("_rank")
+    placed = rounds.join(ranked, group).withColumn("_at", F.row_number().over(inside)).join(offsets, "round")
+    return placed.select(*df.columns, (F.col("_offset") + F.col("_at")).cast("long").alias("position"))
 
 
 def balanced_sample(df: DataFrame, group: str, key: str, most: int, seed: str) -> DataFrame:
@@ -74,12 +87,11 @@ def balanced_sample(df: DataFrame, group: str, key: str, most: int, seed: str) -
     return ranked.orderBy("turn", group).limit(most)
 
 
-def evenly_spaced(df: DataFrame, order: Sequence[Column], count: int) -> DataFrame:
-    """``count`` rows at even distances of the order, the middle one for a single row. For report-sized tables."""
+def evenly_spaced(df: DataFrame, order: Sequence[Column], bucket: Column, count: int) -> DataFrame:
+    """``count`` rows at even distances of the order, the middle one for a single row; ``bucket`` as in ``distributed_rank``."""
     n = df.count()
     places = [n // 2] if count == 1 else sorted({round(k * (n - 1) / (count - 1)) for k in range(count)})
-    numbered = df.withColumn("_row", F.row_number().over(Window.orderBy(*order)) - 1)
-    return numbered.where(F.col("_row").isin(places)).drop("_row")
+    return distributed_rank(df, [], order, bucket, "_place").where((F.col("_place") - 1).isin(places)).drop("_place")
 
 
 def split_quotas(sizes: dict[tuple, int], fraction: float) -> dict[tuple, int]:

@@ -157,14 +157,15 @@ def run_diff(left: DataFrame, right: DataFrame, key: str, passed: str, by: Seque
     )
 
 
-def set_hash(df: DataFrame, key: str, groups: Sequence[str] = ()) -> DataFrame:
-    """SHA-256 of the sorted keys of each group, joined by line ends. For manifests: a group's keys meet in one value."""
+def listed_hash(df: DataFrame, key: str, groups: Sequence[str] = ()) -> DataFrame:
+    """SHA-256 of the sorted keys of each group, joined by line ends. For manifests of report size: a group's keys meet in one value."""
     return df.groupBy(*groups).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), "\n"), 256).alias("sha256"))
 
 
-def additive_hash(df: DataFrame, keys: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """A set's fingerprint that needs no order and no gathering: the sum of its rows' hashes. For tables of any size."""
-    return df.groupBy(*groups).agg(F.count("*").alias("n"), F.sum(F.xxhash64(*keys).cast("decimal(38,0)")).alias("hash_sum"))
+def set_hash(df: DataFrame, key: str, groups: Sequence[str] = ()) -> DataFrame:
+    """A set's fingerprint without order and gathering: number of keys and sum of the first 52 bits of their SHA-256. For tables of any size."""
+    bits = F.conv(F.left(F.sha2(F.col(key).cast("string"), 256), F.lit(13)), 16, 10).cast("decimal(20,0)")
+    return df.groupBy(*groups).agg(F.count("*").alias("n"), F.sum(bits).cast("string").alias("hash_sum"))
 
 
 def scorecard_lines(means: DataFrame) -> DataFrame:

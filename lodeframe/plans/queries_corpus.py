@@ -44,15 +44,20 @@ def isolation_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.clean_of(table(spark, sf_dir, "documents").select("doc_id"), isolation_overlap(spark, sf_dir), "doc_id")
 
 
-@register("""
-SELECT DISTINCT 'benchmark' AS a, 'documents' AS b, sha256(trim(text)) AS key FROM benchmark WHERE trim(text) IN (SELECT trim(text) FROM documents)
-UNION SELECT 'documents', 'first', sha256(trim(text)) FROM documents WHERE doc_id < 50
-UNION SELECT 'benchmark', 'first', sha256(trim(text)) FROM benchmark WHERE trim(text) IN (SELECT trim(text) FROM documents WHERE doc_id < 50)
-""")
+_KEYS = """
+WITH parts AS (
+  SELECT 'benchmark' AS part, sha256(trim(text)) AS key FROM benchmark
+  UNION SELECT CASE WHEN source < 'src5' THEN 'first' ELSE 'second' END, sha256(trim(text)) FROM documents
+)
+"""
+
+
+@register(_KEYS + "SELECT x.part AS a, y.part AS b, key FROM parts x JOIN parts y USING (key) WHERE x.part < y.part")
 def splits_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = lambda df: df.select(F.sha2(F.trim("text"), 256).alias("key"))
     docs = table(spark, sf_dir, "documents")
-    return corpus.splits_overlap({"benchmark": keyed(table(spark, sf_dir, "benchmark")), "documents": keyed(docs), "first": keyed(docs.where("doc_id < 50"))}, "key")
+    parts = {"benchmark": keyed(table(spark, sf_dir, "benchmark")), "first": keyed(docs.where("source < 'src5'")), "second": keyed(docs.where("source >= 'src5'"))}
+    return corpus.splits_overlap(parts, "key")
 
 
 _RANKED = "row_number() OVER (PARTITION BY lang ORDER BY sha256('split:' || lang || ':' || doc_id), doc_id)"
@@ -92,13 +97,13 @@ def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS k, count(*) OVER () AS n FROM documents WHERE source = 'src1')
-SELECT doc_id FROM r WHERE k IN (SELECT round_even(i * (n - 1) / 4.0::DOUBLE, 0)::BIGINT FROM range(5) t(i))
+WITH r AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS k, count(*) OVER () AS n FROM documents)
+SELECT doc_id, n_chars FROM r WHERE k IN (SELECT round_even(i * (n - 1) / 4.0::DOUBLE, 0)::BIGINT FROM range(5) t(i))
 """)
 def evenly_spaced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five documents of one source at even distances of length: the feature is the small report."""
-    docs = table(spark, sf_dir, "documents").where("source = 'src1'").select("doc_id", "n_chars")
-    return ranking.evenly_spaced(docs, [F.col("n_chars"), F.col("doc_id")], 5).select("doc_id")
+    """Five documents at even distances of length: the small report is the feature."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return ranking.evenly_spaced(docs, [F.col("n_chars"), F.col("doc_id")], F.floor(F.col("n_chars") / 64), 5)
 
 
 @register("""
@@ -124,45 +129,39 @@ def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("""
 WITH t AS (SELECT item_id, lower(text) AS t FROM benchmark),
-grams AS (SELECT item_id, n, substr(t, p, n) AS g, count(*) AS c FROM (SELECT item_id, t, n, unnest(range(1, length(t) - n + 2)) AS p FROM t, (VALUES (2), (3)) s(n)) GROUP BY ALL),
-totals AS (SELECT item_id, n, sum(c) AS c FROM grams GROUP BY ALL),
-shared AS (SELECT a.item_id AS a, b.item_id AS b, a.n, sum(least(a.c, b.c)) AS c FROM grams a JOIN grams b ON a.n = b.n AND a.g = b.g AND a.item_id < b.item_id GROUP BY ALL)
-SELECT s.a, s.b, round(sum(2 * s.c / (x.c + y.c)) / 2, 6)::DOUBLE AS f1 FROM shared s JOIN totals x ON x.item_id = s.a AND x.n = s.n JOIN totals y ON y.item_id = s.b AND y.n = s.n
-GROUP BY s.a, s.b
+pairs AS (SELECT a.item_id, a.t AS x, b.t AS y FROM t a JOIN t b ON b.item_id = a.item_id + 1),
+grams AS (
+  SELECT item_id, n, side, substr(t, p, n) AS g, count(*) AS c
+  FROM (SELECT item_id, side, t, n, unnest(range(1, length(t) - n + 2)) AS p FROM (SELECT item_id, 'x' AS side, x AS t FROM pairs UNION ALL SELECT item_id, 'y', y FROM pairs), (VALUES (2), (3)) s(n)) GROUP BY ALL
+), totals AS (SELECT item_id, n, sum(c) AS c FROM grams GROUP BY ALL),
+shared AS (SELECT a.item_id, a.n, sum(least(a.c, b.c)) AS c FROM grams a JOIN grams b ON a.item_id = b.item_id AND a.n = b.n AND a.g = b.g AND a.side = 'x' AND b.side = 'y' GROUP BY ALL)
+SELECT t.item_id, round(sum(2 * coalesce(s.c, 0) / t.c) / 2, 6)::DOUBLE AS f1 FROM totals t LEFT JOIN shared s ON s.item_id = t.item_id AND s.n = t.n GROUP BY t.item_id
 """)
 def ngram_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Likeness of each pair of benchmark items that share a gram: grams are counted per item, then joined on the gram."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("t"))
-    sizes = F.array(*[F.struct(F.lit(n).alias("n"), T.ngrams(F.col("t"), n).alias("g")) for n in (2, 3)])
-    grams = items.select("item_id", F.explode(sizes).alias("s")).select("item_id", "s.n", F.explode("s.g").alias("g")).groupBy("item_id", "n", "g").agg(F.count("*").alias("c"))
-    totals = grams.groupBy("item_id", "n").agg(F.sum("c").alias("total"))
-    counted = grams.join(totals, ["item_id", "n"])
-    a, b = counted.alias("a"), counted.alias("b")
-    both = a.join(b, (F.col("a.n") == F.col("b.n")) & (F.col("a.g") == F.col("b.g")) & (F.col("a.item_id") < F.col("b.item_id")))
-    part = both.groupBy(F.col("a.item_id").alias("a"), F.col("b.item_id").alias("b"), F.col("a.n").alias("n"), F.col("a.total").alias("x"), F.col("b.total").alias("y")).agg(F.sum(F.least("a.c", "b.c")).alias("c"))
-    return part.groupBy("a", "b").agg(F.round(F.sum(2 * F.col("c") / (F.col("x") + F.col("y"))) / 2, 6).alias("f1"))
+    """Each benchmark item against its reference, the next item."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("x"))
+    references = items.select((F.col("item_id") - 1).alias("item_id"), F.col("x").alias("y"))
+    return items.join(references, "item_id").select("item_id", F.round(T.similarity(F.col("x"), F.col("y")), 6).alias("f1"))
 
 
 @register("""
-SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine
-FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3
+SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine, a.label = b.label AS same_label
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
 """)
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alike vectors of one label; the label is the block."""
+    """Each vector against the next one."""
     vecs = table(spark, sf_dir, "embeddings")
-    a, b = vecs.alias("a"), vecs.alias("b")
-    pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.vec_id") < F.col("b.vec_id")))
-    scored = pairs.select(F.col("a.vec_id").alias("a"), F.col("b.vec_id").alias("b"), vectors.cosine(F.col("a.embedding"), F.col("b.embedding")).alias("cosine"))
-    return scored.where("cosine >= 0.3").withColumn("cosine", F.round("cosine", 5))
+    following = vecs.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"), F.col("label").alias("other_label"))
+    return vecs.join(following, "vec_id").select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("other")), 5).alias("cosine"), (F.col("label") == F.col("other_label")).alias("same_label"))
 
 
 @register()
 def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-to-one pairs of each label's even and odd vectors, best first."""
-    vecs = table(spark, sf_dir, "embeddings")
-    a, b = vecs.where("vec_id % 2 = 0").alias("a"), vecs.where("vec_id % 2 = 1").alias("b")
-    scored = a.join(b, F.col("a.label") == F.col("b.label")).select(F.col("a.label").alias("label"), F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), F.round(vectors.cosine(F.col("a.embedding"), F.col("b.embedding")), 9).alias("score"))
-    return matching.greedy_pairs(scored, "label", 0.2)
+    """Cases of eight vectors: four expected ones, each matched with one of four actual ones at most, best first."""
+    vecs = table(spark, sf_dir, "embeddings").withColumn("case", F.floor(F.col("vec_id") / 8))
+    a, b = vecs.where("vec_id % 8 < 4").alias("a"), vecs.where("vec_id % 8 >= 4").alias("b")
+    scored = a.join(b, F.col("a.case") == F.col("b.case")).select(F.col("a.case").alias("case"), F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), F.round(vectors.cosine(F.col("a.embedding"), F.col("b.embedding")), 9).alias("score"))
+    return matching.greedy_pairs(scored, "case", 0.0)
 
 
 @register()
@@ -225,13 +224,14 @@ def tag_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-WITH own AS (SELECT l_orderkey AS id, unnest(list_filter([CASE WHEN l_quantity >= 50 THEN 'quantity' END, CASE WHEN l_discount > 0.09 THEN 'discount' END], lambda x: x IS NOT NULL)) AS error FROM lineitem WHERE l_linenumber = 1)
-SELECT id, error, count(*) AS n FROM (SELECT * FROM own UNION ALL SELECT l_orderkey, 'duplicate_id' FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey HAVING count(*) > 1) GROUP BY ALL
+WITH lines AS (SELECT *, l_orderkey * 10 + l_linenumber AS id FROM lineitem),
+own AS (SELECT id, unnest(list_filter([CASE WHEN l_quantity >= 50 THEN 'quantity' END, CASE WHEN l_discount > 0.09 THEN 'discount' END], lambda x: x IS NOT NULL)) AS error FROM lines)
+SELECT id, error, count(*) AS n FROM (SELECT * FROM own UNION ALL SELECT id, 'duplicate_id' FROM lines GROUP BY id HAVING count(*) > 1) GROUP BY ALL
 """)
 def contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    lines = table(spark, sf_dir, "lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     checked = lines.withColumn("errors", corpus.errors_of({"quantity": F.col("l_quantity") < 50, "discount": F.col("l_discount") <= 0.09}))
-    return corpus.dataset_errors(checked, "l_orderkey", "errors").groupBy("id", "error").agg(F.count("*").alias("n"))
+    return corpus.dataset_errors(checked, "id", "errors").groupBy("id", "error").agg(F.count("*").alias("n"))
 
 
 @register("""

@@ -104,18 +104,15 @@ def contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-WITH c AS (SELECT p_partkey, p_type AS wanted, [p_type, 'PROMO'] AS gone FROM part WHERE p_partkey % 7 = 0
-           UNION ALL SELECT p_partkey, 'LARGE', ['SMALL'] FROM part WHERE p_partkey % 7 = 1)
-SELECT p_partkey FROM c WHERE list_contains(gone, wanted)
+SELECT p_partkey FROM part WHERE p_partkey % 7 = 0 OR p_type IN ('SMALL', 'PROMO')
 """)
 def excluded_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set conditions of which the wanted values are all excluded."""
-    parts = table(spark, sf_dir, "part")
-    rows = lambda df, wanted, gone: df.select("p_partkey", F.explode(F.array(F.struct(F.lit("in").alias("op"), F.array(wanted).alias("values")), F.struct(F.lit("not_in").alias("op"), gone.alias("values")))).alias("c"))
-    first = rows(parts.where("p_partkey % 7 = 0"), F.col("p_type"), F.array(F.col("p_type"), F.lit("PROMO")))
-    second = rows(parts.where("p_partkey % 7 = 1"), F.lit("LARGE"), F.array(F.lit("SMALL")))
+    """Set conditions of every part of which the wanted values are all excluded."""
+    gone = F.when(F.col("p_partkey") % 7 == 0, F.array(F.col("p_type"), F.lit("LARGE"))).otherwise(F.array(F.lit("SMALL"), F.lit("PROMO")))
+    pair = F.array(F.struct(F.lit("in").alias("op"), F.array("p_type").alias("values")), F.struct(F.lit("not_in").alias("op"), gone.alias("values")))
+    conditions = table(spark, sf_dir, "part").select("p_partkey", F.explode(pair).alias("c")).select("p_partkey", "c.*")
     closure = STORED.tables(spark)["closure"].where("field = 'kind'").select("code", "descendant")
-    return sessions.set_contradictions(first.unionByName(second).select("p_partkey", "c.*"), ["p_partkey"], closure)
+    return sessions.set_contradictions(conditions, ["p_partkey"], closure)
 
 
 @register("""
@@ -191,10 +188,9 @@ def interval_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders of one month as requests; suppliers as providers that work on two weekdays of it."""
-    orders = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-03-01' and o_orderdate < timestamp_ntz'1997-04-01'")
+    """Every order as a request for its day; suppliers as providers that work on a few days of the orders' years."""
     start = F.expr("o_orderdate + make_dt_interval(0, cast(8 + o_orderkey % 14 as int), 0, 0)")
-    requests = orders.select(
+    requests = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("S"), (F.col("o_custkey") % 120).cast("string"))).alias("wanted_name"),
         F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("wanted_group"),
@@ -202,59 +198,60 @@ def _requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         start.alias("start"),
         (start + F.expr("interval 1 hour")).alias("end"),
     )
-    day = lambda k: F.expr(f"timestamp_ntz'1997-03-01' + make_dt_interval(cast((s_suppkey * {k}) % 31 as int), 9, 0, 0)")
+    day = lambda k: F.expr(f"timestamp_ntz'1995-01-01' + make_dt_interval(cast((s_suppkey * {k}) % 2000 as int), 9, 0, 0)")
     window = lambda k: F.struct(day(k).alias("start"), (day(k) + F.expr("interval 12 hours")).alias("end"))
     providers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("provider"),
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("name"),
         F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("P")), (F.col("s_nationkey") % 3 + 1).cast("int")).alias("grp"),
         F.when(F.col("s_suppkey") % 2 == 0, F.array(F.lit("k1"), F.lit("k2"))).otherwise(F.array(F.lit("k2"))).alias("skills"),
-        F.array(window(1), window(7)).alias("windows"),
+        F.array(*[window(k) for k in DAY_STEPS]).alias("windows"),
     )
     return requests, providers
 
 
-_REQUESTS_SQL = """
+DAY_STEPS = (11, 17, 23, 41, 97)
+_REQUESTS_SQL = (
+    """
 WITH requests AS (
   SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 4 = 0 THEN 'S' || (o_custkey % 120) END AS wanted_name,
          CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS wanted_group, o_orderkey % 5 = 0 AS wants_k1,
          o_orderdate + to_hours((8 + o_orderkey % 14)::INT) AS s, o_orderdate + to_hours((9 + o_orderkey % 14)::INT) AS e
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01'
+  FROM orders
 ), providers AS (
-  SELECT s_suppkey AS provider, 'S' || s_suppkey AS name, ['F', 'O', 'P'][(s_nationkey % 3 + 1)::INT] AS grp, s_suppkey % 2 = 0 AS has_k1,
-         TIMESTAMP '1997-03-01 09:00:00' + to_days(((s_suppkey * 1) % 31)::INT) AS d1, TIMESTAMP '1997-03-01 09:00:00' + to_days(((s_suppkey * 7) % 31)::INT) AS d2
-  FROM supplier
-), traces AS (
-  SELECT *, wanted_name IS NULL OR wanted_name = name AS considered,
-         (d1 <= s AND e <= d1 + INTERVAL 12 HOUR) OR (d2 <= s AND e <= d2 + INTERVAL 12 HOUR) AS in_time,
-         d1::DATE = s::DATE OR d2::DATE = s::DATE AS on_day
-  FROM requests CROSS JOIN providers
+  SELECT s_suppkey AS provider, 'S' || s_suppkey AS name, ['F', 'O', 'P'][(s_nationkey % 3 + 1)::INT] AS grp, s_suppkey % 2 = 0 AS has_k1 FROM supplier
+), days AS (
+  SELECT DISTINCT s_suppkey AS provider, TIMESTAMP '1995-01-01 09:00:00' + to_days(((s_suppkey * k) % 2000)::INT) AS d FROM supplier, (VALUES """
+    + ", ".join(f"({k})" for k in DAY_STEPS)
+    + """) t(k)
 ), judged AS (
-  SELECT *, considered AND in_time AND (NOT wants_k1 OR has_k1) AND (wanted_group IS NULL OR wanted_group = grp) AS matched FROM traces
+  SELECT r.request_id, p.provider, coalesce(wanted_name = name, true) AS considered,
+         coalesce(wanted_name = name, true) AND d <= s AND e <= d + INTERVAL 12 HOUR AND (NOT wants_k1 OR has_k1) AND coalesce(wanted_group = grp, true) AS matched
+  FROM requests r JOIN days ON d::DATE = s::DATE JOIN providers p USING (provider)
 )
 """
+)
 
 
-@register(_REQUESTS_SQL + "SELECT request_id, provider, considered, matched FROM judged WHERE considered AND on_day")
+@register(_REQUESTS_SQL + "SELECT request_id, provider, considered, matched FROM judged")
 def provider_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    traces = matching.match_providers(*_requests(spark, sf_dir))
-    on_day = F.exists("windows", lambda w: w["start"].cast("date") == F.col("start").cast("date"))
-    return traces.where(F.col("considered") & on_day).select("request_id", "provider", "considered", "matched")
+    return matching.match_providers(*_requests(spark, sf_dir)).select("request_id", "provider", "considered", "matched")
 
 
 @register(
     _REQUESTS_SQL
     + """
-SELECT request_id, count(*) FILTER (matched) AS matches,
-       CASE WHEN NOT (s::DATE = e::DATE AND hour(s) >= 9 AND hour(e) * 60 + minute(e) <= 21 * 60 AND bool_or(on_day)) THEN 'coverage_miss'
-            WHEN any_value(wanted_name) IS NOT NULL AND count(*) FILTER (considered) = 0 THEN 'not_found'
-            WHEN any_value(wanted_name) IS NOT NULL THEN CASE WHEN count(*) FILTER (matched) > 0 THEN 'available' ELSE 'unavailable' END
-            WHEN count(*) FILTER (matched) = 1 THEN 'matched' WHEN count(*) FILTER (matched) = 0 THEN 'no_match' ELSE 'coverage_miss' END AS status
-FROM judged GROUP BY request_id, s, e
+, counted AS (SELECT request_id, count(*) FILTER (matched) AS matches FROM judged GROUP BY request_id)
+SELECT r.request_id, coalesce(matches, 0) AS matches,
+       CASE WHEN NOT (s::DATE = e::DATE AND hour(s) >= 9 AND hour(e) * 60 + minute(e) <= 21 * 60 AND matches IS NOT NULL) THEN 'coverage_miss'
+            WHEN wanted_name IS NOT NULL AND wanted_name NOT IN (SELECT name FROM providers) THEN 'not_found'
+            WHEN wanted_name IS NOT NULL THEN CASE WHEN matches > 0 THEN 'available' ELSE 'unavailable' END
+            WHEN matches = 1 THEN 'matched' WHEN matches = 0 THEN 'no_match' ELSE 'coverage_miss' END AS status
+FROM requests r LEFT JOIN counted c USING (request_id)
 """
 )
 def match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.match_status(matching.match_providers(*_requests(spark, sf_dir)))
+    return matching.match_status(*_requests(spark, sf_dir))
 
 
 @register("""
@@ -270,11 +267,11 @@ def alias_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("""
 SELECT a.l_orderkey, a.l_partkey AS a, b.l_partkey AS b
-FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_quantity >= 40) a JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_quantity >= 40) b
+FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) a JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) b
   ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey
 """)
 def field_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    baskets = table(spark, sf_dir, "lineitem").where("l_quantity >= 40").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    baskets = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
     return matching.field_pairs(baskets, "l_orderkey", F.col("parts"))
 
 
