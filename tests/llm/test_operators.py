@@ -243,6 +243,15 @@ def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+def test_broken_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    for part in ("<a ", "<!--", "<![CDATA[", "<", "</p>", "<div>"):
+        html_extract.main_text(part * 20_000 + "<p>end</p>")
+    assert time.time() - began < 30
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>"), (None, "v", "<p>" * 5000 + "deep")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     out = html_extract.extract_pages(pages).collect()
