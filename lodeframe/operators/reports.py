@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,38 @@ def timing_summary(df: DataFrame, value: str, groups: Sequence[str] = ()) -> Dat
     )
 
 
+def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
+    """Exact percentiles by linear interpolation, without gathering a group's values.
+
+    The first pass counts values by bucket (256 to a power of two), a table whose
+    size doesn't follow the rows; it tells which bucket holds each wanted rank.
+    The second pass counts distinct values of those buckets only.  Columns are
+    ``groups, fraction, percentile``; for numbers from zero on, others are left out.
+    """
+    x = _real(F.col(value))
+    rows = df.select(*groups, x.alias("_x")).where("_x is not null").withColumn("_b", F.floor(F.log2(F.col("_x") + 1) * 256))
+    buckets = rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
+    by = Window.partitionBy(*groups)
+    upto = by.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = buckets.select(*groups, "_b", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), "_n", F.sum("_n").over(by).alias("_total"))
+    at = [F.lit(f) * (F.col("_total") - 1) for f in fractions]
+    wanted = F.array(*[F.struct(F.lit(float(f)).alias("fraction"), F.floor(p).alias("low"), F.ceil(p).alias("high"), (p - F.floor(p)).alias("part")) for f, p in zip(fractions, at, strict=True)])
+    holds = lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n"))
+    needed = placed.withColumn("_w", F.filter(wanted, lambda w: holds(w["low"]) | holds(w["high"]))).where(F.size("_w") > 0)
+    on = [F.col(f"r.{g}").eqNullSafe(F.col(f"k.{g}")) for g in (*groups, "_b")]
+    # at most two buckets a group and fraction
+    inside = rows.alias("r").join(F.broadcast(needed.alias("k")), on).select(*[F.col(f"r.{g}").alias(g) for g in groups], "r._b", "r._x", "k._before", "k._w")
+    values = inside.groupBy(*groups, "_b", "_x").agg(F.count("*").alias("_c"), F.first("_before").alias("_before"), F.first("_w").alias("_w"))
+    run = Window.partitionBy(*groups, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("_end", F.col("_before") + F.sum("_c").over(run)).withColumn("_begin", F.col("_end") - F.col("_c"))
+    covers = lambda r: (r >= F.col("_begin")) & (r < F.col("_end"))
+    hit = ranked.select(*groups, "_x", "_begin", "_end", F.explode("_w").alias("w")).select(
+        *groups, "w.fraction", "w.part", F.when(covers(F.col("w.low")), F.col("_x")).alias("lo"), F.when(covers(F.col("w.high")), F.col("_x")).alias("hi")
+    )
+    ends = hit.groupBy(*groups, "fraction").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.first("part").alias("part"))
+    return ends.select(*groups, "fraction", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("percentile"))
+
+
 def workload_summary(df: DataFrame, groups: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Long form: per group and metric the count, mean, median, p90 (ten digits), min and max of what is present."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))

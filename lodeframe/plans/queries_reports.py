@@ -22,6 +22,17 @@ def timing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.timing_summary(table(spark, sf_dir, "events"), "value", ["event_type"]), "mean", "p50", "p95")
 
 
+@register("""
+WITH fractions(fraction) AS (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)), x AS (SELECT event_type, value AS v FROM events WHERE value >= 0 AND isfinite(value))
+SELECT event_type, fraction, round(quantile_cont(v, 0.5), 6) AS percentile FROM x, fractions WHERE fraction = 0.5 GROUP BY ALL
+UNION ALL SELECT event_type, fraction, round(quantile_cont(v, 0.9), 6) FROM x, fractions WHERE fraction = 0.9 GROUP BY ALL
+UNION ALL SELECT event_type, fraction, round(quantile_cont(v, 0.99), 6) FROM x, fractions WHERE fraction = 0.99 GROUP BY ALL
+""")
+def spread_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of groups too large for one task's memory."""
+    return _rounded(reports.exact_percentiles(table(spark, sf_dir, "events"), ["event_type"], "value", [0.5, 0.9, 0.99]), "percentile")
+
+
 @register("""
 WITH numbered AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1 THEN 'cold' ELSE 'hot' END AS phase FROM events),
 long AS (SELECT phase, event_type, 'value' AS metric, value AS x FROM numbered UNION ALL SELECT phase, event_type, 'k', (props::JSON ->> '$.k')::DOUBLE FROM numbered)

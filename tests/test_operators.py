@@ -157,6 +157,17 @@ def test_reports(spark):
     assert table.splitlines()[2] == "| a | 10 |"
 
 
+def test_exact_percentiles(spark):
+    rows = [("a", float(k % 13) / 7) for k in range(101)] + [("b", 5.0)] + [("c", 1e9), ("c", 0.0)] + [("d", float("nan"))] + [(None, 2.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.fraction): r.percentile for r in reports.exact_percentiles(df, ["g"], "v", [0.0, 0.25, 0.5, 0.95, 1.0]).collect()}
+    want = df.where("not isnan(v)").groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, [0.0, 0.25, 0.5, 0.95, 1.0]))).alias("p")).collect()
+    for r in want:
+        for f, p in zip([0.0, 0.25, 0.5, 0.95, 1.0], r.p, strict=True):
+            assert got[r.g, f] == pytest.approx(p), (r.g, f)
+    assert len(got) == 20
+
+
 def test_sessions_and_sets(spark):
     log = spark.createDataFrame([("s", 1, "a", 1, False), ("s", 2, "b", 2, False), ("s", 3, "a", 3, True), ("s", 4, "a", None, False)], "s string, t int, field string, value int, r boolean")
     got = sorted((r.turn, r.field, r.value) for r in sessions.fold(log, "s", ["t"], ["a", "b"], F.col("r")).collect())
