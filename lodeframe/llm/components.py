@@ -2,7 +2,8 @@
 
 Each round is two grouped minima and two joins over the edges; a graph of n
 nodes needs about log n rounds.  Edges are written to the shared folder after
-every round, so lineage stays short and a lost executor costs one round.
+every round, so lineage stays short and a lost executor costs one round; the
+table before is deleted then.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import forget, write_shared
 
 
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; a component is named by its smallest node."""
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = materialize(links, name)
+    spark = edges.sparkSession
+    links, path = write_shared(links, name)
     seen = None
     while True:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -26,11 +28,13 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = materialize(large, name)
+        large, large_path = write_shared(large, name)
+        forget(spark, path)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        links = materialize(small, name)
+        links, path = write_shared(small, name)
+        forget(spark, large_path)
     named = links.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return named.unionByName(roots)

@@ -33,12 +33,23 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and return the reread table."""
+def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet into the shared folder; the reread table and its path."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``write_shared`` for tables that a lazy result still reads; they go with the folder."""
+    return write_shared(df, name)[0]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a shared table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:

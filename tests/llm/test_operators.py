@@ -509,6 +509,15 @@ def test_ngram_join(spark, seed, chunk, max_cells):
     assert sorted(got, key=str) == brute_groups(rows, 5)
 
 
+def test_components(spark):
+    from lodeframe.llm.components import connected
+
+    chain = [(k, k + 1) for k in range(40)] + [(100, 101), (105, 101), (200, 200), (7, 3)]
+    out = {r.node: r.component for r in connected(spark.createDataFrame(chain, "a long, b long"), "t").collect()}
+    assert out == {k: 0 for k in range(41)} | {100: 100, 101: 100, 105: 100}
+    assert connected(spark.createDataFrame([], "a long, b long"), "t").collect() == []
+
+
 def test_ngram_join_cases(spark):
     docs = spark.createDataFrame([], "doc_id int, text string")
     assert ngram_join.group_documents(docs).collect() == []
