@@ -201,7 +201,7 @@ def relative_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-SELECT event_id, hour(ts) >= 9 AND hour(ts) < 21 AS open, ('0x' || substr(sha256(event_id::VARCHAR), 57, 8))::UBIGINT % 8 AS pick, 'events-' || lpad(event_id::VARCHAR, 6, '0') AS sample_id FROM events
+SELECT event_id, hour(ts) >= 9 AND hour(ts) < 21 AS open, ('0x' || substr(sha256(event_id::VARCHAR), 57, 8))::BIGINT % 8 AS pick, 'events-' || lpad(event_id::VARCHAR, 6, '0') AS sample_id FROM events
 """)
 def event_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Business hours, hash-indexed choice of eight, and sample ids."""

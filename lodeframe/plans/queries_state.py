@@ -13,7 +13,7 @@ FIELDS = ("click", "error", "purchase", "signup", "view")
 
 _STATES = (
     """
-WITH turns AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS turn, event_type, value, value < 3 AS resets FROM events),
+WITH turns AS (SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id))::INT AS turn, event_type, value, value < 3 AS resets FROM events),
 marked AS (SELECT *, coalesce(max(CASE WHEN resets THEN turn END) OVER w, 0) AS reset_at FROM turns WINDOW w AS (PARTITION BY user_id ORDER BY turn)),
 """
     + ",\n".join(
@@ -40,7 +40,7 @@ def state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     _STATES
     + """
 SELECT user_id, turn, field, b.value AS before, a.value AS after
-FROM states a FULL JOIN (SELECT user_id, turn + 1 AS turn, field, value FROM states) b USING (user_id, turn, field)
+FROM states a FULL JOIN (SELECT user_id, (turn + 1)::INT AS turn, field, value FROM states) b USING (user_id, turn, field)
 WHERE turn <= (SELECT max(turn) FROM states s WHERE s.user_id = coalesce(a.user_id, b.user_id)) AND a.value IS DISTINCT FROM b.value
 """
 )
