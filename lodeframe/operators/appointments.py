@@ -213,7 +213,7 @@ def final_score(actual: Column, expected: Column, preference_f1: Column, semanti
     return 0.70 * structured + 0.30 * reply
 
 
-#: Names before or after a title, and what isn't a name.
+#: Names before or after a title, and what is no name.
 NAME_BEFORE = r"(?:^|[，。！？、；：\s]|找到|安排|推荐|由)([一-鿿]{2,3})(?:老师|技师)"
 NAME_AFTER = r"(?:老师|技师)([一-鿿]{2,3})(?=$|[，。！？、；：\s])"
 NO_NAME = r"^(女|男|的女|的男|一位|这位|该位|合适)$|(的|位|名|个|女|男|吗|呢)$|性别|条件|时间|类型"
