@@ -154,7 +154,7 @@ def group_documents(docs: DataFrame, size: int = SIZE, chunk: int = CHUNK, max_c
         for text in texts:
             yield shingle_set(text, size)
 
-    sketch = spark.sparkContext.broadcast(merged_sketch(data.where("data is not null"), hashes, estimated_windows(data), max_cells))
+    sketch = merged_sketch(data.where("data is not null"), hashes, estimated_windows(data), max_cells).sent(spark)
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -114,7 +114,7 @@ def removed_windows(docs: DataFrame, blocks: int, windows: int, size: int = SIZE
         for data in texts:
             yield window_hashes(word_hashes(data), size)
 
-    sketch = spark.sparkContext.broadcast(merged_sketch(usable, hashes, windows, max_cells))
+    sketch = merged_sketch(usable, hashes, windows, max_cells).sent(spark)
     names = ["bucket", "keys", "checks", *PLACES]
 
     def sent(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -109,10 +110,24 @@ class Shape:
 
 
 class Sketch:
-    """The merged sketch: one bit a cell, set where the count is over one."""
+    """The merged sketch: one bit a cell, set where the count is over one.
 
-    def __init__(self, shape: Shape, rows: list[np.ndarray]):
-        self.shape, self.rows = shape, rows
+    It travels as the merged slices; only who looks cells up joins them.
+    """
+
+    def __init__(self, shape: Shape, slices: dict[tuple[int, int], bytes]):
+        self.shape, self.slices = shape, slices
+        self._rows: list[np.ndarray] | None = None
+
+    @property
+    def rows(self) -> list[np.ndarray]:
+        if self._rows is None:
+            step = self.shape.slice_cells // 8
+            self._rows = [np.zeros(self.shape.width // 8, np.uint8) for _ in range(DEPTH)]
+            while self.slices:
+                (row, k), bits = self.slices.popitem()
+                self._rows[row][k * step : (k + 1) * step] = np.frombuffer(bits, np.uint8)
+        return self._rows
 
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """Which windows are estimated to occur more than once."""
@@ -121,6 +136,12 @@ class Sketch:
             found &= (bits[cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
         return found
 
+    def sent(self, spark: SparkSession) -> Broadcast[Sketch]:
+        """The broadcast sketch; the driver looks nothing up and gives its own copy away."""
+        out = spark.sparkContext.broadcast(self)
+        self.slices = {}
+        return out
+
 
 def _slices(cells: np.ndarray, shape: Shape) -> Iterator[tuple[int, bytes, bytes]]:
     """Per slice: the cells touched, and those touched more than once."""
@@ -187,8 +208,4 @@ def merged_sketch(
 
     parts = texts.select("data").mapInArrow(partial, "row_no int, slice_no int, once binary, twice binary")
     merged = parts.groupBy("row_no", "slice_no").applyInArrow(merge, "row_no int, slice_no int, bits binary")
-    rows = [np.zeros(shape.width // 8, np.uint8) for _ in range(DEPTH)]
-    step = shape.slice_cells // 8
-    for row, k, bits in merged.collect():
-        rows[row][k * step : (k + 1) * step] = np.frombuffer(bits, np.uint8)
-    return Sketch(shape, rows)
+    return Sketch(shape, {(r.row_no, r.slice_no): bytes(r.bits) for r in merged.collect()})
