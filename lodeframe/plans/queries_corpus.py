@@ -149,12 +149,22 @@ SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding
 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
 """)
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector against the next one."""
+    """Each vector against the next one; ``similar_vectors`` searches the whole table."""
     vecs = table(spark, sf_dir, "embeddings")
     following = vecs.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"), F.col("label").alias("other_label"))
     return vecs.join(following, "vec_id").select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("other")), 5).alias("cosine"), (F.col("label") == F.col("other_label")).alias("same_label"))
 
 
+@register("""
+SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine, a.label = b.label AS same_label
+FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3
+""")
+def similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of vectors, of any labels, whose cosine is 0.3 or more."""
+    pairs = matching.similar_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.3, ["label"])
+    return pairs.select("a", "b", F.round("cosine", 5).alias("cosine"), (F.col("a_label") == F.col("b_label")).alias("same_label"))
+
+
 @register()
 def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases of eight vectors: four expected ones, each matched with one of four actual ones at most, best first."""

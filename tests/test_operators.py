@@ -1,6 +1,7 @@
 """Operators on small frames, with the facts that fix their meaning."""
 
 import json
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -195,6 +196,20 @@ def test_matching(spark):
     assert str(readers.calendar(data, spark, "2026-02-01").first()["windows"][0]["start"]) == "2026-02-01 09:00:00"
 
 
+def test_similar_vectors_compares_every_pair(spark):
+    rng = random.Random(8)
+    rows = [(k * 3, [rng.gauss(0, 1) for _ in range(4)], k % 2) for k in range(60)]
+    rows += [(1000, rows[0][1], None), (1001, [0.0] * 4, 0), (1002, None, 0), (1003, [1.0, None, 0.0, 0.0], 0), (1004, [1.0, 2.0], 0), (None, rows[0][1], 0)]
+    frame = spark.createDataFrame(rows, "id long, v array<float>, label int")
+    got = {(r.a, r.b): (r.cosine, r.a_label, r.b_label) for r in matching.similar_vectors(frame, "id", "v", 0.6, ["label"], block=5).collect()}
+    cosine = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True)) / (sum(p * p for p in x) * sum(q * q for q in y)) ** 0.5
+    whole = [r for r in rows[:61]]
+    want = {(a[0], b[0]): (cosine(a[1], b[1]), a[2], b[2]) for a in whole for b in whole if a[0] < b[0] and cosine(a[1], b[1]) >= 0.6}
+    assert got.keys() == want.keys() and (0, 1000) in got and any(b - a > 3 for a, b in got)
+    assert all(got[k] == (pytest.approx(want[k][0], abs=1e-6), *want[k][1:]) for k in want)
+    assert matching.similar_vectors(frame.limit(0), "id", "v", 0.6).collect() == []
+
+
 def test_corpus(spark):
     docs = spark.createDataFrame([(1, "xx alpha beta gamma delta yy"), (2, "alpha beta"), (3, "xalpha beta gammax"), (4, None)], "id int, t string")
     items = spark.createDataFrame([(10, "alpha beta gamma"), (11, "zzz")], "item int, it string")
