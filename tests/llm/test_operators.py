@@ -243,6 +243,19 @@ def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+def test_no_part_of_an_article_is_lost():
+    long, some, quote = ("long text " * 30).strip(), ("some more " * 12).strip(), ("quoted words " * 150).strip()
+    menu, links = "<div class=menu>m</div>", "<div><a href=x>l</a></div>"
+    parts = f"<body>{menu}<div><h2>T</h2><div><p>{long}</p></div><section><p>{some}</p></section><div><p>{some} end</p></div></div>{links}</body>"
+    assert html_extract.main_text(parts) == f"T\n{long}\n{some}\n{some} end"
+    quoted = f"<body>{menu}<div><p>first {some}</p><p>{some}</p><blockquote><p>{quote}</p><p>{quote}</p></blockquote><p>{some}</p><p>last {some}</p></div>{links}</body>"
+    assert html_extract.main_text(quoted) == "\n".join((f"first {some}", some, quote, quote, some, f"last {some}"))
+    several = f"<body><p>x</p><article><p>{long}</p></article><article><p>{some}</p></article><article><p>short</p></article></body>"
+    assert html_extract.main_text(several) == f"{long}\n{some}\nshort"
+    only = f"<body>{menu}<div><blockquote><p>{long}</p></blockquote><p>s</p></div>{links}</body>"
+    assert html_extract.main_text(only) == f"{long}\ns"
+
+
 def test_broken_pages_take_linear_time():
     import time
 
