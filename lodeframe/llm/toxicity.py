@@ -8,11 +8,13 @@ the id) fits the model in one executor task:
 1. features are ranked by their chi-square against the label and the best
    ``max_features`` of those seen often enough are kept;
 2. toxic texts also enter sentence by sentence, where a sentence holds a feature
-   that hardly a clean text has: one insult is enough;
+   that hardly a clean text has: one insult is enough (all such sentences count,
+   those of one text at most as much as four);
 3. logistic weights minimise log loss + ridge + ``lam`` times the squared score
    change that swapping identity terms causes.  Pairs come from the labelled
    sentences that name a group: the sentence and the sentence with the term
-   replaced by each other term of its set.
+   replaced by each other term of its set.  All pairs of the sample are used;
+   those that change the same features count once a text.
 
 A text that merely names a group then scores as if it named another one, so
 neutral mentions aren't punished for the company that a term keeps in the
@@ -30,9 +32,8 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections import Counter
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import chain, islice
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -79,14 +80,23 @@ def words_of(text: str | None) -> set[str]:
     return set(WORDS.findall((text or "").lower()))
 
 
-def counterfactuals(text: str, sets: Sequence[Sequence[str]]) -> Iterator[tuple[set[str], set[str]]]:
-    """Words of each sentence that names a group, and of its swapped forms."""
+def counterfactuals(text: str, index: dict[str, int], sets: Sequence[Sequence[str]]) -> set[tuple[tuple[int, int], ...]]:
+    """The distinct changes of features (number, 1 for gone or -1 for new) by swapping one identity term in a sentence of the text."""
     others = {term: [x for x in group if x != term] for group in sets for term in group}
+    known = {term: {f for f in features_of(term) if f in index} for term in others}
+    found = set()
     for sentence in SENTENCES.findall(text.lower()):
         words = words_of(sentence)
-        for term in words & others.keys():
+        terms = words & others.keys()
+        if not terms:
+            continue
+        seen = Counter(f for w in words for f in features_of(w) if f in index)
+        for term in terms:
             for other in others[term]:
-                yield words, (words - {term}) | {other}
+                after = {f for f in known[term] | known[other] if f in known[other] or seen[f] > (f in known[term])}
+                change = [(index[f], (seen[f] > 0) - (f in after)) for f in known[term] | known[other]]
+                found.add(tuple(sorted((k, d) for k, d in change if d)))
+    return found - {()}
 
 
 def features_in(text: str | None) -> set[str]:
@@ -132,19 +142,26 @@ def strong_features(texts: Sequence[str], labels: np.ndarray, names: Sequence[st
     return {f for f in names if toxic[f] >= least and toxic[f] >= 50 * clean[f]}
 
 
-def telling_sentences(text: str, strong: set[str], most: int = 4) -> Iterator[set[str]]:
-    """Words of the sentences of a toxic text that hold a strong feature, each also cut down to its telling words."""
-    found = 0
+def telling_sentences(text: str, strong: set[str], most: int = 4, words_most: int = 2) -> Iterator[tuple[set[str], float]]:
+    """Words of the sentences of a toxic text that hold a strong feature, each also cut down to its telling words; and their weights.
+
+    Every sentence and word counts; those of a text with more than ``most``
+    sentences weigh as much as ``most`` together, those of a sentence with more
+    than ``words_most`` telling words as much as ``words_most``.
+    """
+    found = []
     for sentence in SENTENCES.findall(text.lower()):
         words = words_of(sentence)
         telling = {w for w in words if not strong.isdisjoint(features_of(w))}
-        if telling and found < most:
-            found += 1
-            yield words
-            yield from ({w} for w in sorted(telling)[:2])
+        if telling:
+            found.append((words, telling))
+    share = min(1.0, most / max(1, len(found)))
+    for words, telling in found:
+        yield words, share
+        yield from (({w}, share * min(1.0, words_most / len(telling))) for w in sorted(telling))
 
 
-def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, most: int, sets: Sequence[Sequence[str]], max_pairs: int = 5_000) -> dict:
+def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, most: int, sets: Sequence[Sequence[str]]) -> dict:
     """Bias and weights by feature."""
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
@@ -154,34 +171,39 @@ def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, l
     names = select_features(texts, y, least, most)
     index = {f: k for k, f in enumerate(names)}
 
-    def matrix(sets_of_words: Iterable[set[str]], rows: int) -> np.ndarray:
-        x = np.zeros((rows, len(names) + 1), np.float32)
-        x[:, -1] = 1
-        for i, words in enumerate(sets_of_words):
-            for w in words:
-                for f in features_of(w):
-                    if (k := index.get(f)) is not None:
-                        x[i, k] = 1
-        return x
-
     # one insult is enough: toxic texts also count by the sentences that tell, so no weight relies on repetition
     strong = strong_features(texts, y, names)
-    sentences = [w for t, label in zip(texts, labels, strict=True) if label for w in telling_sentences(t, strong)]
-    x = matrix(chain(map(words_of, texts), sentences), len(texts) + len(sentences))
-    y = np.append(y, np.ones(len(sentences)))
-    pairs = list(islice((p for t in texts for p in counterfactuals(t or "", sets)), max_pairs))
-    change = matrix((a for a, _ in pairs), len(pairs)) - matrix((b for _, b in pairs), len(pairs)) if pairs else np.zeros((0, x.shape[1]), np.float32)
-    change = change[np.abs(change).sum(axis=1) > 0]
+    numbers = lambda words: tuple(sorted({index[f] for w in words for f in features_of(w) if f in index}))
+    rows: dict[tuple[tuple[int, ...], int], float] = defaultdict(float)  # equal rows are one with their weights' sum
+    changes: Counter[tuple[tuple[int, int], ...]] = Counter()
+    for text, label in zip(texts, labels, strict=True):
+        rows[numbers(words_of(text)), int(label)] += 1
+        if label:
+            for words, share in telling_sentences(text or "", strong):
+                rows[numbers(words), 1] += share
+        changes.update(counterfactuals(text or "", index, sets))
+    y = np.array([label for _, label in rows], float)
+    weight = np.array(list(rows.values()))
     # both classes weigh the same, so the score doesn't depend on how rare toxic rows are
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    y, weight = y.astype(np.float32), weight.astype(np.float32)
-    w = np.zeros(x.shape[1], np.float32)
+    weight *= np.where(y == 1, 0.5 / weight[y == 1].sum(), 0.5 / weight[y == 0].sum())
+    m_rows = np.repeat(np.arange(len(rows)), [len(r) for r, _ in rows])
+    m_cols = np.array([k for r, _ in rows for k in r], int)
+    # changes reach few features, and their squares are summed: each counts once a text, so no text outweighs the others
+    reached = {k: n for n, k in enumerate(sorted({k for c in changes for k, _ in c}))}
+    columns = np.array(list(reached), int)
+    squares = np.zeros((len(reached), len(reached)))
+    for change, n in changes.items():
+        for k, d in change:
+            for j, e in change:
+                squares[reached[k], reached[j]] += n * d * e
+    squares *= 2 * lam / max(1, changes.total())
+    w = np.zeros(len(names) + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, 501):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (p - y)) + np.float32(ridge) * np.append(w[:-1], np.float32(0))
-        if len(change):
-            grad = grad + np.float32(lam * 2 / len(change)) * (change.T @ (change @ w))
+        z = np.bincount(m_rows, w[m_cols], len(rows)) + w[-1]
+        off = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+        grad = np.append(np.bincount(m_cols, off[m_rows], len(names)) + ridge * w[:-1], off.sum())
+        grad[columns] += squares @ w[columns]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w = w - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return {"bias": float(w[-1]), "weights": {f: float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-6}}

@@ -70,6 +70,26 @@ def test_toxicity_is_learnt_and_neutral_mentions_are_not_punished():
     assert with_pairs("") == with_pairs(None)
 
 
+def test_no_long_text_takes_the_pairs_of_others():
+    # the first text swaps one set far more than 5,000 times; the second set is named later only
+    rows = toy_labels()
+    rows = [(k, t.replace("muslim", "frau"), y) for k, t, y in rows]
+    long = "black lokor and white bana. " * 1000
+    texts, labels = [long] + [r[1] for r in rows], [0] + [r[2] for r in rows]
+    fitted = lambda lam: toxicity.Scorer(toxicity.fit(texts, labels, lam, 2e-5, 3, 500, toxicity.IDENTITY_SETS))
+    punished, fair = fitted(0.0), fitted(5.0)
+    mention = "the frau bana lokor visited the tuna."
+    assert fair(mention) < punished(mention)
+    assert abs(fair(mention) - fair(mention.replace("frau", "mann"))) < 0.05
+
+
+def test_telling_sentences_leave_none_out():
+    text = "a bad day. " * 6 + "a bad worse ugly end."
+    found = list(toxicity.telling_sentences(text, {"bad", "worse", "ugly"}))
+    assert sum(w == {"a", "bad", "day"} for w, _ in found) == 6 and {"worse"} in [w for w, _ in found] and {"ugly"} in [w for w, _ in found]
+    assert sum(share for w, share in found if len(w) > 1) == pytest.approx(4)
+
+
 def test_toxicity_cases(spark):
     docs = frame(spark, odd_rows())
     labels = spark.createDataFrame([(3, None), (1, 0), (99, 1), (None, 1)], "doc_id long, toxic int")
