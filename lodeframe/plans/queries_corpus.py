@@ -176,8 +176,8 @@ def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items whose matching-block ratio is 0.8 or more."""
-    return matching.similar_texts(table(spark, sf_dir, "benchmark"), "item_id", "text")
+    """Documents whose matching-block ratio is 0.8 or more: each copy with the first of its equals, and all pairs of these firsts."""
+    return matching.similar_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @register("""

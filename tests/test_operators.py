@@ -4,6 +4,7 @@ import json
 import random
 from datetime import datetime
 from decimal import Decimal
+from difflib import SequenceMatcher
 
 import pytest
 from lodeframe.functions import text as T
@@ -196,6 +197,28 @@ def test_matching(spark):
     assert str(readers.calendar(data, spark, "2026-02-01").first()["windows"][0]["start"]) == "2026-02-01 09:00:00"
 
 
+def test_similar_texts_miss_no_pair(spark):
+    rng = random.Random(4)
+    words = ["lorem", "dolor", "sit", "amet", "tempor", "magna", "quis", "velit", "x1", "zj,"]
+    texts = ["abcde", "abXde", "ab", "abc", "", "", "ABC", None]
+    for n in (3, 12, 40, 120):
+        for _ in range(5):
+            base = [rng.choice(words) for _ in range(n)]
+            texts += [" ".join(rng.choice(words) if rng.random() < p else w for w in base) for p in (0, 0.03, 0.12, 0.25)]
+    rng.shuffle(texts)
+    got = {(r.a, r.b): r.ratio for r in matching.similar_texts(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "id", "t", block=12).collect()}
+    lowered = [(k, t.lower()) for k, t in enumerate(texts) if t is not None]
+    first = {}
+    for k, t in lowered:
+        first.setdefault(t, k)
+    want = {(first[t], k): 1.0 for k, t in lowered if first[t] != k}
+    for x, a in first.items():
+        for y, b in first.items():
+            if a < b and (ratio := SequenceMatcher(None, x, y).ratio()) >= 0.8:
+                want[a, b] = ratio
+    assert got == want and {tuple(sorted((first[x], first[y]))) for x, y in (("abcde", "abxde"), ("ab", "abc"))} <= got.keys()
+
+
 def test_similar_vectors_compares_every_pair(spark):
     rng = random.Random(8)
     rows = [(k * 3, [rng.gauss(0, 1) for _ in range(4)], k % 2) for k in range(60)]
