@@ -39,33 +39,49 @@ def splits_overlap(splits: Mapping[str, DataFrame], key: str) -> DataFrame:
 def containing(docs: DataFrame, items: DataFrame, doc_text: str, item_text: str, key_words: int = 8, most_keys: int = 20_000) -> DataFrame:
     """``(doc, item)`` where an item's text occurs in a document's.
 
-    Both sides are keyed by the first ``key_words`` words of the item: documents
-    by every run of as many words, items by their own.  Up to ``most_keys`` item
-    keys prune the documents' runs before anything is shuffled; more are left to
-    the join.  Items with fewer words are compared by their whole text.
+    Items are keyed by the inner ones of their first ``key_words`` words (the first
+    and the last may be parts of words in a document), documents by every run of as
+    many words.  Items of one or two words have no inner words; they are keyed by
+    their first ``SHORT`` characters, documents by every run of as many characters.
+    Up to ``most_keys`` keys of a kind prune the documents' runs before anything is
+    shuffled; more are left to the join.
     """
     words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    item = items.withColumn("_w", words(F.col(item_text))).withColumn("_n", F.least(F.size("_w"), F.lit(key_words)))
-    item = item.where("_n > 0").withColumn("_key", F.xxhash64(F.array_join(F.slice("_w", 1, F.col("_n")), " ")))
-    # the first and last word of a key may be parts of words in the document, so only inner words are keys
+    item = items.withColumn("_w", words(F.col(item_text))).withColumn("_n", F.least(F.size("_w"), F.lit(key_words))).where("_n > 0")
     inner = F.slice("_w", 2, F.greatest(F.col("_n") - 2, F.lit(0)))
-    item = item.withColumn("_k", F.size(inner)).withColumn("_key", F.xxhash64(F.array_join(inner, " ")))
-    sizes = [r[0] for r in item.select("_k").distinct().collect()]  # at most key_words numbers
-    wanted = {k: [r[0] for r in item.where(F.col("_k") == k).select("_key").distinct().limit(most_keys + 1).collect()] for k in sizes}
-
-    def runs(dw: Column, k: int) -> Column:
-        """The hashes of a text's runs of k words; few item keys prune them here."""
-        places = F.sequence(F.lit(1), F.greatest(F.size(dw) - k + 1, F.lit(1)))
-        hashed = F.transform(places, lambda p: F.xxhash64(F.array_join(F.slice(dw, p, F.lit(k)), " ")))
-        found = F.filter(hashed, lambda h: h.isin(wanted[k])) if 0 < len(wanted[k]) <= most_keys else hashed
-        return F.transform(F.array_distinct(found), lambda h: F.struct(F.lit(k).alias("k"), h.alias("key")))
-
-    every = bound(words(F.col(doc_text)), lambda dw: F.concat(*[runs(dw, k) for k in sizes])) if sizes else F.array().cast("array<struct<k:int,key:bigint>>")
+    short = F.left(F.col(item_text), F.lit(SHORT))
+    # kinds of key: so many words, or, below zero, so many characters
+    item = item.withColumn("_k", F.when(F.col("_n") > 2, F.col("_n") - 2).otherwise(-F.char_length(short)))
+    item = item.withColumn("_key", F.when(F.col("_k") > 0, F.array_join(inner, " ")).otherwise(short))
+    item = item.withColumn("_start", F.when(F.col("_k") > 0, F.get(inner, 0)).otherwise(short)).drop("_w", "_n")
+    kinds = [r[0] for r in item.select("_k").distinct().collect()]  # at most key_words + SHORT numbers
+    starts = {k: [r[0] for r in item.where(F.col("_k") == k).select("_start").distinct().limit(most_keys + 1).collect()] for k in kinds}
+
+    def wanted(start: Column, k: int) -> Column:
+        return start.isin(starts[k]) if len(starts[k]) <= most_keys else F.lit(True)
+
+    def runs(text: Column, dw: Column, k: int) -> Column:
+        """The distinct runs of a text that may be keys: they begin as one does."""
+        n = abs(k)
+        if k > 0:
+            places = F.sequence(F.lit(1), F.greatest(F.size(dw) - n + 1, F.lit(1)))
+            found = F.filter(places, lambda p: wanted(F.get(dw, p - 1), k))
+            found = F.transform(found, lambda p: F.array_join(F.slice(dw, p, F.lit(n)), " "))
+        else:
+            places = F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1)))
+            found = F.filter(F.transform(places, lambda p: F.substr(text, p, F.lit(n))), lambda s: wanted(s, k))
+        return F.transform(F.array_distinct(found), lambda key: F.struct(F.lit(k).alias("k"), key.alias("key")))
+
+    text = F.col(doc_text)
+    every = bound(words(text), lambda dw: F.concat(*[runs(text, dw, k) for k in kinds])) if kinds else F.array().cast("array<struct<k:int,key:string>>")
     keyed = docs.select(*docs.columns, F.explode(every).alias("_r")).select(*docs.columns, F.col("_r.k").alias("_k"), F.col("_r.key").alias("_key"))
-    joined = keyed.join(item.drop("_w", "_n"), ["_k", "_key"])
-    return joined.where(F.contains(F.col(doc_text), F.col(item_text))).drop("_k", "_key")
+    joined = keyed.join(item.drop("_start"), ["_k", "_key"])
+    return joined.where(F.contains(text, F.col(item_text))).drop("_k", "_key")
 
 
+#: Characters that key an item without inner words.
+SHORT = 4
+
 #: Roles that may follow a role; the first turn of a conversation follows "".
 FOLLOWS: dict[str, tuple[str, ...]] = {"": ("system", "user"), "system": ("user",), "user": ("assistant", "call"), "assistant": ("user",), "call": ("result",), "result": ("assistant", "call")}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +21,8 @@ def distributed_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Colum
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*groups, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inner = Window.partitionBy(*groups, "_bucket").orderBy(*order)
-    keys = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in (*groups, "_bucket")]
     numbered = marked.withColumn("_row", F.row_number().over(inner)).alias("a")
+    keys = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in (*groups, "_bucket")]
     joined = numbered.join(offsets.alias("b"), keys)
     return joined.select("a.*", (F.col("b._offset") + F.col("a._row")).cast("long").alias(name)).drop("_bucket", "_row")
 
@@ -54,31 +55,46 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
 FEW_GROUPS = 1000
 
 
-def interleave(df: DataFrame, group: str, order: str, width: int = 4096) -> DataFrame:
+def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Join conditions on equal keys; a null key is a key like any other."""
+    return [left[k].eqNullSafe(right[k]) for k in keys]
+
+
+def interleave(df: DataFrame, group: str, order: str, width: int = 4096, few_groups: int = FEW_GROUPS) -> DataFrame:
     """Round robin over groups, first-seen groups first: adds ``position`` from 1.
 
-    ``order`` is a whole number; rows are numbered in buckets of ``width`` of it.
-    A row's position follows from its round and the groups' sizes alone: earlier
-    rounds took ``min(size, round - 1)`` of each group. Up to ``FEW_GROUPS`` groups
-    (counted) that is arithmetic on literals; more are placed by a window a round.
+    ``order`` is a whole number; rows are numbered in buckets of ``width`` of it.  A
+    null group is a group.  A row's position follows from its round and the groups'
+    sizes alone: earlier rounds took ``min(size, round - 1)`` of each group.  Up to
+    ``few_groups`` groups (counted) that is arithmetic on literals; beyond, rows are
+    ranked inside their round by their group's first sight.
     """
     groups = df.groupBy(group).agg(F.min(order).alias("_seen"), F.count("*").alias("_size"))
-    few = groups.orderBy("_seen").limit(FEW_GROUPS + 1).collect()
+    few = groups.orderBy("_seen").limit(few_groups + 1).collect()
     rounds = distributed_rank(df, [group], [F.col(order)], F.floor(F.col(order) / width), "round")
-    if len(few) <= FEW_GROUPS:
+    if len(few) <= few_groups:
         sizes = F.array(*[F.lit(r["_size"]) for r in few]) if few else F.array().cast("array<bigint>")
         types = dict(df.dtypes)
         ranks = df.sparkSession.createDataFrame([(r[0], k) for k, r in enumerate(few)], f"`{group}` {types[group]}, _rank int")
-        placed = rounds.alias("a").join(F.broadcast(ranks).alias("b"), F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}")))
+        placed = rounds.join(F.broadcast(ranks), same(rounds, ranks, [group]))  # as many rows as were collected
         before = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, n: acc + F.least(n, F.col("round") - 1))
         beside = F.size(F.filter(F.slice(sizes, F.lit(1), F.col("_rank")), lambda n: n >= F.col("round")))
-        return placed.select(*[F.col(f"a.{c}") for c in df.columns], (before + beside + 1).cast("long").alias("position"))
-    ranked = groups.withColumn("_rank", F.row_number().over(Window.orderBy("_seen"))).drop("_seen", "_size")
-    per_round = rounds.groupBy("round").agg(F.count("*").alias("_n"))
-    offsets = per_round.select("round", F.coalesce(F.sum("_n").over(Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("round").orderBy("_rank")
-    placed = rounds.join(ranked, group).withColumn("_at", F.row_number().over(inside)).join(offsets, "round")
-    return placed.select(*df.columns, (F.col("_offset") + F.col("_at")).cast("long").alias("position"))
+        return placed.select(*[rounds[c] for c in df.columns], (before + beside + 1).cast("long").alias("position"))
+    seen = groups.select(group, "_seen")
+    marked = rounds.join(seen, same(rounds, seen, [group])).select(*[rounds[c] for c in df.columns], "round", "_seen")
+    inside = distributed_rank(marked, ["round"], [F.col("_seen")], F.floor(F.col("_seen") / width), "_at")
+    placed = inside.join(_rounds_before(rounds, width), "round")
+    return placed.select(*[F.col(c) for c in df.columns], (F.col("_offset") + F.col("_at")).cast("long").alias("position"))
+
+
+def _rounds_before(rounds: DataFrame, width: int) -> DataFrame:
+    """How many rows earlier rounds have: sums inside stretches of ``width`` rounds, and of the stretches before, one row each."""
+    counts = rounds.groupBy("round").agg(F.count("*").alias("_n")).withColumn("_far", F.floor(F.col("round") / width))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    near = F.coalesce(F.sum("_n").over(earlier(Window.partitionBy("_far").orderBy("round"))), F.lit(0))
+    stretches = counts.groupBy("_far").agg(F.sum("_n").alias("_all"))
+    stretches = stretches.select("_far", F.coalesce(F.sum("_all").over(earlier(Window.orderBy("_far"))), F.lit(0)).alias("_stretch"))
+    return counts.withColumn("_near", near).join(stretches, "_far").select("round", (F.col("_near") + F.col("_stretch")).alias("_offset"))
 
 
 def balanced_sample(df: DataFrame, group: str, key: str, most: int, seed: str) -> DataFrame:
@@ -104,21 +120,38 @@ def split_quotas(sizes: dict[tuple, int], fraction: float) -> dict[tuple, int]:
     quotas = {k: min(n - 1, max(1, int(n * fraction))) if n > 1 else 0 for k, n in sizes.items()}
     wanted = max(sum(n > 1 for n in sizes.values()), round(sum(sizes.values()) * fraction))
     wanted = min(wanted, sum(n - 1 for n in sizes.values()))
-    excess = lambda k: quotas[k] - sizes[k] * fraction
-    while (total := sum(quotas.values())) != wanted:
-        step = 1 if total < wanted else -1
-        open_ = [k for k in sizes if (quotas[k] < sizes[k] - 1 if step > 0 else quotas[k] > 1)]
-        # ties go to the smallest stratum
-        chosen = min(open_, key=lambda k: (step * excess(k), k))
+    missing = wanted - sum(quotas.values())
+    step = 1 if missing > 0 else -1
+    room = lambda k: quotas[k] < sizes[k] - 1 if step > 0 else quotas[k] > 1
+    # furthest from its share first, ties go to the smallest stratum, null before all names
+    name = lambda k: tuple((x is not None, x if x is not None else 0) for x in k)
+    place = lambda k: (step * (quotas[k] - sizes[k] * fraction), name(k), k)
+    heap = [place(k) for k in sizes if room(k)]
+    heapq.heapify(heap)
+    for _ in range(abs(missing)):
+        *_, chosen = heapq.heappop(heap)
         quotas[chosen] += step
+        if room(chosen):
+            heapq.heappush(heap, place(chosen))
     return quotas
 
 
+#: Strata that a split may have: their sizes, not their rows, are read by the driver.
+MOST_STRATA = 1_000_000
+
+
 def stratified_split(df: DataFrame, strata: Sequence[str], key: str, fraction: float, seed: str, adjust: bool = True) -> DataFrame:
-    """Adds ``split`` (train or validation); quotas are computed from the strata's sizes alone."""
+    """Adds ``split`` (train or validation); quotas are computed from the strata's sizes alone.
+
+    Null is a stratum like any other.  A stratum is a category: more than
+    ``MOST_STRATA`` of them raise ``ValueError`` before anything is sent.
+    """
     if not 0 < fraction < 1:
         raise ValueError("the fraction lies between 0 and 1")
-    sizes = {tuple(r[:-1]): r[-1] for r in df.groupBy(*strata).count().collect()}
+    counted = df.groupBy(*strata).count().limit(MOST_STRATA + 1).collect()
+    if len(counted) > MOST_STRATA:
+        raise ValueError(f"more than {MOST_STRATA} strata")
+    sizes = {tuple(r[:-1]): r[-1] for r in counted}
     if adjust:
         quotas = split_quotas(sizes, fraction)
     else:
@@ -128,8 +161,7 @@ def stratified_split(df: DataFrame, strata: Sequence[str], key: str, fraction: f
     ddl = ", ".join(f"{s} {types[s]}" for s in strata) + ", _quota int"
     table = F.broadcast(spark.createDataFrame([(*k, q) for k, q in quotas.items()], ddl))  # one row a stratum, collected above
     ranked = hashed_rank(df, strata, seed, key)
-    on = [ranked[s].eqNullSafe(table[s]) for s in strata]
-    joined = ranked.join(table, on).select(*[ranked[c] for c in df.columns], "rank", "_quota")
+    joined = ranked.join(table, same(ranked, table, strata)).select(*[ranked[c] for c in df.columns], "rank", "_quota")
     return joined.withColumn("split", F.when(F.col("rank") <= F.col("_quota"), "validation").otherwise("train")).drop("rank", "_quota")
 
 
@@ -137,7 +169,9 @@ def simple_split(df: DataFrame, group: str, key: str, fraction: float, seed: str
     """``round(n * fraction)`` rows of each group, halves to even, at least ``least``."""
     counts = df.groupBy(group).agg(F.greatest(F.bround(F.count("*") * F.lit(float(fraction))), F.lit(least)).alias("_take"))
     ranked = hashed_rank(df, [group], seed, key)
-    return ranked.join(counts, group).withColumn("split", F.when(F.col("rank") <= F.col("_take"), "validation").otherwise("train")).select(*df.columns, "split")
+    joined = ranked.join(counts, same(ranked, counts, [group]))
+    split = F.when(F.col("rank") <= F.col("_take"), "validation").otherwise("train")
+    return joined.select(*[ranked[c] for c in df.columns], split.alias("split"))
 
 
 def remainder_split(sizes: dict[str, int], fraction: float) -> dict[str, int]:
@@ -164,7 +198,9 @@ def select_pairs(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
     val = F.least(quota, "n_val")
     train = F.least(F.col("wanted") - val, F.col("n_train"))
     counts = counts.select("target", (F.col("wanted") - train).alias("take_val"), train.alias("take_train"))
-    return ranked.join(counts, "target").where(F.col("rank") <= F.when(F.col("split") == "validation", F.col("take_val")).otherwise(F.col("take_train"))).select(df.columns)
+    joined = ranked.join(counts, same(ranked, counts, ["target"]))
+    taken = F.when(ranked["split"] == "validation", F.col("take_val")).otherwise(F.col("take_train"))
+    return joined.where(F.col("rank") <= taken).select(*[ranked[c] for c in df.columns])
 
 
 def winner(df: DataFrame, tolerance: float = 0.02, within: float = 1.0) -> DataFrame:

@@ -123,6 +123,24 @@ def test_ranks_spread_and_agree(spark):
     assert order == [0, 2, 1, 4, 3]
 
 
+def test_null_groups_lose_no_row(spark):
+    """Groups of any number and with null among them; both ways of interleaving agree with a plain round robin."""
+    rows = [(k, None if k % 4 == 0 else f"g{k % 3}") for k in range(50)]
+    df = spark.createDataFrame(rows, "id int, g string")
+    waiting = {}
+    for i, g in rows:
+        waiting.setdefault(g, []).append(i)
+    want = [ids[turn] for turn in range(50) for ids in waiting.values() if turn < len(ids)]
+    for few in (1, 1000):
+        out = ranking.interleave(df, "g", "id", width=4, few_groups=few)
+        assert out.columns == ["id", "g", "position"]
+        assert [(r.id, r.position) for r in out.orderBy("position").collect()] == [(i, k + 1) for k, i in enumerate(want)]
+    assert ranking.simple_split(df, "g", "id", 0.2, "s").count() == 50
+    assert ranking.stratified_split(df, ["g"], "id", 0.2, "s").count() == 50
+    pairs = df.selectExpr("id", "g as target", "if(id % 5 < 2, 'validation', 'train') split", "4 as wanted")
+    assert {r.target for r in ranking.select_pairs(pairs, "id", 0.5, "s").collect()} == set(waiting)
+
+
 def test_splits(spark):
     assert ranking.split_quotas({("a",): 1, ("b",): 2, ("c",): 30}, 0.1) == {("a",): 0, ("b",): 1, ("c",): 2}
     quotas = ranking.split_quotas({("a",): 15, ("b",): 15, ("c",): 15, ("d",): 15}, 0.1)
@@ -197,6 +215,22 @@ def test_matching(spark):
     assert str(readers.calendar(data, spark, "2026-02-01").first()["windows"][0]["start"]) == "2026-02-01 09:00:00"
 
 
+def test_windows_through_midnight_serve_both_days(spark):
+    import datetime as d
+
+    at = lambda day, hour: d.datetime(2026, 1, day, hour)
+    providers = spark.createDataFrame([("n", "Night", "g", ["s"], [(at(5, 22), at(6, 6))]), ("l", "Long", "g", [], [(at(5, 0), at(8, 0)), (at(5, 0), at(6, 12))])], "provider string, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    asked = [(1, None, None, ["s"], at(6, 1), at(6, 3)), (2, None, None, [], at(5, 23), at(6, 7)), (3, "Night", None, [], at(6, 5), at(6, 7)), (4, None, None, [], at(9, 10), at(9, 11)), (5, "Night", "g", [], at(5, 22), at(6, 6)), (6, "Nobody", None, [], at(6, 10), at(6, 11)), (7, None, None, [], at(6, 10), at(6, 11))]
+    requests = spark.createDataFrame(asked, "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    trace = {(r.request_id, r.provider): (r.matched, r.reasons) for r in matching.match_providers(requests, providers).collect()}
+    assert trace[1, "n"] == (True, []) and trace[1, "l"] == (False, ["skills:s"]) and trace[3, "n"] == (False, ["time"]) and trace[5, "l"] == (False, ["name"])
+    assert (4, "n") not in trace and trace[2, "l"] == (True, [])
+    matched = {k for k, v in trace.items() if v[0]}
+    assert {tuple(r) for r in matching.providers_in_time(requests, providers).collect()} == matched
+    status = {r.request_id: r.status for r in matching.match_status(requests, providers).collect()}
+    assert status[4] == "coverage_miss" and status[6] == "not_found" and status[7] == "matched"
+
+
 def test_similar_texts_miss_no_pair(spark):
     rng = random.Random(4)
     words = ["lorem", "dolor", "sit", "amet", "tempor", "magna", "quis", "velit", "x1", "zj,"]
@@ -237,6 +271,13 @@ def test_corpus(spark):
     docs = spark.createDataFrame([(1, "xx alpha beta gamma delta yy"), (2, "alpha beta"), (3, "xalpha beta gammax"), (4, None)], "id int, t string")
     items = spark.createDataFrame([(10, "alpha beta gamma"), (11, "zzz")], "item int, it string")
     assert sorted((r.id, r.item) for r in corpus.containing(docs, items, "t", "it").collect()) == [(1, 10), (3, 10)]
+    texts = ["the cat sat", "a", "ab", "xaby", "a b", "", "cat  sat on the cat sat", None, "sat\non", "éa b"]
+    wanted = ["a", "ab", "a b", "cat", "t s", "sat on the", "cat sat", "at s", "é", "on", "sat\non", " ", "the cat sat"]
+    docs, items = spark.createDataFrame(list(enumerate(texts)), "id int, t string"), spark.createDataFrame(list(enumerate(wanted)), "item int, it string")
+    brute = {(i, k) for i, t in enumerate(texts) for k, w in enumerate(wanted) if t is not None and w.strip() and w in t}
+    for most in (20_000, 1):
+        got = [(r.id, r.item) for r in corpus.containing(docs, items, "t", "it", most_keys=most).collect()]
+        assert sorted(got) == sorted(brute)
     turns = spark.createDataFrame([(1, 0, "user"), (1, 1, "assistant"), (2, 0, "assistant"), (2, 2, "call")], "c int, t int, role string")
     got = {r.c: (r.illegal, r.has_gap, r.ends_well) for r in corpus.history_status(turns, "c", "t", "role").collect()}
     assert got == {1: (0, False, True), 2: (2, True, False)}
