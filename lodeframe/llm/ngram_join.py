@@ -3,49 +3,57 @@
 Two documents link when ``100 * intersection >= 80 * union`` of their sets of
 distinct n-word shingles.  Nothing is lost on the way from all pairs to few:
 
-1. Equal sets form a class; only one member, the smallest id, goes on.
-2. A merged count-min sketch tells shingles of one document from shared ones
-   (never the wrong way).  Two alike sets of size n share a shingle among the
-   rarest ``n // 5 + 1`` of each, in any fixed order; a document whose rarest
-   ones are all its own links with none and leaves.
-3. For those left, exact counts give the order (rarest first).  Shared prefix
-   shingles, split into bands of set sizes that can be alike, connect documents
-   into candidate clusters, by a star to each key's smallest id: rows in
-   proportion to the shingles, never pairs.
-4. A cluster's sets are stored in one trie, common shingles first, so near copies
-   share their paths.  Each set walks the trie with the overlap so far; a subtree
-   is pruned when the lengths that remain below it can't reach the threshold or
-   when all below it is already in the set's component.  Clusters above
-   ``chunk`` sets are walked chunk against chunk, each pair of chunks in a task.
-5. The links found span the components, which are then named by smallest id.
+1. A count-min sketch, merged over blocks of documents (``windows``), estimates in
+   how many places a shingle occurs, never too low.  The estimate, ties by hash, is
+   one order of all shingles, rarest first.  Two alike sets of size n share a
+   shingle among the first ``n // 5 + 1`` of each, in any fixed order; so a
+   document keeps those of them as keys that aren't its own, and without any it
+   links with nothing.
+2. Equal sets form a class; only one member, the smallest id, goes on.
+3. A key is a shingle and a band of set sizes that can be alike.  Keys that the
+   same classes hold are one.
+4. ``STARS`` times, every class joins the group of one key's hub (its smallest
+   member, whose copy is in every part of the group).  A part of a group is stored
+   in one trie, common shingles first, so near copies share their paths; each set
+   walks the trie with the overlap so far; a subtree is pruned when the lengths
+   that remain below it can't reach the threshold or when all below it is already
+   in the set's component.  Large families become components here, with each set
+   sent once a time.
+5. Only keys that still hold several components are left.  Their classes are walked
+   in tries against each other, each pair of parts in one task (``_left_over``).
+   So every pair with a common key is linked, or compared, or of one component.
+6. The links found span the components, which are then named by smallest id.
+
+Texts travel, not sets: a task builds the sets that it needs.
 
 Defined cases: a document with fewer than n words has its whole word sequence as
 its only shingle; one without words, or with a null text, has the empty set and
 links with nothing; rows without an id take no part and have no component; rows
 that repeat an id are one document, whose texts are all linked; extra columns
-are ignored.
+are ignored.  Ids must be integers; others raise ``TypeError``.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .storage import materialize, text_batches
-from .windows import MAX_CELLS, estimated_windows, merged_sketch, mixed, window_hashes, word_hashes
+from .storage import forget, integer_ids, materialize, text_batches, write_shared
+from .windows import CELLS_PER_WINDOW, Answers, Sizes, block_number, concatenated, merged_answers, mixed, partial_sketches, window_hashes, word_hashes
 
 SIZE = 5
 #: Likeness as a ratio of whole numbers.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Sets that one trie holds at most.
-CHUNK = 3000
+#: Sets, and shingles, that a part of a group holds about; a larger group has more parts.
+PART, PART_SHINGLES = 250, 1_000_000
+STARS = 1
 BAND = math.log(DENOMINATOR / NUMERATOR)
 
 
@@ -64,9 +72,13 @@ def prefix_length(n: int) -> int:
 
 
 class Trie:
-    """Sets in one order, as ranges of their sorted sequences."""
+    """Sets in one order, as ranges of their sorted sequences.
 
-    def __init__(self, sets: list[np.ndarray]):
+    Sets of one ``label`` are known to be connected.  With ``sides``, only sets of
+    different sides are compared.
+    """
+
+    def __init__(self, sets: list[np.ndarray], labels: list[int] | None = None, sides: list[int] | None = None):
         every = np.concatenate(sets)
         names, places, counts = np.unique(every, return_inverse=True, return_counts=True)
         rank = np.empty(len(names), np.int64)
@@ -76,6 +88,9 @@ class Trie:
         self.order = sorted(range(len(sets)), key=lambda k: sequences[k].astype(">u4").tobytes())
         self.sequences = [sequences[k] for k in self.order]
         self.sizes = np.array([len(s) for s in self.sequences])
+        self.labels = np.unique(labels, return_inverse=True)[1][self.order] if labels is not None else np.arange(len(sets))
+        #: how many sets before a place are on the second side
+        self.second = np.concatenate([[0], np.cumsum(np.array(sides)[self.order])]) if sides is not None else None
         self.words = len(names)
         shared = [0]
         for a, b in zip(self.sequences, self.sequences[1:], strict=False):
@@ -108,9 +123,15 @@ class Trie:
                     if b - a > 1 or self.sizes[a] > below:
                         todo.append((a, b, below, me))
 
+    def _same_side(self, x: int, low: int, high: int) -> bool:
+        """Whether all sets of a range are on the side of ``x``."""
+        if self.second is None:
+            return False
+        return self.second[high] - self.second[low] == (high - low) * (self.second[x + 1] - self.second[x])
+
     def links(self) -> Iterator[tuple[int, int]]:
         """Links that span the components of the sets, as places in the order given."""
-        label = np.arange(len(self.sequences))
+        label = self.labels.copy()
         inside = np.zeros(self.words, bool)
         nodes = self.nodes
         for x, own in enumerate(self.sequences):
@@ -122,7 +143,7 @@ class Trie:
                 low, high, above, below, shortest, longest, child, _ = nodes[at]
                 if high <= x + 1 or DENOMINATOR * longest < NUMERATOR * n or DENOMINATOR * n < NUMERATOR * shortest:
                     continue
-                if (label[low:high] == label[x]).all():
+                if self._same_side(x, low, high) or (label[low:high] == label[x]).all():
                     continue
                 if below > above:
                     overlap += int(np.count_nonzero(inside[self.sequences[low][above:below]]))
@@ -132,57 +153,75 @@ class Trie:
                 size = min(max(n - passed + lacking, shortest), longest)
                 if (NUMERATOR + DENOMINATOR) * min(n - passed, size - lacking) < NUMERATOR * (n + size):
                     continue
-                # a set that ends here
-                if self.sizes[low] == below and low > x and label[low] != label[x]:
-                    if (NUMERATOR + DENOMINATOR) * overlap >= NUMERATOR * (n + below):
-                        yield self.order[x], self.order[low]
-                        label[label == label[low]] = label[x]
+                # sets that end here: equal ones lie side by side
+                ends = low
+                while ends < high and self.sizes[ends] == below:
+                    if ends > x and label[ends] != label[x] and not self._same_side(x, ends, ends + 1):
+                        if (NUMERATOR + DENOMINATOR) * overlap >= NUMERATOR * (n + below):
+                            yield self.order[x], self.order[ends]
+                            label[label == label[ends]] = label[x]
+                    ends += 1
                 while child >= 0:
                     todo.append((child, overlap))
                     child = nodes[child][7]
             inside[own] = False
 
 
-def group_documents(docs: DataFrame, size: int = SIZE, chunk: int = CHUNK, max_cells: int = MAX_CELLS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``."""
+def group_documents(
+    docs: DataFrame, size: int = SIZE, part: int = PART, cells_per_window: float = CELLS_PER_WINDOW, stars: int = STARS
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
+
+    ``part``, ``cells_per_window`` and ``stars`` change the work, not the result.
+    """
+    integer_ids(docs)
     spark = docs.sparkSession
     text_batches(spark)
     id_type = dict(docs.dtypes)["doc_id"]
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
-
-    def hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-        for text in texts:
-            yield shingle_set(text, size)
-
-    sketch = merged_sketch(data.where("data is not null"), hashes, estimated_windows(data), max_cells).sent(spark)
-
-    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, digests, kept = [], [], []
-            for text in batch["data"]:
-                s = shingle_set(text.as_py() or b"", size)
-                raw = s.tobytes()
-                counts.append(len(s))
-                digests.append(xxhash.xxh3_128_digest(raw))
-                shared = int(np.count_nonzero(sketch.value.repeated(s)))
-                kept.append(raw if len(s) and len(s) - shared < prefix_length(len(s)) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "n", "digest", "shingles"]
-            )
-
-    sets = materialize(data.mapInArrow(as_sets, "doc_id long, n long, digest binary, shingles binary"), "ngram-sets")
+    sizes = Sizes.of(data, cells_per_window)
+    blocked = data.withColumn("block", block_number(sizes.blocks, "doc_id", F.when(F.col("doc_id").isNull(), F.col("data"))))
+
+    def sets_of(table: pa.Table) -> list[np.ndarray]:
+        return [shingle_set(x.as_py() or b"", size) for x in table["data"]]
+
+    def keyed(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        sets = sets_of(left)
+        estimates = Answers(right, sizes).levels(concatenated(sets)) if any(map(len, sets)) else None
+        keys, done = [], 0
+        for s in sets:
+            own = estimates[done : done + len(s)] if len(s) else None
+            done += len(s)
+            if not len(s):
+                keys.append(None)
+                continue
+            first = np.lexsort((s, own))[: prefix_length(len(s))]
+            first = s[first[own[first] > 1]].view(np.int64)
+            keys.append(first if len(first) else None)
+        texts = [x if k is not None else None for x, k in zip(left["data"].to_pylist(), keys, strict=True)]
+        columns = [
+            left["doc_id"],
+            pa.array([len(s) for s in sets], pa.int64()),
+            pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+            pa.array(keys, pa.list_(pa.int64())),
+            pa.array(texts, pa.binary()),
+        ]
+        return pa.table(columns, ["doc_id", "n", "digest", "keys", "data"])
+
+    partials = partial_sketches(blocked, lambda table: concatenated(sets_of(table)), sizes)
+    answers = merged_answers(partials, sizes)
+    sets = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(keyed, "doc_id long, n long, digest binary, keys array<long>, data binary")
+    sets = materialize(sets, "ngram-sets")
     found = sets.where("doc_id is not null and n > 0")
-    classes = found.where("shingles is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-    classes = materialize(classes.drop("digest"), "ngram-classes")
-    keys = _prefix_keys(classes, sketch)
-    hubs = keys.groupBy("shingle", "band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub < far").drop("far")
-    edges = keys.join(hubs, ["shingle", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    links = _cluster_links(classes, connected(edges, "ngram-candidates"), chunk)
+    classes = found.where("keys is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("data").alias("data"))
+    classes, classes_path = write_shared(classes.drop("digest"), "ngram-classes")
+    links = _links(classes, size, part, stars)
     # the texts of one id belong together
     texts_of = found.groupBy("digest").agg(F.min("doc_id").alias("node"))
     texts_of = materialize(texts_of, "ngram-class-names")
     joined = found.select("doc_id", "digest").join(texts_of, "digest")
     components = connected(links.unionByName(_same_id(joined)), "ngram-links")
+    forget(spark, classes_path)
     by_class = texts_of.join(components, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     named = sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("digest")).alias("digest"))
     out = named.join(by_class, "digest", "left")
@@ -196,55 +235,123 @@ def _same_id(rows: DataFrame) -> DataFrame:
     return rows.join(several.select("doc_id", "b"), "doc_id").where("node <> b").select(F.col("node").alias("a"), "b")
 
 
-def _prefix_keys(classes: DataFrame, sketch) -> DataFrame:
-    """``shingle, band, node``: the rarest shingles of each class that another class has too."""
+KEY = ["shingle", "band"]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [np.frombuffer(x.as_py(), np.uint64) for x in batch["shingles"]]
-            if not held:
-                continue
-            names, counts = np.unique(np.concatenate([h[sketch.value.repeated(h)] for h in held]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(counts.astype(np.int64))], ["shingle", "count"])
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, n, x in zip(batch["node"], batch["n"], batch["shingles"], strict=True):
-                h = np.frombuffer(x.as_py(), np.uint64)
-                h = h[sketch.value.repeated(h)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(np.full(len(h), node.as_py())), pa.array(np.full(len(h), n.as_py()))], ["shingle", "node", "n"]
-                )
-
-    counts = classes.select("shingles").mapInArrow(counted, "shingle long, count long").groupBy("shingle").agg(F.sum("count").alias("df")).where("df > 1")
-    listed_rows = classes.mapInArrow(listed, "shingle long, node long, n long").join(counts, "shingle")
-    of_node = listed_rows.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
-    prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    taken = F.greatest(F.lit(0), prefix - (F.col("n") - F.size("shared"))).cast("int")
-    rows = of_node.select("node", "n", F.explode(F.slice("shared", F.lit(1), taken)).alias("s"))
+def _links(classes: DataFrame, size: int, part: int, stars: int) -> DataFrame:
+    """Links that span the components of ``classes(node, n, keys, data)``."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(BAND)).cast("int")
     # alike sizes lie in one band or in neighbours
-    rows = rows.select("node", F.col("s.shingle").alias("shingle"), F.explode(F.array(band, band + 1)).alias("band"))
-    return materialize(rows, "ngram-keys")
-
-
-def _cluster_links(classes: DataFrame, clusters: DataFrame, chunk: int) -> DataFrame:
-    """Exact links of each candidate cluster."""
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
-    placed = clusters.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    # a set meets its own chunk once and every other chunk once
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j")))
-    placed = placed.select("node", "component", F.explode(pairs).alias("p")).select("node", "component", "p.i", "p.j")
-    rows = placed.join(classes.select("node", "shingles"), "node")
-
-    def joined(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys = classes.select("node", "n", F.explode("keys").alias("shingle")).select("node", "n", "shingle", F.explode(F.array(band, band + 1)).alias("band"))
+    keys, keys_path = write_shared(keys, "ngram-keys")
+    # keys with the same members are one: 128 bits tell different members apart
+    members = keys.groupBy(*KEY).agg(
+        F.min("node").alias("hub"), F.max("node").alias("far"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    once = members.where("hub < far").groupBy("hub", "far", "members", "x", "y").agg(F.min(F.struct(*KEY)).alias("key"))
+    once = materialize(once.select("key.*", "hub"), "ngram-hubs")
+    held = materialize(keys.join(once, KEY).select(*KEY, "node", "n", "hub"), "ngram-members")
+    forget(classes.sparkSession, keys_path)
+    links = None
+    labels = None
+    for _ in range(stars):
+        open_ = _several(held, labels)
+        to_hub = open_.where("component <> hub_component").groupBy("node", "n").agg(F.min("hub").alias("hub"))
+        found = materialize(_star_links(materialize(to_hub, "ngram-stars"), classes, labels, size, part), "ngram-star-links")
+        links = found if links is None else links.unionByName(found)
+        labels = connected(links, "ngram-stars")
+    found = _left_over(_several(held, labels), classes, size, part)
+    return found if links is None else links.unionByName(found)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each node so far."""
+    if labels is None:
+        return rows.withColumn("component", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _several(held: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of the keys that hold several components, with the key's hub: the first member of its first component."""
+    if labels is None:
+        return held.select(*KEY, "node", "n", "hub", F.col("node").alias("component"), F.col("hub").alias("hub_component"))
+    rows = materialize(_labelled(held.drop("hub"), labels), "ngram-labelled")
+    hubs = rows.groupBy(*KEY).agg(F.min(F.struct("component", "node")).alias("first"), F.max("component").alias("last")).where("first.component < last")
+    hubs = materialize(hubs.select(*KEY, F.col("first.node").alias("hub"), F.col("first.component").alias("hub_component")), "ngram-open")
+    return rows.join(hubs, KEY)
+
+
+def _parts(rows: str, shingles: str, part: int) -> Column:
+    """In how many parts so many sets with so many shingles are dealt."""
+    return F.greatest(F.ceil(F.col(rows) / part), F.ceil(F.col(shingles) / PART_SHINGLES)).cast("int")
+
+
+def _star_links(to_hub: DataFrame, classes: DataFrame, labels: DataFrame | None, size: int, part: int) -> DataFrame:
+    """Links inside the parts of each hub's group."""
+    groups = to_hub.groupBy("hub").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    groups = materialize(groups.select("hub", _parts("rows", "shingles", part).alias("parts")), "ngram-groups")
+    dealt = to_hub.join(groups, "hub").select("node", "hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("i"))
+    heads = groups.select(F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    rows = _labelled(dealt.unionByName(heads), labels).select("node", "component", F.col("hub").alias("group"), "i", F.col("i").alias("j"))
+    return _walk(rows.withColumn("side", F.lit(0)), classes, size)
+
+
+def _left_over(open_: DataFrame, classes: DataFrame, size: int, part: int) -> DataFrame:
+    """Links between different components of each key, every pair of parts in one task.
+
+    Keys that chain together are walked as one group where that sends less than
+    walking them one by one, since a member is often held by many of them.  A
+    component that fills parts of its own isn't compared with itself.
+    """
+    open_ = materialize(open_.select(*KEY, "node", "n", "component"), "ngram-left")
+    if open_.isEmpty():
+        return open_.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    heads = open_.groupBy(*KEY).agg(F.min("node").alias("head"))
+    chained = connected(open_.join(materialize(heads, "ngram-heads"), KEY).select(F.col("node").alias("a"), F.col("head").alias("b")), "ngram-chains")
+    chained = chained.select("node", F.col("component").alias("chain"))
+    rows = materialize(open_.join(chained, "node"), "ngram-chained")
+    sizes = rows.select("chain", "node").distinct().groupBy("chain").agg(F.count("*").alias("nodes")).join(rows.groupBy("chain").agg(F.count("*").alias("held")), "chain")
+    whole = materialize(sizes.select("chain", (F.ceil(F.col("nodes") / (2 * part)) * F.col("nodes") <= F.col("held")).alias("whole")), "ngram-whole")
+    rows = rows.join(whole, "chain")
+    group = F.when(F.col("whole"), F.concat(F.lit("chain "), F.col("chain").cast("string"))).otherwise(F.concat_ws(" ", F.lit("key"), F.col("shingle").cast("string"), F.col("band").cast("string")))
+    rows = materialize(rows.select(group.alias("group"), "node", "n", "component").distinct(), "ngram-grouped")
+    # components that fill a part have parts of their own, the others share
+    own = rows.groupBy("group", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    own = own.select("group", "component", "rows", "shingles", F.when(F.col("rows") >= part, F.col("component")).alias("large"))
+    parts = own.groupBy("group", "large").agg(F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"))
+    parts = materialize(parts.select("group", "large", _parts("rows", "shingles", 2 * part).alias("parts")), "ngram-parts")
+    listed = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.col("large").alias("large"), k.alias("k")))
+    all_parts = parts.groupBy("group").agg(F.flatten(F.collect_list(listed)).alias("all"))
+    placed = rows.join(own.select("group", "component", "large"), ["group", "component"])
+    placed = placed.join(parts, placed["group"].eqNullSafe(parts["group"]) & placed["large"].eqNullSafe(parts["large"])).select(
+        placed["group"], "node", "component", placed["large"], F.pmod(F.xxhash64(F.when(placed["large"].isNotNull(), F.col("node")).otherwise(F.col("component"))), F.col("parts")).cast("int").alias("k")
+    )
+    me = F.struct("large", "k")
+    name = lambda p: F.concat_ws(".", F.coalesce(p["large"].cast("string"), F.lit("")), p["k"].cast("string"))
+    # parts of one large component aren't compared
+    meets = lambda p: ~F.coalesce(p["large"] == F.col("large"), F.lit(False))
+    pairs = F.transform(F.filter("all", meets), lambda p: F.struct(F.least(name(p), name(me)).alias("i"), F.greatest(name(p), name(me)).alias("j"), (name(p) < name(me)).cast("int").alias("side")))
+    rows = placed.join(all_parts, "group").select("node", "component", "group", F.explode(pairs).alias("p"))
+    return _walk(rows.select("node", "component", "group", "p.i", "p.j", "p.side"), classes, size)
+
+
+def _walk(rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """Links between the sets of each ``group, i, j`` of ``rows(node, component, side, group, i, j)``: inside a part if i = j, else from side to side."""
+    texts = rows.join(classes.select("node", "data"), "node")
+
+    def walked(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
+        labels: list[int] = []
+        sides: list[int] = []
         sets: list[np.ndarray] = []
         for batch in batches:
             ids += batch["node"].to_pylist()
-            sets += [np.frombuffer(x.as_py(), np.uint64) for x in batch["shingles"]]
-        if len(sets) > 1:
-            found = list(Trie(sets).links())
+            labels += batch["component"].to_pylist()
+            sides += batch["side"].to_pylist()
+            sets += [shingle_set(x.as_py(), size) for x in batch["data"]]
+        if len(sets) > 1 and len(set(labels)) > 1:
+            inside = key[1].as_py() == key[2].as_py()
+            found = list(Trie(sets, labels, None if inside else sides).links())
             yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
 
-    return rows.groupBy("component", "i", "j").applyInArrow(joined, "a long, b long")
+    return texts.groupBy("group", "i", "j").applyInArrow(walked, "a long, b long")

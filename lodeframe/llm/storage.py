@@ -1,8 +1,9 @@
 """Tables shared by all executors: the folder named in ``spark.checkpoint.dir``.
 
 A written table cuts lineage and survives the loss of an executor.  The folder
-is read from the session; only where it is unset (single-machine tests) a
-temporary folder of the driver is set for the session.
+is read from the session; only where it is unset and the master is local
+(single-machine tests) a temporary folder of the driver is set for the session.
+Tables that no step deletes go when the driver's JVM ends.
 """
 
 from __future__ import annotations
@@ -13,24 +14,40 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DIR = "spark.checkpoint.dir"
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(DIR, None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"{DIR} must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lodeframe-")
         spark.conf.set(DIR, folder)
     return folder.rstrip("/")
 
 
-ARROW_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+def integer_ids(docs: DataFrame, column: str = "doc_id") -> None:
+    """Refuse ids that have no order as integers."""
+    kind = dict(docs.dtypes)[column]
+    if kind not in INTEGERS:
+        raise TypeError(f"{column} must be an integer column, not {kind}")
+
+
+#: Rows and bytes that go to Python at once.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16_000_000}
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Let at most ``TEXT_ROWS`` rows go to Python at once: whole texts are long, and their batches take memory on both sides."""
-    rows = int(spark.conf.get(ARROW_ROWS))
-    if rows <= 0 or rows > TEXT_ROWS:
-        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
+    """Bound the rows and bytes of a batch that goes to Python: whole texts are long, and their batches take memory on both sides.
+
+    Spark reads the bounds from the session when a query runs, so they stay set; smaller ones are kept.
+    """
+    for key, most in ARROW.items():
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -38,18 +55,25 @@ def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    p, files = _file_system(spark, path)
+    files.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``write_shared`` for tables that a lazy result still reads; they go with the folder."""
+    """``write_shared`` for tables that a lazy result still reads; they go with the driver's JVM."""
     return write_shared(df, name)[0]
 
 
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a shared table that nothing reads any more."""
+    p, files = _file_system(spark, path)
+    files.delete(p, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:

@@ -1,12 +1,20 @@
-"""Hashes of word windows, and count-min sketches of them merged over partitions.
+"""Hashes of word windows, and count-min sketches of them merged over blocks.
 
 A window's hash is a polynomial in its words' 64-bit hashes, computed for a whole
-batch at once.  A partition's sketch is sent as the sorted cells it touched
-(``once``) and those it touched more than once (``twice``), cut into slices and
-delta-coded; the slices of all partitions are merged slice by slice, which gives
-for every cell whether its count is one or more than one.  Counts in a sketch are
-never too low, so a window that occurs twice anywhere is always estimated
-repeated.
+block of documents at once.  A sketch has ``DEPTH`` rows of cells, as many cells
+as the data needs, cut into slices:
+
+1. ``partial_sketches``: every block of documents sends, slice by slice, the cells
+   that its windows touch and which of them it touched more than once, Rice-coded;
+2. ``merged_answers``: a task adds up one slice over all blocks and sends to each
+   block the merged counts of the cells that it asked for;
+3. ``Answers``: the block looks its windows up.  A window's estimate is the least
+   of its counts in the rows.
+
+Counts are never too low, so a window that occurs twice anywhere is estimated
+repeated.  Nothing is collected by the driver or broadcast.  Width follows the
+data without bound, so the share of single windows that pass stays the same at
+every size (``pass_rate``).
 """
 
 from __future__ import annotations
@@ -18,19 +26,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 DEPTH = 2
-CELLS_PER_WINDOW = 2
-#: Upper bound of a sketch row: 2 ** 30 cells are 128 MB as bits.
-MAX_CELLS = 2**30
-SLICE_CELLS = 2**24
-LEAST_SLICES = 16
-#: Windows that a task gathers before it sends their cells.
-FLUSH = 2_000_000
+CELLS_PER_WINDOW = 4
+#: Windows that a slice serves about, and bytes of text that a block holds about, for small and for large inputs.
+SLICE_WINDOWS = (2**20, 2**22)
+BLOCK_BYTES = (2**23, 2**25)
+#: Slices, and blocks, up to which the small figure is used; slices at least.
+MANY, LEAST_SLICES = 4096, 16
 BYTES_PER_WORD = 6
 
 
@@ -67,145 +73,181 @@ def window_hashes(ids: np.ndarray, size: int, which: int = 0) -> np.ndarray:
         return mixed(out)
 
 
-def cells_of(h: np.ndarray, width: int) -> Iterator[np.ndarray]:
-    """A hash's cell in each row of a sketch."""
-    for part in (h >> np.uint64(32), h & np.uint64(0xFFFFFFFF)):
-        yield ((part * np.uint64(width)) >> np.uint64(32)).astype(np.uint32)
+# --- packed numbers ---------------------------------------------------------------------------------------------
 
 
 def pack(sorted_numbers: np.ndarray) -> bytes:
-    """Rising numbers as byte deltas; 255 stands for 255 with more to come."""
-    if not len(sorted_numbers):
+    """Numbers in rising order as Rice-coded steps: count, low bits a step, unary highs, lows."""
+    n = len(sorted_numbers)
+    if not n:
         return b""
-    deltas = np.diff(sorted_numbers.astype(np.int64), prepend=0)
-    more = deltas // 255
-    out = np.full(len(deltas) + int(more.sum()), 255, np.uint8)
-    out[np.cumsum(more + 1) - 1] = deltas % 255
-    return out.tobytes()
+    steps = np.diff(sorted_numbers.astype(np.int64), prepend=0)
+    low = max(0, int(sorted_numbers[-1]) // n).bit_length() - 1
+    low = max(0, low)
+    ends = np.cumsum((steps >> low) + 1) - 1
+    unary = np.zeros(int(ends[-1]) + 1, np.uint8)
+    unary[ends] = 1
+    highs = np.packbits(unary).tobytes()
+    head = n.to_bytes(4, "little") + bytes([low]) + len(highs).to_bytes(4, "little")
+    lows = ((steps[:, None] >> np.arange(low)) & 1).astype(np.uint8)
+    return head + highs + np.packbits(lows.ravel()).tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    return np.cumsum(raw.astype(np.int64))[raw != 255]
+    if not data:
+        return np.zeros(0, np.int64)
+    n, low, size = int.from_bytes(data[:4], "little"), data[4], int.from_bytes(data[5:9], "little")
+    ends = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, size, 9)))[:n]
+    steps = (np.diff(ends, prepend=-1) - 1) << low
+    if low:
+        bits = np.unpackbits(np.frombuffer(data, np.uint8, offset=9 + size))[: n * low].reshape(n, low)
+        steps += bits @ (1 << np.arange(low))
+    return np.cumsum(steps)
 
 
-def estimated_windows(texts: DataFrame) -> int:
-    """About how many windows the binary column ``data`` holds; sizes depend on it, results don't."""
-    return (texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // BYTES_PER_WORD
+def pack_bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def unpack_bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8))[:n].astype(bool)
+
+
+def level(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes that rise with them: themselves below 64, eighths of a doubling beyond."""
+    large = 64 + 8 * np.log2(np.maximum(counts, 64) / 64)
+    return np.where(counts < 64, counts, np.minimum(large, 255)).astype(np.uint8)
+
+
+# --- sizes ------------------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class Shape:
-    """Cells of a row and of its slices."""
+class Sizes:
+    """Blocks of documents, and the sketch's slices and cells a slice.  Speed and memory depend on them, results don't."""
 
-    width: int
+    windows: int
+    blocks: int
+    slices: int
     slice_cells: int
 
     @classmethod
-    def for_windows(cls, windows: int, max_cells: int = MAX_CELLS) -> Shape:
-        width = min(max(1024, windows * CELLS_PER_WINDOW), max_cells)
-        slices = max(LEAST_SLICES, math.ceil(width / SLICE_CELLS))
-        slice_cells = math.ceil(width / slices / 8) * 8
-        return cls(slice_cells * slices, slice_cells)
+    def of(cls, docs: DataFrame, cells_per_window: float = CELLS_PER_WINDOW) -> Sizes:
+        """For ``docs`` with the binary column ``data``."""
+        size = docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+        return cls.for_bytes(size, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells_per_window)
 
+    @classmethod
+    def for_bytes(cls, size: int, partitions: int, cells_per_window: float = CELLS_PER_WINDOW) -> Sizes:
+        """Blocks keep all ``partitions`` busy; slices follow the data alone, since each block sends each slice a row."""
+        windows = size // BYTES_PER_WORD + 1
+        pieces = lambda n, steps, least: max(least, min(-(-n // steps[0]), MANY), -(-n // steps[1]))
+        slices = pieces(windows, SLICE_WINDOWS, LEAST_SLICES)
+        return cls(windows, pieces(size, BLOCK_BYTES, partitions), slices, max(8, math.ceil(windows * cells_per_window / slices)))
 
-class Sketch:
-    """The merged sketch: one bit a cell, set where the count is over one.
+    @property
+    def pass_rate(self) -> float:
+        """Expected share of the windows that occur once and are estimated repeated."""
+        return (1 - math.exp(-self.windows / (self.slices * self.slice_cells))) ** DEPTH
 
-    It travels as the merged slices; only who looks cells up joins them.
-    """
+    def cells(self, h: np.ndarray) -> Iterator[np.ndarray]:
+        """Each hash's cell in each row: the slice from its high bits, the cell in it from its low ones."""
+        for _ in range(DEPTH):
+            part = ((h >> np.uint64(40)) * np.uint64(self.slices)) >> np.uint64(24)
+            yield part * np.uint64(self.slice_cells) + (((h & np.uint64(0xFFFFFFFF)) * np.uint64(self.slice_cells)) >> np.uint64(32))
+            h = mixed(h + MULTIPLIERS[0])
 
-    def __init__(self, shape: Shape, slices: dict[tuple[int, int], bytes]):
-        self.shape, self.slices = shape, slices
-        self._rows: list[np.ndarray] | None = None
 
-    @property
-    def rows(self) -> list[np.ndarray]:
-        if self._rows is None:
-            step = self.shape.slice_cells // 8
-            self._rows = [np.zeros(self.shape.width // 8, np.uint8) for _ in range(DEPTH)]
-            while self.slices:
-                (row, k), bits = self.slices.popitem()
-                self._rows[row][k * step : (k + 1) * step] = np.frombuffer(bits, np.uint8)
-        return self._rows
-
-    def repeated(self, h: np.ndarray) -> np.ndarray:
-        """Which windows are estimated to occur more than once."""
-        found = np.ones(len(h), bool)
-        for bits, cells in zip(self.rows, cells_of(h, self.shape.width), strict=True):
-            found &= (bits[cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
-        return found
-
-    def sent(self, spark: SparkSession) -> Broadcast[Sketch]:
-        """The broadcast sketch; the driver looks nothing up and gives its own copy away."""
-        out = spark.sparkContext.broadcast(self)
-        self.slices = {}
-        return out
-
-
-def _slices(cells: np.ndarray, shape: Shape) -> Iterator[tuple[int, bytes, bytes]]:
-    """Per slice: the cells touched, and those touched more than once."""
-    cells = np.sort(cells)
-    first = np.ones(len(cells), bool)
-    first[1:] = cells[1:] != cells[:-1]
-    starts = np.flatnonzero(first)
-    once = cells[starts]
-    twice = once[np.diff(starts, append=len(cells)) > 1]
-    edges = np.arange(0, shape.width + 1, shape.slice_cells)
-    a, b = np.searchsorted(once, edges), np.searchsorted(twice, edges)
-    for k in range(len(edges) - 1):
-        if a[k] < a[k + 1]:
-            yield k, pack(once[a[k] : a[k + 1]] - np.uint32(edges[k])), pack(twice[b[k] : b[k + 1]] - np.uint32(edges[k]))
-
-
-def merged_sketch(
-    texts: DataFrame, hashes: Callable[[Iterable[bytes]], Iterator[np.ndarray]], windows: int, max_cells: int = MAX_CELLS
-) -> Sketch:
-    """Sketch of all hashes that ``hashes`` finds in the binary column ``data`` of ``texts``.
-
-    The width follows the estimated number of ``windows``, up to ``max_cells``; beyond, more
-    windows share a cell and more are estimated repeated, none fewer.
-    """
-    shape = Shape.for_windows(windows, max_cells)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        count = 0
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for row, cells in enumerate(cells_of(np.concatenate(held), shape.width)):
-                found = list(_slices(cells, shape))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row] * len(found), pa.int32()),
-                        pa.array([k for k, _, _ in found], pa.int32()),
-                        pa.array([x for _, x, _ in found], pa.binary()),
-                        pa.array([x for _, _, x in found], pa.binary()),
-                    ],
-                    ["row_no", "slice_no", "once", "twice"],
-                )
+def block_number(blocks: int, *columns: Column | str) -> Column:
+    """The block of a row: by its id, or by its text where it has none, so no id holds a block together that it doesn't name."""
+    return F.pmod(F.xxhash64(*columns), F.lit(blocks)).cast("int")
 
-        for batch in batches:
-            for h in hashes(x.as_py() or b"" for x in batch["data"]):
-                if len(h):
-                    held.append(h)
-                    count += len(h)
-                if count >= FLUSH:
-                    yield from sent()
-                    held, count = [], 0
-        if held:
-            yield from sent()
+
+# --- the sketch -------------------------------------------------------------------------------------------------
+
+Hashes = Callable[[pa.Table], np.ndarray]
+PARTIAL_DDL = "row_no int, slice_no int, block int, cells binary, twice binary"
+ANSWER_DDL = "row_no int, slice_no int, block int, repeated binary, levels binary"
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    types = [pa.int32()] * 3 + [pa.binary()] * 2
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+
+def partial_sketches(blocked: DataFrame, hashes: Hashes, sizes: Sizes) -> DataFrame:
+    """Each block's cells by row and slice, of ``blocked`` with a column ``block``."""
+
+    def partial(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        block, rows = key[0].as_py(), []
+        for row, cells in enumerate(sizes.cells(hashes(table))):
+            cells.sort()
+            first = np.ones(len(cells), bool)
+            first[1:] = cells[1:] != cells[:-1]
+            starts = np.flatnonzero(first)
+            once = cells[starts]
+            twice = np.diff(starts, append=len(cells)) > 1
+            part = (once // np.uint64(sizes.slice_cells)).astype(np.int64)
+            for k, a, b in runs(part):
+                rows.append((row, k, block, pack(once[a:b] - np.uint64(k * sizes.slice_cells)), pack_bits(twice[a:b])))
+        return pa.Table.from_batches([_batch(rows, ["row_no", "slice_no", "block", "cells", "twice"])])
+
+    return blocked.groupBy("block").applyInArrow(partial, PARTIAL_DDL)
+
+
+def runs(sorted_numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each value with the places where its run begins and ends."""
+    if len(sorted_numbers):
+        starts = np.flatnonzero(np.diff(sorted_numbers, prepend=sorted_numbers[0] - 1))
+        for a, b in zip(starts, np.append(starts[1:], len(sorted_numbers)), strict=True):
+            yield int(sorted_numbers[a]), int(a), int(b)
+
+
+def merged_answers(partials: DataFrame, sizes: Sizes) -> DataFrame:
+    """The merged counts, for each block those of its own cells: which are over one, and the levels of these."""
+    names = ["row_no", "slice_no", "block", "repeated", "levels"]
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(shape.slice_cells, np.uint8)
+        counts = np.zeros(sizes.slice_cells, np.uint32)
+        asked: list[tuple[int, bytes]] = []
         for batch in batches:
-            for once, twice in zip(batch["once"], batch["twice"], strict=True):
-                cells = unpack(once.as_py())
-                counts[cells] = np.minimum(counts[cells] + 1, 2)
-                counts[unpack(twice.as_py())] = 2
-        bits = np.packbits(counts > 1, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([bits], pa.binary())], ["row_no", "slice_no", "bits"])
-
-    parts = texts.select("data").mapInArrow(partial, "row_no int, slice_no int, once binary, twice binary")
-    merged = parts.groupBy("row_no", "slice_no").applyInArrow(merge, "row_no int, slice_no int, bits binary")
-    return Sketch(shape, {(r.row_no, r.slice_no): bytes(r.bits) for r in merged.collect()})
+            for block, cells, twice in zip(batch["block"], batch["cells"], batch["twice"], strict=True):
+                asked.append((block.as_py(), cells.as_py()))
+                at = unpack(asked[-1][1])
+                counts[at] += 1 + unpack_bits(twice.as_py(), len(at)).astype(np.uint32)
+        rows = []
+        for block, cells in asked:
+            found = level(counts[unpack(cells)])
+            rows.append((key[0].as_py(), key[1].as_py(), block, pack_bits(found > 1), found[found > 1].tobytes()))
+            if len(rows) == MANY:
+                yield _batch(rows, names)
+                rows = []
+        yield _batch(rows, names)
+
+    return partials.groupBy("row_no", "slice_no").applyInArrow(merge, ANSWER_DDL)
+
+
+class Answers:
+    """One block's windows with their estimated counts."""
+
+    def __init__(self, table: pa.Table, sizes: Sizes):
+        self.sizes = sizes
+        self.pieces = {(r, k): (b, x) for r, k, b, x in zip(*[table[c].to_pylist() for c in ("row_no", "slice_no", "repeated", "levels")], strict=True)}
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """The level of each window's estimate (``level``); ``h`` must be the hashes that the block sketched."""
+        least = np.full(len(h), 255, np.uint8)
+        for row, cells in enumerate(self.sizes.cells(h)):
+            own, back = np.unique(cells, return_inverse=True)
+            found = np.ones(len(own), np.uint8)
+            for k, a, b in runs((own // np.uint64(self.sizes.slice_cells)).astype(np.int64)):
+                bits, levels = self.pieces[row, k]
+                piece = found[a:b]
+                piece[unpack_bits(bits, b - a)] = np.frombuffer(levels, np.uint8)
+            np.minimum(least, found[back], out=least)
+        return least
+
+
+def concatenated(parts: Iterable[np.ndarray]) -> np.ndarray:
+    held = list(parts)
+    return np.concatenate(held) if held else np.zeros(0, np.uint64)
