@@ -12,12 +12,14 @@ neither a mark nor a line end.  Both are reversible.
 
 Defined cases: a null text or role is the empty string; rows without a turn
 sort first; rows that tie on the turn are ordered by role, then text, and
-repeated rows stay; a null ``conv_id`` is a conversation of its own; extra
-columns are ignored.
+repeated rows stay; each distinct row without a ``conv_id`` is a conversation of
+its own, so those never meet in one value; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ def format_conversations(turns: DataFrame, trained_role: str = "assistant") -> D
             F.coalesce(F.col("text"), F.lit("")).alias("text"),
         ).alias("t"),
     )
-    sorted_turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    alone = F.when(F.col("conv_id").isNull(), F.xxhash64("t"))
+    sorted_turns = rows.groupBy("conv_id", alone.alias("alone")).agg(F.sort_array(F.collect_list("t")).alias("turns")).drop("alone")
     # the first turn of each block, then the blocks as slices
     opens = F.filter(
         F.sequence(F.lit(0), F.size("turns") - 1),
@@ -92,40 +95,51 @@ def _body(block: Column) -> Column:
     return F.substr(block, F.locate("\n", block) + 1)
 
 
-def loss_spans(formatted: Column, trained_role: str) -> Column:
-    """Spans of the texts of ``trained_role``.
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+#: Numbers that a running sum adds up at a time.
+STRIDE = 64
+
 
-    A running sum over the blocks' lengths places each block; a block's texts
-    are placed by a second sum inside it.
+def running_sums(numbers: Column) -> Column:
+    """The sum of the numbers before each one: sums of strides first, then inside the own stride.
+
+    The work for n numbers is n * ``STRIDE`` + (n / ``STRIDE``) ** 2 additions, and no array is copied for a number.
     """
-    # (end of block, end of header) come from an array aggregation over lengths only, never over texts
-    lengths = F.transform(
-        _blocks(formatted),
-        lambda b: F.struct(
-            (F.char_length(b) + len(END)).alias("whole"),
-            F.locate("\n", b).alias("header"),
-            (_role(b) == trained_role).alias("trained"),
-            F.transform(_literal_split(_body(b), SEP), lambda x: F.char_length(x)).alias("texts"),
-        ),
-    )
-    empty = F.array().cast("array<struct<start:int,length:int>>")
-    span = lambda at, n: F.struct(at.cast("int").alias("start"), n.cast("int").alias("length"))
-    inner = lambda base, block: F.aggregate(
-        block["texts"],
-        F.struct((base + block["header"]).cast("int").alias("at"), empty.alias("spans")),
-        lambda acc, n: F.struct((acc["at"] + n + len(SEP)).cast("int").alias("at"), F.concat(acc["spans"], F.array(span(acc["at"], n))).alias("spans")),
-        lambda acc: acc["spans"],
-    )
-    return F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, b: F.struct(
-            (acc["at"] + b["whole"]).cast("int").alias("at"),
-            F.when(b["trained"], F.concat(acc["spans"], inner(acc["at"], b))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
+    zero = F.lit(0).cast("long")
+    total = lambda xs: F.aggregate(xs, zero, lambda acc, x: acc + x)
+    strides = F.transform(F.sequence(F.lit(0), F.floor(F.size(numbers) / STRIDE).cast("int")), lambda c: total(F.slice(numbers, c * STRIDE + 1, STRIDE)))
+    heads = _once(strides, lambda s: F.transform(s, lambda _, c: total(F.slice(s, F.lit(1), c))))
+    stride = lambda i: F.floor(i / STRIDE).cast("int")
+    return _once(heads, lambda h: F.transform(numbers, lambda _, i: F.get(h, stride(i)) + total(F.slice(numbers, stride(i) * STRIDE + 1, i % STRIDE))))
+
+
+def loss_spans(formatted: Column, trained_role: str) -> Column:
+    """Spans of the texts of ``trained_role``, from the lengths of texts and marks alone."""
+    # a text is led by its block's header, and the end of the block before, or by a separator
+    header = lambda b, k: F.locate("\n", b) + F.when(k > 0, len(END)).otherwise(0)
+    pieces = F.flatten(
+        F.transform(
+            _blocks(formatted),
+            lambda b, k: F.transform(
+                _literal_split(_body(b), SEP),
+                lambda x, i: F.struct(
+                    F.when(i == 0, header(b, k)).otherwise(len(SEP)).cast("long").alias("lead"), F.char_length(x).cast("long").alias("length"), (_role(b) == trained_role).alias("trained")
+                ),
+            ),
+        )
     )
 
+    def spans(all_: Column) -> Column:
+        steps = F.transform(all_, lambda p: p["lead"] + p["length"])
+        placed = _once(steps, lambda n: _once(running_sums(n), lambda at: F.transform(all_, lambda p, i: F.struct((F.get(at, i) + p["lead"]).cast("int").alias("start"), p["length"].cast("int").alias("length"), p["trained"].alias("trained")))))
+        return F.transform(F.filter(placed, lambda p: p["trained"]), lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length")))
+
+    return _once(pieces, spans)
+
 
 def read_turns(formatted: Column) -> Column:
     """The array of ``(role, text)`` turns that a formatted text was made of."""
