@@ -3,7 +3,8 @@
 Features are the distinct lower-cased words of a text and their leading
 letters (``PREFIXES``), so inflected insults share a feature.  A bounded,
 stratified sample of labelled rows (``sample`` rows a class, chosen by a hash of
-the id) fits the model in one executor task:
+the id, of which those with texts of at most ``longest`` bytes are used) fits the
+model in one executor task, which so holds at most ``2 * sample * longest`` bytes:
 
 1. features are ranked by their chi-square against the label and the best
    ``max_features`` of those seen often enough are kept;
@@ -21,8 +22,8 @@ neutral mentions aren't punished for the company that a term keeps in the
 sample.  Scoring reads every text whole, batch by batch, with the bounded model.
 
 Defined cases: null and empty texts have no features and get the base score;
-labels that are null, and labelled ids without a document, are ignored; repeated
-rows count as often as they occur; without rows of both classes every score is
+labels that are null, and labelled ids without a document, are ignored; equal
+labelled rows count once, however often they occur; without rows of both classes every score is
 the share of toxic labels (0 where there are none).  Label, language, source and
 id are never features.
 """
@@ -218,10 +219,16 @@ def train(
     ridge: float = 2e-5,
     least: int = 3,
     max_features: int = 2000,
+    longest: int = 200_000,
     identity_sets: Sequence[Sequence[str]] = IDENTITY_SETS,
     label_col: str = "toxic",
 ) -> dict:
-    """Fit on at most ``sample`` labelled rows of each class, those with the lowest id hash among ``use``."""
+    """Fit on at most ``sample`` labelled rows of each class, those with the lowest id hash among ``use``.
+
+    Bounds of the fit: ``sample`` rows a class, ``longest`` bytes a text (longer
+    labelled texts aren't learnt from; all texts are scored whole), and
+    ``max_features`` features, the most telling ones.
+    """
     text_batches(docs.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
     marked = marked.where(use) if use is not None else marked
@@ -232,6 +239,7 @@ def train(
         picked = part if picked is None else picked.unionByName(part)
     # at most 2 * sample rows of two integers are broadcast
     joined = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    joined = joined.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
     joined = joined.groupBy("doc_id", "text", "label").count().drop("count")
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
