@@ -4,18 +4,23 @@ Tokens are aggregated per source, capped weighted targets give each source a
 repetition rate, and every document is emitted ``floor(rate)`` times plus one
 Bernoulli copy whose probability is the fraction of the rate.
 
-The Bernoulli draws are functions of the document's id alone, so reruns and
-recomputed partitions agree.  ``DRAWS`` independent draws are taken from one
-digest of the id; each source uses the draw whose total lies nearest to its
-target.  Every draw is a plain Bernoulli sample, choosing among them only
-removes the sampling error that a small source or one very long document would
-show.  The choice needs one more sum per draw in the same partial aggregation,
-so no source, however large, is ever gathered in one task.
+The draws are systematic, so a source of few documents, or one very long
+document, doesn't carry the total far from its target: a source's documents stand
+in cells by the bits of their size, smallest first, and the running sum of the
+probabilities, from a start that is a hash of the source, tells how many copies
+each cell gets (``floor`` of the sum at its end minus ``floor`` at its beginning).
+They go to the documents with the smallest hashes of the cell.  Over seeds each document is
+copied with exactly the fraction as its probability, whatever its size.
+
+A cell's border hash is found by counting, so no source or cell, however large, is
+gathered or sorted by one task.  Draws are functions of the table alone: reruns
+and recomputed partitions agree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +28,9 @@ from pyspark.sql import functions as F
 from .storage import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-DRAWS = 16
-DIGIT_BASE = 4294967296.0
+#: Hex digits of a hash, and of its stretch.
+DIGITS, STRETCH = 13, 3
+HASHES = 16**DIGITS
 #: Source tables up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
 
@@ -69,80 +75,106 @@ def source_targets(
     return w.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def _digests(seed: str) -> Column:
-    """Hex digits of an id: eight for each draw."""
-    salted = [F.concat(F.lit(f"{seed}:{part}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for part in range(DRAWS // 8)]
-    return F.concat(*[F.sha2(x, 256) for x in salted])
+def _hash(key: Column) -> Column:
+    """A whole number below ``HASHES``."""
+    return F.conv(F.left(F.sha2(key, 256), F.lit(DIGITS)), 16, 10).cast("long")
 
 
-def _draw(digests: Column, k: Column) -> Column:
-    """The k-th 32-bit draw, in [0, 1)."""
-    return F.conv(F.substring(digests, k * 8 + 1, F.lit(8)), 16, 10).cast("double") / F.lit(DIGIT_BASE)
+def sized_rows(docs: DataFrame, seed: str) -> DataFrame:
+    """``docs(doc_id, source, text)`` with ``size``, ``cell`` and ``draw``, the hash of the id, or of the text where there is no id."""
+    own = F.coalesce(F.concat(F.lit("id:"), F.col("doc_id").cast("string")), F.concat(F.lit("text:"), F.coalesce(F.col("text"), F.lit(""))))
+    rows = docs.select("*", count_words(F.col("text")).alias("mix_size"))
+    cell = F.when(F.col("mix_size") > 0, F.char_length(F.bin("mix_size"))).otherwise(0)
+    return rows.withColumn("mix_cell", cell).withColumn("mix_draw", _hash(F.concat(F.lit(f"{seed}:"), own)))
 
 
 def _hinted(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else small
 
 
+def _on(left: DataFrame, right: DataFrame, *keys: str) -> Column:
+    conditions = [left[k].eqNullSafe(right[k]) for k in keys]
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def mix_plan(
     sized: DataFrame, seed: str = "mix", weights: Sequence[int] = (1, 2, 3), share: float = 1.0, max_repeat: float = 3.0
 ) -> DataFrame:
-    """One row per source of ``sized(doc_id, source, size)``: ``mix_source, source_size, target, whole, part, draw``.
+    """One row per source and cell of ``sized(source, mix_size, mix_cell, mix_draw)``.
 
-    ``whole + part`` is the source's repetition rate and ``draw`` the draw it uses.
+    Columns are ``source, mix_cell, source_size, target, whole, border``: a
+    document is emitted ``whole`` times and once more if its draw is at most
+    ``border``.
     """
-    sources = source_targets(
-        sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, share, max_repeat
-    )
+    cells = materialize(sized.groupBy("source", "mix_cell").agg(F.count("*").alias("rows"), F.sum("mix_size").cast("long").alias("words")), "mix-cells")
+    sources = source_targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, max_repeat)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    sources = materialize(
-        sources.select(
-            F.col("source").alias("mix_source"), "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part")
-        ),
-        "mix-sources",
-    )
-    drawn = sized.join(_hinted(sources), F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("digests", _digests(seed))
-    extras = [F.sum(F.when(_draw(F.col("digests"), F.lit(k)) < F.col("part"), F.col("size")).otherwise(0)).alias(f"extra_{k}") for k in range(DRAWS)]
-    sums = drawn.groupBy("mix_source", "source_size", "target", "whole", "part").agg(*extras)
-    misses = [
-        F.struct(F.abs(F.col("whole") * F.col("source_size") + F.col(f"extra_{k}") - F.col("target")).alias("miss"), F.lit(k).alias("k"))
-        for k in range(DRAWS)
-    ]
-    best = F.array_min(F.array(*misses))["k"].alias("draw")
-    return materialize(sums.select("mix_source", "source_size", "target", "whole", "part", best), "mix-plan")
-
-
-def decide(rows: DataFrame, plan: DataFrame, seed: str = "mix") -> DataFrame:
-    """Add ``source_size, target, copies`` to rows with ``doc_id, source``."""
-    chosen = _draw(_digests(seed), F.col("draw"))
-    copies = (F.col("whole") + F.when(chosen < F.col("part"), 1).otherwise(0)).cast("int")
-    return (
-        rows.join(_hinted(plan), F.col("source").eqNullSafe(F.col("mix_source")))
-        .withColumn("copies", copies)
-        .drop("mix_source", "whole", "part", "draw")
-    )
+    sources = sources.select("source", "source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part"))
+    smaller = Window.partitionBy("source").orderBy("mix_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(smaller), F.lit(0))
+    start = _hash(F.concat(F.lit(f"{seed}:source:"), F.coalesce("source", F.lit("")))) / F.lit(float(HASHES))
+    cells = cells.withColumn("before", before)
+    cells = cells.join(sources, _on(cells, sources, "source")).drop(sources["source"])
+    upto = lambda n: F.floor(start + F.col("part") * n)
+    cells = cells.withColumn("extra", upto(F.col("before") + F.col("rows")) - upto(F.col("before")))
+    cells = materialize(cells, "mix-extras")
+    borders = _borders(sized, cells)
+    # a cell without a border to find takes none or all
+    border = F.when(F.col("extra") <= 0, F.lit(-1)).when(F.col("extra") >= F.col("rows"), F.lit(HASHES)).otherwise(F.col("found"))
+    found = cells.join(borders, _on(cells, borders, "source", "mix_cell"), "left").drop(borders["source"], borders["mix_cell"])
+    return materialize(found.select("source", "mix_cell", "source_size", "target", "whole", border.cast("long").alias("border")), "mix-plan")
+
+
+def _borders(sized: DataFrame, cells: DataFrame) -> DataFrame:
+    """``source, mix_cell, found``: the ``extra``-th smallest draw of each cell that copies some of its documents.
+
+    Draws are counted by stretches of their range; only the stretch that holds the
+    border is ranked, a 4096th of the cell.
+    """
+    open_ = cells.where("extra > 0 and extra < rows").select("source", "mix_cell", "extra")
+    stretch = F.floor(F.col("mix_draw") / (HASHES // 16**STRETCH))
+    rows = sized.select("source", "mix_cell", "mix_draw", stretch.alias("stretch"))
+    hinted = _hinted(open_)
+    rows = rows.join(hinted, _on(rows, hinted, "source", "mix_cell")).select(rows["source"], rows["mix_cell"], "mix_draw", "stretch", "extra")
+    counts = rows.groupBy("source", "mix_cell", "stretch").agg(F.count("*").alias("n"), F.first("extra").alias("extra"))
+    lower = Window.partitionBy("source", "mix_cell").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("below", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+    holding = counts.where("below < extra and extra <= below + n").select("source", "mix_cell", "stretch", (F.col("extra") - F.col("below")).alias("wanted"))
+    held = _hinted(materialize(holding, "mix-stretches"))
+    inside = rows.join(held, _on(rows, held, "source", "mix_cell", "stretch")).select(rows["source"], rows["mix_cell"], rows["stretch"], "mix_draw", "wanted")
+    order = Window.partitionBy("source", "mix_cell", "stretch").orderBy("mix_draw")
+    return inside.withColumn("at", F.row_number().over(order)).where("at = wanted").select("source", "mix_cell", F.col("mix_draw").alias("found"))
+
+
+def decide(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Add ``source_size, target, copies`` to rows with ``source, mix_cell, mix_draw``."""
+    hinted = _hinted(plan)
+    copies = (F.col("whole") + F.when(F.col("mix_draw") <= F.col("border"), 1).otherwise(0)).cast("int")
+    joined = rows.join(hinted, _on(rows, hinted, "source", "mix_cell")).drop(hinted["source"], hinted["mix_cell"])
+    return joined.withColumn("copies", copies).drop("whole", "border")
 
 
 def mixed(docs: DataFrame, seed: str = "mix", **plan_options) -> DataFrame:
     """Per document of ``docs(doc_id, source, text)``: the mix's decision.
 
     Returns ``doc_id, source, size, source_size, target, copies, taken``.
-    A null text has size 0, a null source is a source of its own, documents
-    with repeated ids each get a row (and the same draw), and a source whose
-    documents are all empty gets rate 0.  Other columns of ``docs`` are ignored.
-    An empty table gives an empty result.
+    A null text has size 0, a null source is a source of its own, rows that repeat
+    an id each get a row (and share a draw), rows without an id draw by their
+    text, and a source whose documents are all empty gets rate 0.  Other columns of
+    ``docs`` are ignored.  An empty table gives an empty result.
     """
-    sized = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")), "mix-sizes")
-    plan = mix_plan(sized, seed, **plan_options)
-    return decide(sized, plan, seed).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
-    )
+    sized = sized_rows(docs.select("doc_id", "source", "text"), seed).drop("text")
+    sized = materialize(sized, "mix-sizes")
+    done = decide(sized, mix_plan(sized, seed, **plan_options))
+    taken = (F.col("copies") * F.col("mix_size")).cast("long")
+    return done.select("doc_id", "source", F.col("mix_size").alias("size"), "source_size", "target", "copies", taken.alias("taken"))
 
 
 def emit(docs: DataFrame, seed: str = "mix", **plan_options) -> DataFrame:
     """The mixed rows themselves: each row of ``docs`` as often as decided, with its own columns only."""
-    sized = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")), "mix-sizes")
+    sized = materialize(sized_rows(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
     plan = mix_plan(sized, seed, **plan_options)
-    whole = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"))
-    copied = decide(whole, plan, seed).select("mix_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("mix_copy"))
+    whole = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"))
+    done = decide(sized_rows(whole, seed), plan)
+    copied = done.select("mix_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("mix_copy"))
     return copied.select("mix_row.*")

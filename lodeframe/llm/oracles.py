@@ -39,16 +39,9 @@ SELECT page_id, host, path,
 FROM hosts
 """
 
-_DRAWS = 16
-
-
-def _draw(k: str) -> str:
-    return f"('0x' || substr(digests, 8 * {k} + 1, 8))::UBIGINT::DOUBLE / 4294967296.0"
-
-
 ORACLE_SQL["op4_source_mix"] = rf"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
 ), sources AS (
   SELECT source, source_size, [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
          3.0::DOUBLE * source_size AS cap
@@ -65,16 +58,17 @@ WITH RECURSIVE sized AS (
   FROM ranked r CROSS JOIN opened o
 ), rated AS (
   SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         sha256('mix:0:' || coalesce(doc_id::VARCHAR, '')) || sha256('mix:1:' || coalesce(doc_id::VARCHAR, '')) AS digests
+         CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS cell,
+         ('0x' || left(sha256('mix:' || coalesce('id:' || doc_id, 'text:' || coalesce(text, ''))), 13))::BIGINT AS draw,
+         ('0x' || left(sha256('mix:source:' || coalesce(d.source, '')), 13))::BIGINT / 16.0::DOUBLE ** 13 AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
-), draws AS (
-  SELECT source, k, abs(max(floor(rate)) * max(source_size) + sum(CASE WHEN {_draw('k')} < rate - floor(rate) THEN size ELSE 0 END) - max(target)) AS miss
-  FROM rated CROSS JOIN range({_DRAWS}) AS r(k) GROUP BY source, k
-), best AS (
-  SELECT source, arg_min(k, miss * 100 + k / 1e6) AS k FROM draws GROUP BY source
+), placed AS (
+  SELECT *, rate - floor(rate) AS part, rank() OVER (PARTITION BY source, cell ORDER BY draw) AS place,
+         count(*) OVER (PARTITION BY source ORDER BY cell RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+         count(*) OVER (PARTITION BY source, cell) AS rows
+  FROM rated
 ), counted AS (
-  SELECT r.*, (floor(rate) + CASE WHEN {_draw('b.k')} < rate - floor(rate) THEN 1 ELSE 0 END)::INT AS copies
-  FROM rated r JOIN best b ON r.source IS NOT DISTINCT FROM b.source
+  SELECT *, (floor(rate) + CASE WHEN place <= floor(start + part * upto) - floor(start + part * (upto - rows)) THEN 1 ELSE 0 END)::INT AS copies FROM placed
 )
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source, copies FROM counted
 """
