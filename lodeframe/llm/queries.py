@@ -82,8 +82,7 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # lengths apart by more than a hundred times prove a likeness under 0.01, which counts as 0
-    done = spotsigs.compare_with_edited(documents(spark, sf_dir), floor=0.01)
+    done = spotsigs.compare_with_edited(documents(spark, sf_dir))
     return done.select(
         "doc_id",
         "n_chars",
@@ -104,8 +103,8 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("samples").cast("long").alias("payload_bytes"),
         F.sha2("samples", 256).alias("payload_sha256"),
         F.crc32(F.substring("samples", -media_columns.BLOCK, media_columns.BLOCK)).alias("tail_crc32"),
-        F.octet_length("media").cast("long").alias("media_bytes"),
-        F.sha2("media", 256).alias("media_sha256"),
+        F.aggregate("media", F.lit(0).cast("long"), lambda n, m: n + F.octet_length(m)).alias("media_bytes"),
+        F.sha2(F.aggregate("media", F.lit(b""), lambda all_, m: F.concat(all_, m)), 256).alias("media_sha256"),
         "feature",
     )
 

@@ -15,17 +15,22 @@ are pruned without reading them, and the rest are intersected.
 Defined cases: a null text is empty; an empty text, or one without letters or
 digits, has the empty fingerprint; two empty fingerprints are alike (1), an empty
 one is unlike any other (0); a text of anchors only is one signature; equal texts have equal
-fingerprints; rows without an id come last in the order of ids, and repeated
-ids are ordered by text; extra columns are ignored.
+fingerprints; rows without an id come last in the order of ids, and rows that
+repeat an id are in order of a hash of their texts; extra columns are ignored.  Ids
+must be integers; others raise ``TypeError``.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import integer_ids
+
 CHAIN, LONELY = 3, 4
 RATIO = 1.25
 MARK, GAP = "\x02", " "
@@ -100,30 +105,55 @@ def likeness(a: Column, b: Column, floor: float = 0.0) -> Column:
     )
 
 
+#: Ranges of ids to a shuffle partition: several small ones even out long texts.
+RANGES = 4
+
+
+def _above(borders: list[int], place: Column) -> Column:
+    """How many of these rising numbers lie above ``place``: a step over a few of them, then over those in between."""
+    if not borders:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(borders)))
+    groups = [borders[k : k + width] for k in range(0, len(borders), width)]
+    over = lambda numbers: F.size(F.filter(numbers, lambda b: b > place))
+    coarse = over(F.array(*[F.lit(g[-1]) for g in groups]))  # groups whose last is above, all but the first of them wholly
+    fine = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), F.lit(len(groups)) - coarse)
+    wholly = F.get(F.array(*[F.lit(sum(map(len, groups[k + 1 :]))) for k in range(len(groups))]), F.lit(len(groups)) - coarse)
+    return F.when(coarse == 0, 0).otherwise(over(fine) + wholly)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows of ``(doc_id, text)`` dealt into ranges of descending ids.
 
-    Adds ``range_no`` and ``is_halo``: each range also gets, as its last rows, a
-    copy of those that begin the next range (after the last, the first range), so
-    a window over one range sees the successor of each of its own rows.  Borders
-    are quantiles over all ids, as many as there are shuffle partitions; a range
-    holds that share of the rows however large one source or group is.
+    Adds ``place``, ``tie``, ``range_no`` and ``is_halo``: each range also gets, as
+    its last row, a copy of the first row of the next range (after the last, the
+    first range), so a window over one range sees the successor of each of its own
+    rows.  Borders are quantiles over all ids; rows that share an id, or have none,
+    are in order of a hash of their texts, and where they fill more than a range
+    they are dealt into several by it.  So a range holds its share of the rows
+    however large one source, group or id is.
     """
     least = -(2**63)
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(
-        F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("place")
-    )
-    share = F.array(*[F.lit(k / ranges) for k in range(1, ranges)]) if ranges > 1 else F.array(F.lit(0.5))
-    borders = sorted(set(rows.agg(F.percentile_approx("place", share, F.lit(max(10_000, 20 * ranges)))).first()[0] or []))
-    no = F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b > F.col("place"))) if borders else F.lit(0)
-    rows = rows.withColumn("own", no)
-    firsts = sorted(tuple(r) for r in rows.groupBy("own").agg(F.max("place")).collect())  # one row a range
-    halo = {firsts[(k + 1) % len(firsts)][1]: firsts[k][0] for k in range(len(firsts))}
-    to = F.element_at(F.create_map(*[F.lit(x) for pair in halo.items() for x in pair]), F.col("place")) if halo else F.lit(None).cast("int")
-    target = lambda n, copy: F.struct(n.cast("int").alias("range_no"), F.lit(copy).alias("is_halo"))
-    targets = F.when(to.isNotNull(), F.array(target(F.col("own"), False), target(to, True))).otherwise(F.array(target(F.col("own"), False)))
-    return rows.withColumn("t", F.explode(targets)).select("doc_id", "text", "place", "t.range_no", "t.is_halo")
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("place"), F.xxhash64(text).alias("tie"))
+    share = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
+    found = Counter(rows.agg(F.percentile_approx("place", share, F.lit(max(10_000, 20 * ranges)))).first()[0] or [])
+    # an id that is several borders fills as many ranges, which lie behind the rest of its range
+    full = {place: n for place, n in found.items() if n > 1}
+    most = 1 + max(full.values(), default=0)
+    part = F.lit(0)
+    for place, n in full.items():
+        part = F.when(F.col("place") == place, 1 + F.least(F.lit(n - 1), F.floor((F.col("tie") / 2.0**63 + 1) / 2 * n))).otherwise(part)
+    rows = rows.withColumn("own", (_above(sorted(found), F.col("place")).cast("long") * most + part).cast("long"))
+    firsts = dict(sorted(tuple(r) for r in rows.groupBy("own").agg(F.max("place")).collect()))  # one row a range
+    order = list(firsts)
+    before = {own: order[k - 1] for k, own in enumerate(order)}
+    first = F.element_at(F.create_map(*[F.lit(x) for pair in firsts.items() for x in pair]), F.col("own")) if firsts else F.lit(least)
+    to = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("own")) if before else F.lit(0).cast("long")
+    heads = rows.where(F.col("place") == first).groupBy("own").agg(F.min(F.struct("tie", "text", "doc_id", "place")).alias("r"))
+    halo = heads.select("r.doc_id", "r.text", "r.place", "r.tie", to.alias("range_no"), F.lit(True).alias("is_halo"))
+    return rows.select("doc_id", "text", "place", "tie", F.col("own").alias("range_no"), F.lit(False).alias("is_halo")).unionByName(halo)
 
 
 def compare_with_edited(docs: DataFrame, floor: float = 0.0) -> DataFrame:
@@ -133,12 +163,13 @@ def compare_with_edited(docs: DataFrame, floor: float = 0.0) -> DataFrame:
     replaced by the first as many of the next document in descending id order.
     Returns ``doc_id, n_chars, edited, signatures, edited_signatures, near_edited, near_next``.
     """
-    in_range = Window.partitionBy("range_no").orderBy("is_halo", F.col("place").desc(), "text")
+    in_range = Window.partitionBy("range_no").orderBy("is_halo", F.col("place").desc(), "tie", "text")
+    integer_ids(docs)
     rows = with_next(docs).withColumn("next_text", F.lead("text").over(in_range))
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - third), F.substr("next_text", F.lit(1), third))
-    rows = rows.select("doc_id", "place", "text", "range_no", "is_halo", n.cast("long").alias("n_chars"), F.when(~F.col("is_halo"), edited).alias("edited"))
+    rows = rows.select("doc_id", "place", "tie", "text", "range_no", "is_halo", n.cast("long").alias("n_chars"), F.when(~F.col("is_halo"), edited).alias("edited"))
     rows = rows.withColumn("signatures", signatures(F.col("text")))
     rows = rows.withColumn("next_signatures", F.lead("signatures").over(in_range)).where(~F.col("is_halo"))
     rows = rows.withColumn("edited_signatures", signatures(F.col("edited")))

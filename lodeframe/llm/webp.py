@@ -4,19 +4,22 @@ Decoding reads the prefix codes, undoes back-references and the colour cache, an
 inverts the transforms (predictor, cross-colour, subtract-green, palette with
 bundled pixels) in reverse order; the result is an array of pixels.
 
-Streams with one group of prefix codes whose copies all repeat the pixel before
-them are decoded in arrays: every bit position is looked up at once, the chain of
-token starts is followed, and colour cache hits are filled from the last literal
-of their cell.  Any other stream is decoded token by token.  The encoder writes
-what either way reads; its options choose transforms, cache and copies.
+Streams with one group of prefix codes are decoded in arrays where they hold a
+colour cache or copies from further back than one pixel, but not both: every bit
+position is looked up at once, the chain of token starts is followed, colour cache
+hits are filled from the last literal of their cell, and copies are made slice by
+slice.  Any other stream is decoded token by token.  The encoder writes what
+either way reads; its options choose transforms, cache and copies, and
+``encode_smallest`` takes the options that need the fewest bits.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import struct
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
@@ -268,8 +271,16 @@ def shared_group(bits: BitReader, cache_bits: int) -> list[PrefixCode]:
     return group
 
 
-def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int, total: int) -> np.ndarray | None:
-    """Pixels, or None where a copy reaches back further than one pixel."""
+def far_back(code: int, width: int) -> int:
+    """How many pixels back a distance code reaches."""
+    if code > len(NEAR):
+        return code - len(NEAR)
+    x, y = NEAR[code - 1]
+    return max(1, x + y * width)
+
+
+def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int, total: int, width: int) -> np.ndarray | None:
+    """Pixels, or None where a colour cache meets a copy from further back than one pixel."""
     raw = np.frombuffer(bits.data[bits.at >> 3 :] + bytes(8), np.uint8).astype(np.uint32)
     words = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
     windows = (words[:, None] >> np.arange(8, dtype=np.uint32)).ravel()
@@ -302,11 +313,10 @@ def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int,
         reader = BitReader(bits.data)
         reader.at = (bits.at & ~7) + at
         length = read_value(reader, green.read(reader) - 256)
-        code = read_value(reader, distance.read(reader))
-        # code 2 is the pixel to the left
-        if code != 2 or not starts:
+        back = far_back(read_value(reader, distance.read(reader)), width)
+        if back > made or (cache_bits and back != 1):
             return None
-        repeats.append((len(starts) - 1, length))
+        repeats.append((len(starts), length, back))
         made += length
         at = reader.at - (bits.at & ~7)
     tokens = np.array(starts, np.int64)
@@ -326,14 +336,26 @@ def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int,
         filled[~is_literal[order][source]] = 0
         pixels[order] = filled
     if repeats:
-        often = np.ones(len(pixels), np.int64)
-        for k, n in repeats:
-            often[k] += n
-        pixels = np.repeat(pixels, often)
+        pixels = with_copies(pixels, repeats)
     bits.at = (bits.at & ~7) + at
     return pixels[:total]
 
 
+def with_copies(literals: np.ndarray, copies: list[tuple[int, int, int]]) -> np.ndarray:
+    """Pixels of literals and ``(literals before, length, back)`` copies between them."""
+    out = np.empty(len(literals) + sum(n for _, n, _ in copies), np.uint32)
+    taken = at = 0
+    for before, length, back in copies:
+        out[at : at + before - taken] = literals[taken:before]
+        at += before - taken
+        taken = before
+        source = out[at - back : at]
+        out[at : at + length] = source[:length] if back >= length else np.resize(source, length)
+        at += length
+    out[at:] = literals[taken:]
+    return out
+
+
 def decode_one_by_one(bits: BitReader, group_of: Callable[[int], list[PrefixCode]], cache_bits: int, width: int, total: int) -> np.ndarray:
     pixels = [0] * total
     cache = [0] * (1 << cache_bits) if cache_bits else []
@@ -348,12 +370,7 @@ def decode_one_by_one(bits: BitReader, group_of: Callable[[int], list[PrefixCode
             at += 1
         elif symbol < 256 + LENGTH_CODES:
             length = read_value(bits, symbol - 256)
-            code = read_value(bits, distance.read(bits))
-            if code > len(NEAR):
-                back = code - len(NEAR)
-            else:
-                x, y = NEAR[code - 1]
-                back = max(1, x + y * width)
+            back = far_back(read_value(bits, distance.read(bits)), width)
             for k in range(at, min(total, at + length)):
                 pixels[k] = pixels[k - back]
             at = min(total, at + length)
@@ -378,7 +395,7 @@ def read_pixels(bits: BitReader, width: int, height: int, main: bool = False) ->
         return decode_one_by_one(bits, group_of, cache_bits, width, total)
     group = shared_group(bits, cache_bits)
     began = bits.at
-    found = decode_in_arrays(bits, group, cache_bits, total)
+    found = decode_in_arrays(bits, group, cache_bits, total, width)
     if found is not None:
         return found
     bits.at = began
@@ -423,30 +440,79 @@ def predicted(mode: np.ndarray, left: np.ndarray, top: np.ndarray, top_right: np
         clamp(guess),
         clamp(mid + np.sign(diff) * (np.abs(diff) >> 1)),
     ]
-    return np.choose(mode[..., None], options) if mode.max(initial=0) < len(options) else np.zeros_like(left)
+    # modes beyond the last stand for the first
+    return np.choose(np.where(mode < len(options), mode, 0)[..., None], options)
 
 
 def tiles(values: np.ndarray, width: int, height: int, tile: int) -> np.ndarray:
     return np.repeat(np.repeat(values, 1 << tile, 0), 1 << tile, 1)[:height, :width]
 
 
+#: Modes that need the pixel to the left.
+FROM_LEFT = np.isin(np.arange(16), (1, 5, 6, 7, 10, 11, 12, 13))
+FIRST = np.array([255, 0, 0, 0], np.int32)
+
+
+def one_predicted(mode: int, left: list[int], top: list[int], top_right: list[int], top_left: list[int]) -> list[int]:
+    """``predicted`` for one pixel whose mode needs the left one."""
+    if mode == 1:
+        return left
+    if mode == 11:
+        nearer = sum(abs(t - c) for t, c in zip(top, top_left, strict=True)) < sum(abs(x - c) for x, c in zip(left, top_left, strict=True))
+        return left if nearer else top
+    out = []
+    for x, t, r, c in zip(left, top, top_right, top_left, strict=True):
+        if mode == 5:
+            v = ((x + r >> 1) + t) >> 1
+        elif mode == 6:
+            v = x + c >> 1
+        elif mode == 7:
+            v = x + t >> 1
+        elif mode == 10:
+            v = ((x + c >> 1) + (t + r >> 1)) >> 1
+        elif mode == 12:
+            v = min(255, max(0, x + t - c))
+        else:
+            mid = x + t >> 1
+            v = min(255, max(0, mid + int((mid - c) / 2)))
+        out.append(v)
+    return out
+
+
 def invert_predictor(image: np.ndarray, modes: np.ndarray, tile: int) -> np.ndarray:
-    """Undo the prediction row by row; a pixel needs the one to its left."""
+    """Undo the prediction: the first row and column by running sums, the rest a row at a time.
+
+    A row's pixels that need their left neighbour are walked one by one, all
+    others are arrays; where every pixel is predicted by the left one, or by the
+    one above, the whole image is a running sum.
+    """
     height, width = image.shape
     mode = tiles(((modes >> np.uint32(8)) & np.uint32(15)).astype(np.int32), width, height, tile)
-    residual = channels(image)
-    out = np.zeros_like(residual)
-    first = np.array([255, 0, 0, 0], np.int32)
-    for y in range(height):
-        for x in range(width):
-            if not y:
-                guess = out[0, x - 1] if x else first
-            elif not x:
-                guess = out[y - 1, 0]
-            else:
-                right = out[y - 1, x + 1] if x + 1 < width else out[y, 0]
-                guess = predicted(mode[y : y + 1, x], out[y, x - 1][None], out[y - 1, x][None], right[None], out[y - 1, x - 1][None])[0]
-            out[y, x] = (residual[y, x] + guess) & 255
+    out = channels(image)
+    out[0, 0] += FIRST
+    inner = mode[1:, 1:]
+    if inner.size and (inner == 2).all():
+        out[0] = np.cumsum(out[0], 0)
+        return joined(np.cumsum(out, 0))
+    out[:, 0] = np.cumsum(out[:, 0], 0)
+    if not inner.size or (inner == 1).all():
+        return joined(np.cumsum(out, 1))
+    out[0] = np.cumsum(out[0], 0)
+    out &= 255
+    for y in range(1, height):
+        above, row, own = out[y - 1], out[y], mode[y]
+        top_right = np.roll(above, -1, 0)
+        top_right[-1] = row[0]
+        top_left = np.roll(above, 1, 0)
+        needs = FROM_LEFT[own]
+        needs[0] = True
+        free = np.flatnonzero(~needs)
+        if len(free):
+            guess = predicted(own[free], row[free], above[free], top_right[free], top_left[free])
+            row[free] = (row[free] + guess) & 255
+        for x in np.flatnonzero(needs)[1:].tolist():
+            guess = one_predicted(int(own[x]), row[x - 1].tolist(), above[x].tolist(), top_right[x].tolist(), top_left[x].tolist())
+            row[x] = (row[x] + guess) & 255
     return joined(out)
 
 
@@ -553,10 +619,16 @@ def decode(data: bytes) -> np.ndarray:
 
 @dataclass
 class Options:
-    """How to write an image. ``weights`` fixes the literals' code; without, it follows the image."""
+    """How to write an image.
+
+    ``copies`` are repeats of the last pixel, with ``far_copies`` any that came
+    before (without a colour cache).  ``weights`` fixes the literals' code; without,
+    it follows the image.
+    """
 
     cache_bits: int = 0
     copies: bool = True
+    far_copies: bool = False
     palette: bool = False
     subtract_green: bool = False
     predictor: np.ndarray | None = None
@@ -565,89 +637,221 @@ class Options:
     weights: tuple[int, ...] | None = field(default=None)
 
 
-def tokens_of(pixels: np.ndarray, cache_bits: int, copies: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token starts, their green symbols and the number of repeats that follow each."""
-    repeats = np.zeros(len(pixels), np.int64)
+#: Pixels that a copy from further back has at least, and at most.
+LEAST_COPY, MOST_COPY = 3, 4096
+
+
+def distinct(numbers: np.ndarray) -> int:
+    x = np.sort(numbers)
+    return int(np.count_nonzero(x[1:] != x[:-1])) + (len(x) > 0)
+
+
+def sequence_hashes(pixels: np.ndarray, kind: type = np.uint64) -> np.ndarray:
+    """Hashes of every ``LEAST_COPY`` pixels in a row."""
+    n = max(0, len(pixels) - LEAST_COPY + 1)
+    p = pixels.astype(kind, copy=False)
+    h = p[:n]
+    for k in range(1, LEAST_COPY):
+        h = h * kind(0x9E3779B1) + p[k : k + n]
+    return h
+
+
+def far_copies_of(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(place, length, back)`` of copies, the nearest place with the same next pixels first found, left to right."""
+    h = sequence_hashes(pixels)
+    n = len(h)
+    if n < 2:
+        return []
+    order = np.argsort(h, kind="stable")
+    again = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+    if not len(again):
+        return []
+    before = np.full(n, -1, np.int64)
+    before[order[again + 1]] = order[again]
+    out, at = [], 0
+    for place in np.flatnonzero(before >= 0).tolist():
+        if place < at:
+            continue
+        source, length, step = int(before[place]), 0, 16
+        while length < MOST_COPY:
+            a, b = pixels[place + length : place + length + step], pixels[source + length : source + length + step]
+            differ = np.flatnonzero(a != b[: len(a)])
+            if len(differ):
+                length += int(differ[0])
+                break
+            length += len(a)
+            if len(a) < step:
+                break
+            step *= 2
+        length = min(length, MOST_COPY)
+        if length >= LEAST_COPY:
+            out.append((place, length, place - source))
+            at = place + length
+    return out
+
+
+def tokens_of(pixels: np.ndarray, options: Options) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Starts of literals and cache hits, their green symbols, and the copies between them."""
+    if options.far_copies:
+        copies = far_copies_of(pixels)
+    else:
+        copies = []
+        if options.copies and len(pixels) > 4:
+            heads = np.flatnonzero(np.concatenate([[True], pixels[1:] != pixels[:-1]]))
+            runs = np.diff(heads, append=len(pixels)) - 1
+            for head, n in zip(heads[runs >= 4].tolist(), runs[runs >= 4].tolist(), strict=True):
+                copies += [(head + 1 + k, min(MOST_COPY, n - k), 1) for k in range(0, n, MOST_COPY)]
     starts = np.arange(len(pixels))
-    if copies and len(pixels) > 4:
-        fresh = np.ones(len(pixels), bool)
-        fresh[1:] = pixels[1:] != pixels[:-1]
-        heads = np.flatnonzero(fresh)
-        runs = np.diff(heads, append=len(pixels)) - 1
-        long = runs >= 4
-        if long.any():
-            repeats[heads[long]] = np.minimum(runs[long], 4096)
-            covered = np.zeros(len(pixels) + 1, np.int64)
-            np.add.at(covered, heads[long] + 1, 1)
-            np.add.at(covered, heads[long] + 1 + repeats[heads[long]], -1)
-            starts = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
+    if copies:
+        covered = np.zeros(len(pixels) + 1, np.int64)
+        places, lengths = np.array([c[0] for c in copies]), np.array([c[1] for c in copies])
+        np.add.at(covered, places, 1)
+        np.add.at(covered, places + lengths, -1)
+        starts = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
     own = pixels[starts]
     green = ((own >> np.uint32(8)) & np.uint32(255)).astype(np.int64)
-    if cache_bits:
-        cell = cache_index(own, cache_bits).astype(np.int64)
+    if options.cache_bits:
+        cell = cache_index(own, options.cache_bits).astype(np.int64)
         order = np.argsort(cell, kind="stable")
         hit = np.zeros(len(own), bool)
         hit[order[1:]] = (cell[order[1:]] == cell[order[:-1]]) & (own[order[1:]] == own[order[:-1]])
         green = np.where(hit, 256 + LENGTH_CODES + cell, green)
-    return starts, green, repeats[starts]
+    return starts, green, copies
 
 
-@lru_cache(maxsize=4)
-def fixed_codes(weights: tuple[int, ...], cache_bits: int) -> tuple[list[list[int]], list[np.ndarray], np.ndarray]:
+@lru_cache(maxsize=8)
+def fixed_codes(weights: tuple[int, ...], cache_bits: int, far: bool) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Code lengths, codes and the bits of the header for fixed weights."""
     green = [*weights, *[4] * LENGTH_CODES, *([3] * (1 << cache_bits) if cache_bits else [])]
-    lengths = [code_lengths(green, 12), *[code_lengths(weights, 12)] * 3, [1, 1] + [0] * (DISTANCE_CODES - 2)]
+    # without far copies only the pixel to the left is named
+    distances = code_lengths([1] * 12 + [4] * (DISTANCE_CODES - 12), 12) if far else [1, 1] + [0] * (DISTANCE_CODES - 2)
+    lengths = [code_lengths(green, 12), *[code_lengths(weights, 12)] * 3, distances]
     out = BitWriter()
     for x in lengths:
         write_prefix_code(out, x)
-    return lengths, [canonical(x) for x in lengths], out.bits()
+    return [np.array(x, np.int64) for x in lengths], [canonical(x) for x in lengths], out.bits()
+
+
+def distance_prefix(back: int) -> tuple[int, int, int]:
+    """A distance as prefix symbol and extra bits; code 2 is the pixel to the left."""
+    return value_prefix(2 if back == 1 else back + len(NEAR))
+
+
+def bits_needed(pixels: np.ndarray, options: Options) -> int:
+    """Bits of the pixels' tokens under fixed weights, as ``write_pixels`` would write them."""
+    starts, green, copies = tokens_of(pixels, options)
+    size, _, header = fixed_codes(options.weights, options.cache_bits, options.far_copies)
+    own = pixels[starts]
+    literal = own[green < 256]
+    bits = len(header) + int(size[0][green].sum())
+    bits += sum(int(size[k][(literal >> np.uint32(s)) & np.uint32(255)].sum()) for k, s in ((1, 16), (2, 0), (3, 24)))
+    for _, length, back in copies:
+        symbol, _, extra = value_prefix(length)
+        far, _, more = distance_prefix(back)
+        bits += int(size[0][256 + symbol]) + extra + int(size[4][far]) + more
+    return bits
 
 
 def write_pixels(out: BitWriter, pixels: np.ndarray, options: Options, main: bool = False) -> None:
+    if options.far_copies:  # a copied pixel would enter the cache anew
+        options = replace(options, cache_bits=0)
     cache_bits = options.cache_bits
     out.write(int(cache_bits > 0), 1)
     if cache_bits:
         out.write(cache_bits, 4)
     if main:
         out.write(0, 1)
-    starts, green, repeats = tokens_of(pixels, cache_bits, options.copies)
+    starts, green, copies = tokens_of(pixels, options)
     own = pixels[starts]
     red, blue, alpha = ((own >> np.uint32(s)).astype(np.int64) & 255 for s in (16, 0, 24))
     literal = green < 256
-    copying = np.flatnonzero(repeats)
-    prefixes = [value_prefix(int(n)) for n in repeats[copying]]
+    prefixes = [(value_prefix(length), distance_prefix(back)) for _, length, back in copies]
     if options.weights is not None:
-        lengths, codes, header = fixed_codes(options.weights, cache_bits)
+        lengths, codes, header = fixed_codes(options.weights, cache_bits, options.far_copies)
         out.extend(header.astype(np.uint32), np.ones(len(header), np.int64))
     else:
         size = 256 + LENGTH_CODES + ((1 << cache_bits) if cache_bits else 0)
-        seen = np.concatenate([green, np.array([256 + p[0] for p in prefixes], np.int64)])
+        seen = np.concatenate([green, np.array([256 + p[0] for p, _ in prefixes], np.int64)])
+        far = np.array([d[0] for _, d in prefixes], np.int64)
         lengths, codes = [], []
-        for values, n in ((seen, size), (red[literal], 256), (blue[literal], 256), (alpha[literal], 256)):
-            counts = np.bincount(values, minlength=n).tolist()
-            lengths.append(code_lengths(counts, 15))
-            codes.append(canonical(lengths[-1]))
-            write_prefix_code(out, lengths[-1], int(values[0]) if len(values) else 0)
-        lengths.append([1, 1] + [0] * (DISTANCE_CODES - 2))
-        codes.append(canonical(lengths[-1]))
-        write_prefix_code(out, lengths[-1])
-    size_of = [np.array(x, np.int64) for x in lengths]
-    # green, red, blue, alpha, then a copy: its length's code, extra bits, distance code
-    table = np.zeros((len(starts), 7), np.uint32)
-    width = np.zeros((len(starts), 7), np.int64)
-    table[:, 0], width[:, 0] = codes[0][green], size_of[0][green]
+        for values, n in ((seen, size), (red[literal], 256), (blue[literal], 256), (alpha[literal], 256), (far, DISTANCE_CODES)):
+            lengths.append(np.array(code_lengths(np.bincount(values, minlength=n).tolist(), 15), np.int64))
+            codes.append(canonical(lengths[-1].tolist()))
+            write_prefix_code(out, lengths[-1].tolist(), int(values[0]) if len(values) else 0)
+    # a row a token: green, red, blue, alpha
+    table = np.zeros((len(starts), 4), np.uint32)
+    width = np.zeros((len(starts), 4), np.int64)
+    table[:, 0], width[:, 0] = codes[0][green], lengths[0][green]
     for k, values in enumerate((red, blue, alpha), 1):
         table[:, k] = codes[k][values]
-        width[:, k] = np.where(literal, size_of[k][values], 0)
-    for row, (symbol, extra, n) in zip(copying, prefixes, strict=True):
-        # distance code 2 is prefix symbol 1
-        table[row, 4:7] = codes[0][256 + symbol], extra, codes[4][1]
-        width[row, 4:7] = size_of[0][256 + symbol], n, size_of[4][1]
-    out.extend(table.ravel(), width.ravel())
+        width[:, k] = np.where(literal, lengths[k][values], 0)
+    done = 0
+    for (place, _, _), ((symbol, extra, n), (far_symbol, more, m)) in zip(copies, prefixes, strict=True):
+        to = int(np.searchsorted(starts, place))
+        out.extend(table[done:to].ravel(), width[done:to].ravel())
+        done = to
+        out.extend(
+            np.array([codes[0][256 + symbol], extra, codes[4][far_symbol], more], np.uint32), np.array([lengths[0][256 + symbol], n, lengths[4][far_symbol], m], np.int64)
+        )
+    out.extend(table[done:].ravel(), width[done:].ravel())
+
+
+#: Steps to a neighbour that prediction may code in few bits, and the share of them from which it is tried.
+SMALL_STEP, SMALL_SHARE = 4, 0.4
+#: Share of pixels that must begin a sequence seen before for copies to be tried.
+AGAIN_SHARE = 0.01
+#: Colours up to which a palette is tried: its table costs more than a header of fixed codes beyond.
+MOST_COLOURS = 64
+
+
+def worth_trying(image: np.ndarray, options: Options, colours: int) -> bool:
+    """Whether a profile can be the smallest: its gains show in cheap counts."""
+    pixels = image.ravel()
+    if options.palette:
+        return colours <= MOST_COLOURS
+    if options.predictor is not None:
+        back = 1 if int(options.predictor.flat[0]) >> 8 == 1 else image.shape[1]
+        samples = pixels.view(np.uint8)
+        steps = samples[4 * back :] - samples[: -4 * back]
+        return len(steps) > 0 and np.count_nonzero(steps + np.uint8(SMALL_STEP) <= 2 * SMALL_STEP) >= SMALL_SHARE * len(steps)
+    if options.far_copies:
+        keys = sequence_hashes(pixels, np.uint32)
+        return distinct(keys) < (1 - AGAIN_SHARE) * len(keys)
+    return True
+
+
+def encode_smallest(image: np.ndarray, profiles: Sequence[Options]) -> tuple[bytes, int]:
+    """The file under the profile that needs the fewest bits, and the profile's place.
+
+    Profiles with fixed weights are compared by their tokens' exact bits after
+    their transforms; a palette's by its colours and the bits of an index.
+    """
+    image = np.ascontiguousarray(image, np.uint32)
+    pixels = image.ravel()
+    colours = distinct(pixels)
+    tried = [k for k, options in enumerate(profiles) if worth_trying(image, options, colours)]
+    costs: dict[int, float] = {}
+    for k in tried if len(tried) > 1 else []:
+        if profiles[k].palette:
+            costs[k] = 400 + 28 * colours + (8 >> bundle_bits(colours)) * len(pixels)
+        else:
+            costs[k] = bits_needed(transformed(image, profiles[k]).ravel(), profiles[k])
+    best = min(tried, key=lambda k: costs.get(k, 0))
+    return encode(image, profiles[best]), best
+
+
+def transformed(image: np.ndarray, options: Options) -> np.ndarray:
+    """The image after the predictor, cross-colour and subtract-green transforms of the options."""
+    fit = lambda x: np.broadcast_to(x, (-(-image.shape[0] >> options.tile), -(-image.shape[1] >> options.tile)))
+    if options.predictor is not None:
+        image = apply_predictor(image, fit(options.predictor), options.tile)
+    if options.cross_colour is not None:
+        image = cross_colour(image, fit(options.cross_colour), options.tile, False)
+    return subtract_green(image, False) if options.subtract_green else image
 
 
 def encode(image: np.ndarray, options: Options) -> bytes:
-    """A lossless WebP file of ``uint32`` ARGB pixels."""
+    """A lossless WebP file of ``uint32`` ARGB pixels; a predictor or cross-colour element of one value stands for all tiles."""
     height, width = image.shape
     if not (0 < width <= MAX_SIDE and 0 < height <= MAX_SIDE):
         raise ValueError("an image has 1 to 16384 rows and columns")
@@ -655,6 +859,7 @@ def encode(image: np.ndarray, options: Options) -> bytes:
     for value, n in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3)):
         out.write(value, n)
     plain = Options(copies=options.copies)
+    fit = lambda x: np.broadcast_to(x, (-(-height >> options.tile), -(-image.shape[1] >> options.tile)))
 
     def begin(kind: int) -> None:
         out.write(1, 1)
@@ -669,13 +874,13 @@ def encode(image: np.ndarray, options: Options) -> bytes:
     if options.predictor is not None:
         begin(PREDICTOR)
         out.write(options.tile - 2, 3)
-        write_pixels(out, options.predictor.ravel(), plain)
-        image = apply_predictor(image, options.predictor, options.tile)
+        write_pixels(out, fit(options.predictor).ravel(), plain)
+        image = apply_predictor(image, fit(options.predictor), options.tile)
     if options.cross_colour is not None:
         begin(CROSS_COLOUR)
         out.write(options.tile - 2, 3)
-        write_pixels(out, options.cross_colour.ravel(), plain)
-        image = cross_colour(image, options.cross_colour, options.tile, False)
+        write_pixels(out, fit(options.cross_colour).ravel(), plain)
+        image = cross_colour(image, fit(options.cross_colour), options.tile, False)
     if options.subtract_green:
         begin(SUBTRACT_GREEN)
         image = subtract_green(image, False)
