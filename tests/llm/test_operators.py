@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 from array import array
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -118,6 +119,7 @@ def chat_rows():
     parts = ["<|im_end|>\n", "<|im_start|>assistant\n", "\\", "|", "<", "<|", "\\|", "<\\|", "é", "😀", "\n", "", "<|im_sep|>", "$1"]
     rows = [(1, k, rng.choice(["user", "assistant", "sys\ntem|<|", ""]), "".join(rng.choices(parts, k=rng.randrange(8)))) for k in range(60)]
     rows += [(2, 0, None, None), (2, 0, None, None), (3, None, "assistant", "x" * 100_000), (None, 1, "user", "y")]
+    rows += [(4, k, rng.choice(["user", "assistant"]), "z" * rng.randrange(4)) for k in range(700)]
     return rows
 
 
@@ -126,13 +128,22 @@ def test_chat_round_trip(spark):
     turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("formatted", F.lit("clash"))
     done = chat_format.format_conversations(turns)
     got = done.select("conv_id", chat_format.read_turns(F.col("formatted")).alias("t"), chat_format.masked_text(F.col("formatted"), F.col("loss_spans")).alias("m"), "formatted", "loss_spans").collect()
-    assert len(got) == 4
+    assert len(got) == 5
     for r in got:
         own = sorted(((x[1] if x[1] is not None else -1), x[2] or "", x[3] or "") for x in rows if x[0] == r.conv_id)
         assert [(t.role, t.text) for t in r.t] == [(a, b) for _, a, b in own]
         assert r.m == "".join(t for _, a, t in own if a == "assistant")
         assert r.formatted.count("<|im_end|>\n") == 1 + sum(a[1] != b[1] for a, b in zip(own, own[1:], strict=False))
     assert chat_format.format_conversations(turns.limit(0)).collect() == []
+    lost = spark.createDataFrame([(None, k, "user", f"t{k}") for k in range(9)], turns.drop("formatted").schema)
+    assert chat_format.format_conversations(lost).count() == 9
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 1000):
+        numbers = [random.Random(n).randrange(50) for _ in range(n)]
+        frame_ = spark.createDataFrame([(numbers,)], "n array<bigint>")
+        assert frame_.select(chat_format.running_sums(F.col("n"))).first()[0] == [sum(numbers[:k]) for k in range(n)]
 
 
 # --- URL filters ------------------------------------------------------------------------------------------------
@@ -197,11 +208,58 @@ def test_mixing_cases(spark):
     emitted = mixing.emit(docs)
     assert emitted.columns == docs.columns and emitted.count() == sum(r.copies for r in out)
     assert mixing.mixed(docs.limit(0)).collect() == []
+    assert mixing.emit(docs.limit(0)).collect() == []
     many = spark.range(4000).selectExpr("id doc_id", "repeat('w ', cast(1 + id % 50 as int)) text", "concat('s', cast(id % 3 as string)) source")
     sums = mixing.mixed(many).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("x")).collect()
     assert all(abs(r.t - r.x) < 0.02 * r.x for r in sums)
 
 
+def brute_copies(rows, rates, seed):
+    """Copies of ``(doc_id, source, text)`` rows, cell by cell in plain loops."""
+    import re
+
+    number = lambda x: int(hashlib.sha256(x.encode()).hexdigest()[:13], 16)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    draw = lambda i, t: number(f"{seed}:id:{i}" if i is not None else f"{seed}:text:{t or ''}")
+    out = []
+    for source in {r[1] for r in rows}:
+        whole, part = divmod(rates[source], 1)
+        start, before = number(f"{seed}:source:{source or ''}") / 16**13, 0
+        own = [r for r in rows if r[1] == source]
+        for bits in sorted({size(t).bit_length() for _, _, t in own}):
+            cell = sorted(((draw(i, t), i, t) for i, _, t in own if size(t).bit_length() == bits), key=lambda x: x[0])
+            extra = int(start + part * (before + len(cell))) - int(start + part * before)
+            border = cell[extra - 1][0] if extra else -1
+            out += [(i, source, size(t), int(whole) + (d <= border)) for d, i, t in cell]
+            before += len(cell)
+    return out
+
+
+@pytest.mark.parametrize("seed", ["mix", "other"])
+def test_mixing_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [(k % 190, rng.choice(["a", "a", "a", "b", "c", None]), "w " * int(rng.paretovariate(0.8))) for k in range(200)] + [(None, "a", "x y"), (None, "a", "x y"), (None, None, None), (300, "z", None)]
+    out = mixing.mixed(frame(spark, rows, "doc_id long, source string, text string"), seed).collect()
+    rates = {r.source: r.target / r.source_size if r.source_size else 0.0 for r in out}
+    assert sorted(((r.doc_id, r.source, r.size, r.copies) for r in out), key=str) == sorted(brute_copies(rows, rates, seed), key=str)
+
+
+def test_each_document_is_copied_with_the_fraction_as_its_probability():
+    rng = random.Random(1)
+    rows = [(k, "s", "w " * int(rng.paretovariate(0.8))) for k in range(40)]
+    copied, total = Counter(), sum(len(t.split()) for _, _, t in rows)
+    misses = []
+    for trial in range(2000):
+        out = brute_copies(rows, {"s": 1.3}, f"seed{trial}")
+        copied.update({i: c - 1 for i, _, _, c in out})
+        misses.append(abs(sum(n * c for _, _, n, c in out) / total - 1.3))
+    assert all(abs(copied[k] / 2000 - 0.3) < 0.06 for k in range(40))
+    # independent draws miss the target by more
+    sizes = [len(t.split()) for _, _, t in rows]
+    plain = [abs(sum(n for n in sizes if rng.random() < 0.3) / total - 0.3) for _ in range(2000)]
+    assert sum(misses) < sum(plain)
+
+
 # --- byte-level BPE ---------------------------------------------------------------------------------------------
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -276,13 +334,70 @@ def test_no_part_of_an_article_is_lost():
     assert html_extract.main_text(only) == f"{long}\ns"
 
 
-def test_broken_pages_take_linear_time():
+def test_lists_of_links_go_at_the_ends_only():
+    long = ("long text " * 30).strip()
+    links = "".join(f"<li><a href=x>some link {k}</a></li>" for k in range(4))
+    page = f"<article><ul>{links}</ul><h1>T</h1><p>{long}</p><ul>{links}</ul><p>{long} end</p><p><a href=x>more</a></p></article>"
+    inner = "\n".join(f"some link {k}" for k in range(4))
+    assert html_extract.main_text(page) == f"T\n{long}\n{inner}\n{long} end\nmore"
+    assert html_extract.main_text(f"<article><ul>{links}</ul></article>") == inner
+
+
+def test_smoothed_ratios_are_a_gaussian_mean():
+    import math
+
+    rng = random.Random(2)
+    for n in (1, 2, 3, 9, 40):
+        ratios = [rng.random() * 100 for _ in range(n)]
+        for i, got in enumerate(html_extract.smoothed(ratios)):
+            weights = [math.exp(-((i - k) ** 2) / (2 * html_extract.SMOOTH**2)) if abs(i - k) <= 2 else 0.0 for k in range(n)]
+            assert got == pytest.approx(sum(w * r for w, r in zip(weights, ratios, strict=True)) / sum(weights))
+
+
+def test_common_container_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(100):
+        boxes = [html_extract.Box("body", 0, None)]
+        around, number = boxes[0], 0
+        for _ in range(30):  # a walk that opens and closes containers
+            if rng.random() < 0.6 or around.parent is None:
+                number += 1
+                around = html_extract.Box(rng.choice(["div", "section", "blockquote"]), number, around)
+                boxes.append(around)
+            else:
+                around.last = number
+                around = around.parent
+        chosen = rng.sample(boxes, rng.randrange(1, 6))
+
+        def chain(b):
+            return [b, *chain(b.parent)] if b else []
+
+        shared = [b for b in chain(chosen[0]) if all(b in chain(c) for c in chosen)]
+        assert html_extract.common(chosen) is next(b for b in shared if b.name != "blockquote")
+        for b in boxes:
+            assert [b.holds(c) for c in boxes] == [b in chain(c) for c in boxes] or any(c.last == float("inf") for c in chain(b))
+
+
+def test_broken_pages_take_linear_time_and_memory():
     import time
+    import tracemalloc
 
-    began = time.time()
-    for part in ("<a ", "<!--", "<![CDATA[", "<", "</p>", "<div>"):
-        html_extract.main_text(part * 20_000 + "<p>end</p>")
-    assert time.time() - began < 30
+    for part in ("<a ", "<!--", "<![CDATA[", "<![x[", "<", "</p>", "<div>", "<div>x", "<b><p></p>", "<p><b>", "<a x='", "<?x ", "</a ", "<article>x"):
+        for page in (part * 50_000 + "<p>end</p>", "<p>a</p>" + part * 50_000):
+            began = time.time()
+            tracemalloc.start()
+            html_extract.main_text(page)
+            most = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert time.time() - began < 15 and most < 200e6, part
+
+
+def test_stray_signs_do_not_turn_markup_into_text():
+    """Equal markup gives equal text, with a few stray signs or with thousands."""
+    for n in (3, 3000):
+        script = "<script>" + "if (a < b && b < c) x(); " * n + "</script>"
+        page = f"<article><!-- <div>old</div> -->{script}<p title='a < b'>text</p></article>" + "<" * n
+        assert html_extract.main_text(page) == "text"
 
 
 def test_html_frame(spark):
@@ -339,6 +454,37 @@ def test_spotsigs_against_brute_force(spark):
     assert out[1003].signatures == out[1004].signatures
 
 
+def test_spotsigs_ranges_split_rows_without_ids_and_repeated_ids(spark):
+    """A hot id and rows without one are dealt into several ranges; successors follow (id descending, hash of the text)."""
+    texts = [f"the word{k} of tree{k % 7} and house{k}" for k in range(300)]
+    rows = [(None if k % 3 == 0 else 50 if k % 3 == 1 else k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = spotsigs.with_next(docs)
+    sizes = [r["count"] for r in dealt.where("not is_halo").groupBy("range_no").count().collect()]
+    assert sum(sizes) == 300 and max(sizes) <= 60 and len(sizes) == dealt.where("is_halo").count()
+    hashes = dict(docs.select("text", F.xxhash64("text")).collect())
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    out = {r.edited: r for r in spotsigs.compare_with_edited(docs).collect()}
+    for k, (_, text) in enumerate(ordered):
+        following = ordered[(k + 1) % 300][1]
+        n = len(text) // 3
+        assert text[: len(text) - n] + following[:n] in out
+
+
+def test_borders_above(spark):
+    for n in (0, 1, 2, 5, 17):
+        borders = sorted(random.Random(n).sample(range(100), n))
+        got = spark.range(-1, 101).select("id", spotsigs._above(borders, F.col("id"))).collect()
+        assert all(found == sum(b > x for b in borders) for x, found in got)
+
+
+def test_spotsigs_reports_small_likenesses(spark):
+    long = " ".join(f"the word{k} thing" for k in range(600))
+    rows = [(2, "the word5 thing the word6 thing"), (1, long)]
+    out = {r.doc_id: r for r in spotsigs.compare_with_edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 0 < out[2].near_next < 0.01
+
+
 def test_spotsigs_cases(spark):
     out = spotsigs.compare_with_edited(frame(spark, odd_rows())).collect()
     assert len(out) == 7
@@ -380,6 +526,7 @@ def test_webp_round_trip(monkeypatch, in_arrays):
         options = webp.Options(
             cache_bits=int(rng.choice([0, 3, 8, 11])),
             copies=bool(rng.integers(0, 2)),
+            far_copies=bool(rng.integers(0, 2)),
             palette=palette,
             subtract_green=bool(rng.integers(0, 2)),
             predictor=rng.integers(0, 14, shape).astype(np.uint32) << np.uint32(8) if rng.integers(0, 2) else None,
@@ -435,9 +582,71 @@ def test_media_frame(spark):
         text = {x[0]: x[1] for x in odd_rows()}[r.doc_id] or ""
         data = text.encode()
         assert bytes(r.samples) == data + bytes(-len(data) % 64 if data else 64) and r.n_bytes == len(data)
-        assert bytes(r.samples) == media_columns.read_back(bytes(r.media), len(r.samples))
+        assert bytes(r.samples) == media_columns.read_back([bytes(m) for m in r.media], len(r.samples))
     for data in (bytes(range(256)) * 40, bytes(100_000), b"ab" * 40_000):
         assert media_columns.read_back(media_columns.store(media_columns.padded(data)), len(data)) == data
+    # a payload of more than one image
+    data = media_columns.padded(b"several images hold it " * 100)
+    files = media_columns.store(data, 256)
+    assert len(files) == -(-len(data) // 256) > 1 and media_columns.read_back(files, len(data), 256) == data
+
+
+def test_each_profile_is_taken_where_it_is_smallest():
+    """Texts of the kinds that the profiles are for; each file holds the transforms of its profile and is read back."""
+    rng = random.Random(5)
+    prose = " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 9))) for _ in range(500)).encode()
+    line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=240)).encode()
+    noise = [bytes(rng.choices(range(33, 126), k=4)) for _ in range(3)]
+    payloads = {0: prose, 1: line * 9, 2: b"".join(rng.choices(noise, k=600))}
+    numbers = np.random.default_rng(2)
+    payloads[3] = np.cumsum(numbers.integers(-1, 2, (2048, 4)), 0).astype(np.uint8).tobytes()  # slow ramps
+    payloads[4] = (np.cumsum(numbers.integers(0, 2, (128, 1)), 0) + numbers.integers(0, 256, (1, 64))).astype(np.uint8).tobytes()  # rows alike
+    for want, data in payloads.items():
+        padded = media_columns.padded(data)
+        image = np.frombuffer(padded, "<u4").reshape(-1, 16)
+        file, taken = webp.encode_smallest(image, media_columns.PROFILES)
+        assert taken == want and (webp.decode(file) == image).all()
+        sizes = [len(webp.encode(image, p)) for p in media_columns.PROFILES if not p.palette or len(np.unique(image)) <= 256]
+        assert len(file) <= min(sizes) * 1.1 + 60
+
+
+def test_bits_needed_are_those_written():
+    for _, image in images():
+        for options in (p for p in media_columns.PROFILES if not p.palette):
+            out = webp.BitWriter()
+            pixels = webp.transformed(image, options).ravel()
+            webp.write_pixels(out, pixels, options, main=True)
+            flags = 2 + 4 * bool(options.cache_bits)
+            assert len(out.bits()) == flags + webp.bits_needed(pixels, options)
+
+
+def test_predictor_modes_against_the_plain_rule():
+    """Every mode, pixel by pixel in plain loops."""
+    rng = np.random.default_rng(8)
+
+    def plain(residual, modes):
+        h, w = residual.shape
+        out = np.zeros((h, w, 4), int)
+        parts = webp.channels(residual)
+        for y in range(h):
+            for x in range(w):
+                if not y:
+                    guess = out[0, x - 1] if x else np.array([255, 0, 0, 0])
+                elif not x:
+                    guess = out[y - 1, 0]
+                else:
+                    right = out[y - 1, x + 1] if x + 1 < w else out[y, 0]
+                    args = [np.asarray(v, np.int32)[None] for v in (out[y, x - 1], out[y - 1, x], right, out[y - 1, x - 1])]
+                    guess = webp.predicted(np.array([modes[y >> 2, x >> 2]]), *args)[0]
+                out[y, x] = (parts[y, x] + guess) & 255
+        return webp.joined(out.astype(np.int32))
+
+    for h, w in ((1, 1), (1, 9), (9, 1), (7, 10), (12, 5)):
+        residual = rng.integers(0, 2**32, (h, w), dtype=np.uint32)
+        shape = (-(-h >> 2), -(-w >> 2))
+        for modes in [*(np.full(shape, m) for m in range(16)), rng.integers(0, 14, shape)]:
+            got = webp.invert_predictor(residual, modes.astype(np.uint32) << np.uint32(8), 2)
+            assert (got == plain(residual, modes)).all()
 
 
 # --- windows and substring dedup --------------------------------------------------------------------------------
@@ -445,9 +654,11 @@ def test_media_frame(spark):
 
 def test_packing():
     rng = np.random.default_rng(7)
-    for top in (10, 10**4, 2**31):
-        x = np.unique(rng.integers(0, top, 500))
-        assert (windows.unpack(windows.pack(x)) == x).all()
+    for top in (1, 10, 10**4, 2**31, 2**40):
+        for n in (0, 1, 2, 500):
+            x = np.sort(rng.integers(0, top, n))
+            assert (windows.unpack(windows.pack(x)) == x).all()
+            assert (windows.unpack(windows.pack(np.unique(x))) == np.unique(x)).all()
     doc = np.array([-5, -5, 3, 3, 3, 2**40]); part = np.array([0, 1, 0, 0, 0, 0], np.int32); pos = np.array([7, 2, 0, 300, 100_000, 1], np.int32)
     back = substring_dedup.unpack_places(*substring_dedup.pack_places(doc, part, pos))
     assert all((a == b).all() for a, b in zip(back, (doc, part, pos), strict=True))
@@ -473,21 +684,48 @@ def brute_dedup(rows, size):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("max_cells", [2**30, 1024])
-def test_substring_dedup(spark, max_cells, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "GATHER", 50)
+def test_sketch_keeps_pace_with_the_data():
+    """Cells, slices and blocks grow with the input, so single windows pass as rarely at any size and no task grows on."""
+    sizes = [windows.Sizes.for_bytes(10**k, 200) for k in range(6, 15)]
+    assert max(s.pass_rate for s in sizes) < 0.06
+    assert max(s.slice_cells for s in sizes) <= 4 * windows.CELLS_PER_WINDOW * 2**20 + 8
+    assert max(10**k / s.blocks for k, s in zip(range(6, 15), sizes, strict=True)) <= 2**25
+
+
+def test_estimates_are_never_too_low():
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(0, 300, 200, np.uint64) * np.uint64(2**57 + 12345) for _ in range(3)]
+    sizes = windows.Sizes(600, 3, 4, 16)
+    counts = {}
+    for row in range(windows.DEPTH):
+        for p in parts:
+            for c in list(sizes.cells(p))[row].tolist():
+                counts[row, c] = counts.get((row, c), 0) + 1
+    for p in parts:
+        cells = list(sizes.cells(p))
+        for k, h in enumerate(p):
+            true = sum(int((q == h).sum()) for q in parts)
+            assert min(counts[row, int(cells[row][k])] for row in range(windows.DEPTH)) >= true
+    assert (np.diff(windows.level(np.arange(1, 10**6)).astype(int)) >= 0).all()
+    assert windows.level(np.array([1, 2]))[1] > 1
+
+
+@pytest.mark.parametrize(("cells", "hot"), [(4, 1000), (0.01, 1000), (4, 1), (0.01, 2)])
+def test_substring_dedup(spark, cells, hot):
     rng = random.Random(8)
     passages = [" ".join(rng.choices("abcdefghij", k=rng.randrange(3, 30))) for _ in range(12)]
     rows = [(rng.randrange(-5, 60), "\n".join(rng.choices(passages, k=rng.randrange(4)) + [" ".join(rng.choices("xyz", k=rng.randrange(12)))])) for _ in range(80)]
     rows += [(r[0], r[1]) for r in odd_rows()] + [(70, "spam " * 500), (71, "spam " * 400), (72, "\u3000".join("abcdefghijklmnop"))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash"))
-    out = substring_dedup.deduplicated(docs, size=5, max_cells=max_cells)
-    assert out.columns == [*docs.columns, "dedup"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash")).withColumn("dedup", F.lit("taken"))
+    out = substring_dedup.deduplicated(docs, size=5, cells_per_window=cells, hot=hot)
+    assert out.columns == docs.columns
     got = [(r.doc_id, r.dedup.n_words, r.dedup.n_removed, r.dedup.kept_sha256) for r in out.collect()]
     assert sorted(got, key=str) == brute_dedup(rows, 5)
     untouched = {(r.doc_id, r.text) for r in out.where("dedup.n_removed = 0").collect()}
     assert untouched <= set(rows)
     assert substring_dedup.deduplicated(docs.limit(0)).collect() == []
+    with pytest.raises(TypeError):
+        substring_dedup.deduplicated(docs.withColumn("doc_id", F.lit("x")))
 
 
 # --- n-gram Jaccard join ----------------------------------------------------------------------------------------
@@ -534,11 +772,11 @@ def near_rows(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "chunk", "max_cells"), [(1, 3000, 2**30), (2, 5, 2**30), (3, 7, 1024)])
-def test_ngram_join(spark, seed, chunk, max_cells):
+@pytest.mark.parametrize(("seed", "part", "cells", "stars"), [(1, 250, 4, 2), (2, 2, 4, 1), (3, 3, 0.01, 0), (4, 1, 4, 0)])
+def test_ngram_join(spark, seed, part, cells, stars):
     rows = near_rows(seed) + [(r[0] + 5000 if r[0] else None, r[1]) for r in odd_rows()] + [(9000, "A b"), (9001, "a  b"), (9002, "a b c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash"))
-    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.group_documents(docs, chunk=chunk, max_cells=max_cells).collect()]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.group_documents(docs, part=part, cells_per_window=cells, stars=stars).collect()]
     assert sorted(got, key=str) == brute_groups(rows, 5)
 
 
