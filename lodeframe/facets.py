@@ -215,6 +215,24 @@ def _strict(data: Any, allowed: set[str], required: set[str], where: str) -> dic
     return data
 
 
+_FLAGS = ("model_extractable", "clearable", "facet", "exclusive_minimum", "unknown_passes")
+_UNIT_KINDS = ("mass", "currency")
+
+
+def _check_bounds(name: str, kind: str, d: Mapping[str, Any]) -> None:
+    """Bounds are finite numbers of a number field, whole ones of an integer field, and leave room between them."""
+    given = {k: d[k] for k in ("minimum", "maximum") if d.get(k) is not None}
+    if given and kind not in NUMBER_TYPES:
+        raise CatalogError(f"{name}: bounds need a number")
+    for k, x in given.items():
+        if isinstance(x, bool) or not isinstance(x, (int, float, Decimal)) or not Decimal(str(x)).is_finite():
+            raise CatalogError(f"{name}: {k} must be a number")
+        if kind == "integer" and Decimal(str(x)) % 1:
+            raise CatalogError(f"{name}: {k} must be whole")
+    if d.get("exclusive_minimum", False) and ("minimum" not in given or given.get("maximum") == given["minimum"]):
+        raise CatalogError(f"{name}: an exclusive minimum needs a minimum below the maximum")
+
+
 def parse_field(data: Any) -> Field:
     d = _strict(data, _FIELD_KEYS, {"name", "type"}, "field")
     name, kind = d["name"], d["type"]
@@ -226,6 +244,12 @@ def parse_field(data: Any) -> Field:
     for ops, legal in ((hard, LEGAL_HARD[kind]), (soft, LEGAL_SOFT[kind])):
         if len(set(ops)) != len(ops) or not set(ops) <= legal:
             raise CatalogError(f"{name}: illegal operators {list(ops)}")
+    if not hard:
+        raise CatalogError(f"{name}: at least one hard operator is needed")
+    for flag in _FLAGS:
+        if not isinstance(d.get(flag, False), bool):
+            raise CatalogError(f"{name}: {flag} must be true or false")
+    _check_bounds(name, kind, d)
     values = []
     for v in d.get("values", ()):
         v = _strict(v, {"code", "label", "aliases", "parent"}, {"code", "label"}, f"{name} value")
@@ -245,8 +269,12 @@ def parse_field(data: Any) -> Field:
     if low is not None and high is not None and low > high:
         raise CatalogError(f"{name}: minimum over maximum")
     unit_kind, base = d.get("unit_kind"), d.get("base_unit")
-    if unit_kind is not None and kind not in NUMBER_TYPES:
-        raise CatalogError(f"{name}: a unit needs a number")
+    if unit_kind is not None and (kind != "number" or unit_kind not in _UNIT_KINDS):
+        raise CatalogError(f"{name}: a unit is a mass or a currency of a number")
+    if d.get("unit_pattern") is not None and unit_kind != "currency":
+        raise CatalogError(f"{name}: a unit pattern belongs to a currency")
+    if unit_kind == "mass" and not d.get("units"):
+        raise CatalogError(f"{name}: a mass needs units")
     units: dict[str, Decimal] = {}
     for u in d.get("units", ()):
         u = _strict(u, {"code", "factor"}, {"code", "factor"}, f"{name} unit")

@@ -91,9 +91,45 @@ def normalize_reply(text: Column, phrases: Iterable[tuple[str, str]] = REPLY_PHR
     return F.regexp_replace(replace_all(F.lower(squeeze(text)), phrases), REPLY_MARKS, "")
 
 
-def has_act(text: Column, patterns: Sequence[str]) -> Column:
-    """Whether any pattern of a speech act occurs."""
-    return reduce(lambda a, b: a | b, [text.rlike(p) for p in patterns], F.lit(False))
+#: What a normalised reply holds where it performs an act.
+SPEECH_ACTS: dict[str, tuple[str, ...]] = {
+    "ask_for_start_time": (
+        "什么时候", "什么时间", "什么具体时间", "几点", "哪天", "预约时间", "具体时间.{0,8}(?:说|告知|提供|确定|方便)",
+        "(?:告诉|告知|提供|说明).{0,8}(?:预约)?(?:日期|哪天).{0,8}(?:开始时间|时间|几点)", "(?:预约)?(?:具体)?日期.{0,4}(?:和|及|、)?(?:开始)?时间",
+    ),
+    "ask_for_duration": ("多久", "多长时间", "多少分钟", "几分钟", "服务时长", "时长.{0,8}(?:说|告知|提供|确定|方便)"),
+    "inform_technician_available": (
+        "技师.{0,8}有空", "技师.{0,8}(?<!不)可用", "技师.{0,8}(?<!不)可以服务", "(?<!不)可以.{0,8}安排.{0,8}技师", "技师.{0,8}(?<!不)可以为您", "(?<!没)有空", "(?<!不)可以服务",
+        "技师.{0,24}(?<!不)可.{0,24}提供", "(?<!不)可.{0,24}提供", "(?<!不)可以.{0,24}提供", "(?<!不)可以.{0,8}安排", "已找到.{0,12}技师",
+    ),
+    "request_confirmation": ("确认", "您看.{0,8}可以吗", "这个安排.{0,8}可以吗", "需要.{0,12}安排吗", "是否.{0,12}安排", "您觉得.{0,8}可以吗"),
+    "inform_technician_unavailable": (
+        "技师.{0,8}没空", "技师.{0,8}没有空", "技师.{0,8}不可用", "技师.{0,8}排满", "技师.{0,12}无法.{0,8}提供", "技师.{0,12}不能.{0,8}提供", "无法.{0,12}提供.{0,8}服务",
+    ),
+    "inform_technician_not_found": ("没有找到.{0,8}技师", "找不到.{0,8}技师", "技师.{0,8}不存在", "暂无.{0,8}技师", "未能找到.{0,8}技师", "未找到.{0,12}技师"),
+    "inform_no_match": ("没有.{0,12}符合.{0,12}技师", "没有匹配.{0,8}技师", "暂无.{0,12}合适.{0,8}技师", "未找到.{0,12}符合", "没有找到.{0,12}技师"),
+    "acknowledge_booking_authorization": (
+        "正在.{0,8}办理预约", "将为您.{0,8}办理", "为您处理预约", "授权.{0,8}创建预约", "确认.{0,16}提交预约", "提交.{0,8}预约", "上层.{0,8}创建预约",
+    ),
+    "acknowledge_result": ("好的", "了解", "知道了", "如需.{0,12}告诉我"),
+    "acknowledge_pause": ("暂时.{0,6}不.{0,6}预约", "暂不.{0,6}预约", "先不.{0,6}预约", "需要时.{0,8}告诉我", "暂停预约"),
+    "claim_booking_success": ("预约成功", "预约已成功", "预约好了", "已经.{0,8}预约", "已确认.{0,32}(?:预约|安排)", "已为您.{0,8}安排好", "已经.{0,8}安排好"),
+}
+#: Fixed value: a confirmed duration isn't a claim that the appointment is booked.
+ONLY_DURATION = {"claim_booking_success": r"已确认\d+分钟服务"}
+
+
+def has_act(said: Column, act: str) -> Column:
+    """Whether a normalised reply performs an act."""
+    if act not in SPEECH_ACTS:
+        raise ValueError(f"unknown speech act {act!r}")
+    left = F.regexp_replace(said, ONLY_DURATION[act], "") if act in ONLY_DURATION else said
+    return left.rlike("|".join(f"(?:{p})" for p in SPEECH_ACTS[act]))
+
+
+def acts_of(reply: Column) -> Column:
+    """All acts that a reply performs, in the order of the table."""
+    return bound(normalize_reply(reply), lambda said: F.array_compact(F.array(*[F.when(has_act(said, a), F.lit(a)) for a in SPEECH_ACTS])))
 
 
 def reply_score(required_hits: Column, required: Column, likeness: Column) -> Column:
@@ -102,6 +138,18 @@ def reply_score(required_hits: Column, required: Column, likeness: Column) -> Co
     return 0.70 * coverage + 0.30 * likeness
 
 
+def judge_reply(reply: Column, required: Column, forbidden: Column, references: Column) -> Column:
+    """Score of a reply, whether it passes (all required acts, no forbidden one), and the forbidden acts it performs."""
+
+    def judged(acts: Column) -> Column:
+        hits = F.size(F.filter(required, lambda a: F.array_contains(acts, a)))
+        wrong = F.filter(forbidden, lambda a: F.array_contains(acts, a))
+        score = reply_score(hits, F.size(required), best_similarity(reply, references))
+        return F.struct(score.alias("score"), ((hits == F.size(required)) & (F.size(wrong) == 0)).alias("passed"), wrong.alias("forbidden"))
+
+    return bound(acts_of(reply), judged)
+
+
 def mentions(text: Column, term: str) -> Column:
     """A term in a text: ASCII terms at word borders with flexible hyphens and spaces, others anywhere."""
     if not term.isascii():

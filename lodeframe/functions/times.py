@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bound
+
 STAMP = "yyyy-MM-dd HH:mm"
 #: Words for days, periods and hours.
 DAYS = {"今天": 0, "明天": 1, "后天": 2, "today": 0, "tomorrow": 1, "day after tomorrow": 2}
@@ -32,11 +34,16 @@ def resolve_relative(text: Column, stated: Column, now: Column) -> Column:
     The last period between the day and the clock decides; hours over 23 or
     minutes over 59 keep the stated time.
     """
-    day = F.regexp_extract(text, DAY_PATTERN, 1)
-    rest = F.regexp_extract(text, DAY_PATTERN + r"([\s\S]*)", 2)
-    clock = F.regexp_extract(rest, CLOCK_PATTERN, 0)
-    digits, written, minutes = (F.regexp_extract(rest, CLOCK_PATTERN, k) for k in (1, 2, 3))
-    before = F.regexp_extract(rest, r"^([\s\S]*?)" + CLOCK_PATTERN, 1)
+    # the clock after the day, found once: what lies between them, digits, written hour, minutes
+    parts = F.regexp_extract_all(text, F.lit(DAY_PATTERN + r"([\s\S]*?)" + CLOCK_PATTERN), F.lit(0))
+    whole = F.get(parts, F.lit(0))
+    return bound(whole, lambda found: _resolved(found, stated, now))
+
+
+def _resolved(found: Column, stated: Column, now: Column) -> Column:
+    """The time of a stretch from a day to a clock; the stated one where there is none."""
+    pattern = r"^" + DAY_PATTERN + r"([\s\S]*?)" + CLOCK_PATTERN + "$"
+    day, before, digits, written, minutes = (F.regexp_extract(found, pattern, k) for k in range(1, 6))
     period = F.try_element_at(F.regexp_extract_all(before, F.lit(f"({LATE}|{NOON}|{EARLY})"), 1), F.lit(-1))
     hour = F.when(digits != "", digits.cast("int")).otherwise(_lookup(written, HOURS))
     minute = F.when(minutes != "", minutes.cast("int")).otherwise(0)
@@ -44,27 +51,33 @@ def resolve_relative(text: Column, stated: Column, now: Column) -> Column:
         F.when(period.rlike(LATE) & (hour < 12), hour + 12).when(period.rlike(NOON) & (hour < 11), hour + 12).when(period.rlike(EARLY) & (hour == 12), 0).otherwise(hour)
     )
     date = F.date_add(now.cast("date"), _lookup(day, DAYS))
-    found = F.try_make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), shifted, minute, F.lit(0).cast("decimal(8,6)"))
-    usable = (day != "") & (clock != "") & (shifted <= 23) & (minute <= 59)
-    return F.when(usable, found).otherwise(stated)
+    at = F.try_make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), shifted, minute, F.lit(0).cast("decimal(8,6)"))
+    usable = found.isNotNull() & (shifted <= 23) & (minute <= 59)
+    return F.when(usable, at).otherwise(stated)
 
 
 def in_business(stamp: Column, opens: int = 9, closes: int = 21) -> Column:
     return (F.hour(stamp) >= opens) & (F.hour(stamp) < closes)
 
 
-def time_forms(stamp: Column) -> Column:
-    """Ways in which a reply may write a time."""
-    half = F.when(F.hour(stamp) > 12, F.hour(stamp) - 12).otherwise(F.hour(stamp))
-    minute = F.date_format(stamp, "mm")
-    return F.array_distinct(
-        F.array(
-            F.date_format(stamp, STAMP),
-            F.date_format(stamp, "HH:mm"),
-            F.date_format(stamp, "H:mm"),
-            F.date_format(stamp, "H点mm分"),
-            F.concat(half.cast("string"), F.lit(":"), minute),
-            F.concat(half.cast("string"), F.lit("点"), F.when(minute == "00", F.lit("")).when(minute == "30", F.lit("半")).otherwise(F.concat(minute, F.lit("分")))),
-            F.concat(F.hour(stamp).cast("string"), F.lit("点"), F.when(minute == "00", F.lit("")).when(minute == "30", F.lit("半")).otherwise(F.concat(minute, F.lit("分")))),
-        )
-    )
+#: Parts of the day by the hour before which they end, and days counted from now.
+PERIODS = ((12, "上午"), (18, "下午"), (24, "晚上"))
+NEAR_DAYS = ("今天", "明天", "后天")
+
+
+def time_forms(stamp: Column, now: Column | None = None) -> Column:
+    """Ways in which a reply may write a time; those that name the day from ``now`` where it lies within two days of it."""
+    hour, minute = F.hour(stamp), F.minute(stamp)
+    clock = lambda h: F.concat(h.cast("string"), F.lit("点"), F.when(minute == 0, "").otherwise(F.concat(minute.cast("string"), F.lit("分"))))
+    plain = clock(hour)
+    name = F.lit(None).cast("string")
+    for end, period in reversed(PERIODS):
+        name = F.when(hour < end, period).otherwise(name)
+    spoken = F.concat(name, clock(F.when(hour <= 12, hour).otherwise(hour - 12)))
+    date = F.concat(F.month(stamp).cast("string"), F.lit("月"), F.dayofmonth(stamp).cast("string"))
+    forms = [F.date_format(stamp, STAMP), F.date_format(stamp, "yyyy年MM月dd日HH点mm分"), F.concat(date, F.lit("日"), plain), F.concat(date, F.lit("号"), plain), F.date_format(stamp, "HH:mm"), plain, spoken]
+    if now is not None:
+        ahead = F.date_diff(stamp.cast("date"), now.cast("date"))
+        day = F.get(F.array(*map(F.lit, NEAR_DAYS)), F.when(ahead >= 0, ahead))
+        forms += [F.concat(day, plain), F.concat(day, spoken)]
+    return F.array_distinct(F.array_compact(F.array(*forms)))

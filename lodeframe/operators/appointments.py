@@ -224,9 +224,9 @@ def names_in(reply: Column) -> Column:
     return F.array_distinct(F.filter(found, lambda n: ~n.rlike(NO_NAME)))
 
 
-def says_time(reply: Column, stamp: Column) -> Column:
+def says_time(reply: Column, stamp: Column, now: Column | None = None) -> Column:
     """Whether a normalised reply holds any way of writing a time."""
-    return F.exists(times.time_forms(stamp), lambda f: F.contains(reply, T.normalize_reply(f)))
+    return F.exists(times.time_forms(stamp, now), lambda f: F.contains(reply, T.normalize_reply(f)))
 
 
 def faithfulness(checks: Column, errors: Column) -> Column:
@@ -234,8 +234,8 @@ def faithfulness(checks: Column, errors: Column) -> Column:
     return F.greatest(F.lit(0.0), (checks - F.size(F.array_distinct(errors))) / checks)
 
 
-def reply_errors(reply: Column, expected: Column, required: Column) -> tuple[Column, Column]:
-    """Number of checks and errors of a reply against its expected answer."""
+def reply_errors(reply: Column, expected: Column, required: Column, now: Column | None = None) -> tuple[Column, Column]:
+    """Number of checks and errors of a reply against its expected answer; near days may be named from ``now``."""
     said = T.normalize_reply(reply)
     name, duration = field(expected, "technician_name", "string"), field(expected, "duration_minutes", "long")
     stamp = times.read_stamp(field(expected, "start_time", "string"))
@@ -246,7 +246,7 @@ def reply_errors(reply: Column, expected: Column, required: Column) -> tuple[Col
         F.array(
             F.when(needs("technician_name") & ~F.coalesce(F.contains(said, T.normalize_reply(name)), F.lit(False)), F.lit("technician_name")),
             F.when(needs("duration_minutes") & ~F.coalesce(F.contains(said, F.concat(duration.cast("string"), F.lit("分钟"))), F.lit(False)), F.lit("duration_minutes")),
-            F.when(needs("start_time") & ~F.coalesce(says_time(said, stamp), F.lit(False)), F.lit("start_time")),
+            F.when(needs("start_time") & ~F.coalesce(says_time(said, stamp, now), F.lit(False)), F.lit("start_time")),
             F.when((F.size(named) > 0) & F.coalesce(F.exists(named, lambda n: n != name), F.lit(True)), F.lit("unsupported_technician_name")),
         )
     )

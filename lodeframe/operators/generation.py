@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..facets import Catalog, compact
 from ..functions import text as T
+from .ranking import distributed_rank
 
 
 def expand_requests(quotas: DataFrame, key: str, count: str) -> DataFrame:
@@ -28,11 +29,46 @@ def grid(spark: SparkSession, dimensions: Mapping[str, Sequence[Any]]) -> DataFr
     return out
 
 
+def _ranked_choices(choices: Sequence[str], seed: str, group: Column) -> Column:
+    """The choices in an order that seed and group fix."""
+    marked = [F.struct(F.sha2(F.concat(F.lit(f"{seed}:{c}:"), group.cast("string")), 256).alias("h"), F.lit(c).alias("c")) for c in choices]
+    return F.transform(F.array_sort(F.array(*marked)), lambda x: x["c"])
+
+
 def rotate(df: DataFrame, group: str, order: str, choices: Sequence[str], seed: str, name: str = "choice") -> DataFrame:
-    """The least used choice of each group in turn: a cycle through a permutation that the group's hash fixes."""
-    shuffled = F.array_sort(F.array(*[F.struct(F.sha2(F.concat(F.lit(f"{seed}:{c}:"), F.col(group).cast("string")), 256).alias("h"), F.lit(c).alias("c")) for c in choices]))
+    """The least used choice of each group in turn where none was used before: a cycle through an order that the group's hash fixes."""
     turn = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
-    return df.withColumn("_turn", turn).withColumn(name, F.get(shuffled, F.col("_turn") % len(choices))["c"]).drop("_turn")
+    return df.withColumn("_turn", turn).withColumn(name, F.get(_ranked_choices(choices, seed, F.col(group)), F.col("_turn") % len(choices))).drop("_turn")
+
+
+def least_used(df: DataFrame, group: str, order: str, choices: Sequence[str], used: DataFrame, seed: str, name: str = "choice") -> DataFrame:
+    """Each row of a group, in order, takes the choice that was used least until then; ties in an order that the group's hash fixes.
+
+    ``used(group, choice, n)`` has earlier uses; choices without a row there have
+    none.  The k-th row takes the k-th of all uses ``(n, n + 1, ...)`` of the
+    choices in order of number, so no row waits for another.
+    """
+    ranked = distributed_rank(df, [group], [F.col(order)], F.floor(F.col(order) / 4096), "_turn")
+    sizes = df.groupBy(group).agg(F.count("*").alias("_rows"))
+    wide = used.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("choice", F.col("n").cast("long")))).alias("_used"))
+    sizes = sizes.join(wide, sizes[group].eqNullSafe(wide[group]), "left").select(sizes[group], "_rows", "_used")
+    ordered = _ranked_choices(choices, seed, F.col(group))
+    before = lambda c: F.coalesce(F.try_element_at(F.coalesce(F.col("_used"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))), c), F.lit(0))
+    starts = F.transform(ordered, lambda c, k: F.struct(before(c).alias("n"), k.alias("k"), c.alias("c")))
+    table = sizes.select(F.col(group), starts.alias("_starts"))
+    joined = ranked.join(table, ranked[group].eqNullSafe(table[group])).select(*[ranked[c] for c in ranked.columns], "_starts")
+    # uses below a level: sum of max(0, level - n); the row's level is the highest with fewer uses below it than its turn
+    sorted_n = F.array_sort(F.transform("_starts", lambda x: x["n"]))
+    filled = lambda level: F.aggregate("_starts", F.lit(0).cast("long"), lambda acc, x: acc + F.greatest(F.lit(0).cast("long"), level - x["n"]))
+    turn = F.col("_turn")
+    # between two uses the level rises by one for every choice that has come in
+    bases = F.transform(sorted_n, lambda n, i: F.struct(n.alias("n"), filled(n).alias("filled"), (i + 1).alias("open")))
+    base = F.array_max(F.filter(bases, lambda b: b["filled"] < turn))
+    level = base["n"] + F.floor((turn - 1 - base["filled"]) / base["open"])
+    place = turn - filled(level)
+    open_ = F.filter("_starts", lambda x: x["n"] <= level)
+    chosen = F.get(F.transform(F.array_sort(F.transform(open_, lambda x: F.struct(x["k"].alias("k"), x["c"].alias("c")))), lambda x: x["c"]), (place - 1).cast("int"))
+    return joined.withColumn(name, chosen).drop("_turn", "_starts")
 
 
 def plan_errors(plan: DataFrame, minimums: Mapping[str, int], group: str) -> DataFrame:
@@ -118,10 +154,19 @@ def config_merge(base: Mapping[str, Any], over: Mapping[str, Any], allowed: froz
     return out
 
 
+#: Rows of a dimension up to which it is broadcast.
+SMALL = 100_000
+
+
+def small(df: DataFrame, most: int = SMALL) -> DataFrame:
+    """A side with a broadcast hint if it was counted to have at most so many rows; else the planner chooses."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def grounded(conditions: DataFrame, values: DataFrame, text: str) -> DataFrame:
-    """Gold codes ``(id, field, code)`` that the text names by code, label or alias; ``values`` is a catalog-sized dimension."""
+    """Gold codes ``(id, field, code)`` that the text names by code, label or alias."""
     terms = values.select("field", "code", F.explode(F.array_distinct(F.concat(F.array("code", "label"), "aliases"))).alias("term"))
-    joined = conditions.join(F.broadcast(terms), ["field", "code"], "left")
+    joined = conditions.join(small(terms), ["field", "code"], "left")
     flexible = F.regexp_replace(F.regexp_replace("term", r"([^\w\s-])", r"\\$1"), r"[\s_-]+", r"[-_\\s]+")
     ascii_hit = F.expr("rlike(lower(_text), concat('(?<![a-z0-9])', lower(_pattern), '(?![a-z0-9])'))")
     hit = F.when(F.col("term").rlike(r"^\p{ASCII}+$"), ascii_hit).otherwise(F.contains(F.col(text), F.col("term")))

@@ -203,6 +203,12 @@ def select_pairs(df: DataFrame, key: str, share: float, seed: str) -> DataFrame:
     return joined.where(F.col("rank") <= taken).select(*[ranked[c] for c in df.columns])
 
 
+def best_parameter(df: DataFrame, groups: Sequence[str], parameter: str, score: str) -> DataFrame:
+    """The parameter with the highest score of each group, the smallest of those on ties; an aggregate, nothing is sorted."""
+    best = F.max_by(F.struct(parameter, score), F.struct(F.col(score), (-F.col(parameter)).alias("_least"))).alias("_b")
+    return df.where(F.col(score).isNotNull()).groupBy(*groups).agg(best).select(*groups, "_b.*")
+
+
 def winner(df: DataFrame, tolerance: float = 0.02, within: float = 1.0) -> DataFrame:
     """The best run of ``df(run_id, parent_run_id, status, passed, score, size)``.
 

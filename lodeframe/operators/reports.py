@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,17 +14,23 @@ def _real(x: Column) -> Column:
     return F.when(~F.isnan(x) & (x >= 0) & (x != float("inf")), x.cast("double"))
 
 
+def _with_percentiles(df: DataFrame, groups: Sequence[str], value: str, totals: Mapping[str, Column], percentiles: Mapping[str, float]) -> DataFrame:
+    """Totals of each group beside exact percentiles of ``value``, which no task gathers."""
+    out = df.groupBy(*groups).agg(*[c.alias(k) for k, c in totals.items()])
+    found = exact_percentiles(df, groups, value, sorted(set(percentiles.values())))
+    at = lambda f: F.max(F.when(F.col("fraction") == F.lit(float(f)), F.col("percentile")))
+    wide = found.groupBy(*groups).agg(*[at(f).alias(k) for k, f in percentiles.items()])
+    if not groups:
+        return out.crossJoin(wide)  # one row each
+    on = reduce(lambda a, b: a & b, [out[g].eqNullSafe(wide[g]) for g in groups])
+    return out.join(wide, on, "left").select(*[out[c] for c in out.columns], *percentiles)
+
+
 def timing_summary(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Count, mean, exact p50 and p95 (linear interpolation), max and min of finite measurements."""
-    x = _real(F.col(value))
-    return df.groupBy(*groups).agg(
-        F.count(x).alias("count"),
-        F.avg(x).alias("mean"),
-        F.percentile(x, F.lit(0.5)).alias("p50"),
-        F.percentile(x, F.lit(0.95)).alias("p95"),
-        F.max(x).alias("max"),
-        F.min(x).alias("min"),
-    )
+    measured = df.select(*groups, _real(F.col(value)).alias("x"))
+    totals = {"count": F.count("x"), "mean": F.avg("x"), "max": F.max("x"), "min": F.min("x")}
+    return _with_percentiles(measured, groups, "x", totals, {"p50": 0.5, "p95": 0.95}).select(*groups, "count", "mean", "p50", "p95", "max", "min")
 
 
 def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
@@ -32,10 +39,10 @@ def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fraction
     The first pass counts values by bucket (256 to a power of two), a table whose
     size doesn't follow the rows; it tells which bucket holds each wanted rank.
     The second pass counts distinct values of those buckets only.  Columns are
-    ``groups, fraction, percentile``; for numbers from zero on, others are left out.
+    ``groups, fraction, percentile``; numbers that aren't finite are left out.
     """
-    x = _real(F.col(value))
-    rows = df.select(*groups, x.alias("_x")).where("_x is not null").withColumn("_b", F.floor(F.log2(F.col("_x") + 1) * 256))
+    x = F.when(~F.isnan(F.col(value).cast("double")) & (F.abs(value) != float("inf")), F.col(value).cast("double"))
+    rows = df.select(*groups, x.alias("_x")).where("_x is not null").withColumn("_b", F.signum("_x") * F.floor(F.log2(F.abs("_x") + 1) * 256))
     buckets = rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
     by = Window.partitionBy(*groups)
     upto = by.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -45,8 +52,8 @@ def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fraction
     holds = lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n"))
     needed = placed.withColumn("_w", F.filter(wanted, lambda w: holds(w["low"]) | holds(w["high"]))).where(F.size("_w") > 0)
     on = [F.col(f"r.{g}").eqNullSafe(F.col(f"k.{g}")) for g in (*groups, "_b")]
-    # at most two buckets a group and fraction
-    inside = rows.alias("r").join(F.broadcast(needed.alias("k")), on).select(*[F.col(f"r.{g}").alias(g) for g in groups], "r._b", "r._x", "k._before", "k._w")
+    # at most two buckets a group and fraction; whether they are few enough to broadcast is left to the planner
+    inside = rows.alias("r").join(needed.alias("k"), on).select(*[F.col(f"r.{g}").alias(g) for g in groups], "r._b", "r._x", "k._before", "k._w")
     values = inside.groupBy(*groups, "_b", "_x").agg(F.count("*").alias("_c"), F.first("_before").alias("_before"), F.first("_w").alias("_w"))
     run = Window.partitionBy(*groups, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = values.withColumn("_end", F.col("_before") + F.sum("_c").over(run)).withColumn("_begin", F.col("_end") - F.col("_c"))
@@ -62,14 +69,9 @@ def workload_summary(df: DataFrame, groups: Sequence[str], metrics: Sequence[str
     """Long form: per group and metric the count, mean, median, p90 (ten digits), min and max of what is present."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))
     long = df.select(*groups, pairs.alias("m")).select(*groups, "m.metric", "m.x").where("x is not null and not isnan(x)")
-    return long.groupBy(*groups, "metric").agg(
-        F.count("*").alias("count"),
-        F.avg("x").alias("mean"),
-        F.median("x").alias("median"),
-        F.round(F.percentile("x", F.lit(0.9)), 10).alias("p90"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    )
+    totals = {"count": F.count("*"), "mean": F.avg("x"), "min": F.min("x"), "max": F.max("x")}
+    out = _with_percentiles(long, [*groups, "metric"], "x", totals, {"median": 0.5, "p90": 0.9})
+    return out.select(*groups, "metric", "count", "mean", "median", F.round("p90", 10).alias("p90"), "min", "max")
 
 
 def mean_scores(df: DataFrame, groups: Sequence[str], score: str = "score") -> DataFrame:
@@ -106,8 +108,9 @@ def field_confusion(gold: Column, actual: Column, exact: Column) -> Column:
 
 def slices(df: DataFrame, labels: Column, scores: Mapping[str, Column]) -> DataFrame:
     """Means and applicable counts by overlapping labels; a row counts once for each of its labels."""
-    exploded = df.select(F.explode(F.array_distinct(labels)).alias("label"), F.struct(*[v.cast("double").alias(k) for k, v in scores.items()]).alias("s"))
-    long = exploded.select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(f"s.{k}").alias("x")) for k in scores])).alias("m"))
+    measured = F.array(*[F.struct(F.lit(k).alias("metric"), v.cast("double").alias("x")) for k, v in scores.items()])
+    exploded = df.select(F.array_distinct(labels).alias("labels"), measured.alias("s")).select(F.explode("labels").alias("label"), "s")
+    long = exploded.select("label", F.explode("s").alias("m"))
     return long.groupBy("label", "m.metric").agg(F.avg("m.x").alias("score"), F.count("m.x").alias("applicable"))
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .generation import small
+
 
 def fold(changes: DataFrame, session: str, order: Sequence[str], fields: Sequence[str], resets: Column, field: str = "field", value: str = "value") -> DataFrame:
     """State rows ``(session, turn, field, value)`` after every turn.
@@ -58,7 +60,7 @@ def contradictions(conditions: DataFrame, keys: Sequence[str], factor: Column |
 def set_contradictions(conditions: DataFrame, keys: Sequence[str], closure: DataFrame) -> DataFrame:
     """Groups of set conditions ``(keys, op, values)`` where all that one ``in`` wants is excluded, descendants included."""
     numbered = conditions.withColumn("_c", F.monotonically_increasing_id())
-    codes = numbered.select(*keys, "op", "_c", F.explode("values").alias("code")).join(F.broadcast(closure), "code")
+    codes = numbered.select(*keys, "op", "_c", F.explode("values").alias("code")).join(small(closure), "code")
     excluded = codes.where("op = 'not_in'").select(*keys, F.col("descendant").alias("gone")).distinct()
     wanted = codes.where("op = 'in'").select(*keys, "_c", "descendant").distinct()
     on = [F.col(f"w.{k}").eqNullSafe(F.col(f"x.{k}")) for k in keys] + [F.col("w.descendant") == F.col("x.gone")]

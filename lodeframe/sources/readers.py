@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .strict_json import StrictJSONError, parse, strict_object
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, line_no, line)``; a file is read by one task, so its lines can be numbered."""
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.jsonl")
-    lines = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
-    return lines.where(F.trim("line") != "").select("file", (F.col("at") + 1).alias("line_no"), "line")
+    """``(file, line_no, line)`` of the lines that aren't blank, of every ``*.jsonl`` below a path, or of one file of any name.
+
+    Files are read in splits.  A split numbers its own lines; the numbers of lines
+    in the splits before it, one small row a split, are added.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
+    if not re.search(r"\.[a-z]+$", path):
+        reader = reader.option("pathGlobFilter", "*.jsonl")
+    block = F.col("_metadata.file_block_start")
+    raw = reader.text(path).select(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    # rows of a split follow each other in their task
+    raw = raw.withColumn("at", F.monotonically_increasing_id())
+    splits = raw.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    numbered = raw.join(splits, ["file", "block"]).withColumn("line_no", (F.col("at") + F.col("shift")).cast("int"))
+    return numbered.where(F.trim("line") != "").select("file", "line_no", "line")
 
 
 def jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -131,6 +145,23 @@ def complete(send: Transport, url: str, body: Mapping[str, Any], attempts: int =
     raise RuntimeError("no answer")
 
 
+def complete_items(send: Transport, url: str, body: Mapping[str, Any], attempts: int = 3, secret: str = "", sleep: Callable[[float], None] = time.sleep) -> dict[str, Any]:
+    """One completion by the item protocol: the texts of all output items; an answer without text is asked for again."""
+
+    def as_chat(at: str, asked: Mapping[str, Any]) -> tuple[int, Mapping[str, Any]]:
+        status, answer = send(at, asked)
+        if status != 200:
+            return status, answer
+        text = "".join(c.get("text", "") for item in answer.get("output", ()) for c in item.get("content") or () if c.get("type") == "output_text")
+        return 200, {"choices": [{"message": {"content": text}, "finish_reason": answer.get("status")}], "usage": answer.get("usage")}
+
+    for k in range(attempts):
+        done = complete(as_chat, url, body, attempts, secret, sleep)
+        if done["text"].strip():
+            return done | {"attempts": k + done["attempts"]}
+    raise RuntimeError("the answer was empty")
+
+
 def as_items(messages: Iterable[Mapping[str, str]], schema: Mapping[str, Any] | None = None) -> dict[str, Any]:
     """Chat messages as the item list of a responses request, with a closed schema as the output format."""
     out: dict[str, Any] = {"input": [{"role": m["role"], "content": [{"type": "output_text" if m["role"] == "assistant" else "input_text", "text": m["content"]}]} for m in messages]}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch
+
 
 def tumbling(events: DataFrame, time: str, width: str, keys: Sequence[str], value: str, late: str | None = None) -> DataFrame:
     """Count and sum of a value by window; with ``late``, a stream drops what comes later than that."""
@@ -45,13 +46,34 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(p).isDirectory()
 
 
-def run_to_table(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there and return its last output; for results of report size."""
-    name = "stream_" + uuid.uuid4().hex
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.table(name)
+def run_to_table(stream: DataFrame, mode: str = "complete", folder: str | None = None) -> DataFrame:
+    """Run a stream over what is there and return its output as a table.
+
+    ``folder`` holds the checkpoint and the output: a run that was stopped goes on
+    where it was when it is started with the same folder.  A complete output
+    replaces the one before, others are added; a batch that is written again after
+    a failure replaces its own part.
+    """
+    spark = stream.sparkSession
+    folder = folder or scratch(spark, "stream")
+    schema = stream.schema
+
+    def write(batch: DataFrame, number: int) -> None:
+        part = "all" if mode == "complete" else f"batch-{number}"
+        batch.write.mode("overwrite").parquet(f"{folder}/output/part={part}")
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    out = spark.read.schema(schema).parquet(f"{folder}/output/part=*") if _exists(spark, f"{folder}/output") else spark.createDataFrame([], schema)
+    return out.select(*schema.names)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def replay_counts(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
+def replay_counts(spark: SparkSession, path: str, key: str, order: str, folder: str | None = None) -> DataFrame:
+    """Counts and first places by key of the files of a path, kept up to date by a stream."""
     stream = read_stream(spark, path).groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first_id"))
-    return run_to_table(stream)
+    return run_to_table(stream, folder=folder)

@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from lodeframe.functions import text as T
 from lodeframe.functions import times, units, vectors
-from lodeframe.operators import corpus, matching, provenance, ranking, reports, sessions
+from lodeframe.operators import corpus, generation, matching, provenance, ranking, reports, sessions
 from lodeframe.sources import readers, sinks
 from lodeframe.sources.strict_json import StrictJSONError, parse, strict_object
 from lodeframe.streaming import session_state, windows
@@ -103,6 +103,16 @@ def test_text_functions(spark):
     assert all(get(T.hash_choice(F.lit(s), 7)) == int(hashlib.sha256(s.encode()).hexdigest(), 16) % 7 for s in ("a", "b", "case"))
     assert get(T.fingerprint(F.lit(" a  b"))) == get(T.fingerprint(F.lit("a b ")))
     assert get(T.reply_score(F.lit(1), F.lit(2), F.lit(0.5))) == pytest.approx(0.5)
+    said = lambda t: get(T.acts_of(F.lit(t)))
+    assert said("请问您什么时候方便？") == ["ask_for_start_time"] and said("已确认60分钟服务") == ["request_confirmation"]
+    assert said("已经为您预约") == ["claim_booking_success"] and said("技师排满了") == ["inform_technician_unavailable"]
+    acts = lambda *a: F.array(*map(F.lit, a)) if a else F.array().cast("array<string>")
+    judged = get(T.judge_reply(F.lit("请问什么时候？已经预约"), acts("ask_for_start_time"), acts("claim_booking_success"), acts()))
+    assert (judged.score, judged.passed, judged.forbidden) == (1.0, False, ["claim_booking_success"])
+    stamp = lambda *a: F.lit(datetime(*a)).cast("timestamp_ntz")
+    forms = get(times.time_forms(stamp(2026, 3, 2, 15, 30), stamp(2026, 3, 1, 9)))
+    assert {"2026-03-02 15:30", "3月2日15点30分", "3月2号15点30分", "15:30", "15点30分", "下午3点30分", "明天15点30分", "明天下午3点30分", "2026年03月02日15点30分"} == set(forms)
+    assert not any("天" in f for f in get(times.time_forms(stamp(2026, 3, 4, 12), stamp(2026, 3, 1, 9)))) and "上午9点" in get(times.time_forms(stamp(2026, 3, 4, 9)))
     assert get(units.to_base_unit(F.lit(8), F.lit("oz"), {"oz": Decimal("28.349523125")})) == pytest.approx(226.796185)
     assert get(vectors.cosine(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(1.0), F.lit(1.0)))) == pytest.approx(0.5**0.5)
     now = F.lit(datetime(2026, 3, 1, 10)).cast("timestamp_ntz")
@@ -123,6 +133,25 @@ def test_ranks_spread_and_agree(spark):
     assert order == [0, 2, 1, 4, 3]
 
 
+def test_least_used_against_a_plain_walk(spark):
+    import hashlib
+
+    rows = [(k, f"g{k % 3}" if k % 7 else None) for k in range(120)]
+    used = [("g0", "b", 5), ("g0", "c", 2), (None, "a", 40), ("g1", "zz", 3)]
+    choices = ["a", "b", "c", "d"]
+    out = generation.least_used(spark.createDataFrame(rows, "id int, g string"), "g", "id", choices, spark.createDataFrame(used, "g string, choice string, n int"), "s")
+    got = {r.id: r.choice for r in out.collect()}
+    for g in {g for _, g in rows}:
+        counts = {c: next((n for x, y, n in used if (x, y) == (g, c)), 0) for c in choices}
+        # Spark concatenates a null group to null, which hashes no choice: they stay in order of name
+        order = sorted(choices, key=lambda c: (hashlib.sha256(f"s:{c}:{g}".encode()).hexdigest() if g else "", c))
+        for i, x in rows:
+            if x == g:
+                want = min(choices, key=lambda c: (counts[c], order.index(c)))
+                assert got[i] == want, (g, i)
+                counts[want] += 1
+
+
 def test_null_groups_lose_no_row(spark):
     """Groups of any number and with null among them; both ways of interleaving agree with a plain round robin."""
     rows = [(k, None if k % 4 == 0 else f"g{k % 3}") for k in range(50)]
@@ -367,8 +396,11 @@ def test_replies(spark):
     assert get(A.names_in(F.lit("已找到王芳技师，老师李明。一位技师"))) == ["王芳", "李明"]
     gold = F.parse_json(F.lit(json.dumps(answer(technician_name="王芳", duration_minutes=90, start_time="2026-03-01 14:30", preferences=["安静"]))))
     need = F.array(*map(F.lit, ("technician_name", "duration_minutes", "start_time", "preferences")))
-    good = A.reply_errors(F.lit("为您安排王芳技师，2点半，一个半小时，安静"), gold, need)
+    good = A.reply_errors(F.lit("为您安排王芳技师，下午2点30分，一个半小时，安静"), gold, need)
     assert get(good[1]) == [] and get(good[0]) == 6
+    now = F.lit("2026-02-28 10:00").cast("timestamp_ntz")
+    near = lambda when: get(A.reply_errors(F.lit(f"王芳技师，{when}，90分钟，安静"), gold, need, now)[1])
+    assert near("明天下午2点30分") == [] and near("明天14点30分") == [] and near("3月1号14点30分") == [] and near("后天") == ["start_time"]
     bad = A.reply_errors(F.lit("安排李明技师，3点"), gold, need)
     assert set(get(bad[1])) == {"technician_name", "duration_minutes", "start_time", "unsupported_technician_name", "preference:安静"}
     assert get(A.faithfulness(bad[0], bad[1])) == pytest.approx(1 / 6)
