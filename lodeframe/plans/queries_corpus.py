@@ -63,13 +63,25 @@ def splits_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RANKED = "row_number() OVER (PARTITION BY lang ORDER BY sha256('split:' || lang || ':' || doc_id), doc_id)"
 
 
-@register(f"""
-SELECT doc_id, lang, CASE WHEN r <= least(n - 1, greatest(1, floor(n * 0.1))) AND n > 1 THEN 'validation' ELSE 'train' END AS split
-FROM (SELECT doc_id, lang, {_RANKED} AS r, count(*) OVER (PARTITION BY lang) AS n FROM documents)
+@register("""
+WITH RECURSIVE sizes AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL),
+strata AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, lang NULLS FIRST) AS k FROM sizes),
+lists AS (SELECT list(n ORDER BY k) AS ns, list(CASE WHEN n > 1 THEN least(n - 1, greatest(1, floor(n * 0.1::DOUBLE))) ELSE 0 END::BIGINT ORDER BY k) AS qs,
+  least(greatest(count(*) FILTER (n > 1), round_even(sum(n) * 0.1::DOUBLE, 0)), sum(n - 1))::BIGINT AS wanted FROM strata),
+walk AS (
+  SELECT ns, qs, wanted FROM lists
+  UNION ALL SELECT ns, list_transform(qs, lambda q, k: q + CASE WHEN k = spot THEN step ELSE 0 END), wanted FROM (
+    SELECT *, list_position(costs, list_min(costs)) AS spot FROM (
+      SELECT *, list_transform(qs, lambda q, k: CASE WHEN (step > 0 AND q < ns[k] - 1) OR (step < 0 AND q > 1) THEN step * (q - ns[k] * 0.1::DOUBLE) ELSE 1e9 END) AS costs FROM (
+        SELECT *, sign(wanted - list_sum(qs))::BIGINT AS step FROM walk WHERE list_sum(qs) <> wanted)))
+), quotas AS (SELECT s.source, s.lang, w.qs[s.k] AS quota FROM walk w, strata s WHERE list_sum(w.qs) = w.wanted),
+ranked AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY source, lang ORDER BY sha256('split:' || source || ':' || lang || ':' || doc_id), doc_id) AS r FROM documents)
+SELECT doc_id, r.lang, r.source, CASE WHEN r <= quota THEN 'validation' ELSE 'train' END AS split FROM ranked r JOIN quotas q ON r.source IS NOT DISTINCT FROM q.source AND r.lang IS NOT DISTINCT FROM q.lang
 """)
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return ranking.stratified_split(docs, ["lang"], "doc_id", 0.1, "split", adjust=False)
+    """A tenth of each stratum for validation, adjusted to a tenth of all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return ranking.stratified_split(docs, ["source", "lang"], "doc_id", 0.1, "split")
 
 
 @register(f"""
@@ -129,30 +141,29 @@ def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("""
 WITH t AS (SELECT item_id, lower(text) AS t FROM benchmark),
-pairs AS (SELECT a.item_id, a.t AS x, b.t AS y FROM t a JOIN t b ON b.item_id = a.item_id + 1),
-grams AS (
-  SELECT item_id, n, side, substr(t, p, n) AS g, count(*) AS c
-  FROM (SELECT item_id, side, t, n, unnest(range(1, length(t) - n + 2)) AS p FROM (SELECT item_id, 'x' AS side, x AS t FROM pairs UNION ALL SELECT item_id, 'y', y FROM pairs), (VALUES (2), (3)) s(n)) GROUP BY ALL
-), totals AS (SELECT item_id, n, sum(c) AS c FROM grams GROUP BY ALL),
-shared AS (SELECT a.item_id, a.n, sum(least(a.c, b.c)) AS c FROM grams a JOIN grams b ON a.item_id = b.item_id AND a.n = b.n AND a.g = b.g AND a.side = 'x' AND b.side = 'y' GROUP BY ALL)
-SELECT t.item_id, round(sum(2 * coalesce(s.c, 0) / t.c) / 2, 6)::DOUBLE AS f1 FROM totals t LEFT JOIN shared s ON s.item_id = t.item_id AND s.n = t.n GROUP BY t.item_id
+grams AS (SELECT item_id, n, substr(t, p, n) AS g, count(*) AS c FROM (SELECT item_id, t, n, unnest(range(1, length(t) - n + 2)) AS p FROM t, (VALUES (2), (3)) s(n)) GROUP BY ALL),
+totals AS (SELECT item_id, n, sum(c) AS c FROM grams GROUP BY ALL),
+shared AS (SELECT a.item_id AS a, b.item_id AS b, a.n, sum(least(a.c, b.c)) AS c FROM grams a JOIN grams b ON a.n = b.n AND a.g = b.g AND b.item_id % 10 = 0 AND a.item_id <> b.item_id GROUP BY ALL),
+f1 AS (SELECT x.item_id AS a, y.item_id AS b, sum(2 * coalesce(s.c, 0) / (x.c + y.c)) / 2 AS f1 FROM totals x JOIN totals y ON x.n = y.n AND y.item_id % 10 = 0 AND x.item_id <> y.item_id
+  LEFT JOIN shared s ON s.a = x.item_id AND s.b = y.item_id AND s.n = x.n GROUP BY ALL)
+SELECT a AS item_id, round(max(f1), 6)::DOUBLE AS best, count(*) AS compared FROM f1 GROUP BY a
 """)
 def ngram_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each benchmark item against its reference, the next item."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("x"))
-    references = items.select((F.col("item_id") - 1).alias("item_id"), F.col("x").alias("y"))
-    return items.join(references, "item_id").select("item_id", F.round(T.similarity(F.col("x"), F.col("y")), 6).alias("f1"))
+    """Each benchmark item against every item whose id is divisible by ten: how many those are, and the best likeness."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.lower("text").alias("text"))
+    pairs = matching.text_likeness(items, items.where("item_id % 10 = 0"), "item_id", "text")
+    return pairs.groupBy(F.col("a").alias("item_id")).agg(F.round(F.max("f1"), 6).alias("best"), F.count("*").alias("compared"))
 
 
 @register("""
-SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine, a.label = b.label AS same_label
-FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+SELECT q.vec_id AS query, v.vec_id AS vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 5) AS cosine, q.label = v.label AS same_label
+FROM embeddings q JOIN embeddings v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id WHERE list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) >= 0.3
 """)
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector against the next one; ``similar_vectors`` searches the whole table."""
+    """Every vector whose id is divisible by 100 against all vectors: those of cosine 0.3 or more."""
     vecs = table(spark, sf_dir, "embeddings")
-    following = vecs.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"), F.col("label").alias("other_label"))
-    return vecs.join(following, "vec_id").select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("other")), 5).alias("cosine"), (F.col("label") == F.col("other_label")).alias("same_label"))
+    found = matching.search_vectors(vecs.where("vec_id % 100 = 0"), vecs, "vec_id", "embedding", 0.3, ["label"])
+    return found.select("query", F.col("row").alias("vec_id"), F.round("cosine", 5).alias("cosine"), (F.col("query_label") == F.col("row_label")).alias("same_label"))
 
 
 @register("""
@@ -165,7 +176,18 @@ def similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("a", "b", F.round("cosine", 5).alias("cosine"), (F.col("a_label") == F.col("b_label")).alias("same_label"))
 
 
-@register()
+@register("""
+WITH RECURSIVE scored AS (
+  SELECT a.vec_id // 8 AS c, a.vec_id AS i, b.vec_id AS j, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score
+  FROM embeddings a JOIN embeddings b ON a.vec_id // 8 = b.vec_id // 8 AND a.vec_id % 8 < 4 AND b.vec_id % 8 >= 4
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY score DESC, i DESC, j DESC) AS r FROM scored WHERE score >= 0),
+walk AS (
+  SELECT DISTINCT c, 0::BIGINT AS r, []::BIGINT[] AS left_, []::BIGINT[] AS right_, []::BIGINT[] AS taken FROM ranked
+  UNION ALL SELECT w.c, n.r, CASE WHEN free THEN list_append(left_, n.i) ELSE left_ END, CASE WHEN free THEN list_append(right_, n.j) ELSE right_ END, CASE WHEN free THEN list_append(taken, n.r) ELSE taken END
+  FROM (SELECT w.*, n.i, n.j, n.r AS next_r, NOT list_contains(left_, n.i) AND NOT list_contains(right_, n.j) AS free FROM walk w JOIN ranked n ON n.c = w.c AND n.r = w.r + 1) w JOIN ranked n ON n.c = w.c AND n.r = w.next_r
+), ends AS (SELECT c, arg_max(taken, r) AS taken FROM walk GROUP BY c)
+SELECT s.c AS "case", s.i, s.j, s.score FROM ranked s JOIN ends e ON e.c = s.c AND list_contains(e.taken, s.r)
+""")
 def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases of eight vectors: four expected ones, each matched with one of four actual ones at most, best first."""
     vecs = table(spark, sf_dir, "embeddings").withColumn("case", F.floor(F.col("vec_id") / 8))
