@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -191,3 +193,48 @@ def hash_choice(key: Column, n: int) -> Column:
     digits = F.split(F.sha2(key, 256), "")
     value = lambda d: F.conv(d, 16, 10).cast("int")
     return F.aggregate(F.filter(digits, lambda d: d != ""), F.lit(0), lambda acc, d: (acc * 16 + value(d)) % n)
+
+
+def pick_unused(key: Column, choices: Sequence[str], used: Column) -> Column:
+    """The choice that the key's hash names, or the next one in turn that ``used`` doesn't hold; null if all are used."""
+    pool = F.array(*map(F.lit, choices))
+    turned = bound(hash_choice(key, len(choices)), lambda k: F.concat(F.slice(pool, k + 1, F.lit(len(choices))), F.slice(pool, F.lit(1), k)))
+    return F.get(F.filter(turned, lambda c: ~F.array_contains(used, c)), F.lit(0))
+
+
+#: Words for a preference, by the preference that they mean, and signs of a refusal.
+PREFERENCES: dict[str, tuple[str, ...]] = {
+    "肩颈": ("肩颈", "颈肩", "肩膀和脖子", "脖子和肩膀", "肩颈放松", "颈肩放松"),
+    "足部": ("足部", "足疗", "脚底按摩", "按脚", "脚部按摩", "足底"),
+    "精油": ("精油", "精油按摩", "精油spa", "芳香精油", "喜欢精油"),
+    "泰式": ("泰式", "泰式按摩"),
+    "手法轻柔": ("手法轻柔", "力度轻一点", "轻柔", "轻一点", "不要太重"),
+    "力度较重": ("力度大一些", "重一点", "手法重", "力度重"),
+}
+REFUSALS = ("不要", "不想", "不喜欢", "避免", "别用", "不能", "不需要")
+PREFERENCE_MARKS = r"(?U)[\s，。！？、,.!?;；:：·\-_/]+"
+
+
+def nfkc(text: Column) -> Column:
+    """Compatibility composition, which Spark has no function for; over Arrow batches."""
+
+    def composed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    return F.pandas_udf(composed, "string")(text)
+
+
+def plain_preference(text: Column) -> Column:
+    return F.regexp_replace(F.trim(F.lower(nfkc(text))), PREFERENCE_MARKS, "")
+
+
+def meant_preference(plain: Column) -> Column:
+    """The preference that a plain text stands for, null for none."""
+    out = F.lit(None).cast("string")
+    for name, words in PREFERENCES.items():
+        out = F.when(plain.isin(*words), name).otherwise(out)
+    return out
+
+
+def refuses(plain: Column) -> Column:
+    return plain.rlike("|".join(REFUSALS))

@@ -236,23 +236,27 @@ def faithfulness(checks: Column, errors: Column) -> Column:
 
 def reply_errors(reply: Column, expected: Column, required: Column, now: Column | None = None) -> tuple[Column, Column]:
     """Number of checks and errors of a reply against its expected answer; near days may be named from ``now``."""
-    said = T.normalize_reply(reply)
     name, duration = field(expected, "technician_name", "string"), field(expected, "duration_minutes", "long")
     stamp = times.read_stamp(field(expected, "start_time", "string"))
     prefers = F.coalesce(field(expected, "preferences", "array<string>"), F.array().cast("array<string>"))
     needs = lambda k: F.array_contains(required, k)
-    named = names_in(reply)
-    errors = F.array_compact(
-        F.array(
-            F.when(needs("technician_name") & ~F.coalesce(F.contains(said, T.normalize_reply(name)), F.lit(False)), F.lit("technician_name")),
-            F.when(needs("duration_minutes") & ~F.coalesce(F.contains(said, F.concat(duration.cast("string"), F.lit("分钟"))), F.lit(False)), F.lit("duration_minutes")),
-            F.when(needs("start_time") & ~F.coalesce(says_time(said, stamp, now), F.lit(False)), F.lit("start_time")),
-            F.when((F.size(named) > 0) & F.coalesce(F.exists(named, lambda n: n != name), F.lit(True)), F.lit("unsupported_technician_name")),
+
+    def found(said: Column) -> Column:
+        lost = F.filter(prefers, lambda p: ~F.contains(said, T.normalize_reply(p)))
+        return F.concat(
+            F.array_compact(
+                F.array(
+                    F.when(needs("technician_name") & ~F.coalesce(F.contains(said, T.normalize_reply(name)), F.lit(False)), F.lit("technician_name")),
+                    F.when(needs("duration_minutes") & ~F.coalesce(F.contains(said, F.concat(duration.cast("string"), F.lit("分钟"))), F.lit(False)), F.lit("duration_minutes")),
+                    F.when(needs("start_time") & ~F.coalesce(says_time(said, stamp, now), F.lit(False)), F.lit("start_time")),
+                )
+            ),
+            F.when(F.coalesce(F.exists(names_in(reply), lambda n: ~n.eqNullSafe(name)), F.lit(False)), F.array(F.lit("unsupported_technician_name"))).otherwise(F.array().cast("array<string>")),
+            F.when(needs("preferences"), F.transform(lost, lambda p: F.concat(F.lit("preference:"), p))).otherwise(F.array().cast("array<string>")),
         )
-    )
-    lost = F.when(needs("preferences"), F.transform(F.filter(prefers, lambda p: ~F.contains(said, T.normalize_reply(p))), lambda p: F.concat(F.lit("preference:"), p)))
+
     checks = 2 + F.size(F.array_intersect(required, F.array(*map(F.lit, ("technician_name", "duration_minutes", "start_time"))))) + F.when(needs("preferences"), F.size(prefers)).otherwise(0)
-    return checks, F.concat(errors, F.coalesce(lost, F.array().cast("array<string>")))
+    return checks, T.bound(T.normalize_reply(reply), found)
 
 
 # --- preference pairs ---------------------------------------------------------------------------------------------------

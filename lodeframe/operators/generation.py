@@ -89,6 +89,35 @@ def render_prompts(df: DataFrame, prefix: str, state: str, text: str) -> DataFra
     return df.withColumn("messages", F.array(F.struct(F.lit("system").alias("role"), system.alias("content")), F.struct(F.lit("user").alias("role"), F.col(text).alias("content"))))
 
 
+def render_appointment_prompts(df: DataFrame, rules: str, tools: Mapping[str, Mapping[str, Any]], now: str, history: str, text: str, allowed: Column | None = None) -> DataFrame:
+    """System text with rules, time and tools, then the history, then what the user says, if anything.
+
+    ``history`` is an array of structs of role and content; ``allowed`` names the
+    tools of a row, all by default; a tool that nobody knows is an error when the
+    plan runs.
+    """
+    names = F.array(*map(F.lit, tools)) if allowed is None else allowed
+    shown = F.create_map(*[x for name in tools for x in (F.lit(name), F.lit(tool_schema(name, tools)))])
+    schemas = F.transform(names, lambda n: F.coalesce(F.try_element_at(shown, n), F.raise_error(F.concat(F.lit("unknown tool "), n))))
+    system = F.concat(F.lit(rules + "\nTime: "), F.col(now), F.lit("\nTools: ["), F.array_join(schemas, ","), F.lit("]"))
+    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    none = F.array().cast("array<struct<role:string,content:string>>")
+    told = F.coalesce(F.transform(history, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))), none)
+    said = F.when(F.coalesce(F.trim(F.col(text)) != "", F.lit(False)), F.array(message("user", F.col(text)))).otherwise(none)
+    return df.withColumn("messages", F.concat(F.array(message("system", system)), told, said))
+
+
+#: Who may speak at an even place of a chat, from 0, and who at an odd one.
+ODD_TURNS, EVEN_TURNS = ("gpt", "function_call"), ("human", "observation")
+
+
+def turn_errors(chats: Column) -> Column:
+    """Places of a chat, from 0, whose speaker may not stand there: people and observations ask, the model and its calls answer."""
+    return F.filter(
+        F.transform(chats, lambda c, k: F.when(F.when(k % 2 == 0, c["from"].isin(*EVEN_TURNS)).otherwise(c["from"].isin(*ODD_TURNS)), F.lit(None).cast("int")).otherwise(k)), lambda k: k.isNotNull()
+    )
+
+
 def render_template(messages: Column, begin: str = "<|im_start|>", end: str = "<|im_end|>") -> Column:
     """Messages as one calibration text."""
     return F.array_join(F.transform(messages, lambda m: F.concat(F.lit(begin), m["role"], F.lit("\n"), m["content"], F.lit(f"{end}\n"))), "")

@@ -58,59 +58,58 @@ def turn_of(t: Column) -> Column:
     return F.struct(role.alias("role"), F.coalesce(ok, F.lit(False)).alias("ok"), F.when(calling, field(call, "id", "string")).alias("asked"), field(t, "tool_call_id", "string").alias("answered"))
 
 
-def history_checks(v: Column) -> dict[str, Column]:
-    """Rules of a message history: sound turns, legal steps, every tool result with a call before it and every call answered."""
-    raw = F.try_variant_get(v, "$.input.history", "array<variant>")
+def history_errors(v: Column) -> Column:
+    """Rules that a message history breaks: sound turns, legal steps, every tool result with a call before it and every call answered.
+
+    Each turn is read once, however many rules look at it.
+    """
     given = kind_of(v, "input.history")
-    turns = F.when(given.isNull(), F.array().cast("array<variant>")).otherwise(raw)
+    turns = F.coalesce(F.try_variant_get(v, "$.input.history", "array<variant>"), F.array().cast("array<variant>"))
     said = F.try_variant_get(v, "$.input.user_input", "variant")
     has_said = F.coalesce(_is_text(v, "input.user_input"), F.lit(False))
+    told = said.isNull() | (F.schema_of_variant(said) == "VOID") | has_said
 
     def judged(read: Column) -> Column:
         n = F.size(read)
         role = lambda k: F.get(read, k)["role"]
-        places = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+        every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
         legal = lambda k: reduce(lambda a, b: a | b, [(role(k - 1) == r) & role(k).isin(*after) for r, after in FOLLOWS.items()])
         # a call asks once; the next call forgets what wasn't answered, which shows at the end
-        last_call = lambda k: F.array_max(F.filter(F.sequence(F.lit(0), k), lambda i: F.get(read, i)["asked"].isNotNull()))
-        answers = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda k: role(k) == "tool")
+        last_call = lambda k: F.array_max(F.filter(every, lambda i: (i <= k) & F.get(read, i)["asked"].isNotNull()))
+        answers = F.filter(every, lambda k: role(k) == "tool")
         matched = F.forall(answers, lambda k: F.coalesce(F.get(read, last_call(k))["asked"] == F.get(read, k)["answered"], F.lit(False)))
         once = F.size(F.array_distinct(F.transform(answers, last_call))) == F.size(answers)
-        open_call = F.coalesce(F.exists(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda k: (k == last_call(n - 1)) & ~F.exists(answers, lambda a: (a > k) & (F.get(read, a)["answered"] == F.get(read, k)["asked"]))), F.lit(False))
+        answered = lambda k: F.exists(answers, lambda a: (a > k) & (F.get(read, a)["answered"] == F.get(read, k)["asked"]))
+        open_call = F.exists(every, lambda k: (k == last_call(n - 1)) & ~answered(k))
         end = F.get(read, n - 1)["role"]
-        return F.struct(
-            F.forall(read, lambda t: t["ok"]).alias("turns"),
-            ((n == 0) | (role(F.lit(0)) == "user")).alias("start"),
-            F.forall(places, legal).alias("steps"),
-            (matched & once).alias("results"),
-            (~open_call).alias("calls"),
-            F.when(has_said, (n == 0) | (end == "assistant")).otherwise((n > 0) & (end == "tool")).alias("end"),
+        return errors_of(
+            {
+                "history": given.isNull() | (given == "ARRAY"),
+                "turns": F.forall(read, lambda t: t["ok"]),
+                "start": (n == 0) | (role(F.lit(0)) == "user"),
+                "steps": F.forall(every, lambda k: (k == 0) | legal(k)),
+                "results": matched & once,
+                "calls": ~F.coalesce(open_call, F.lit(False)),
+                "end": F.when(has_said, (n == 0) | (end == "assistant")).otherwise((n > 0) & (end == "tool")),
+                "user_input": told,
+            }
         )
 
-    all_ = bound(F.transform(turns, turn_of), judged)
-    return {
-        "history": given.isNull() | (given == "ARRAY"),
-        "turns": all_["turns"],
-        "start": all_["start"],
-        "steps": all_["steps"],
-        "results": all_["results"],
-        "calls": all_["calls"],
-        "end": all_["end"],
-        "user_input": said.isNull() | (F.schema_of_variant(said) == "VOID") | has_said,
-    }
+    return bound(F.transform(turns, turn_of), judged)
 
 
-def _common(v: Column) -> dict[str, Column]:
+def _shape_errors(v: Column) -> Column:
     state = kind_of(v, "input.current_state")
-    return {
-        "id": (kind_of(v, "id") == "STRING") & (field(v, "id", "string") != ""),
-        "output_kind": field(v, "output_kind", "string").isin(*KINDS),
-        "conversation_kind": field(v, "conversation_kind", "string").isin(*CONVERSATIONS),
-        "input": _object(v, "input"),
-        "expected": _object(v, "expected"),
-        "current_state": state.isNull() | state.isin("OBJECT", "VOID"),
-        **history_checks(v),
-    }
+    return errors_of(
+        {
+            "id": (kind_of(v, "id") == "STRING") & (field(v, "id", "string") != ""),
+            "output_kind": field(v, "output_kind", "string").isin(*KINDS),
+            "conversation_kind": field(v, "conversation_kind", "string").isin(*CONVERSATIONS),
+            "input": _object(v, "input"),
+            "expected": _object(v, "expected"),
+            "current_state": state.isNull() | state.isin("OBJECT", "VOID"),
+        }
+    )
 
 
 def sample_errors(v: Column) -> Column:
@@ -118,7 +117,8 @@ def sample_errors(v: Column) -> Column:
     call = (field(v, "output_kind", "string") == "tool_call") | F.coalesce(field(v, "expected.action", "string") == "tool_call", F.lit(False))
     absent = kind_of(v, "reply_expectations").isNull() | (kind_of(v, "reply_expectations") == "VOID")
     wanted = reduce(lambda a, b: a & b, [_texts(v, f"reply_expectations.{k}") for k in ("required_acts", "forbidden_acts", "required_fields", "references")])
-    return errors_of(_common(v) | {"assertions": _texts(v, "assertions"), "tags": _texts(v, "tags"), "reply_expectations": F.when(call, absent).otherwise(_object(v, "reply_expectations") & wanted)})
+    rest = {"assertions": _texts(v, "assertions"), "tags": _texts(v, "tags"), "reply_expectations": F.when(call, absent).otherwise(_object(v, "reply_expectations") & wanted)}
+    return F.concat(_shape_errors(v), history_errors(v), errors_of(rest))
 
 
 def raw_sample_errors(v: Column) -> Column:
@@ -126,15 +126,13 @@ def raw_sample_errors(v: Column) -> Column:
     tags, targets = field(v, "tags", "array<string>"), field(v, "dpo_targets", "array<string>")
     categories = F.filter(F.array(*map(F.lit, TARGETS)), lambda c: F.array_contains(tags, c))
     allowed = F.create_map(*[x for c, t in TARGETS.items() for x in (F.lit(c), F.array(*map(F.lit, t)))])[F.get(categories, F.lit(0))]
-    return errors_of(
-        {
-            "keys": keys_of(v) == F.array(*map(F.lit, sorted(RAW_KEYS))),
-            **_common(v),
-            "tags": _texts(v, "tags") & (F.size(categories) == 1),
-            "action": field(v, "expected.action", "string") == field(v, "output_kind", "string"),
-            "dpo_targets": _texts(v, "dpo_targets") & (F.size(F.array_distinct(targets)) == F.size(targets)) & (F.size(F.array_except(targets, allowed)) == 0),
-        }
-    )
+    rest = {
+        "tags": _texts(v, "tags") & (F.size(categories) == 1),
+        "action": field(v, "expected.action", "string") == field(v, "output_kind", "string"),
+        "dpo_targets": _texts(v, "dpo_targets") & (F.size(F.array_distinct(targets)) == F.size(targets)) & (F.size(F.array_except(targets, allowed)) == 0),
+    }
+    keys = errors_of({"keys": keys_of(v) == F.array(*map(F.lit, sorted(RAW_KEYS)))})
+    return F.concat(keys, _shape_errors(v), history_errors(v), errors_of(rest))
 
 
 def scan(rows: DataFrame, raw: bool = False) -> DataFrame:

@@ -13,23 +13,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .generation import small
+from .ranking import distributed_rank
 
 
-def fold(changes: DataFrame, session: str, order: Sequence[str], fields: Sequence[str], resets: Column, field: str = "field", value: str = "value") -> DataFrame:
+def fold(
+    changes: DataFrame, session: str, order: Sequence[str], fields: Sequence[str], resets: Column, field: str = "field", value: str = "value", bucket: Column | None = None
+) -> DataFrame:
     """State rows ``(session, turn, field, value)`` after every turn.
 
     ``changes`` has one row a turn; ``resets`` marks turns that empty the state
-    first.  A null value clears its field.  One sort serves all fields.
+    first.  A null value clears its field.  With ``bucket``, which must not fall as
+    the order rises, a session is folded bucket by bucket, each by a task of its
+    own, and the last values of the buckets before, one row a bucket, are added: so
+    a session with a third of all turns is folded by many tasks.
     """
-    w = Window.partitionBy(session).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turns = changes.withColumn("turn", F.row_number().over(w))
-    reset_at = F.coalesce(F.max(F.when(resets, F.col("turn"))).over(upto), F.lit(0))
-    source = lambda f: F.last(F.when(F.col(field) == f, F.struct("turn", value)), ignorenulls=True).over(upto)
-    wide = turns.select(session, "turn", reset_at.alias("_reset"), *[source(f).alias(f"_f{k}") for k, f in enumerate(fields)])
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_f{k}.turn").alias("at"), F.col(f"_f{k}.{value}").alias("value")) for k, f in enumerate(fields)])
-    alive = F.filter(cells, lambda c: c["at"].isNotNull() & (c["at"] >= F.col("_reset")) & c["value"].isNotNull())
-    return wide.select(session, "turn", F.explode(alive).alias("c")).select(session, "turn", "c.field", "c.value")
+    marked = changes.withColumn("_bucket", F.lit(0) if bucket is None else bucket).withColumn("_reset", F.coalesce(resets, F.lit(False)))
+    turns = distributed_rank(marked, [session], [F.col(c) for c in order], F.col("_bucket"), "turn").withColumn("turn", F.col("turn").cast("int"))
+    turns = turns.select(session, "turn", "_reset", F.col(field).alias("_field"), F.col(value).alias("_value"), *([] if bucket is None else [bucket.alias("_bucket")]))
+    if bucket is None:
+        turns = turns.withColumn("_bucket", F.lit(0))
+    # turns rise, so the last of something is the greatest by turn
+    reset = F.max(F.when(F.col("_reset"), F.col("turn")))
+    last = {f"_f{k}": F.max(F.when(F.col("_field") == f, F.struct("turn", F.col("_value").alias("value")))) for k, f in enumerate(fields)}
+    inside = Window.partitionBy(session, "_bucket").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wide = turns.select(session, "_bucket", "turn", reset.over(inside).alias("_r"), *[c.over(inside).alias(n) for n, c in last.items()])
+    sums = turns.groupBy(session, "_bucket").agg(reset.alias("_r"), *[c.alias(n) for n, c in last.items()])
+    earlier = Window.partitionBy(session).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col(session).alias("_s"), F.col("_bucket").alias("_b"), *[F.max(n).over(earlier).alias(f"{n}_before") for n in ("_r", *last)])
+    both = wide.join(carried, wide[session].eqNullSafe(carried["_s"]) & wide["_bucket"].eqNullSafe(carried["_b"]))
+    now = lambda n: F.coalesce(F.col(n), F.col(f"{n}_before"))
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), now(f"_f{k}")["turn"].alias("at"), now(f"_f{k}")["value"].alias("value")) for k, f in enumerate(fields)])
+    alive = F.filter(cells, lambda c: c["at"].isNotNull() & (c["at"] >= F.coalesce(now("_r"), F.lit(0))) & c["value"].isNotNull())
+    return both.select(session, "turn", F.explode(alive).alias("c")).select(session, "turn", F.col("c.field").alias("field"), F.col("c.value").alias("value"))
 
 
 def state_diff(states: DataFrame, session: str) -> DataFrame:

@@ -399,13 +399,15 @@ def reply_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     start = F.make_timestamp_ntz(F.lit(2026), F.lit(3), 1 + (k % 3).cast("int"), 9 + (k % 12).cast("int"), F.lit(30), F.lit(0))
     now = F.lit("2026-03-01 08:00").cast("timestamp_ntz")
-    forms = times.time_forms(start, now)
-    said = F.get(forms, (k % F.size(forms)).cast("int"))
+    rows = orders(spark, sf_dir).select("k", start.alias("start")).withColumn("forms", times.time_forms(F.col("start"), now))
+    said = F.get("forms", (k % F.size("forms")).cast("int"))
     reply = F.concat(F.when(k % 3 == 0, "请问服务时长？").otherwise("您好。"), F.when(k % 4 == 0, "预约成功。").otherwise("谢谢。"), F.when(k % 5 == 0, said).otherwise("改天"))
-    gold = F.parse_json(F.concat(F.lit('{"start_time":"'), F.date_format(start, times.STAMP), F.lit('"}')))
+    gold = F.parse_json(F.concat(F.lit('{"start_time":"'), F.date_format("start", times.STAMP), F.lit('"}')))
     act = lambda *a: F.array(*map(F.lit, a))
     none = F.array().cast("array<string>")
-    rows = orders(spark, sf_dir).select("k", T.judge_reply(reply, act("ask_for_duration"), act("claim_booking_success"), none).alias("j"), appointments.reply_errors(reply, gold, act("start_time"), now)[1].alias("errors"))
+    rows = rows.select("k", reply.alias("reply"), gold.alias("gold"))
+    judged = T.judge_reply(F.col("reply"), act("ask_for_duration"), act("claim_booking_success"), none)
+    rows = rows.select("k", judged.alias("j"), appointments.reply_errors(F.col("reply"), F.col("gold"), act("start_time"), now)[1].alias("errors"))
     return rows.select("k", "j.score", "j.passed", F.array_join("errors", ",").alias("errors"))
 
 
@@ -611,3 +613,58 @@ def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = [base | {"model_id": f"m{k}", "size_b": k, "stage": "sft", "artifact_kind": "f16" if k % 5 == 0 else "q4_k_m", "is_anchor": k % 5 == 0} for k in range(10)]
     found = provenance.model_registry(spark, {"models": models})
     return found.agg(F.count("*").alias("models"), F.count_if("is_anchor").alias("anchors"), F.sum("size_b").alias("size"))
+
+
+@register("""
+SELECT s_suppkey AS id, s_name AS name, c_custkey AS other FROM (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS r FROM supplier)
+JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r FROM customer WHERE c_custkey <= (SELECT count(*) FROM supplier) + (SELECT min(c_custkey) FROM customer) - 1) USING (r)
+""")
+def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers beside as many customers, the k-th with the k-th."""
+    suppliers = table(spark, sf_dir, "supplier")
+    customers = table(spark, sf_dir, "customer")
+    n, first = suppliers.count(), customers.agg(F.min("c_custkey")).first()[0]
+    some = customers.where(F.col("c_custkey") <= n + first - 1).select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("other"))
+    return matching.positional_join(suppliers.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), some, "id")
+
+
+@register("""
+WITH h AS (SELECT o_orderkey AS k, (('0x' || substr(sha256(o_orderkey::VARCHAR), 57, 8))::BIGINT % 8)::INT AS h, o_orderkey % 3 = 0 AS taken FROM orders)
+SELECT k, chr(97 + CASE WHEN taken THEN (h + 1) % 8 ELSE h END) AS chosen FROM h
+""")
+def unused_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of eight letters by the key's hash, the next one where that is taken."""
+    letters = "abcdefgh"
+    own = F.get(F.array(*map(F.lit, letters)), T.hash_choice(F.col("k").cast("string"), 8))
+    used = F.when(F.col("k") % 3 == 0, F.array(own)).otherwise(F.array().cast("array<string>"))
+    return orders(spark, sf_dir).select("k", T.pick_unused(F.col("k").cast("string"), list(letters), used).alias("chosen"))
+
+
+@register("""
+SELECT k, CASE k % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 1.0 WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 ELSE 0.25 END::DOUBLE AS likeness FROM (SELECT o_orderkey AS k FROM orders)
+""")
+def preference_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preferences in other widths and words, other meanings, refusals, and those that the embeddings decide."""
+    from ..functions.vectors import preference_similarity
+
+    k = F.col("k")
+    pairs = [("ＡＢＣ 精油", "abc精油"), ("按脚", "足疗！"), ("泰式", "足底"), ("不喜欢热石", "热石"), ("热石", "冷敷")]
+    side = lambda n: F.get(F.array(*[F.lit(p[n]) for p in pairs]), (k % 5).cast("int"))
+    rows = orders(spark, sf_dir).select("k", side(0).alias("a"), side(1).alias("b"))
+    return rows.select("k", preference_similarity(F.col("a"), F.col("b"), F.lit(0.25)).alias("likeness"))
+
+
+@register("""
+SELECT conv_id, count(*) + 1 + (conv_id % 2 = 0)::INT AS messages, 'R' || chr(10) || 'Time: 2026-03-01' || chr(10) || 'Tools: [{"function":{"description":"d","name":"look"},"type":"function"}]' AS system,
+  coalesce(string_agg(k::VARCHAR, ',' ORDER BY k) FILTER (CASE WHEN k % 2 = 0 THEN role <> 'user' ELSE role <> 'assistant' END), '') AS misplaced
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k FROM conversations) GROUP BY conv_id
+""")
+def appointment_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with time, tools and history of each conversation, and the turns that stand where they may not."""
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("h"))
+    rows = turns.withColumns({"now": F.lit("2026-03-01"), "said": F.when(F.col("conv_id") % 2 == 0, "next").otherwise(" ")})
+    done = generation.render_appointment_prompts(rows, "R", {"look": {"description": "d"}}, "now", "h", "said")
+    names = {"user": "human", "assistant": "gpt"}
+    speaker = lambda r: F.coalesce(*[F.when(r == a, b) for a, b in names.items()], r)
+    chats = F.transform("h", lambda t: F.struct(speaker(t["role"]).alias("from"), t["content"].alias("value")))
+    return done.select("conv_id", F.size("messages").cast("long").alias("messages"), F.get("messages", F.lit(0))["content"].alias("system"), F.array_join(generation.turn_errors(chats).cast("array<string>"), ",").alias("misplaced"))

@@ -28,7 +28,8 @@ marked AS (SELECT *, coalesce(max(CASE WHEN resets THEN turn END) OVER w, 0) AS
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as turns: the type is the field, values under 3 reset the state first."""
-    return sessions.fold(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], FIELDS, F.col("value") < 3, field="event_type")
+    day = F.date_trunc("day", "ts")
+    return sessions.fold(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], FIELDS, F.col("value") < 3, field="event_type", bucket=day)
 
 
 @register(_STATES + "SELECT * FROM states")
