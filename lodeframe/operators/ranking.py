@@ -137,7 +137,7 @@ def split_quotas(sizes: dict[tuple, int], fraction: float) -> dict[tuple, int]:
 
 
 #: Strata that a split may have: their sizes, not their rows, are read by the driver.
-MOST_STRATA = 1_000_000
+MOST_STRATA, MOST_BROADCAST = 1_000_000, 100_000
 
 
 def stratified_split(df: DataFrame, strata: Sequence[str], key: str, fraction: float, seed: str, adjust: bool = True) -> DataFrame:
@@ -159,7 +159,8 @@ def stratified_split(df: DataFrame, strata: Sequence[str], key: str, fraction: f
     spark = df.sparkSession
     types = dict(df.dtypes)
     ddl = ", ".join(f"{s} {types[s]}" for s in strata) + ", _quota int"
-    table = F.broadcast(spark.createDataFrame([(*k, q) for k, q in quotas.items()], ddl))  # one row a stratum, collected above
+    table = spark.createDataFrame([(*k, q) for k, q in quotas.items()], ddl)
+    table = F.broadcast(table) if len(quotas) <= MOST_BROADCAST else table
     ranked = hashed_rank(df, strata, seed, key)
     joined = ranked.join(table, same(ranked, table, strata)).select(*[ranked[c] for c in df.columns], "rank", "_quota")
     return joined.withColumn("split", F.when(F.col("rank") <= F.col("_quota"), "validation").otherwise("train")).drop("rank", "_quota")
