@@ -20,11 +20,12 @@ import math
 import struct
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
+LITERAL, COPY, CACHED = range(3)
 LENGTH_CODES, DISTANCE_CODES, MAX_SIDE = 24, 40, 16384
 #: Fixed values of the format.
 CODE_LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
@@ -121,6 +122,11 @@ class PrefixCode:
     symbols: np.ndarray
     lengths: np.ndarray
 
+    @cached_property
+    def kinds(self) -> np.ndarray:
+        """What each symbol of the green code is: a literal, a copy or a colour of the cache."""
+        return ((self.symbols >= 256).astype(np.uint8) + (self.symbols >= 256 + LENGTH_CODES)).astype(np.uint8)
+
     @classmethod
     def of(cls, lengths: Sequence[int], only: int = 0) -> PrefixCode:
         """``only`` is the symbol of a code without bits."""
@@ -243,7 +249,12 @@ def cache_index(argb: np.ndarray, bits: int) -> np.ndarray:
 
 def read_group(bits: BitReader, cache_bits: int) -> list[PrefixCode]:
     green = 256 + LENGTH_CODES + ((1 << cache_bits) if cache_bits else 0)
-    return [read_prefix_code(bits, n) for n in (green, 256, 256, 256, DISTANCE_CODES)]
+    codes = [read_prefix_code(bits, n) for n in (green, 256, 256, 256, DISTANCE_CODES)]
+    # equal codes of red, blue and alpha are one, so they are looked up once
+    for k in (2, 3):
+        same = next((c for c in codes[1:k] if np.array_equal(c.symbols, codes[k].symbols) and np.array_equal(c.lengths, codes[k].lengths)), None)
+        codes[k] = same or codes[k]
+    return codes
 
 
 #: Groups by the bits that they were read from; streams of one encoder share them.
@@ -281,26 +292,33 @@ def far_back(code: int, width: int) -> int:
 
 def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int, total: int, width: int) -> np.ndarray | None:
     """Pixels, or None where a colour cache meets a copy from further back than one pixel."""
-    raw = np.frombuffer(bits.data[bits.at >> 3 :] + bytes(8), np.uint8).astype(np.uint32)
-    words = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
-    windows = (words[:, None] >> np.arange(8, dtype=np.uint32)).ravel()
     green, red, blue, alpha, distance = group
-    look = lambda code: windows & np.uint32((1 << code.bits) - 1)
+    if not green.bits:
+        return None  # tokens without bits are read one by one
+    raw = np.frombuffer(bits.data[bits.at >> 3 :] + bytes(8), np.uint8).astype(np.uint32)
+    words = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)
+    windows = np.empty((len(words), 8), np.uint16)  # a code has 15 bits at most
+    for k in range(8):
+        windows[:, k] = (words >> np.uint32(k)).astype(np.uint16)
+    windows = windows.ravel()
+    look = lambda code: windows & np.uint16((1 << code.bits) - 1)
     g = look(green)
-    symbols, step = green.symbols[g], green.lengths[g].astype(np.int32)
-    ends = np.arange(len(windows), dtype=np.int32) + step
+    kind, step = green.kinds[g], green.lengths[g]
+    here = np.arange(len(windows), dtype=np.int32)
+    ends = here + step
     limit = np.int32(len(windows) - 1)
     places = []
+    widths: dict[int, np.ndarray] = {}
     for code in (red, blue, alpha):
         np.minimum(ends, limit, out=ends)
         places.append(ends)
-        ends = ends + code.lengths[look(code)][ends] if code.bits else ends.copy()
-    literal = symbols < 256
-    step = np.where(literal, ends - np.arange(len(windows), dtype=np.int32), step)
-    copies = (symbols >= 256) & (symbols < 256 + LENGTH_CODES)
-    if int(step.max(initial=0)) > 250 or not step[~copies].all():
-        return None  # tokens without bits are read one by one
-    follow = np.where(copies, 255, step).astype(np.uint8).tobytes()
+        if code.bits and id(code) not in widths:
+            widths[id(code)] = code.lengths[look(code)]
+        ends = ends + widths[id(code)][ends] if code.bits else ends.copy()
+    # four codes have 60 bits at most, so 255 is free for copies
+    step = np.where(kind == LITERAL, (ends - here).astype(np.uint8), step)
+    step[kind == COPY] = 255
+    follow = step.tobytes()
     at, made, starts, repeats = bits.at & 7, 0, [], []
     add = starts.append
     while made < total:
@@ -320,9 +338,9 @@ def decode_in_arrays(bits: BitReader, group: list[PrefixCode], cache_bits: int,
         made += length
         at = reader.at - (bits.at & ~7)
     tokens = np.array(starts, np.int64)
-    symbol = symbols[tokens].astype(np.uint32)
+    symbol = green.symbols[g[tokens]].astype(np.uint32)
     is_literal = symbol < 256
-    parts = [code.symbols[look_at & np.uint32((1 << code.bits) - 1)].astype(np.uint32) for code, look_at in zip((red, blue, alpha), (windows[p[tokens]] for p in places), strict=True)]
+    parts = [code.symbols[look_at & np.uint16((1 << code.bits) - 1)].astype(np.uint32) for code, look_at in zip((red, blue, alpha), (windows[p[tokens]] for p in places), strict=True)]
     pixels = parts[2] << np.uint32(24) | parts[0] << np.uint32(16) | symbol << np.uint32(8) | parts[1]
     if cache_bits and not is_literal.all():
         cell = np.where(is_literal, cache_index(pixels, cache_bits).astype(np.int64), symbol.astype(np.int64) - 256 - LENGTH_CODES)
@@ -690,7 +708,10 @@ def far_copies_of(pixels: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def tokens_of(pixels: np.ndarray, options: Options) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+Tokens = tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]
+
+
+def tokens_of(pixels: np.ndarray, options: Options) -> Tokens:
     """Starts of literals and cache hits, their green symbols, and the copies between them."""
     if options.far_copies:
         copies = far_copies_of(pixels)
@@ -737,9 +758,9 @@ def distance_prefix(back: int) -> tuple[int, int, int]:
     return value_prefix(2 if back == 1 else back + len(NEAR))
 
 
-def bits_needed(pixels: np.ndarray, options: Options) -> int:
+def bits_needed(pixels: np.ndarray, options: Options, tokens: Tokens | None = None) -> int:
     """Bits of the pixels' tokens under fixed weights, as ``write_pixels`` would write them."""
-    starts, green, copies = tokens_of(pixels, options)
+    starts, green, copies = tokens or tokens_of(pixels, options)
     size, _, header = fixed_codes(options.weights, options.cache_bits, options.far_copies)
     own = pixels[starts]
     literal = own[green < 256]
@@ -752,7 +773,7 @@ def bits_needed(pixels: np.ndarray, options: Options) -> int:
     return bits
 
 
-def write_pixels(out: BitWriter, pixels: np.ndarray, options: Options, main: bool = False) -> None:
+def write_pixels(out: BitWriter, pixels: np.ndarray, options: Options, main: bool = False, tokens: Tokens | None = None) -> None:
     if options.far_copies:  # a copied pixel would enter the cache anew
         options = replace(options, cache_bits=0)
     cache_bits = options.cache_bits
@@ -761,7 +782,7 @@ def write_pixels(out: BitWriter, pixels: np.ndarray, options: Options, main: boo
         out.write(cache_bits, 4)
     if main:
         out.write(0, 1)
-    starts, green, copies = tokens_of(pixels, options)
+    starts, green, copies = tokens or tokens_of(pixels, options)
     own = pixels[starts]
     red, blue, alpha = ((own >> np.uint32(s)).astype(np.int64) & 255 for s in (16, 0, 24))
     literal = green < 256
@@ -799,7 +820,7 @@ def write_pixels(out: BitWriter, pixels: np.ndarray, options: Options, main: boo
 #: Steps to a neighbour that prediction may code in few bits, and the share of them from which it is tried.
 SMALL_STEP, SMALL_SHARE = 4, 0.4
 #: Share of pixels that must begin a sequence seen before for copies to be tried.
-AGAIN_SHARE = 0.01
+AGAIN_SHARE = 0.1
 #: Colours up to which a palette is tried: its table costs more than a header of fixed codes beyond.
 MOST_COLOURS = 64
 
@@ -831,13 +852,16 @@ def encode_smallest(image: np.ndarray, profiles: Sequence[Options]) -> tuple[byt
     colours = distinct(pixels)
     tried = [k for k, options in enumerate(profiles) if worth_trying(image, options, colours)]
     costs: dict[int, float] = {}
+    tokens: dict[int, Tokens] = {}
     for k in tried if len(tried) > 1 else []:
         if profiles[k].palette:
             costs[k] = 400 + 28 * colours + (8 >> bundle_bits(colours)) * len(pixels)
         else:
-            costs[k] = bits_needed(transformed(image, profiles[k]).ravel(), profiles[k])
+            coded = transformed(image, profiles[k]).ravel()
+            tokens[k] = tokens_of(coded, profiles[k])
+            costs[k] = bits_needed(coded, profiles[k], tokens[k])
     best = min(tried, key=lambda k: costs.get(k, 0))
-    return encode(image, profiles[best]), best
+    return encode(image, profiles[best], tokens.get(best)), best
 
 
 def transformed(image: np.ndarray, options: Options) -> np.ndarray:
@@ -850,7 +874,7 @@ def transformed(image: np.ndarray, options: Options) -> np.ndarray:
     return subtract_green(image, False) if options.subtract_green else image
 
 
-def encode(image: np.ndarray, options: Options) -> bytes:
+def encode(image: np.ndarray, options: Options, tokens: Tokens | None = None) -> bytes:
     """A lossless WebP file of ``uint32`` ARGB pixels; a predictor or cross-colour element of one value stands for all tiles."""
     height, width = image.shape
     if not (0 < width <= MAX_SIDE and 0 < height <= MAX_SIDE):
@@ -885,7 +909,7 @@ def encode(image: np.ndarray, options: Options) -> bytes:
         begin(SUBTRACT_GREEN)
         image = subtract_green(image, False)
     out.write(0, 1)
-    write_pixels(out, image.ravel(), options, main=True)
+    write_pixels(out, image.ravel(), options, main=True, tokens=tokens)
     body = np.packbits(out.bits(), bitorder="little").tobytes()
     chunk = b"VP8L" + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
