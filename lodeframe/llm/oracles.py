@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+from . import spotsigs
+
 ORACLE_SQL: dict[str, str] = {}
 
 _HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -73,6 +75,39 @@ WITH RECURSIVE sized AS (
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source, copies FROM counted
 """
 
+_ANCHORS = ", ".join(f"'{a}'" for a in spotsigs.ANCHORS)
+
+ORACLE_SQL["op7_spotsigs"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+beside AS (SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following FROM docs WINDOW w AS (ORDER BY doc_id DESC)),
+both_ AS (
+  SELECT doc_id, 'own' AS side, text FROM beside
+  UNION ALL SELECT doc_id, 'edited', left(text, (length(text) - length(text) // 3)::BIGINT) || left(following, (length(text) // 3)::BIGINT) FROM beside
+), worded AS (
+  SELECT doc_id, side, text, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words FROM both_
+), written AS (
+  SELECT doc_id, side, text, array_to_string(list_transform(words, lambda w: w || CASE WHEN w IN ({_ANCHORS}) THEN chr(2) ELSE ' ' END), '') AS t FROM worded
+), spots AS (
+  SELECT doc_id, side, k, spots[k] AS x, k < len(spots) AS inside FROM (SELECT *, unnest(range(1, len(spots) + 1)) AS k FROM (SELECT doc_id, side, string_split(t, ' ') AS spots FROM written))
+), chains AS (
+  SELECT doc_id, side, inside AND (contains(x, chr(2)) OR NOT coalesce(bool_or(contains(x, chr(2))) OVER (PARTITION BY doc_id, side ORDER BY k ROWS BETWEEN {spotsigs.LONELY} PRECEDING AND 1 PRECEDING), false)) AS starts,
+         concat_ws(' ', x, lead(p) OVER w, lead(p, 2) OVER w) AS chain
+  FROM (SELECT *, list_last(string_split(x, chr(2))) AS p FROM spots) WINDOW w AS (PARTITION BY doc_id, side ORDER BY k)
+), found AS (SELECT doc_id, side, list_sort(list(DISTINCT left(md5(chain), 16))) AS sigs FROM chains WHERE starts GROUP BY ALL),
+sets AS (
+  SELECT w.doc_id, w.side, w.text, coalesce(f.sigs, CASE WHEN t <> '' THEN [left(md5(t), 16)] ELSE [] END) AS sigs FROM written w LEFT JOIN found f USING (doc_id, side)
+), own AS (SELECT doc_id, text, sigs, coalesce(lead(sigs) OVER w, first_value(sigs) OVER w) AS following FROM sets WHERE side = 'own' WINDOW w AS (ORDER BY doc_id DESC)),
+paired AS (
+  SELECT o.doc_id, o.text, o.sigs, o.following, e.text AS edited, e.sigs AS edited_sigs, len(list_intersect(o.sigs, e.sigs)) AS with_edited, len(list_intersect(o.sigs, o.following)) AS with_next
+  FROM own o JOIN sets e ON e.doc_id = o.doc_id AND e.side = 'edited'
+)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, len(sigs) || '-' || md5(array_to_string(sigs, ',')) AS fingerprint,
+       len(edited_sigs) || '-' || md5(array_to_string(edited_sigs, ',')) AS edited_fingerprint,
+       CASE WHEN len(sigs) + len(edited_sigs) = 0 THEN 1 ELSE with_edited / (len(sigs) + len(edited_sigs) - with_edited) END::DOUBLE AS near_edited,
+       CASE WHEN len(sigs) + len(following) = 0 THEN 1 ELSE with_next / (len(sigs) + len(following) - with_next) END::DOUBLE AS near_next, len(sigs)::INT AS n_signatures
+FROM paired
+"""
+
 ORACLE_SQL["op9_substring_dedup"] = r"""
 WITH worded AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents

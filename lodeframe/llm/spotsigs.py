@@ -50,8 +50,12 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _name(chain: Column) -> Column:
+    return F.left(F.md5(chain), F.lit(16))
+
+
 def signatures(text: Column) -> Column:
-    """Sorted distinct 64-bit signatures of a text."""
+    """Sorted distinct signatures of a text, as hex digits of 64 bits."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
     # every anchor is written in front of the content word that follows it
     marked = F.transform(
@@ -75,16 +79,16 @@ def _chains(written: Column, spots: Column) -> Column:
         lonely = F.lit(True)
         for k in range(1, LONELY + 1):
             lonely = lonely & ~spot(F.get(spots, at - k))
-        return F.when((at < last) & (starts | lonely), F.xxhash64(F.concat_ws(GAP, word, *following)))
+        return F.when((at < last) & (starts | lonely), _name(F.concat_ws(GAP, word, *following)))
 
     found = F.array_compact(F.transform(spots, chain))
-    whole = F.when(written != "", F.array(F.xxhash64(written))).otherwise(F.array().cast("array<bigint>"))
+    whole = F.when(written != "", F.array(_name(written))).otherwise(F.array().cast("array<string>"))
     return bound(found, lambda some: F.when(F.size(some) > 0, F.array_sort(F.array_distinct(some))).otherwise(whole))
 
 
 def digest(sigs: Column) -> Column:
     """A fingerprint as a short string: size and digest of the set."""
-    return F.concat(F.size(sigs).cast("string"), F.lit("-"), F.md5(F.array_join(sigs.cast("array<string>"), ",")))
+    return F.concat(F.size(sigs).cast("string"), F.lit("-"), F.md5(F.array_join(sigs, ",")))
 
 
 def band(size: Column) -> Column:
