@@ -668,3 +668,102 @@ def appointment_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     speaker = lambda r: F.coalesce(*[F.when(r == a, b) for a, b in names.items()], r)
     chats = F.transform("h", lambda t: F.struct(speaker(t["role"]).alias("from"), t["content"].alias("value")))
     return done.select("conv_id", F.size("messages").cast("long").alias("messages"), F.get("messages", F.lit(0))["content"].alias("system"), F.array_join(generation.turn_errors(chats).cast("array<string>"), ",").alias("misplaced"))
+
+
+@register("""
+SELECT s_name AS name, 'g' || (s_suppkey % 2) AS grp, 2 AS windows, '2026-02-01 0' || (8 + s_suppkey % 2) || ':00' AS opens, '2026-02-03 12:00' AS ends FROM supplier WHERE s_suppkey <= 40
+""")
+def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar fixture of forty suppliers, moved so that its first day is another one; windows apart and in order."""
+    names = [(r.s_suppkey, r.s_name) for r in table(spark, sf_dir, "supplier").where("s_suppkey <= 40").collect()]
+    windows = lambda k: [{"start": "2026-01-07 10:00", "end": "2026-01-07 12:00"}, {"start": f"2026-01-05 0{8 + k % 2}:00", "end": "2026-01-05 12:00"}]
+    found = readers.calendar({"providers": [{"name": n, "group": f"g{k % 2}", "skills": ["s"], "windows": windows(k)} for k, n in names]}, spark, "2026-02-01")
+    stamp = lambda c: F.date_format(c, times.STAMP)
+    return found.select("name", "grp", F.size("windows").alias("windows"), stamp(F.get("windows", F.lit(0))["start"]).alias("opens"), stamp(F.get("windows", F.lit(1))["end"]).alias("ends"))
+
+
+@register("SELECT 'run-' || r_regionkey || 'b' AS run_id, r_regionkey::DOUBLE AS size, r_name AS model, CASE WHEN r_regionkey % 2 = 0 THEN r_regionkey / 4.0 END::DOUBLE AS score FROM region")
+def scorecard_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scorecards of run folders; a score that isn't finite was written as null, the run's name and size come from the folder."""
+    path = scratch(spark, "cards")
+    for r in table(spark, sf_dir, "region").collect():  # five runs
+        card = spark.createDataFrame([(r.r_name, r.r_regionkey / 4.0 if r.r_regionkey % 2 == 0 else float("nan"))], "model string, score double")
+        sinks.write_report(card, f"{path}/run-{r.r_regionkey}b")
+    cards = readers.scorecards(spark, f"{path}/run-*/*.txt", "model string, score double")
+    return cards.select("run_id", "size", "model", "score")
+
+
+@register("SELECT 'r' || (c_custkey % 3) AS run_id, c_custkey::VARCHAR AS case_id, c_name AS text FROM customer")
+def prediction_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions as JSON lines, their run named in the row or else by the folder."""
+    path = scratch(spark, "predictions")
+    customers = table(spark, sf_dir, "customer").withColumn("case_id", F.col("c_custkey").cast("string"))
+    for n in range(3):
+        run = F.when(F.col("c_custkey") % 2 == 0, F.lit(f"r{n}"))
+        rows = customers.where(F.col("c_custkey") % 3 == n).select(run.alias("run_id"), "case_id", F.col("c_name").alias("text"))
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/r{n}")
+    return readers.predictions(spark, f"{path}/*/*.txt")
+
+
+@register("""
+SELECT n_nationkey::VARCHAR AS session, 3::BIGINT AS turns, CASE WHEN n_nationkey % 2 = 0 THEN 3 ELSE 2 END::BIGINT AS committed, 'o_orderstatus:=[' || CASE WHEN n_nationkey % 2 = 0 THEN 'p' ELSE 'o' END || ']' AS filter FROM nation
+""")
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State by session from a stream of changes: a broken change leaves the state as it was."""
+    from ..streaming import session_state
+
+    wanted = lambda code: _change(F.array(_condition("status", "in", f'"{code}"')), F.lit(None).cast("string"), F.array().cast("array<string>"), F.lit(False))
+    last = F.when(F.col("n_nationkey") % 2 == 0, wanted("p")).otherwise(F.lit('{"broken"'))
+    turn = lambda seq, text: F.struct(F.lit(seq).cast("long").alias("seq"), text.alias("text"))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("session"), F.explode(F.array(turn(1, wanted("f")), turn(2, wanted("o")), turn(3, last))).alias("t"))
+    source = scratch(spark, "turns") + "/in"
+    rows.select("session", "t.seq", "t.text").repartition(2, "session").write.parquet(source)
+    done = stream.run_to_table(session_state.fold_stream(stream.read_stream(spark, source, files=1000), CATALOG, "USD"), "append")
+    return done.groupBy("session").agg(F.count("*").alias("turns"), F.count_if("committed").alias("committed"), F.max_by("filter", F.when(F.col("committed"), F.col("seq"))).alias("filter"))
+
+
+@register("""
+SELECT string_agg(line, chr(10) ORDER BY r_name) AS lines, '| model | score |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || r_name || ' | ' || coalesce(score::VARCHAR, 'n/a') || ' |', chr(10) ORDER BY r_name) AS markdown
+FROM (SELECT r_name, score, r_name || ': ' || coalesce(printf('%.1f%%', score * 100), 'n/a') AS line FROM (SELECT r_name, CASE WHEN r_regionkey % 2 = 0 THEN r_regionkey / 4.0 END::DOUBLE AS score FROM region))
+""")
+def report_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorecard as text and as a Markdown table; what doesn't apply reads n/a."""
+    scores = table(spark, sf_dir, "region").select(F.col("r_name").alias("metric"), F.when(F.col("r_regionkey") % 2 == 0, F.col("r_regionkey") / 4.0).alias("score"))
+    lines = reports.scorecard_lines(scores).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("metric", "line"))), lambda x: x["line"]), "\n").alias("lines"))
+    return lines.crossJoin(reports.markdown_table(scores.withColumnRenamed("metric", "model"), ["model", "score"], "model"))  # one row each
+
+
+@register("""
+SELECT o_orderkey AS k, round((1 + (o_orderkey % 2 = 0)::INT + 1 + (o_orderkey % 3 > 0)::INT + 1 + 1 + 0.5) / 7, 6)::DOUBLE AS score FROM orders
+""")
+def call_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls against a gold one: action, tool, four arguments and the preferences' F1."""
+    k = F.col("k")
+    call = lambda tool, start: F.parse_json(F.concat(F.lit('{"action":"tool_call","tool_name":"'), tool, F.lit('","arguments":{"technician_name":null,"start_time":"'), start, F.lit('","duration_minutes":60.0,"gender_preference":null}}')))
+    rows = orders(spark, sf_dir).select("k", call(F.when(k % 2 == 0, "find").otherwise("other"), F.when(k % 3 > 0, "10:00").otherwise("11:00")).alias("a"), F.lit(None).alias("n"))
+    gold = F.parse_json(F.lit('{"action":"tool_call","tool_name":"find","arguments":{"technician_name":null,"start_time":"10:00","duration_minutes":60,"gender_preference":null}}'))
+    return rows.select("k", F.round(appointments.call_score(F.col("a"), gold, F.lit(0.5)), 6).alias("score"))
+
+
+@register("""
+WITH r AS (SELECT o_orderkey AS k, o_orderstatus AS s, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS r FROM orders)
+SELECT s AS grp, choice, count(*) AS n FROM (SELECT s, CASE WHEN r <= 6 THEN 'b' ELSE 'any' END AS choice FROM r WHERE r <= 6) GROUP BY ALL
+""")
+def balanced_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first six rows of each group all take the choice that was never used, the other having been used six times before."""
+    rows = orders(spark, sf_dir).select("k", F.col("o_orderstatus").alias("grp"))
+    used = rows.select("grp").distinct().select("grp", F.lit("a").alias("choice"), F.lit(6).alias("n"))
+    done = generation.least_used(rows, "grp", "k", ["a", "b"], used, "s")
+    first = ranking.top_k(done, ["grp"], [F.col("k")], 6)
+    return first.groupBy("grp", "choice").agg(F.count("*").alias("n"))
+
+
+@register("SELECT conv_id, count(*) AS turns, string_agg(CASE WHEN k % 2 = 0 THEN 'human' ELSE 'gpt' END, ',' ORDER BY k) AS speakers, 'S' AS system FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k FROM conversations) GROUP BY conv_id HAVING count(*) % 2 = 0")
+def chat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of even length as training rows, every other turn the model's."""
+    listed = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t")).where(F.size("t") % 2 == 0)
+    message = lambda role, text: F.struct(role.alias("role"), text.alias("content"))
+    turns = F.transform("t", lambda x, k: message(F.when(k % 2 == 0, "user").otherwise("assistant"), F.coalesce(x["text"], F.lit(""))))
+    rows = listed.select("conv_id", F.concat(F.array(message(F.lit("system"), F.lit("S"))), turns).alias("m"))
+    done = generation.sharegpt(rows, "m")
+    return done.select("conv_id", F.size("conversations").cast("long").alias("turns"), F.array_join(F.transform("conversations", lambda c: c["from"]), ",").alias("speakers"), "system")

@@ -76,6 +76,12 @@ def test_completion_retries_and_redacts():
     answer, errors = readers.validate_and_retry(lambda e: (told.append(e), "x" if e is None else '{"a":1}')[1], lambda a: [], 3)
     assert answer == {"a": 1} and errors == [] and told[0] is None and told[1]
     assert readers.as_items([{"role": "user", "content": "q"}])["input"][0]["content"][0]["type"] == "input_text"
+    # by the item protocol: an answer without text is asked for again
+    answers = iter([{"output": []}, {"output": [{"type": "message", "content": [{"type": "output_text", "text": "a"}, {"type": "other"}]}, {"type": "reasoning"}, {"content": [{"type": "output_text", "text": "b"}]}]}])
+    done = readers.complete_items(lambda url, body: (200, next(answers)), "u", {}, sleep=lambda s: None)
+    assert (done["text"], done["attempts"]) == ("ab", 2)
+    with pytest.raises(RuntimeError, match="empty"):
+        readers.complete_items(lambda url, body: (200, {"output": []}), "u", {}, sleep=lambda s: None)
 
 
 def test_replay(spark):
