@@ -1,4 +1,8 @@
-"""Folders that all executors share."""
+"""Folders that all executors share: the one named in ``spark.checkpoint.dir``.
+
+It is read from the session; only where it is unset and the master is local
+(single-machine tests) a temporary folder of the driver is set for the session.
+"""
 
 from __future__ import annotations
 
@@ -7,23 +11,30 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT = "spark.checkpoint.dir"
-
+DIR = "spark.checkpoint.dir"
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's path below the one that the cluster names; on a single machine without one, a temporary folder.
 
-    It goes when the driver's JVM ends.
-    """
-    root = spark.conf.get(CHECKPOINT, None)
-    if not root:
+def shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get(DIR, None)
+    if not folder:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"{CHECKPOINT} must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="lodeframe-")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+            raise ValueError(f"{DIR} must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="lodeframe-")
+        spark.conf.set(DIR, folder)
+    return folder.rstrip("/")
+
+
+def file_system(spark: SparkSession, path: str):
+    """A path and its file system, as the JVM's objects."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new shared folder's path; it goes when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    p, files = file_system(spark, path)
     files.mkdirs(p)
     files.deleteOnExit(p)
     return path
