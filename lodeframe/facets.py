@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 CODE = re.compile(r"[a-z][a-z0-9_]*")
 CURRENCY = re.compile(r"[A-Z]{3}")
 SET_TYPES, NUMBER_TYPES = ("categorical",), ("integer", "number")
-#: Operators that a field of each type may declare.
+#: Operators that a field of each type may declare.
 LEGAL_HARD = {"categorical": {"in", "not_in"}, "boolean": {"eq"}, "integer": {"eq", "gte", "lte", "between"}, "number": {"eq", "gte", "lte", "between"}}
 LEGAL_SOFT = {"categorical": {"prefer", "avoid"}, "boolean": {"prefer", "avoid"}, "integer": {"lower", "higher", "around", "between"}, "number": {"lower", "higher", "around", "between"}}
 
@@ -199,6 +199,7 @@ def _mapping(loader: _UniqueKeys, node: yaml.MappingNode) -> dict[Any, Any]:
 
 _UniqueKeys.add_constructor(yaml.resolver.BaseResolver.DEFAULT_MAPPING_TAG, _mapping)
 
+#: The keys of a field.
 _FIELD_KEYS = {
     "name", "type", "description", "model_extractable", "clearable", "facet", "index_field", "hard_operators", "soft_operators", "values",
     "parent_field", "minimum", "maximum", "exclusive_minimum", "unit_kind", "unit_pattern", "units", "base_unit", "unknown_passes",

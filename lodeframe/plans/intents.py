@@ -24,7 +24,7 @@ from ..facets import Catalog, Field
 from .evaluation import derive_tags, sample_errors
 from .predicates import Condition
 
-RELATIVE = ("lower", "higher", "around")
+RELATIVE = {"lower", "higher", "around"}
 PLAN_DDL = "request_id string, scenario string, state string, expected string, assertions string, tags array<string>, draft string"
 
 
@@ -60,6 +60,10 @@ class Row:
         self.round *= len(ordered)
         return chosen
 
+    def later(self, steps: int) -> Row:
+        """The same choices some turns on, with a record of its own of what is said."""
+        return Row(self.catalog, self.pools, self.scenario, self.turn + steps, self.seed)
+
     def field(self, what: str, ok: Callable[[Field], bool] = lambda f: True, but: Sequence[str] = ()) -> Field:
         return self.pick(what, [f for f in self.catalog.fields if f.extractable and f.name not in but and ok(f)], lambda f: f.name)
 
@@ -86,65 +90,103 @@ class Row:
         return c
 
 
-def planned(row: Row) -> tuple[list[Condition], dict[str, Any], dict[str, Any] | None]:
-    """Conditions, other parts of the change, and the state before it."""
-    hard = lambda f: bool(f.hard)
-    s = row.scenario
-    given = lambda *cs, **parts: {"query_text": None, "sort": None} | parts | {"hard_filters": [c.write() for c in cs], "soft_preferences": []}
-    if s == "single_filter":
-        return [row.condition(row.field("field", hard), "a")], {}, None
-    if s == "multi_filter":
-        one = row.field("field", hard)
-        return [row.condition(one, "a"), row.condition(row.field("other", hard, [one.name]), "b")], {}, None
-    if s == "hard_soft_mix":
-        one = row.field("field", hard)
-        return [row.condition(one, "a"), row.condition(row.field("wish", lambda f: bool(f.soft), [one.name]), "b", soft=True)], {}, None
-    if s == "negation":
-        soft = row.pick("strength", [False, True])
-        op = "avoid" if soft else "not_in"
-        return [row.condition(row.field("field", lambda f: op in (f.soft if soft else f.hard)), "a", soft, [op])], {}, None
-    if s == "allergy_vs_flavor":
-        return [row.condition(row.catalog[row.pick("field", [n for n in ("allergen", "flavor") if n in row.catalog])], "a", ops=["not_in"])], {}, None
-    if s in ("numeric_price", "numeric_size"):
-        return [row.condition(row.catalog[s.removeprefix("numeric_")], "a")], {}, None
-    if s == "relative_numeric":
-        return [row.condition(row.field("field", lambda f: bool(set(f.soft) & set(RELATIVE))), "a", True, RELATIVE)], {}, None
-    if s in ("replace", "preserve_state"):
-        # the old value is another one of the same field
-        one = row.field("field", lambda f: bool(f.hard) and (len(f.values) > 1 or f.type == "boolean" or len(row.pools.numbers.get(f.name, ())) > 2))
-        new = row.condition(one, "a")
-        shifted = replace_turn(row, 1)
-        old = next(c for k in range(1, 100) if (c := replace_turn(shifted, k).condition(one, "old")) != new)
-        kept = row.condition(row.field("kept", hard, [one.name]), "kept")
-        row.said.pop()
-        return [new], {}, given(old, kept)
-    if s == "clear":
-        name = row.pick("cleared", sorted(row.catalog.clearable))
-        row.said.append(f"drop {name}")
-        if name == "query_text":
-            return [], {"clear_fields": [name]}, given(query_text=row.pick("old query", row.pools.query_terms))
-        if name == "sort":
-            return [], {"clear_fields": [name]}, given(sort=row.pick("old sort", sorts(row.catalog), str))
-        return [], {"clear_fields": [name]}, given(replace_turn(row, 0).condition(row.catalog[name], "old"))
-    if s == "reset":
-        old = replace_turn(row, 0).condition(replace_turn(row, 0).field("old field", hard), "old")
-        return [row.condition(row.field("field", hard), "a")], {"reset": True}, given(old)
-    if s == "sort":
-        return [], {"sort": row.pick("sort", sorts(row.catalog), str)}, None
-    if s == "query_text":
-        term = row.pick("query", row.pools.query_terms)
-        row.said.append(term)
-        return [], {"query_text": term}, None
-    if s == "unmapped":
-        term = row.pick("term", row.pools.unmapped_terms)
-        row.said.append(term)
-        return [], {"unmapped_terms": [term]}, None
-    raise ValueError(f"unknown scenario {s!r}")
-
-
-def replace_turn(row: Row, steps: int) -> Row:
-    """The same row some turns on, with its own record of what was said."""
-    return Row(row.catalog, row.pools, row.scenario, row.turn + steps, row.seed)
+#: What a scenario plans: conditions, other parts of the change, and the state before it.
+Planned = tuple[list[Condition], dict[str, Any], dict[str, Any] | None]
+PLANS: dict[str, Callable[[Row], Planned]] = {}
+
+
+def plans(*scenarios: str) -> Callable[[Callable[[Row], Planned]], Callable[[Row], Planned]]:
+    def add(plan: Callable[[Row], Planned]) -> Callable[[Row], Planned]:
+        PLANS.update(dict.fromkeys(scenarios, plan))
+        return plan
+
+    return add
+
+
+def filterable(f: Field) -> bool:
+    return bool(f.hard)
+
+
+def state_of(*conditions: Condition, **parts: Any) -> dict[str, Any]:
+    return {"query_text": None, "sort": None} | parts | {"hard_filters": [c.write() for c in conditions], "soft_preferences": []}
+
+
+@plans("single_filter", "multi_filter", "hard_soft_mix")
+def several(row: Row) -> Planned:
+    """One condition, two of different fields, or one and a wish."""
+    one = row.field("field", filterable)
+    found = [row.condition(one, "a")]
+    if row.scenario == "multi_filter":
+        found.append(row.condition(row.field("other", filterable, [one.name]), "b"))
+    elif row.scenario == "hard_soft_mix":
+        found.append(row.condition(row.field("wish", lambda f: bool(f.soft), [one.name]), "b", soft=True))
+    return found, {}, None
+
+
+@plans("negation")
+def refused(row: Row) -> Planned:
+    op = row.pick("strength", ["not_in", "avoid"])
+    operators = lambda f: f.soft if op == "avoid" else f.hard
+    return [row.condition(row.field("field", lambda f: op in operators(f)), "a", op == "avoid", [op])], {}, None
+
+
+@plans("allergy_vs_flavor")
+def allergic(row: Row) -> Planned:
+    names = [n for n in ("allergen", "flavor") if n in row.catalog]
+    return [row.condition(row.catalog[row.pick("field", names)], "a", ops=["not_in"])], {}, None
+
+
+@plans("numeric_price", "numeric_size", "relative_numeric")
+def measured(row: Row) -> Planned:
+    if row.scenario == "relative_numeric":
+        return [row.condition(row.field("field", lambda f: not RELATIVE.isdisjoint(f.soft)), "a", True, sorted(RELATIVE))], {}, None
+    return [row.condition(row.catalog[row.scenario.removeprefix("numeric_")], "a")], {}, None
+
+
+@plans("replace", "preserve_state")
+def changed(row: Row) -> Planned:
+    """A field gets another value than it has, a second field keeps its own."""
+    choices = lambda f: len(f.values) or (2 if f.type == "boolean" else len(row.pools.numbers.get(f.name, ())) - 1)
+    one = row.field("field", lambda f: bool(f.hard) and choices(f) > 1)
+    new = row.condition(one, "a")
+    olds = (row.later(k).condition(one, "old") for k in range(1, 100))
+    old = next(c for c in olds if c != new)
+    return [new], {}, state_of(old, row.later(0).condition(row.field("kept", filterable, [one.name]), "kept"))
+
+
+@plans("clear")
+def dropped(row: Row) -> Planned:
+    name = row.pick("cleared", sorted(row.catalog.clearable))
+    row.said.append(f"drop {name}")
+    if name == "query_text":
+        before = state_of(query_text=row.pick("old query", row.pools.query_terms))
+    elif name == "sort":
+        before = state_of(sort=row.pick("old sort", sorts(row.catalog), str))
+    else:
+        before = state_of(row.later(0).condition(row.catalog[name], "old"))
+    return [], {"clear_fields": [name]}, before
+
+
+@plans("reset")
+def restarted(row: Row) -> Planned:
+    before = row.later(0)
+    return [row.condition(row.field("field", filterable), "a")], {"reset": True}, state_of(before.condition(before.field("old field", filterable), "old"))
+
+
+@plans("sort")
+def sorted_by(row: Row) -> Planned:
+    chosen = row.pick("sort", sorts(row.catalog), str)
+    row.said.append(f"{chosen['field']} {chosen['order']}")
+    return [], {"sort": chosen}, None
+
+
+@plans("query_text", "unmapped")
+def spoken(row: Row) -> Planned:
+    """A free text: words to search for, or a wish that no field stands for."""
+    searched = row.scenario == "query_text"
+    term = row.pick("term", row.pools.query_terms if searched else row.pools.unmapped_terms)
+    row.said.append(term)
+    return [], {"query_text": term} if searched else {"unmapped_terms": [term]}, None
 
 
 def sorts(catalog: Catalog) -> list[dict[str, str]]:
@@ -166,8 +208,10 @@ def assertions_for(conditions: Sequence[Condition], parts: Mapping[str, Any], st
 
 def plan_row(request_id: str, scenario: str, turn: int, catalog: Catalog, pools: Pools, seed: str) -> dict[str, Any]:
     """One plan; a row that breaks the sample contract is an error."""
+    if scenario not in PLANS:
+        raise ValueError(f"unknown scenario {scenario!r}")
     row = Row(catalog, pools, scenario, turn, seed)
-    conditions, parts, state = planned(row)
+    conditions, parts, state = PLANS[scenario](row)
     empty = {"schema_version": "1.0", "reset": False, "query_text": None, "sort": None, "clear_fields": [], "unmapped_terms": []}
     expected = empty | parts | {"hard_filters": [c.write() for c in conditions if not c.soft], "soft_preferences": [c.write() for c in conditions if c.soft]}
     asked = assertions_for(conditions, parts, state)
