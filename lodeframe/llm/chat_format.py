@@ -152,5 +152,12 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """What lies under the loss mask, unescaped and put together."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+    """What lies under the loss mask, unescaped and put together.
+
+    Code points are cut from a form of four bytes each, where a place is found at
+    once.  A span is cut with the character before it, so that a mark of byte order
+    that begins a text isn't taken for one of the cut.
+    """
+    wide = 4
+    cut = lambda b, s: F.decode(F.substr(b, (s["start"] - 1) * wide + 1, (s["length"] + 1) * wide), "UTF-32")
+    return _once(F.encode(formatted, "UTF-32"), lambda b: F.array_join(F.transform(spans, lambda s: unescape(F.substr(cut(b, s), F.lit(2)))), ""))
