@@ -1,31 +1,18 @@
 """Tables shared by all executors: the folder named in ``spark.checkpoint.dir``.
 
-A written table cuts lineage and survives the loss of an executor.  The folder
-is read from the session; only where it is unset and the master is local
-(single-machine tests) a temporary folder of the driver is set for the session.
-Tables that no step deletes go when the driver's JVM ends.
+A written table cuts lineage and survives the loss of an executor.  Tables that
+no step deletes go when the driver's JVM ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DIR = "spark.checkpoint.dir"
-INTEGERS = ("tinyint", "smallint", "int", "bigint")
-
+from ..sources.shared import file_system, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(DIR, None)
-    if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"{DIR} must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="lodeframe-")
-        spark.conf.set(DIR, folder)
-    return folder.rstrip("/")
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def integer_ids(docs: DataFrame, column: str = "doc_id") -> None:
@@ -44,8 +31,9 @@ def text_batches(spark: SparkSession) -> None:
 
     Spark reads the bounds from the session when a query runs, so they stay set; smaller ones are kept.
     """
+    read = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     for key, most in ARROW.items():
-        now = int(spark.conf.get(key).rstrip("b"))
+        now = int(read(spark.conf.get(key)))
         if now <= 0 or now > most:
             spark.conf.set(key, str(most))
 
@@ -55,7 +43,7 @@ def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    p, files = _file_system(spark, path)
+    p, files = file_system(spark, path)
     files.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -67,14 +55,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a shared table that nothing reads any more."""
-    p, files = _file_system(spark, path)
+    p, files = file_system(spark, path)
     files.delete(p, True)
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
