@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 from .storage import forget, write_shared
 
 
+def _round(links: DataFrame) -> DataFrame:
+    """Every node hung to the smallest of its neighbours, first the larger neighbours, then the smaller ones."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    # used twice below: one exchange serves both
+    joined = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+    return joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+
+
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; a component is named by its smallest node."""
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -24,17 +34,9 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break
-        seen = state
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large, large_path = write_shared(large, name)
-        forget(spark, path)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = joined.select("a", F.col("m").alias("b")).unionByName(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        links, path = write_shared(small, name)
-        forget(spark, large_path)
+        seen, before = state, path
+        links, path = write_shared(_round(links), name)
+        forget(spark, before)
     named = links.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return named.unionByName(roots)

@@ -257,9 +257,10 @@ def _links(classes: DataFrame, size: int, part: int, stars: int) -> DataFrame:
     for _ in range(stars):
         open_ = _several(held, labels)
         to_hub = open_.where("component <> hub_component").groupBy("node", "n").agg(F.min("hub").alias("hub"))
-        found = materialize(_star_links(materialize(to_hub, "ngram-stars"), classes, labels, size, part), "ngram-star-links")
-        links = found if links is None else links.unionByName(found)
-        labels = connected(links, "ngram-stars")
+        found = _star_links(materialize(to_hub, "ngram-stars"), classes, labels, size, part)
+        labels = connected(found if links is None else links.unionByName(found), "ngram-stars")
+        # what is known of the links from here on is who belongs to whom
+        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = _left_over(_several(held, labels), classes, size, part)
     return found if links is None else links.unionByName(found)
 
