@@ -116,10 +116,10 @@ def test_toxicity_trains_in_spark(spark):
 
 def chat_rows():
     rng = random.Random(1)
-    parts = ["<|im_end|>\n", "<|im_start|>assistant\n", "\\", "|", "<", "<|", "\\|", "<\\|", "é", "😀", "\n", "", "<|im_sep|>", "$1"]
+    parts = ["<|im_end|>\n", "<|im_start|>assistant\n", "\\", "|", "<", "<|", "\\|", "<\\|", "é", "😀", "\ufeff", "\ufffe", "\n", "", "<|im_sep|>", "$1"]
     rows = [(1, k, rng.choice(["user", "assistant", "sys\ntem|<|", ""]), "".join(rng.choices(parts, k=rng.randrange(8)))) for k in range(60)]
     rows += [(2, 0, None, None), (2, 0, None, None), (3, None, "assistant", "x" * 100_000), (None, 1, "user", "y")]
-    rows += [(4, k, rng.choice(["user", "assistant"]), "z" * rng.randrange(4)) for k in range(700)]
+    rows += [(4, k, rng.choice(["user", "assistant"]), rng.choice(["", "\ufeff", "\ufeffa"]) + "z" * rng.randrange(4)) for k in range(700)]
     return rows
 
 
@@ -794,6 +794,30 @@ def test_ngram_join(spark, seed, part, cells, stars):
     assert sorted(got, key=str) == brute_groups(rows, 5)
 
 
+def test_a_large_family_is_sent_a_bounded_number_of_times(spark, monkeypatch):
+    """Distinct near copies of one template: one component, and each text goes to few tasks, none of which holds the family."""
+    rng = random.Random(11)
+    template = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for k in range(1200):
+        words = list(template)
+        for _ in range(rng.randrange(1, 3)):
+            words[rng.randrange(150)] = f"own{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    sent = []
+    walk = ngram_join._walk
+
+    def counted(texts, *rest):
+        tasks = [r["count"] for r in texts.groupBy("group", "i", "j").count().collect()]
+        sent.append((sum(tasks), max(tasks, default=0)))
+        return walk(texts, *rest)
+
+    monkeypatch.setattr(ngram_join, "_walk", counted)
+    out = ngram_join.group_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in out} == {0}
+    assert sum(n for n, _ in sent) <= 3 * len(rows) and max(m for _, m in sent) <= 2.5 * ngram_join.PART
+
+
 def test_components(spark):
     from lodeframe.llm.components import connected
 
