@@ -34,25 +34,28 @@ def resolve_relative(text: Column, stated: Column, now: Column) -> Column:
     The last period between the day and the clock decides; hours over 23 or
     minutes over 59 keep the stated time.
     """
-    # the clock after the day, found once: what lies between them, digits, written hour, minutes
-    parts = F.regexp_extract_all(text, F.lit(DAY_PATTERN + r"([\s\S]*?)" + CLOCK_PATTERN), F.lit(0))
-    whole = F.get(parts, F.lit(0))
-    return bound(whole, lambda found: _resolved(found, stated, now))
+    # one pass: day, what lies between, digits, written hour and minutes, with a mark between them
+    pattern = r"^[\s\S]*?" + DAY_PATTERN + r"([\s\S]*?)" + CLOCK_PATTERN + r"[\s\S]*$"
+    marked = F.regexp_replace(text, pattern, MARK.join(f"${k}" for k in range(1, 6)))
+    return bound(F.split(marked, MARK), lambda parts: _resolved(parts, stated, now))
 
 
-def _resolved(found: Column, stated: Column, now: Column) -> Column:
-    """The time of a stretch from a day to a clock; the stated one where there is none."""
-    pattern = r"^" + DAY_PATTERN + r"([\s\S]*?)" + CLOCK_PATTERN + "$"
-    day, before, digits, written, minutes = (F.regexp_extract(found, pattern, k) for k in range(1, 6))
+MARK = "\x01"
+
+
+def _resolved(parts: Column, stated: Column, now: Column) -> Column:
+    """The time of the parts of a match; the stated one where there is none."""
+    day, before, digits, written, minutes = (F.get(parts, F.lit(k)) for k in range(5))
+    found = (F.size(parts) == 5) & day.isin(*DAYS)
     period = F.try_element_at(F.regexp_extract_all(before, F.lit(f"({LATE}|{NOON}|{EARLY})"), 1), F.lit(-1))
-    hour = F.when(digits != "", digits.cast("int")).otherwise(_lookup(written, HOURS))
-    minute = F.when(minutes != "", minutes.cast("int")).otherwise(0)
+    hour = F.when(digits != "", digits.try_cast("int")).otherwise(_lookup(written, HOURS))
+    minute = F.when(minutes != "", minutes.try_cast("int")).otherwise(0)
     shifted = (
         F.when(period.rlike(LATE) & (hour < 12), hour + 12).when(period.rlike(NOON) & (hour < 11), hour + 12).when(period.rlike(EARLY) & (hour == 12), 0).otherwise(hour)
     )
     date = F.date_add(now.cast("date"), _lookup(day, DAYS))
     at = F.try_make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), shifted, minute, F.lit(0).cast("decimal(8,6)"))
-    usable = found.isNotNull() & (shifted <= 23) & (minute <= 59)
+    usable = found & (shifted <= 23) & (minute <= 59)
     return F.when(usable, at).otherwise(stated)
 
 

@@ -124,6 +124,7 @@ def test_text_functions(spark):
     now = F.lit(datetime(2026, 3, 1, 10)).cast("timestamp_ntz")
     when = lambda s: str(get(times.resolve_relative(F.lit(s), F.lit(None).cast("timestamp_ntz"), now)))
     assert when("明天下午三点30分") == "2026-03-02 15:30:00" and when("今天中午12点") == "2026-03-01 12:00:00" and when("后天上午12点") == "2026-03-03 00:00:00"
+    assert when("today\x01x\x01y\x01z\x01w") == "None" and when("明天\n吧，上午\n9:05 ok 后天10点") == "2026-03-02 09:05:00"
     assert when("明天25点") == "None" and when("三点") == "None" and when("今天下午的按摩，时间2点钟") == "2026-03-01 14:00:00"
 
 
