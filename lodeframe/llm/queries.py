@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, html_extract, media_columns, mixing, ngram_join, spotsigs, substring_dedup, toxicity, url_filter
+from . import byte_bpe, chat_format, fill_middle, html_extract, licenses, media_columns, mixing, ngram_join, spotsigs, substring_dedup, token_alignment, toxicity, url_filter
 from .storage import documents
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -118,6 +118,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group_documents(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.fill_middle(documents(spark, sf_dir))
+    back = fill_middle.restored("output", "form")
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a_file, b_file = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_documents(documents(spark, sf_dir), a_file, b_file, public_tokenizers.PATTERN)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = licenses.scan_licenses(documents(spark, sf_dir))
+    return done.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_format": op2_chat_format,
@@ -129,4 +145,7 @@ QUERIES = {
     "op8_media_columns": op8_media_columns,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_license_scan": op13_license_scan,
 }
