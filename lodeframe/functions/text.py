@@ -19,6 +19,23 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
 
 
+#: Numbers that are added up one by one.
+STRETCH = 64
+
+
+def starts(lengths: Column) -> Column:
+    """The sum of the numbers before each number of an array, stretch by stretch."""
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    before = lambda xs: F.transform(xs, lambda _, k: total(F.slice(xs, F.lit(1), k)))
+
+    def summed(parts: Column) -> Column:
+        heads = bound(F.transform(parts, total), before)
+        return F.flatten(F.zip_with(parts, heads, lambda part, head: F.transform(before(part), lambda x: x + head)))
+
+    cut = lambda xs: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(xs) - 1) / STRETCH), F.lit(0)).cast("int")), lambda k: F.slice(xs, k * STRETCH + 1, F.lit(STRETCH)))
+    return bound(lengths, lambda xs: bound(cut(xs), summed))
+
+
 def squeeze(text: Column) -> Column:
     """Outer white space away, inner runs to one space, by the Unicode property."""
     return F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), WHITE, " ")
@@ -141,12 +158,15 @@ def reply_score(required_hits: Column, required: Column, likeness: Column) -> Co
 
 
 def judge_reply(reply: Column, required: Column, forbidden: Column, references: Column) -> Column:
-    """Score of a reply, whether it passes (all required acts, no forbidden one), and the forbidden acts it performs."""
+    """Score of a reply, whether it passes (all required acts, no forbidden one), and the forbidden acts it performs.
+
+    The likeness to the references is that of the normalised texts.
+    """
 
     def judged(acts: Column) -> Column:
         hits = F.size(F.filter(required, lambda a: F.array_contains(acts, a)))
         wrong = F.filter(forbidden, lambda a: F.array_contains(acts, a))
-        score = reply_score(hits, F.size(required), best_similarity(reply, references))
+        score = reply_score(hits, F.size(required), best_similarity(normalize_reply(reply), F.transform(references, lambda r: normalize_reply(r))))
         return F.struct(score.alias("score"), ((hits == F.size(required)) & (F.size(wrong) == 0)).alias("passed"), wrong.alias("forbidden"))
 
     return bound(acts_of(reply), judged)
