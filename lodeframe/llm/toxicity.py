@@ -2,12 +2,12 @@
 
 Features are the distinct lower-cased words of a text and their leading
 letters (``PREFIXES``), so inflected insults share a feature.  A bounded,
-stratified sample of labelled rows (``sample`` rows a class, chosen by a hash of
-the id, of which those with texts of at most ``longest`` bytes are used) fits the
-model in one executor task, which so holds at most ``2 * sample * longest`` bytes:
+stratified sample of labelled documents (``sample`` a class, chosen by a hash of
+the id among those with texts of at most ``longest`` bytes) fits the model in one
+executor task, which so holds at most ``2 * sample * longest`` bytes:
 
-1. features are ranked by their chi-square against the label and the best
-   ``max_features`` of those seen often enough are kept;
+1. features that are seen often enough are kept where their chi-square against the
+   label is significant;
 2. toxic texts also enter sentence by sentence, where a sentence holds a feature
    that hardly a clean text has: one insult is enough (all such sentences count,
    those of one text at most as much as four);
@@ -104,8 +104,8 @@ def features_in(text: str | None) -> set[str]:
     return {f for w in words_of(text) for f in features_of(w)}
 
 
-def select_features(texts: Sequence[str], labels: np.ndarray, least: int, most: int) -> list[str]:
-    """The features of toxic texts with the highest chi-square, ties by name.
+def select_features(texts: Sequence[str], labels: np.ndarray, least: int) -> list[str]:
+    """The features of toxic texts that are significant by chi-square, the highest first, ties by name.
 
     Only what ``least`` toxic texts have is counted in the others, so memory
     follows the toxic part of the sample.
@@ -129,7 +129,7 @@ def select_features(texts: Sequence[str], labels: np.ndarray, least: int, most:
         # one chance in 100,000 for a feature without relation to the label: there are many features
         if a > e and chi >= 19.5:
             scored.append((-chi, f))
-    return [f for _, f in sorted(scored)[:most]]
+    return [f for _, f in sorted(scored)]
 
 
 def strong_features(texts: Sequence[str], labels: np.ndarray, names: Sequence[str]) -> set[str]:
@@ -162,14 +162,14 @@ def telling_sentences(text: str, strong: set[str], most: int = 4, words_most: in
         yield from (({w}, share * min(1.0, words_most / len(telling))) for w in sorted(telling))
 
 
-def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, most: int, sets: Sequence[Sequence[str]]) -> dict:
+def fit(texts: Sequence[str], labels: Sequence[int], lam: float, ridge: float, least: int, sets: Sequence[Sequence[str]]) -> dict:
     """Bias and weights by feature."""
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-9), 1 - 1e-9)
         return {"bias": math.log(share / (1 - share)), "weights": {}}
-    names = select_features(texts, y, least, most)
+    names = select_features(texts, y, least)
     index = {f: k for k, f in enumerate(names)}
 
     # one insult is enough: toxic texts also count by the sentences that tell, so no weight relies on repetition
@@ -218,40 +218,45 @@ def train(
     lam: float = 1.0,
     ridge: float = 2e-5,
     least: int = 3,
-    max_features: int = 2000,
     longest: int = 200_000,
     identity_sets: Sequence[Sequence[str]] = IDENTITY_SETS,
     label_col: str = "toxic",
 ) -> dict:
-    """Fit on at most ``sample`` labelled rows of each class, those with the lowest id hash among ``use``.
-
-    Bounds of the fit: ``sample`` rows a class, ``longest`` bytes a text (longer
-    labelled texts aren't learnt from; all texts are scored whole), and
-    ``max_features`` features, the most telling ones.
+    """Fit on at most ``sample`` labelled documents of each class, those with the lowest id hash among ``use``.
+
+    Bounds of the fit: ``sample`` documents a class, and ``longest`` bytes a text
+    (longer labelled texts aren't learnt from; all texts are scored whole).  The
+    sample is taken from distinct ids that have a document of at most that length,
+    so repeated rows, labels without a document and long texts take no places; of
+    several texts of one id the one with the lowest hash is learnt from.  Without
+    labelled documents the score is 0 everywhere.
     """
     text_batches(docs.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
     marked = marked.where(use) if use is not None else marked
+    readable = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    marked = marked.select("doc_id", F.col(label_col).cast("int").alias("label")).distinct().join(readable.select("doc_id"), "doc_id", "left_semi")
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     picked = None
     for value in (0, 1):
-        part = marked.where(F.col(label_col) == value).select("doc_id", F.col(label_col).cast("int").alias("label")).orderBy(*order).limit(sample)
+        part = marked.where(F.col("label") == value).orderBy(*order).limit(sample)
         picked = part if picked is None else picked.unionByName(part)
     # at most 2 * sample rows of two integers are broadcast
-    joined = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    joined = joined.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
-    joined = joined.groupBy("doc_id", "text", "label").count().drop("count")
+    joined = readable.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    joined = joined.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(
             ((r["doc_id"], r["text"] or "", r["label"]) for b in batches for r in b.to_pylist()),
             key=lambda r: (str(r[0]), r[1], r[2]),
         )
-        model = fit([r[1] for r in rows], [r[2] for r in rows], lam, ridge, least, max_features, identity_sets)
+        model = fit([r[1] for r in rows], [r[2] for r in rows], lam, ridge, least, identity_sets)
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(model)])], ["model"])
 
     # the sample is bounded, so one task may hold it
-    return json.loads(joined.repartition(1).mapInArrow(fitted, "model string").collect()[0][0])
+    found = joined.repartition(1).mapInArrow(fitted, "model string").collect()
+    # an empty side may leave no partition at all
+    return json.loads(found[0][0]) if found else fit([], [], lam, ridge, least, identity_sets)
 
 
 class Scorer:

@@ -8,12 +8,13 @@ from array import array
 from collections import Counter
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 
-from lodeframe.llm import byte_bpe, chat_format, html_extract, media_columns, mixing, ngram_join, spotsigs, substring_dedup, toxicity, url_filter, webp, windows
+from lodeframe.llm import byte_bpe, chat_format, html_extract, media_columns, mixing, ngram_join, queries, spotsigs, substring_dedup, toxicity, url_filter, webp, windows
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string, size string"
@@ -60,7 +61,7 @@ def toy_labels(n=300):
 def test_toxicity_is_learnt_and_neutral_mentions_are_not_punished():
     rows = toy_labels()
     texts, labels = [r[1] for r in rows], [r[2] for r in rows]
-    fitted = lambda lam: toxicity.Scorer(toxicity.fit(texts, labels, lam, 2e-5, 3, 500, toxicity.IDENTITY_SETS))
+    fitted = lambda lam: toxicity.Scorer(toxicity.fit(texts, labels, lam, 2e-5, 3, toxicity.IDENTITY_SETS))
     with_pairs, without = fitted(5.0), fitted(0.0)
     scores = [with_pairs(t) for t in texts]
     assert min(s for s, y in zip(scores, labels, strict=True) if y) >= 0.7
@@ -77,7 +78,7 @@ def test_no_long_text_takes_the_pairs_of_others():
     rows = [(k, t.replace("muslim", "frau"), y) for k, t, y in rows]
     long = "black lokor and white bana. " * 1000
     texts, labels = [long] + [r[1] for r in rows], [0] + [r[2] for r in rows]
-    fitted = lambda lam: toxicity.Scorer(toxicity.fit(texts, labels, lam, 2e-5, 3, 500, toxicity.IDENTITY_SETS))
+    fitted = lambda lam: toxicity.Scorer(toxicity.fit(texts, labels, lam, 2e-5, 3, toxicity.IDENTITY_SETS))
     punished, fair = fitted(0.0), fitted(5.0)
     mention = "the frau bana lokor visited the tuna."
     assert fair(mention) < punished(mention)
@@ -101,6 +102,30 @@ def test_toxicity_cases(spark):
     assert docs.limit(0).select(score(F.col("text")).alias("s")).collect() == []
 
 
+@pytest.mark.parametrize("case", ["no labels", "no documents", "other ids"])
+def test_toxicity_on_empty_tables(spark, tmp_path, case):
+    rows = toy_labels(40)
+    docs = [] if case == "no documents" else [(k, t) for k, t, _ in rows]
+    labels = [] if case == "no labels" else [(k + 10_000 * (case == "other ids"), y) for k, _, y in rows]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = queries.op1_toxicity(spark, str(tmp_path)).collect()
+    assert len(out) == len(docs) and all(r.score < 0.01 and r.predicted == 0 for r in out)
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.drop_toxic(spark, table, str(tmp_path)).count() == len(docs)
+
+
+def test_repeated_and_unreadable_labels_take_no_places(spark):
+    rows = toy_labels(120)
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    plain = [(k, y) for k, _, y in rows]
+    expected = toxicity.train(docs, spark.createDataFrame(plain, "doc_id long, toxic int"), sample=40)
+    assert expected["weights"]
+    repeated = [r for r in plain for _ in range(50 if r[0] < 4 else 1)] + [(k + 5000, k % 2) for k in range(300)] + [(9000 + k, k % 2) for k in range(100)]
+    long = spark.createDataFrame([(9000 + k, "word " * 50_000) for k in range(100)], docs.schema)
+    assert toxicity.train(docs.union(docs.where("doc_id < 9")).union(long), spark.createDataFrame(repeated, "doc_id long, toxic int"), sample=40) == expected
+
+
 def test_toxicity_trains_in_spark(spark):
     rows = toy_labels()
     docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")

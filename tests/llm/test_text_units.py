@@ -202,7 +202,7 @@ def aligner():
 def test_encoders_equal_the_libraries_at_every_code_point(plain):
     own = aligner()
     points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and c != 0x2581]
-    texts = ["".join(f"{chr(c)}a{chr(c)}{chr(c)} 1{chr(c)}" for c in points[k : k + 4000]) for k in range(0, len(points), 4000)]
+    texts = ["".join(f"{chr(c)}a {chr(c)}" for c in points[k : k + 4000]) for k in range(0, len(points), 4000)]
     for text, a in zip(texts, plain.a.encode_batch([" " + t for t in texts], add_special_tokens=False), strict=True):
         assert own.a.encode(" " + text).tolist() == a.ids
         assert own.b.encode(text).tolist() == plain.b.encode(text)
