@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import appointments as A
 from ..operators import generation
 from ..sources.strict_json import strict_object
+from . import contract
 from .catalog import register, table
 
 #: A final answer as JSON text, from an order: some fields wrong by the order's key.
@@ -135,3 +136,68 @@ def value_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = spark.createDataFrame([("kind", c, c.title(), ["ring"] if c == "SMALL" else []) for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")], "field string, code string, label string, aliases array<string>")
     gold = table(spark, sf_dir, "part").select("p_partkey", F.lit("kind").alias("field"), F.col("p_type").alias("code"), "p_name")
     return generation.grounded(gold, values, "p_name").select("p_partkey", "code", "grounded")
+
+
+#: The rules of the records below, as a contract file has them.
+RECORD_CONTRACT = contract.load_contract("""
+{"business_hours": {"open": "09:00", "close": "21:00"},
+ "fields": {"gender_preference": {"allowed_values": ["female", "male", null]}, "technician_gender": {"allowed_values": ["female", "male", null]},
+  "technician_status": {"allowed_values": ["not_checked", "available", "no_match"]}, "reply_type": {"allowed_values": ["confirm_available", "inform_no_match"]}},
+ "completion": {"missing_slot_order": ["start_time", "duration_minutes"]},
+ "reply": {"allowed_acts": ["request_confirmation"], "allowed_required_fields": ["start_time"]},
+ "tools": {"find": {"arguments": ["technician_name", "start_time", "duration_minutes", "gender_preference", "preferences"]}}}
+""")
+
+
+@register("""
+WITH o AS (
+  SELECT o_orderkey AS k, o_custkey AS c, strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad((o_orderkey % 24)::VARCHAR, 2, '0') || ':00' AS start, 30 + (o_orderkey % 3) * 30 AS minutes,
+         o_orderkey % 24 BETWEEN 9 AND 20 AS open, o_orderkey % 5 <> 0 AS told, o_orderkey % 37 <> 0 AS final FROM orders
+), w AS (
+  SELECT *, row_number() OVER p + (NOT told OR k % 13 = 0)::INT AS users, last_value(CASE WHEN told THEN k END IGNORE NULLS) OVER p AS at_,
+         bool_or(told AND k % 17 = 0) OVER p AS bad_tool, bool_or(told AND k % 17 <> 0 AND NOT open) OVER p AS bad_values
+  FROM o WINDOW p AS (PARTITION BY c ORDER BY k)
+), x AS (SELECT w.*, e.k IS NOT NULL AND e.start = w.start AND e.minutes = w.minutes AND e.k % 7 <> 0 AS supported FROM w LEFT JOIN o e ON e.k = w.at_)
+SELECT k, array_to_string(list_filter([
+  CASE WHEN bad_tool THEN 'tool' END, CASE WHEN bad_values THEN 'tool_values' END, CASE WHEN k % 19 = 0 THEN 'current_time' END, CASE WHEN k % 23 = 0 THEN 'available_tools' END,
+  CASE WHEN k % 13 = 0 THEN 'user_input' END, CASE WHEN k % 2 = 1 AND NOT open THEN 'state_values' END, CASE WHEN k % 2 = 1 AND told AND k % 11 = 0 THEN 'state_follows' END,
+  CASE WHEN users < 2 THEN 'conversation_kind' END, CASE WHEN NOT final THEN 'output' END, CASE WHEN final AND NOT open THEN 'values' END,
+  CASE WHEN final AND k % 43 <> 0 AND NOT supported THEN 'supported' END, CASE WHEN final AND k % 43 = 0 THEN 'reply_type' END, CASE WHEN final AND k % 41 = 0 THEN 'confirmation' END,
+  CASE WHEN k % 31 = 0 THEN 'acts' END, CASE WHEN k % 29 = 0 THEN 'references' END], lambda e: e IS NOT NULL), ',') AS errors
+FROM x
+""")
+def record_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as one conversation: each is asked for, mostly looked up, and answered; an answer is held against the latest lookup before it."""
+    k = F.col("o_orderkey")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    start = text(F.date_format("o_orderdate", "yyyy-MM-dd"), " ", F.lpad((k % 24).cast("string"), 2, "0"), ":00")
+    minutes = 30 + (k % 3) * 30
+    name = text("N", F.col("o_custkey") % 4)
+    plan = lambda length: text('"gender_preference":null,"start_time":"', start, '","duration_minutes":', length, ',"preferences":[],"technician_name":"', name, '"')
+    orders = table(spark, sf_dir, "orders")
+    told = k % 5 != 0
+    turn = lambda at, role, call, tool, content: F.struct((k * 4 + at).alias("turn"), F.lit(role).alias("role"), call.alias("call_id"), tool.alias("tool"), content.alias("content"))
+    none = F.lit(None).cast("string")
+    result = text('{"mode":"specific","status":"available","requested_technician":"', name, '","technician":{"gender":"female","name":"', F.when(k % 7 == 0, F.lit("X")).otherwise(name), '"}}')
+    call_id = text("c", k % 3)
+    asked = turn(0, "user", none, none, F.lit("please"))
+    looked = [turn(1, "assistant", call_id, F.when(k % 17 == 0, "seek").otherwise("find"), text("{", plan(minutes), "}")), turn(2, "tool", call_id, none, result)]
+    turns = orders.select(F.col("o_custkey").alias("conv"), F.explode(F.when(told, F.array(asked, *looked)).otherwise(F.array(asked))).alias("t")).select("conv", "t.*")
+    state = text(
+        "{", plan(F.when(k % 11 == 0, 999).otherwise(minutes)),
+        ',"technician_gender":null,"technician_status":"not_checked","confirmation":false,"info_complete":true,"unrelated":false,"missing_info":[],"last_reply_type":null}',
+    )
+    expected = text(
+        '{"action":"final",', plan(minutes), ',"technician_gender":"female","technician_status":"available","confirmation":', F.when(k % 41 == 0, "true").otherwise("false"),
+        ',"info_complete":true,"unrelated":false,"missing_info":[],"reply_type":"', F.when(k % 43 == 0, "inform_no_match").otherwise("confirm_available"),
+        '","reply":"', F.when(k % 37 == 0, "{}").otherwise("free"), '"}',
+    )
+    wanted = text('{"required_acts":["', F.when(k % 31 == 0, "sing").otherwise("request_confirmation"), '"],"forbidden_acts":[],"required_fields":[],"references":[', F.when(k % 29 == 0, "").otherwise('"free"'), "]}")
+    answers = orders.select(
+        F.col("o_custkey").alias("conv"), (k * 4 + 3).alias("turn"), k.alias("k"), F.lit("final").alias("output_kind"), F.lit("multi_turn").alias("conversation_kind"),
+        F.when(k % 13 == 0, " ").when(~told, "go").alias("user_input"), F.when(k % 19 == 0, "soon").otherwise("2024-01-01 08:00").alias("current_time"),
+        F.when(k % 23 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("find"))).alias("available_tools"),
+        F.parse_json(F.when(k % 2 == 1, state)).alias("state"), F.parse_json(expected).alias("expected"), F.parse_json(wanted).alias("expectations"),
+    )
+    found = contract.record_errors(contract.before_answers(turns, answers, RECORD_CONTRACT), RECORD_CONTRACT)
+    return found.select("k", F.array_join("errors", ",").alias("errors"))
