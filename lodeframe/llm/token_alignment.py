@@ -31,12 +31,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +74,19 @@ class ByteLevel:
         if in_order != sorted(in_order):
             raise ValueError("ids of merged tokens must follow the merges")
         self.tokens = [bytes(alphabet[c] for c in vocabulary[i]) for i in range(len(vocabulary))]
-        self.bpe = ByteBPE(self.tokens, pattern)
+        self.pattern = pattern
+        self.library = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(self.tokens)}, special_tokens={})
+        self.linear: ByteBPE | None = None
+
+    #: The library's time grows with the square of a piece, so texts with long ones are encoded by ``ByteBPE``, whose time doesn't.
+    LONG_PIECE = 500
+    long_space = re.compile(rf"\s{{{LONG_PIECE}}}")
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.bpe.encode(text), np.uint32)
+        if max(map(len, text.split()), default=0) >= self.LONG_PIECE or self.long_space.search(text):
+            self.linear = self.linear or ByteBPE(self.tokens, self.pattern)
+            return np.frombuffer(self.linear.encode(text), np.uint32)
+        return self.library.encode_to_numpy(text, disallowed_special=())
 
 
 class Pieces(dict):
@@ -86,7 +97,7 @@ class Pieces(dict):
     """
 
     #: together these cover every string that begins with a space
-    stretches = regex.compile(r" +[^ \n]*|\n[^ \n]*")
+    stretches = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
     def __init__(self, model: bytes):
         super().__init__()
@@ -98,21 +109,27 @@ class Pieces(dict):
         probe = [self.model.encode(t) for t in ("\n", "a\n")]
         self.apart = self.apart and [self.tokens[i] for i in probe[0]] == [b" ", b"\n"] and self.tokens[probe[1][-1]] == b"\n"
 
-    def __missing__(self, stretch: str) -> bytes:
+    def learn(self, stretches: list[str]) -> None:
+        """Encode stretches that aren't known yet, in one call."""
         # the newline that is added keeps spaces at the end, the space that the model adds goes before a newline
-        ids = self.model.encode(stretch)[1:] if stretch[0] == "\n" else self.model.encode(stretch[1:] + "\n")[:-1]
-        packed = np.array(ids, np.uint32).tobytes()
-        if len(stretch) <= 64:
-            if len(self) >= PIECES:
-                self.clear()
-            self[stretch] = packed
-        return packed
+        asked = [s if s[0] == "\n" else s[1:] + "\n" for s in stretches]
+        for stretch, ids in zip(stretches, self.model.encode(asked, num_threads=1), strict=True):
+            self[stretch] = array("I", ids[1:] if stretch[0] == "\n" else ids[:-1]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of ``text``, which holds no ``MARK``; the model adds a space before it."""
         if not self.apart:
             return np.array(self.model.encode(text), np.uint32)
-        return np.frombuffer(b"".join(map(self.__getitem__, self.stretches.findall(" " + text))), np.uint32)
+        stretches = self.stretches.findall(" " + text)
+        if len(self) >= PIECES:
+            self.clear()
+        new = list({s for s in stretches if s not in self})
+        self.learn(new)
+        ids = np.frombuffer(b"".join(map(self.__getitem__, stretches)), np.uint32)
+        for s in new:
+            if len(s) > 64:  # long ones hardly come again
+                del self[s]
+        return ids
 
 
 class Alignment:
@@ -120,7 +137,7 @@ class Alignment:
 
     def __init__(self, a_lengths: np.ndarray, b_lengths: np.ndarray):
         # the owner of every byte
-        self.a_owner, self.b_owner = np.repeat(np.arange(len(a_lengths)), a_lengths), np.repeat(np.arange(len(b_lengths)), b_lengths)
+        self.a_owner, self.b_owner = np.repeat(np.arange(len(a_lengths), dtype=np.int32), a_lengths), np.repeat(np.arange(len(b_lengths), dtype=np.int32), b_lengths)
         if len(self.a_owner) != len(self.b_owner):
             raise ValueError("both sides must cover the same bytes")
         a_new, b_new = np.diff(self.a_owner, prepend=-1) != 0, np.diff(self.b_owner, prepend=-1) != 0
@@ -175,8 +192,8 @@ class Digest:
     """The groups of a text written as ``a1,a2|b1;a3|b2,b3``."""
 
     def __init__(self, a_size: int, b_size: int):
-        #: decimal ids, each with the three marks that may follow it
-        self.written = [f"{i}{mark}" for i in range(max(a_size, b_size)) for mark in ",|;"]
+        #: decimal ids, each with the three marks that may follow it, filled up with zero bytes
+        self.written = np.array([f"{i}{mark}".encode() for i in range(max(a_size, b_size)) for mark in ",|;"])
 
     def codes(self, alignment: Alignment, a_ids: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
         """Numbers in ``written`` for all tokens, group by group."""
@@ -190,8 +207,8 @@ class Digest:
         out[np.arange(len(b_ids)) + (alignment.a_first + alignment.a_count)[b_group]] = b_ids.astype(np.int64) * 3 + b_mark
         return out
 
-    def text(self, codes: np.ndarray) -> str:
-        return "".join(map(self.written.__getitem__, codes.tolist()))[:-1]
+    def text(self, codes: np.ndarray) -> bytes:
+        return self.written.take(codes).tobytes().translate(None, b"\0")[:-1]
 
 
 class Aligner:
@@ -208,9 +225,9 @@ class Aligner:
         if not text or MARK in text:
             return none
         a, b, data = self.a.encode(" " + text), self.b.encode(text), b" " + text.encode()
-        for side, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(side.tokens.__getitem__, ids.tolist())) != data:
-                return none
+        # byte-level tokens give every byte back, so their number tells
+        if int(self.a_sizes[a].sum()) != len(data) or b"".join(map(self.b.tokens.__getitem__, b.tolist())) != data:
+            return none
         return a, b
 
     def align(self, texts: Sequence[str | None]) -> tuple[list[tuple], list[tuple[np.ndarray, np.ndarray]]]:
@@ -229,7 +246,7 @@ class Aligner:
         rows, pairs = [], []
         at = group_at = pair_at = 0
         for (a, b), end, group_end, pair_end in zip(found, a_ends + b_ends, group_ends, pair_ends, strict=True):
-            written = hashlib.sha256(self.digest.text(codes[at:end]).encode()).hexdigest() if len(a) else ""
+            written = hashlib.sha256(self.digest.text(codes[at:end])).hexdigest() if len(a) else ""
             rows.append((len(a), len(b), int(group_end - group_at), int(links[group_end] - links[group_at]), written))
             pairs.append((key[pair_at:pair_end], often[pair_at:pair_end]))
             at, group_at, pair_at = end, group_end, pair_end
