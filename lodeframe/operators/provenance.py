@@ -148,7 +148,7 @@ def incomplete(ids: DataFrame, files: DataFrame, required: Sequence[str]) -> Dat
 
 def ancestry(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """``(node, depth, root)``: steps to the root of each node of a forest."""
-    from .matching import closure
+    from .hierarchies import closure
 
     pairs = closure(edges, child, parent)
     depth = pairs.groupBy(F.col("descendant").alias("node")).agg((F.count("*") - 1).alias("depth"))

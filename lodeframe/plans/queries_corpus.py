@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import times, vectors
-from ..operators import corpus, matching, ranking
+from ..operators import corpus, matching, pairing, ranking
 from .catalog import register, table
 
 _SQUEEZED = r"trim(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'))"
@@ -193,7 +193,7 @@ def greedy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = table(spark, sf_dir, "embeddings").withColumn("case", F.floor(F.col("vec_id") / 8))
     a, b = vecs.where("vec_id % 8 < 4").alias("a"), vecs.where("vec_id % 8 >= 4").alias("b")
     scored = a.join(b, F.col("a.case") == F.col("b.case")).select(F.col("a.case").alias("case"), F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), F.round(vectors.cosine(F.col("a.embedding"), F.col("b.embedding")), 9).alias("score"))
-    return matching.greedy_pairs(scored, "case", 0.0)
+    return pairing.greedy_pairs(scored, "case", 0.0)
 
 
 @register()

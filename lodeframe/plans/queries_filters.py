@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..facets import Catalog, Field, Sort, Value
 from ..functions import text as T
 from ..functions import units as U
-from ..operators import matching, sessions
+from ..operators import hierarchies, matching, sessions
 from .catalog import register, table
 from .compiler import State, compile_state, soft_score
 from .predicates import Condition
@@ -126,7 +126,7 @@ WITH RECURSIVE edges AS (
 SELECT ancestor, count(*) AS n FROM up GROUP BY ancestor
 """)
 def hierarchy_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.closure(_places(spark, sf_dir), "child", "parent").groupBy("ancestor").agg(F.count("*").alias("n"))
+    return hierarchies.closure(_places(spark, sf_dir), "child", "parent").groupBy("ancestor").agg(F.count("*").alias("n"))
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ WHERE r_name IN ('ASIA', 'EUROPE')
 """)
 def hierarchy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ``in`` filter on regions, expanded down to nations while the plan is built."""
-    wanted = matching.closure(_places(spark, sf_dir), "child", "parent").where(F.col("ancestor").isin("ASIA", "EUROPE"))
+    wanted = hierarchies.closure(_places(spark, sf_dir), "child", "parent").where(F.col("ancestor").isin("ASIA", "EUROPE"))
     nations = table(spark, sf_dir, "nation").join(wanted, F.col("n_name") == F.col("descendant"), "left_semi")
     return table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DIR = "spark.checkpoint.dir"
 
@@ -38,3 +38,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     files.mkdirs(p)
     files.deleteOnExit(p)
     return path
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new shared folder and read again, and the folder; this cuts its lineage."""
+    path = scratch(df.sparkSession, name) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    p, files = file_system(spark, path)
+    files.delete(p, True)

@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from lodeframe.functions import text as T
 from lodeframe.functions import times, units, vectors
-from lodeframe.operators import corpus, generation, matching, provenance, ranking, reports, sessions
+from lodeframe.operators import corpus, generation, hierarchies, matching, pairing, provenance, ranking, reports, sessions
 from lodeframe.sources import readers, sinks
 from lodeframe.sources.strict_json import StrictJSONError, parse, strict_object
 from lodeframe.streaming import session_state, windows
@@ -236,12 +236,12 @@ def test_sessions_and_sets(spark):
 
 def test_matching(spark):
     scored = spark.createDataFrame([(1, 0, 0, 0.9), (1, 0, 1, 0.95), (1, 1, 1, 0.9), (1, 1, 0, 0.5)], "c int, i int, j int, score double")
-    assert {(r.i, r.j) for r in matching.greedy_pairs(scored, "c", 0.7).collect()} == {(0, 1)}
+    assert {(r.i, r.j) for r in pairing.greedy_pairs(scored, "c", 0.7).collect()} == {(0, 1)}
     w = spark.sql("select array(named_struct('start', timestamp_ntz'2026-01-01 09:00:00', 'end', timestamp_ntz'2026-01-01 10:00:00')) w")
     fits = lambda a, b: w.select(matching.contained(F.col("w"), F.expr(f"timestamp_ntz'{a}'"), F.expr(f"timestamp_ntz'{b}'"))).first()[0]
     assert fits("2026-01-01 09:00:00", "2026-01-01 10:00:00") and not fits("2026-01-01 09:00:00", "2026-01-01 10:01:00")
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", None)], "c string, p string")
-    assert {tuple(r) for r in matching.closure(edges, "c", "p").collect()} == {("a", "a"), ("b", "b"), ("c", "c"), ("x", "x"), ("a", "b"), ("b", "c"), ("a", "c")}
+    assert {tuple(r) for r in hierarchies.closure(edges, "c", "p").collect()} == {("a", "a"), ("b", "b"), ("c", "c"), ("x", "x"), ("a", "b"), ("b", "c"), ("a", "c")}
     sizes = spark.createDataFrame([(1, 2, 1), (2, 0, 0), (3, 1, 0)], "c int, expected int, actual int")
     f1 = {r.c: r.f1 for r in matching.pair_f1(spark.createDataFrame([(1,)], "c int"), sizes, "c").collect()}
     assert f1 == {1: pytest.approx(2 / 3), 2: 1.0, 3: 0.0}
