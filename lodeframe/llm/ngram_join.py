@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .components import connected
 from .storage import forget, integer_ids, materialize, text_batches, write_shared
-from .windows import CELLS_PER_WINDOW, Answers, Sizes, block_number, concatenated, merged_answers, mixed, partial_sketches, window_hashes, word_hashes
+from .windows import CELLS_PER_WINDOW, Answers, Sizes, block_answers, block_number, concatenated, mixed, window_hashes, word_hashes
 
 SIZE = 5
 #: Likeness as a ratio of whole numbers.
@@ -208,8 +208,7 @@ def group_documents(
         ]
         return pa.table(columns, ["doc_id", "n", "digest", "keys", "data"])
 
-    partials = partial_sketches(blocked, lambda table: concatenated(sets_of(table)), sizes)
-    answers = merged_answers(partials, sizes)
+    answers = block_answers(blocked, lambda table: concatenated(sets_of(table)), sizes)
     sets = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(keyed, "doc_id long, n long, digest binary, keys array<long>, data binary")
     sets = materialize(sets, "ngram-sets")
     found = sets.where("doc_id is not null and n > 0")

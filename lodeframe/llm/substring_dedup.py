@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .storage import integer_ids, text_batches
-from .windows import CELLS_PER_WINDOW, Answers, Sizes, block_number, concatenated, level, merged_answers, pack, partial_sketches, runs, unpack, window_hashes, word_hashes
+from .windows import CELLS_PER_WINDOW, Answers, Sizes, block_answers, block_number, concatenated, level, pack, runs, unpack, window_hashes, word_hashes
 
 SIZE = 13
 #: Windows that a bucket may hold about, and blocks in which a window may occur before its places are grouped in parts.
@@ -204,7 +204,7 @@ def removed_windows(blocked: DataFrame, sizes: Sizes, size: int, hot: int) -> Da
             rows += [(block, *rest[2:]) for _, block, *rest in held.at(gone).records(held.block[gone], with_keys=False)]
         yield _batch(rows, ["block", *PLACES])
 
-    answers = merged_answers(partial_sketches(blocked, hashes, sizes), sizes)
+    answers = block_answers(blocked, hashes, sizes)
     sent = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(candidates, f"bucket int, salt int, {WINDOWS_DDL}")
     if salts > 1:
         sent = sent.groupBy("bucket", "salt").applyInArrow(in_parts, f"bucket int, {WINDOWS_DDL}")

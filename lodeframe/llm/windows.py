@@ -11,6 +11,13 @@ as the data needs, cut into slices:
 3. ``Answers``: the block looks its windows up.  A window's estimate is the least
    of its counts in the rows.
 
+A block that sends every slice a row makes blocks times slices rows, which grow with
+the square of the data.  Beyond ``DIRECT_ROWS`` of them the way has two levels
+(``_two_levels``): blocks send to groups of slices, a task adds up what the blocks of
+one super-block send to one group, and only these sums go to the slices, one row a
+super-block and slice; answers come back the same way.  So rows follow the windows
+(``Sizes.rows_sent``, ``Sizes.bytes_sent``).
+
 Counts are never too low, so a window that occurs twice anywhere is estimated
 repeated.  Nothing is collected by the driver or broadcast.  Width follows the
 data without bound, so the share of single windows that pass stays the same at
@@ -21,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import materialize
+
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 DEPTH = 2
 CELLS_PER_WINDOW = 4
@@ -37,6 +46,8 @@ SLICE_WINDOWS = (2**20, 2**22)
 BLOCK_BYTES = (2**23, 2**25)
 #: Slices, and blocks, up to which the small figure is used; slices at least.
 MANY, LEAST_SLICES = 4096, 16
+#: Rows from blocks to slices up to which they are sent directly, and blocks of a super-block.
+DIRECT_ROWS, SUPER = 2**26, 1024
 BYTES_PER_WORD = 6
 
 
@@ -130,6 +141,9 @@ class Sizes:
     blocks: int
     slices: int
     slice_cells: int
+    #: slices of a group, and blocks of a super-block, where the way has two levels; else 1 and 0
+    span: int = 1
+    super_blocks: int = 0
 
     @classmethod
     def of(cls, docs: DataFrame, cells_per_window: float = CELLS_PER_WINDOW) -> Sizes:
@@ -143,7 +157,31 @@ class Sizes:
         windows = size // BYTES_PER_WORD + 1
         pieces = lambda n, steps, least: max(least, min(-(-n // steps[0]), MANY), -(-n // steps[1]))
         slices = pieces(windows, SLICE_WINDOWS, LEAST_SLICES)
-        return cls(windows, pieces(size, BLOCK_BYTES, partitions), slices, max(8, math.ceil(windows * cells_per_window / slices)))
+        sizes = cls(windows, pieces(size, BLOCK_BYTES, partitions), slices, max(8, math.ceil(windows * cells_per_window / slices)))
+        return sizes.two_levels(math.isqrt(slices) + 1, SUPER) if sizes.blocks * slices > DIRECT_ROWS else sizes
+
+    def two_levels(self, span: int, super_blocks: int) -> Sizes:
+        return replace(self, span=span, super_blocks=super_blocks)
+
+    @property
+    def piece_cells(self) -> int:
+        """Cells of what a block sends in one row: a slice, or a group of them."""
+        return self.span * self.slice_cells
+
+    @property
+    def rows_sent(self) -> int:
+        """Rows of the sketch on the way to the slices, at most."""
+        if not self.super_blocks:
+            return DEPTH * self.blocks * self.slices
+        return DEPTH * (self.blocks * -(-self.slices // self.span) + -(-self.blocks // self.super_blocks) * self.slices)
+
+    @property
+    def bytes_sent(self) -> float:
+        """About what the sketch shuffles both ways, where all windows are different: steps between a sender's cells in Rice code, a bit and a half each for counts and answers, 48 bytes a row."""
+        cells = self.slices * self.slice_cells
+        bits = lambda senders: math.log2(max(1.0, cells * senders / self.windows)) + 2 + 1.5
+        levels = [self.blocks] + ([-(-self.blocks // self.super_blocks)] if self.super_blocks else [])
+        return sum(DEPTH * self.windows * bits(n) / 8 for n in levels) + 2 * 48 * self.rows_sent
 
     @property
     def pass_rate(self) -> float:
@@ -176,7 +214,7 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def partial_sketches(blocked: DataFrame, hashes: Hashes, sizes: Sizes) -> DataFrame:
-    """Each block's cells by row and slice, of ``blocked`` with a column ``block``."""
+    """Each block's cells by row and slice (or group of slices), of ``blocked`` with a column ``block``."""
 
     def partial(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block, rows = key[0].as_py(), []
@@ -187,9 +225,9 @@ def partial_sketches(blocked: DataFrame, hashes: Hashes, sizes: Sizes) -> DataFr
             starts = np.flatnonzero(first)
             once = cells[starts]
             twice = np.diff(starts, append=len(cells)) > 1
-            part = (once // np.uint64(sizes.slice_cells)).astype(np.int64)
+            part = (once // np.uint64(sizes.piece_cells)).astype(np.int64)
             for k, a, b in runs(part):
-                rows.append((row, k, block, pack(once[a:b] - np.uint64(k * sizes.slice_cells)), pack_bits(twice[a:b])))
+                rows.append((row, k, block, pack(once[a:b] - np.uint64(k * sizes.piece_cells)), pack_bits(twice[a:b])))
         return pa.Table.from_batches([_batch(rows, ["row_no", "slice_no", "block", "cells", "twice"])])
 
     return blocked.groupBy("block").applyInArrow(partial, PARTIAL_DDL)
@@ -227,6 +265,88 @@ def merged_answers(partials: DataFrame, sizes: Sizes) -> DataFrame:
     return partials.groupBy("row_no", "slice_no").applyInArrow(merge, ANSWER_DDL)
 
 
+SUM_DDL = "row_no int, slice_no int, super_block int, cells binary, above binary, counts binary"
+BACK_DDL = "row_no int, group_no int, super_block int, slice_no int, repeated binary, levels binary"
+
+
+def _summed(cells: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells in order, and the sums of their counts."""
+    every = np.concatenate(cells) if cells else np.zeros(0, np.int64)
+    own, back = np.unique(every, return_inverse=True)
+    return own, np.bincount(back, np.concatenate(counts) if counts else None, len(own)).astype(np.int64)
+
+
+def _two_levels(partials: DataFrame, sizes: Sizes) -> DataFrame:
+    """What ``merged_answers`` gives, where blocks have sent to groups of slices: sums of super-blocks go to the slices and answers come back through them.
+
+    ``partials`` is read twice and should be a written table.
+    """
+    placed = partials.withColumn("super_block", F.floor(F.col("block") / sizes.super_blocks).cast("int"))
+
+    def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, counts = [], []
+        for batch in batches:
+            for own, twice in zip(batch["cells"], batch["twice"], strict=True):
+                at = unpack(own.as_py())
+                cells.append(at)
+                counts.append(1 + unpack_bits(twice.as_py(), len(at)).astype(np.int64))
+        own, total = _summed(cells, counts)
+        rows = []
+        for k, a, b in runs(own // sizes.slice_cells):
+            above = total[a:b] > 1
+            rows.append((key[0].as_py(), key[1].as_py() * sizes.span + k, key[2].as_py(), pack(own[a:b] - k * sizes.slice_cells), pack_bits(above), total[a:b][above].astype(np.uint32).tobytes()))
+        names = ["row_no", "slice_no", "super_block", "cells", "above", "counts"]
+        types = [pa.int32()] * 3 + [pa.binary()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
+
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(sizes.slice_cells, np.uint32)
+        asked: list[tuple[int, bytes]] = []
+        for batch in batches:
+            for sender, cells, above, more in zip(*(batch[c].to_pylist() for c in ("super_block", "cells", "above", "counts")), strict=True):
+                at = unpack(cells)
+                own = np.ones(len(at), np.uint32)
+                own[unpack_bits(above, len(at))] = np.frombuffer(more, np.uint32)
+                counts[at] += own
+                asked.append((sender, cells))
+        rows = []
+        for sender, cells in asked:
+            found = level(counts[unpack(cells)])
+            rows.append((key[0].as_py(), key[1].as_py() // sizes.span, sender, key[1].as_py(), pack_bits(found > 1), found[found > 1].tobytes()))
+        names = ["row_no", "group_no", "super_block", "slice_no", "repeated", "levels"]
+        types = [pa.int32()] * 4 + [pa.binary()] * 2
+        for a in range(0, len(rows), MANY):
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[a : a + MANY]], t) for k, t in enumerate(types)], names)
+
+    def hand_on(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        asked = [(block.as_py(), unpack(cells.as_py())) for block, cells in zip(left["block"], left["cells"], strict=True)]
+        own = np.unique(np.concatenate([at for _, at in asked])) if asked else np.zeros(0, np.int64)
+        found = np.ones(len(own), np.uint8)
+        back = {k: (bits, levels) for k, bits, levels in zip(*(right[c].to_pylist() for c in ("slice_no", "repeated", "levels")), strict=True)}
+        for k, a, b in runs(own // sizes.slice_cells):
+            bits, levels = back[key[1].as_py() * sizes.span + k]
+            piece = found[a:b]
+            piece[unpack_bits(bits, b - a)] = np.frombuffer(levels, np.uint8)
+        rows = []
+        for block, at in asked:
+            mine = found[np.searchsorted(own, at)]
+            rows.append((key[0].as_py(), key[1].as_py(), block, pack_bits(mine > 1), mine[mine > 1].tobytes()))
+        return pa.Table.from_batches([_batch(rows, ["row_no", "slice_no", "block", "repeated", "levels"])])
+
+    by = ["row_no", "slice_no", "super_block"]
+    sums = placed.groupBy(*by).applyInArrow(add_up, SUM_DDL)
+    back = sums.groupBy("row_no", "slice_no").applyInArrow(merge, BACK_DDL)
+    return placed.groupBy(*by).cogroup(back.groupBy("row_no", "group_no", "super_block")).applyInArrow(hand_on, ANSWER_DDL)
+
+
+def block_answers(blocked: DataFrame, hashes: Hashes, sizes: Sizes) -> DataFrame:
+    """What ``Answers`` reads of the merged sketch, for each block of ``blocked``."""
+    partials = partial_sketches(blocked, hashes, sizes)
+    if not sizes.super_blocks:
+        return merged_answers(partials, sizes)
+    return _two_levels(materialize(partials, "sketch"), sizes)
+
+
 class Answers:
     """One block's windows with their estimated counts."""
 
@@ -240,7 +360,7 @@ class Answers:
         for row, cells in enumerate(self.sizes.cells(h)):
             own, back = np.unique(cells, return_inverse=True)
             found = np.ones(len(own), np.uint8)
-            for k, a, b in runs((own // np.uint64(self.sizes.slice_cells)).astype(np.int64)):
+            for k, a, b in runs((own // np.uint64(self.sizes.piece_cells)).astype(np.int64)):
                 bits, levels = self.pieces[row, k]
                 piece = found[a:b]
                 piece[unpack_bits(bits, b - a)] = np.frombuffer(levels, np.uint8)

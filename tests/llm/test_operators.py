@@ -731,6 +731,34 @@ def test_sketch_keeps_pace_with_the_data():
     assert max(10**k / s.blocks for k, s in zip(range(6, 15), sizes, strict=True)) <= 2**25
 
 
+def test_sketch_rows_follow_the_windows():
+    """Not blocks times slices: up to 100 TB a window costs about as many bytes, under twice its text, and rows stay few beside the windows."""
+    for k in range(9, 15):
+        sizes = windows.Sizes.for_bytes(10**k, 2000)
+        assert sizes.bytes_sent < 2 * 10**k
+        assert sizes.rows_sent <= max(2 * windows.DIRECT_ROWS, sizes.windows / 100)
+    assert windows.Sizes.for_bytes(30 * 10**9, 3000).super_blocks == 0 < windows.Sizes.for_bytes(10**12, 3000).super_blocks
+
+
+def test_two_levels_answer_as_one(spark):
+    rng = random.Random(11)
+    rows = [(k, k % 7, " ".join(rng.choices("abcdefgh", k=rng.randrange(60))).encode()) for k in range(120)]
+    blocked = spark.createDataFrame(rows, "doc_id long, block int, data binary")
+    hashes = lambda table: windows.concatenated(windows.window_hashes(windows.word_hashes(x.as_py()), 4) for x in table["data"])
+    plain = windows.Sizes(4000, 7, 13, 300)
+    table = blocked.toArrow()
+    expected = {r["block"]: [] for r in table.select(["block"]).to_pylist()}
+    for sizes in (plain, plain.two_levels(4, 3), plain.two_levels(1, 1), plain.two_levels(20, 100)):
+        found = windows.block_answers(blocked, hashes, sizes).toArrow()
+        for block in expected:
+            own = hashes(table.filter([x == block for x in table["block"].to_pylist()]))
+            levels = windows.Answers(found.filter([x == block for x in found["block"].to_pylist()]), sizes).levels(own).tolist()
+            if sizes is plain:
+                expected[block] = levels
+            assert levels == expected[block]
+    assert len({x for levels in expected.values() for x in levels}) > 3
+
+
 def test_estimates_are_never_too_low():
     rng = np.random.default_rng(3)
     parts = [rng.integers(0, 300, 200, np.uint64) * np.uint64(2**57 + 12345) for _ in range(3)]
