@@ -81,8 +81,8 @@ def _hash(key: Column) -> Column:
 
 
 def sized_rows(docs: DataFrame, seed: str) -> DataFrame:
-    """``docs(doc_id, source, text)`` with ``size``, ``cell`` and ``draw``, the hash of the id, or of the text where there is no id."""
-    own = F.coalesce(F.concat(F.lit("id:"), F.col("doc_id").cast("string")), F.concat(F.lit("text:"), F.coalesce(F.col("text"), F.lit(""))))
+    """``docs(doc_id, source, text)`` with ``size``, ``cell`` and ``draw``, the hash of id and text, so rows of one id draw apart where their texts differ."""
+    own = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     rows = docs.select("*", count_words(F.col("text")).alias("mix_size"))
     cell = F.when(F.col("mix_size") > 0, F.char_length(F.bin("mix_size"))).otherwise(0)
     return rows.withColumn("mix_cell", cell).withColumn("mix_draw", _hash(F.concat(F.lit(f"{seed}:"), own)))
@@ -159,8 +159,8 @@ def mixed(docs: DataFrame, seed: str = "mix", **plan_options) -> DataFrame:
 
     Returns ``doc_id, source, size, source_size, target, copies, taken``.
     A null text has size 0, a null source is a source of its own, rows that repeat
-    an id each get a row (and share a draw), rows without an id draw by their
-    text, and a source whose documents are all empty gets rate 0.  Other columns of
+    an id each get a row (and share a draw only where their texts are equal), rows
+    without an id draw by their text, and a source whose documents are all empty gets rate 0.  Other columns of
     ``docs`` are ignored.  An empty table gives an empty result.
     """
     sized = sized_rows(docs.select("doc_id", "source", "text"), seed).drop("text")

@@ -61,7 +61,7 @@ WITH RECURSIVE sized AS (
 ), rated AS (
   SELECT doc_id, d.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
          CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS cell,
-         ('0x' || left(sha256('mix:' || coalesce('id:' || doc_id, 'text:' || coalesce(text, ''))), 13))::BIGINT AS draw,
+         ('0x' || left(sha256('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 13))::BIGINT AS draw,
          ('0x' || left(sha256('mix:source:' || coalesce(d.source, '')), 13))::BIGINT / 16.0::DOUBLE ** 13 AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 ), placed AS (

@@ -245,7 +245,7 @@ def brute_copies(rows, rates, seed):
 
     number = lambda x: int(hashlib.sha256(x.encode()).hexdigest()[:13], 16)
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    draw = lambda i, t: number(f"{seed}:id:{i}" if i is not None else f"{seed}:text:{t or ''}")
+    draw = lambda i, t: number(f"{seed}:{'' if i is None else i}:{hashlib.md5((t or '').encode()).hexdigest()}")
     out = []
     for source in {r[1] for r in rows}:
         whole, part = divmod(rates[source], 1)
@@ -269,6 +269,14 @@ def test_mixing_against_brute_force(spark, seed):
     assert sorted(((r.doc_id, r.source, r.size, r.copies) for r in out), key=str) == sorted(brute_copies(rows, rates, seed), key=str)
 
 
+def test_rows_of_one_id_draw_apart(spark):
+    rows = [(7 if k % 2 else k, "s", f"t{k} " * (40 + k % 9)) for k in range(1000)] + [(5000 + k, "t", f"u{k} " * 50) for k in range(700)]
+    out = mixing.mixed(frame(spark, rows, "doc_id long, source string, text string")).collect()
+    for source in "st":
+        own = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2 * max(r.size for r in own)
+
+
 def test_each_document_is_copied_with_the_fraction_as_its_probability():
     rng = random.Random(1)
     rows = [(k, "s", "w " * int(rng.paretovariate(0.8))) for k in range(40)]
