@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import queries_appointments, queries_clauses, queries_corpus, queries_engine, queries_filters, queries_reports, queries_runs, queries_state  # noqa: E402, F401
+from . import queries_appointments, queries_assertions, queries_clauses, queries_corpus, queries_engine, queries_filters, queries_reports, queries_runs, queries_state  # noqa: E402, F401
