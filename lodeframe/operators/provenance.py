@@ -6,10 +6,11 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..facets import compact
+from ..functions.text import canonical_json
 
 VERSION = re.compile(r"v?\d+(\.\d+)*")
 
@@ -57,6 +58,12 @@ def cache_key(lineage: Mapping[str, Any], stage: str, parameters: Mapping[str, A
     return hashlib.sha256(compact({"lineage": lineage, "parameters": parameters, "stage": stage}).encode()).hexdigest()
 
 
+def cache_keys(lineage: Mapping[str, Column], stage: str, parameters: Mapping[str, Column]) -> Column:
+    """``cache_key`` of each row, from columns."""
+    inside = lambda parts: F.struct(*[parts[k].alias(k) for k in sorted(parts)])
+    return F.sha2(canonical_json({"lineage": inside(lineage), "parameters": inside(parameters), "stage": F.lit(stage)}), 256)
+
+
 def check_version(version: str, exists: Callable[[str], bool], targets: Sequence[str]) -> None:
     """A version name must be well formed and none of its targets may exist."""
     if not VERSION.fullmatch(version):

@@ -206,12 +206,22 @@ def run_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-SELECT * FROM (VALUES ('status', 'f', 0), ('status', 'o', 1), ('status', 'p', 2), ('flavor', 'sweet', 0), ('flavor', 'honey', 1), ('flavor', 'sour', 2), ('allergen', 'nuts', 0), ('allergen', 'milk', 1)) t(field, code, ordinal)
+WITH v AS (SELECT * FROM (VALUES ('status', 'f', 'done', 0), ('status', 'o', NULL, 1), ('status', 'p', 'waiting', 2), ('flavor', 'sweet', NULL, 0), ('flavor', 'honey', NULL, 1), ('flavor', 'sour', NULL, 2), ('allergen', 'nuts', NULL, 0), ('allergen', 'milk', NULL, 1)) t(field, code, alias, ordinal))
+SELECT field, code, ordinal, count(o_orderkey) AS orders, count(o_orderkey) FILTER (o_orderkey % 2 = 0) AS by_alias
+FROM v LEFT JOIN orders ON field = 'status' AND CASE WHEN o_orderkey % 2 = 0 THEN alias = CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'P' THEN 'waiting' END ELSE code = lower(o_orderstatus) END
+GROUP BY ALL
 """)
 def catalog_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The values of a catalog file as a dimension table."""
+    """The values of a catalog file as a dimension, with the orders that name each by its code or an alias."""
     rows = [(f.name, v.code, k) for f in CATALOG.fields for k, v in enumerate(f.values)]
-    return spark.createDataFrame(rows, "field string, code string, ordinal int")
+    values = spark.createDataFrame(rows, "field string, code string, ordinal int")
+    names = spark.createDataFrame([(f.name, v.code, list(v.aliases)) for f in CATALOG.fields for v in f.values], "field string, code string, aliases array<string>")
+    status = F.col("o_orderstatus")
+    term = F.when(F.col("o_orderkey") % 2 == 0, F.when(status == "F", " Done").when(status == "P", "WAITING")).otherwise(status)
+    said = matching.resolve_aliases(table(spark, sf_dir, "orders").select("o_orderkey", F.lit("status").alias("field"), term.alias("term")), names)
+    counts = said.where("code is not null").groupBy("field", "code").agg(F.count("*").alias("orders"), F.count_if(F.col("o_orderkey") % 2 == 0).alias("by_alias"))
+    zero = F.lit(0).cast("long")
+    return values.join(counts, ["field", "code"], "left").select("field", "code", "ordinal", F.coalesce("orders", zero).alias("orders"), F.coalesce("by_alias", zero).alias("by_alias"))
 
 
 def _change(conditions: Column, query: Column, clear: Column, reset: Column) -> Column:
@@ -442,11 +452,16 @@ def pending_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.withColumn("key", F.concat_ws("-", "model", "threads"))
 
 
-@register("SELECT sha256('{\"lineage\":{\"base\":\"b\",\"revision\":1},\"parameters\":{\"bits\":4,\"group\":[1,2]},\"stage\":\"build\"}') AS key, sha256('{\"lineage\":{\"base\":\"b\",\"revision\":2},\"parameters\":{\"bits\":4,\"group\":[1,2]},\"stage\":\"build\"}') AS other")
+@register("""
+SELECT lang, source, count(*) AS rows, sha256('{"lineage":{"base":' || to_json(lang) || ',"revision":' || to_json(source) || '},"parameters":{"bits":4,"group":[1,2]},"stage":"build"}') AS key
+FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY ALL
+""")
 def cache_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content keys of a build stage, whatever the order of the parameters."""
-    keys = [provenance.cache_key({"revision": n, "base": "b"}, "build", {"group": [1, 2], "bits": 4}) for n in (1, 2)]
-    return spark.createDataFrame([tuple(keys)], "key string, other string")
+    """Content keys of a build stage for each language and source of the documents."""
+    parts = table(spark, sf_dir, "documents").where("lang is not null and source is not null").groupBy("lang", "source").agg(F.count("*").alias("rows"))
+    lineage = {"revision": F.col("source"), "base": F.col("lang")}
+    parameters = {"group": F.array(F.lit(1), F.lit(2)), "bits": F.lit(4)}
+    return parts.select("lang", "source", "rows", provenance.cache_keys(lineage, "build", parameters).alias("key"))
 
 
 @register("""
@@ -606,13 +621,17 @@ def _look(arguments: Mapping[str, Any]) -> Mapping[str, Any]:
     return {"found": arguments["key"]}
 
 
-@register("SELECT count(*) AS models, count(*) FILTER (r % 5 = 0) AS anchors, sum(r)::DOUBLE AS size FROM range(10) t(r)")
+@register("""
+WITH m AS (SELECT 'm' || r AS model_id, r % 5 = 0 AS is_anchor FROM range(10) t(r))
+SELECT m.model_id, is_anchor, count(event_id) AS events, round(coalesce(sum(value), 0), 2) AS value FROM m LEFT JOIN events ON model_id = 'm' || (user_id % 12) GROUP BY ALL
+""")
 def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A registry of eight targets and two anchors as a table."""
+    """A registry of eight targets and two anchors beside the events of each model; events of unknown models count for none."""
     base = {"family": "f", "variant": "v", "base_model": "b", "base_revision": "1", "artifact_path": "a", "manifest_path": "m"}
     models = [base | {"model_id": f"m{k}", "size_b": k, "stage": "sft", "artifact_kind": "f16" if k % 5 == 0 else "q4_k_m", "is_anchor": k % 5 == 0} for k in range(10)]
     found = provenance.model_registry(spark, {"models": models})
-    return found.agg(F.count("*").alias("models"), F.count_if("is_anchor").alias("anchors"), F.sum("size_b").alias("size"))
+    used = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("m"), F.col("user_id") % 12).alias("model_id")).agg(F.count("*").alias("events"), F.sum("value").alias("value"))
+    return found.join(used, "model_id", "left").select("model_id", "is_anchor", F.coalesce("events", F.lit(0).cast("long")).alias("events"), F.round(F.coalesce("value", F.lit(0.0)), 2).alias("value"))
 
 
 @register("""

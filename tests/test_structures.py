@@ -164,3 +164,10 @@ def test_a_stopped_run_goes_on(spark):
 def test_ancestry_of_a_forest(spark):
     edges = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("x", None)], EDGES)
     assert {tuple(r) for r in provenance.ancestry(edges, "c", "p").collect()} == {("a", 0, "a"), ("b", 1, "a"), ("c", 2, "a"), ("x", 0, "x")}
+
+
+def test_keys_of_rows_equal_the_key_of_a_stage(spark):
+    df = spark.createDataFrame([("b", 1, "é"), ("c", 2, 'q"\\')], "base string, revision int, note string")
+    key = provenance.cache_keys({"revision": F.col("revision"), "base": F.col("base"), "note": F.col("note")}, "build", {"group": F.array(F.lit(1), F.lit(2)), "bits": F.lit(4)})
+    expected = [provenance.cache_key({"revision": r.revision, "base": r.base, "note": r.note}, "build", {"bits": 4, "group": [1, 2]}) for r in df.collect()]
+    assert [r[0] for r in df.select(key).collect()] == expected
