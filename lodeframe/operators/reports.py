@@ -14,14 +14,28 @@ def _real(x: Column) -> Column:
     return F.when(~F.isnan(x) & (x >= 0) & (x != float("inf")), x.cast("double"))
 
 
-def _with_percentiles(df: DataFrame, groups: Sequence[str], value: str, totals: Mapping[str, Column], percentiles: Mapping[str, float]) -> DataFrame:
-    """Totals of each group beside exact percentiles of ``value``, which no task gathers."""
-    out = df.groupBy(*groups).agg(*[c.alias(k) for k, c in totals.items()])
-    found = exact_percentiles(df, groups, value, sorted(set(percentiles.values())))
+def _bucketed(df: DataFrame, groups: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_x``, the finite number or null, and its bucket ``_b`` (256 to a power of two); and the buckets' count, sum, least and largest number."""
+    x = F.when(~F.isnan(F.col(value).cast("double")) & (F.abs(value) != float("inf")), F.col(value).cast("double"))
+    rows = df.select(*groups, x.alias("_x")).withColumn("_b", F.signum("_x") * F.floor(F.log2(F.abs("_x") + 1) * 256))
+    return rows, rows.groupBy(*groups, "_b").agg(F.count("_x").alias("_n"), F.sum("_x").alias("_sum"), F.min("_x").alias("_min"), F.max("_x").alias("_max"))
+
+
+def _with_percentiles(df: DataFrame, groups: Sequence[str], value: str, percentiles: Mapping[str, float]) -> DataFrame:
+    """``count, mean, min, max`` of each group's finite numbers beside exact percentiles, which no task gathers.
+
+    The table is read twice: the buckets (one exchange for both uses) give all but
+    the values around the wanted ranks.
+    """
+    rows, buckets = _bucketed(df, groups, value)
+    n = F.sum("_n")
+    out = buckets.groupBy(*groups).agg(n.alias("count"), F.try_divide(F.sum("_sum"), n).alias("mean"), F.min("_min").alias("min"), F.max("_max").alias("max"))
+    found = _percentiles(rows, buckets, groups, sorted(set(percentiles.values())))
     at = lambda f: F.max(F.when(F.col("fraction") == F.lit(float(f)), F.col("percentile")))
     wide = found.groupBy(*groups).agg(*[at(f).alias(k) for k, f in percentiles.items()])
     if not groups:
-        return out.crossJoin(wide)  # one row each
+        one = out.select(F.coalesce("count", F.lit(0).cast("long")).alias("count"), "mean", "min", "max")
+        return one.crossJoin(wide)  # one row each
     on = reduce(lambda a, b: a & b, [out[g].eqNullSafe(wide[g]) for g in groups])
     return out.join(wide, on, "left").select(*[out[c] for c in out.columns], *percentiles)
 
@@ -29,8 +43,7 @@ def _with_percentiles(df: DataFrame, groups: Sequence[str], value: str, totals:
 def timing_summary(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Count, mean, exact p50 and p95 (linear interpolation), max and min of finite measurements."""
     measured = df.select(*groups, _real(F.col(value)).alias("x"))
-    totals = {"count": F.count("x"), "mean": F.avg("x"), "max": F.max("x"), "min": F.min("x")}
-    return _with_percentiles(measured, groups, "x", totals, {"p50": 0.5, "p95": 0.95}).select(*groups, "count", "mean", "p50", "p95", "max", "min")
+    return _with_percentiles(measured, groups, "x", {"p50": 0.5, "p95": 0.95}).select(*groups, "count", "mean", "p50", "p95", "max", "min")
 
 
 def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
@@ -41,9 +54,11 @@ def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, fraction
     The second pass counts distinct values of those buckets only.  Columns are
     ``groups, fraction, percentile``; numbers that aren't finite are left out.
     """
-    x = F.when(~F.isnan(F.col(value).cast("double")) & (F.abs(value) != float("inf")), F.col(value).cast("double"))
-    rows = df.select(*groups, x.alias("_x")).where("_x is not null").withColumn("_b", F.signum("_x") * F.floor(F.log2(F.abs("_x") + 1) * 256))
-    buckets = rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
+    return _percentiles(*_bucketed(df, groups, value), groups, fractions)
+
+
+def _percentiles(rows: DataFrame, buckets: DataFrame, groups: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    buckets = buckets.where("_b is not null")
     by = Window.partitionBy(*groups)
     upto = by.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = buckets.select(*groups, "_b", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), "_n", F.sum("_n").over(by).alias("_total"))
@@ -69,8 +84,7 @@ def workload_summary(df: DataFrame, groups: Sequence[str], metrics: Sequence[str
     """Long form: per group and metric the count, mean, median, p90 (ten digits), min and max of what is present."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics]))
     long = df.select(*groups, pairs.alias("m")).select(*groups, "m.metric", "m.x").where("x is not null and not isnan(x)")
-    totals = {"count": F.count("*"), "mean": F.avg("x"), "min": F.min("x"), "max": F.max("x")}
-    out = _with_percentiles(long, [*groups, "metric"], "x", totals, {"median": 0.5, "p90": 0.9})
+    out = _with_percentiles(long, [*groups, "metric"], "x", {"median": 0.5, "p90": 0.9})
     return out.select(*groups, "metric", "count", "mean", "median", F.round("p90", 10).alias("p90"), "min", "max")
 
 
