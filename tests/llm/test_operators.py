@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from lodeframe.llm import byte_bpe, chat_format, html_extract, media_columns, mixing, ngram_join, queries, spotsigs, substring_dedup, toxicity, url_filter, webp, windows
+from lodeframe.llm import byte_bpe, chat_format, components, html_extract, media_columns, mixing, ngram_join, queries, spotsigs, substring_dedup, toxicity, url_filter, webp, windows
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string, size string"
@@ -748,6 +748,14 @@ def test_sketch_rows_follow_the_windows():
     assert windows.Sizes.for_bytes(30 * 10**9, 3000).super_blocks == 0 < windows.Sizes.for_bytes(10**12, 3000).super_blocks
 
 
+@pytest.mark.parametrize("hub", [components.HUB_EDGES, 0])
+def test_components_of_hubs_and_chains(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB_EDGES", hub)
+    edges = [(k, 5) for k in range(6, 400)] + [(1000 + k, 1001 + k) for k in range(60)] + [(7, 2000), (3000, 3000)]
+    found = {r.node: r.component for r in components.connected(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    assert found == {k: 5 for k in [*range(5, 400), 2000]} | {1000 + k: 1000 for k in range(61)}
+
+
 def test_two_levels_answer_as_one(spark):
     rng = random.Random(11)
     rows = [(k, k % 7, " ".join(rng.choices("abcdefgh", k=rng.randrange(60))).encode()) for k in range(120)]
