@@ -238,6 +238,24 @@ def provider_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_providers(*_requests(spark, sf_dir)).select("request_id", "provider", "considered", "matched")
 
 
+@register(
+    _REQUESTS_SQL
+    + """
+, told AS (
+  SELECT r.request_id, CASE WHEN wanted_name <> name THEN 'name' WHEN wanted_name IS NULL AND d IS NULL THEN 'time'
+    ELSE array_to_string(list_filter([CASE WHEN wanted_group <> grp THEN 'group' END, CASE WHEN wants_k1 AND NOT has_k1 THEN 'skills' END, CASE WHEN NOT coalesce(d <= s AND e <= d + INTERVAL 12 HOUR, false) THEN 'time' END], lambda x: x IS NOT NULL), ',') END AS reasons
+  FROM requests r CROSS JOIN providers p LEFT JOIN days d ON d.provider = p.provider AND d::DATE = s::DATE
+)
+SELECT request_id, reasons, count(*)::BIGINT AS providers FROM told GROUP BY ALL
+"""
+)
+def provider_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each provider fits a request or doesn't: providers of each request by their reasons, from a trace of classes."""
+    trace = matching.provider_trace(*_requests(spark, sf_dir))
+    short = F.array_join(F.transform("reasons", lambda r: F.regexp_replace(r, ":.*", "")), ",").alias("reasons")
+    return trace.groupBy("request_id", short).agg(F.sum("providers").alias("providers"))
+
+
 @register(
     _REQUESTS_SQL
     + """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import hierarchies, resume, views
+from ..operators import covering, hierarchies, resume, views
 from ..sources.shared import scratch
 from .catalog import register, table
 
@@ -71,3 +71,28 @@ def order_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     roots = F.broadcast(placed.where("depth = 0").select(F.col("node").alias("root"), F.col("low").alias("from"), F.col("high").alias("to")))
     below = placed.join(roots, (F.col("from") <= F.col("low")) & (F.col("low") <= F.col("to")))
     return below.groupBy("root").agg(F.count("*").alias("nodes"), F.max("depth").alias("deepest"), F.sum("depth").alias("depths"))
+
+
+_TEMPLATES = ("{priority} order of {segment} from {nation}, status {status}", "from {nation}: {segment}, {status}, not {priority}")
+
+
+@register("""
+WITH n AS (SELECT DISTINCT n_name AS v FROM nation), p AS (SELECT DISTINCT o_orderpriority AS v FROM orders), s AS (SELECT DISTINCT o_orderstatus AS v FROM orders), t AS (SELECT DISTINCT event_type AS v FROM events),
+nations AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM n), priorities AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM p), statuses AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM s), kinds AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM t),
+q AS (SELECT min(c) AS q FROM range(2, 1000) r(c) WHERE c >= (SELECT greatest((SELECT count(*) FROM n), (SELECT count(*) FROM p), (SELECT count(*) FROM s), (SELECT count(*) FROM t), 3)) AND NOT EXISTS (SELECT 1 FROM range(2, 32) d(x) WHERE x < c AND c % x = 0)),
+lines AS (SELECT a * q + b AS combination, a, b, (a + b) % q AS c, (a + 2 * b) % q AS d FROM q, range(0, 1000) x(a), range(0, 1000) y(b) WHERE a < q AND b < q),
+rows AS (
+  SELECT combination, nations.v AS nation, priorities.v AS priority, statuses.v AS status, kinds.v AS segment FROM lines
+  JOIN nations ON nations.k = a % (SELECT count(*) FROM n) JOIN priorities ON priorities.k = b % (SELECT count(*) FROM p) JOIN statuses ON statuses.k = c % (SELECT count(*) FROM s) JOIN kinds ON kinds.k = d % (SELECT count(*) FROM t)
+)
+SELECT combination, CASE WHEN combination % 2 = 0 THEN priority || ' order of ' || segment || ' from ' || nation || ', status ' || status ELSE 'from ' || nation || ': ' || segment || ', ' || status || ', not ' || priority END AS text,
+       (SELECT count(DISTINCT nation || priority) + count(DISTINCT nation || status) + count(DISTINCT nation || segment) + count(DISTINCT priority || status) + count(DISTINCT priority || segment) + count(DISTINCT status || segment) FROM rows) AS pairs
+FROM rows
+""")
+def covering_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts in which every two values of four factors, taken from the tables, meet; and how many pairs those are."""
+    of = lambda name, column: table(spark, sf_dir, name).select(column)
+    factors = {"nation": of("nation", "n_name"), "priority": of("orders", "o_orderpriority"), "status": of("orders", "o_orderstatus"), "segment": of("events", "event_type")}
+    rows = covering.covering_rows(spark, factors)
+    pairs = covering.pairs_covered(rows, list(factors)).agg(F.sum("pairs").alias("pairs"))
+    return rows.select("combination", covering.texts_of(rows, _TEMPLATES, list(factors)).alias("text")).crossJoin(pairs)  # one row

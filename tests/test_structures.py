@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeframe.operators import hierarchies as H
-from lodeframe.operators import pairing, provenance, resume, views
+from lodeframe.operators import covering, matching, pairing, provenance, resume, views
 from lodeframe.sources.shared import scratch
 
 EDGES = "c string, p string"
@@ -171,3 +171,54 @@ def test_keys_of_rows_equal_the_key_of_a_stage(spark):
     key = provenance.cache_keys({"revision": F.col("revision"), "base": F.col("base"), "note": F.col("note")}, "build", {"group": F.array(F.lit(1), F.lit(2)), "bits": F.lit(4)})
     expected = [provenance.cache_key({"revision": r.revision, "base": r.base, "note": r.note}, "build", {"bits": 4, "group": [1, 2]}) for r in df.collect()]
     assert [r[0] for r in df.select(key).collect()] == expected
+
+
+@pytest.mark.parametrize("sizes", [(3,), (2, 5), (4, 3, 3), (1, 6, 2, 5, 3, 2, 2)])
+def test_every_pair_of_values_is_covered(spark, sizes):
+    factors = {f"f{j}": spark.createDataFrame([(v,) for v in [None, *range(n), 0]], "v int") for j, n in enumerate(sizes)}
+    rows = covering.covering_rows(spark, factors)
+    found = rows.collect()
+    for i in range(len(sizes)):
+        assert {r[f"f{i}"] for r in found} == set(range(sizes[i]))
+        for j in range(i):
+            assert len({(r[f"f{i}"], r[f"f{j}"]) for r in found}) == sizes[i] * sizes[j]
+    q = covering.prime_from(max(*sizes, len(sizes) - 1))
+    assert len(found) == (q * q if len(sizes) > 1 else sizes[0]) == len({r.combination for r in found})
+    pairs = covering.pairs_covered(rows, list(factors)).collect()
+    assert sum(r.pairs for r in pairs) == sum(sizes[i] * sizes[j] for i in range(len(sizes)) for j in range(i))
+
+
+def test_texts_of_rows(spark):
+    rows = spark.createDataFrame([(0, "x", 1), (1, "y", 2)], "combination long, a string, b int")
+    assert [r[0] for r in rows.select(covering.texts_of(rows, ["{a} {b} {c}", "b{b}a{a}"], ["a", "b"])).collect()] == ["x 1 {c}", "b2ay"]
+    with pytest.raises(ValueError, match="values"):
+        covering.covering_rows(spark, {"a": rows.select("a").limit(0)})
+    with pytest.raises(ValueError, match="factors"):
+        covering.covering_rows(spark, {})
+    with pytest.raises(ValueError, match="templates"):
+        covering.texts_of(rows, [], [])
+
+
+def test_every_provider_has_a_part_in_every_request(spark):
+    import datetime as d
+
+    at = lambda day, hour: d.datetime(2026, 1, day, hour)
+    calendars = [[(at(5, 9), at(5, 12))], [(at(5, 9), at(5, 12)), (at(6, 9), at(6, 18))], [], [(at(5, 22), at(6, 6))]]
+    rng = random.Random(9)
+    people = [(k, rng.choice(["Ann", "Bob", "Cy"]), rng.choice("gh"), rng.sample(["s", "t"], rng.randrange(3)), rng.choice(calendars)) for k in range(40)]
+    providers = spark.createDataFrame(people, "provider int, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    asked = [(k, rng.choice([None, None, "Ann", "Zed"]), rng.choice([None, "g"]), rng.sample(["s", "t"], rng.randrange(2)), at(day := rng.randrange(4, 8), hour := rng.randrange(8, 22)), at(day, hour + 1)) for k in range(60)]
+    requests = spark.createDataFrame(asked, "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    trace = matching.provider_trace(requests, providers).collect()
+    members = {}
+    for r in matching.provider_classes(providers)[1].collect():
+        members.setdefault(r.class_id, []).append(r.provider)
+    assert sorted(p for own in members.values() for p in own) == list(range(40))
+    people = {p[0]: p for p in people}
+    for k, name, group, skills, start, end in asked:
+        own = [r for r in trace if r.request_id == k]
+        assert sum(r.providers for r in own) == 40
+        matched = {p for r in own if r.matched for p in members[r.class_id] if name is None or people[p][1] == name}
+        fits = {p for p, who, g, has, windows in people.values() if (name is None or who == name) and group in (None, g) and set(skills) <= set(has) and any(a <= start and end <= b for a, b in windows)}
+        assert matched == fits
+    assert matching.provider_trace(requests.limit(0), providers).count() == 0 and matching.provider_trace(requests, providers.limit(0)).count() == 0
