@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sessions
+from ..streaming import idle_sessions
 from ..streaming import windows as stream
 from .catalog import register, table
 
@@ -73,3 +74,17 @@ SELECT user_id, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY us
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts by session from the events replayed as a stream with the files at hand, read from its last state."""
     return stream.replay_counts(spark, f"{sf_dir}/events.parquet", "user_id", "event_id")
+
+
+@register("""
+WITH e AS (SELECT user_id, ts, event_type, value, ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL),
+s AS (SELECT *, sum(coalesce(fresh, false)::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM e),
+spans AS (SELECT user_id, session, min(ts) AS started, max(ts) AS ended FROM s GROUP BY ALL),
+over_ AS (SELECT * FROM spans WHERE ended + INTERVAL 6 HOUR < (SELECT max(ts) FROM e) - INTERVAL 10 MINUTE)
+SELECT user_id, started, ended, event_type AS field, count(*) AS n, arg_max(value, (ts, value)) AS value FROM s JOIN over_ USING (user_id, session) GROUP BY ALL
+""")
+def ended_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' sessions that a timer has ended, with the count and the latest value of each event type."""
+    events = stream.read_stream(spark, f"{sf_dir}/events.parquet")
+    found = idle_sessions.idle_sessions(events, "user_id", "ts", "event_type", "value", "6 hours", "10 minutes")
+    return idle_sessions.run_idle_sessions(spark, found).withColumnRenamed("key", "user_id")
