@@ -105,8 +105,9 @@ class Scanner:
 
     def scan(self, text: str) -> tuple[Units, bool]:
         """The text's units, and whether it holds a sentinel."""
-        found = list(self.automaton.iter(text))
-        events = np.fromiter((at for at, kind in found if kind), np.int64)
+        # eight bytes an event, however many a text has
+        found = np.fromiter((at << 1 | kind for at, kind in self.automaton.iter(text)), np.int64)
+        events = found[found & 1 == 1] >> 1
         return Units(self.unit, len(text), events), len(events) < len(found)
 
 
