@@ -100,6 +100,14 @@ def test_op3(spark, folder):
         assert (r.rule, r.verdict) == (rule, verdict)
 
 
+def test_op3_rules_are_the_contract_s(spark, folder):
+    """The contract's list, word for word; a url below net/de/ is allowed by its rule, a longer one blocks some of them."""
+    assert queries.URL_RULES == [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+    _, out = found(spark, folder, "op3")
+    told = {r.page_id: (r.rule, r.verdict) for r in out}
+    assert told[2] == ("net/de/", "allow") and told[5] == ("example.net/de/8", "block")
+
+
 def test_op4(spark, folder):
     _, out = found(spark, folder, "op4")
     rates = {r.source: r.target / r.source_size if r.source_size else 0.0 for r in out}
