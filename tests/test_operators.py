@@ -267,6 +267,27 @@ def test_windows_through_midnight_serve_both_days(spark):
     assert status[4] == "coverage_miss" and status[6] == "not_found" and status[7] == "matched"
 
 
+def test_matches_are_counted_without_pairs(spark):
+    """Against the pairs themselves: overlapping, nested, repeated and empty windows, groups, skills and names that are null."""
+    import datetime as d
+
+    rng = random.Random(21)
+    at = lambda: d.datetime(2026, 1, 5) + d.timedelta(minutes=30 * rng.randrange(96))
+    providers = [(f"p{k}", rng.choice(["a", "b", None, f"n{k}"]), rng.choice(["g", "h", None]), rng.choice([["s"], ["s", "t", "s"], [], None]), [(at(), at()) for _ in range(rng.randrange(7))] * rng.choice([1, 2])) for k in range(40)]
+    providers = spark.createDataFrame(providers, "provider string, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    asked = [(k, rng.choice([None, None, "a", "b", "zz"]), rng.choice([None, "g", "h"]), rng.choice([[], ["s"], ["s", "t"], None]), start := at(), start + d.timedelta(minutes=rng.choice([-30, 0, 30, 60, 300]))) for k in range(150)]
+    asked += [(200 + k, *asked[k][1:]) for k in range(20)]
+    requests = spark.createDataFrame(asked, "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    pairs = matching.providers_in_time(requests, providers).groupBy("request_id").count().collect()
+    want = dict.fromkeys((r[0] for r in asked), 0) | {r[0]: r[1] for r in pairs}
+    assert max(want.values()) > 5 and {r.request_id: r.matches for r in matching.match_status(requests, providers).collect()} == want
+    asks = requests.drop("request_id").distinct()
+    counted = matching.count_matches(asks, providers)
+    assert sum(r.matches for r in counted.collect()) == sum(want[k] for k in {repr(r[1:]): r[0] for r in asked}.values())
+    # windows in hours are never broadcast
+    assert "strategy=merge" in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_similar_texts_miss_no_pair(spark):
     rng = random.Random(4)
     words = ["lorem", "dolor", "sit", "amet", "tempor", "magna", "quis", "velit", "x1", "zj,"]
