@@ -288,6 +288,25 @@ def test_matches_are_counted_without_pairs(spark):
     assert "strategy=merge" in counted._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_reasons_are_traced_once_for_like_requests(spark):
+    """The counts of the trace itself, for requests of which many ask for the same, and a trace of as many rows however many they are."""
+    import datetime as d
+
+    rng = random.Random(22)
+    at = lambda: d.datetime(2026, 1, 5) + d.timedelta(hours=rng.randrange(48))
+    providers = [(f"p{k}", rng.choice(["a", "b", f"n{k}"]), rng.choice(["g", "h"]), rng.choice([["s"], ["s", "t"], []]), [(start := at(), start + d.timedelta(hours=8))]) for k in range(30)]
+    providers = spark.createDataFrame(providers, "provider string, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    asks = [(rng.choice([None, None, "a", "zz"]), rng.choice([None, "g"]), rng.choice([[], ["s"], ["s", "t"]]), start := at(), start + d.timedelta(microseconds=1 + k % 2)) for k in range(25)]
+    requests = spark.createDataFrame([(k, *asks[k % 25]) for k in range(100)], "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    want = {}
+    for r in matching.provider_trace(requests, providers).collect():
+        key = r.request_id, ",".join(x.split(":")[0] for x in r.reasons)
+        want[key] = want.get(key, 0) + r.providers
+    found = matching.trace_reasons(requests, providers)
+    assert {(r.request_id, r.reasons): r.providers for r in found.collect()} == want
+    assert found.groupBy("request_id").sum("providers").where("`sum(providers)` <> 30").isEmpty() and len(want) > 100
+
+
 def test_similar_texts_miss_no_pair(spark):
     rng = random.Random(4)
     words = ["lorem", "dolor", "sit", "amet", "tempor", "magna", "quis", "velit", "x1", "zj,"]
