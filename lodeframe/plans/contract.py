@@ -206,30 +206,51 @@ def _supported(expected: Column, arguments: Column, result: Column) -> Column:
     return F.coalesce(result.isNotNull() & same(expected, arguments, "gender_preference", "start_time", "duration_minutes", "preferences") & found, F.lit(False))
 
 
+def _read_once(contract: Contract) -> dict[str, Column]:
+    """What several rules ask of a record, as columns, so that each is read once and not once a rule."""
+    state, expected, asked = F.col("state"), F.col("expected"), F.col("expectations")
+    text = lambda path: field(expected, path, "string")
+    flag = lambda path: field(expected, path, "boolean")
+    gaps = F.array_compact(F.array(*[F.when(F.coalesce(kind_of(expected, s), F.lit("VOID")) == "VOID", F.lit(s)) for s in contract.slots]))
+    return {
+        "_has_state": is_object(state),
+        "_state_keys": keys_of(state) == F.array(*map(F.lit, sorted(STATE_KEYS))),
+        "_state_status": written(state, "technician_status"),
+        "_is_asked": is_object(asked),
+        "_sound": F.size(output_errors(expected)) == 0,
+        "_action": text("action"),
+        "_unrelated": flag("unrelated"),
+        "_confirmation": flag("confirmation"),
+        "_info_complete": flag("info_complete"),
+        "_status": text("technician_status"),
+        "_reply": text("reply_type"),
+        "_lacks": field(expected, "missing_info", "array<string>"),
+        "_gaps": gaps,
+        "_tool": text("tool_name"),
+    }
+
+
 def record_rules(contract: Contract) -> dict[str, Column]:
     """Rule name to whether a record of ``before_answers`` keeps it.
 
     Columns: ``output_kind, conversation_kind, user_input, current_time`` (texts),
     ``available_tools`` (array), ``state, expected, expectations`` (VARIANT) and
-    those that ``before_answers`` adds.  Rules about another kind of answer hold.
+    those that ``before_answers`` and ``_read_once`` add.  Rules about another kind of answer hold.
     """
     state, expected, asked = F.col("state"), F.col("expected"), F.col("expectations")
     arguments, result = F.col("arguments"), F.col("result")
-    has_state, has_exchange = is_object(state), F.col("result").isNotNull()
+    has_state, has_exchange, is_asked = F.col("_has_state"), F.col("result").isNotNull(), F.col("_is_asked")
     said = F.col("user_input")
-    sound = F.size(output_errors(expected)) == 0
-    action = field(expected, "action", "string")
+    sound, action = F.col("_sound"), F.col("_action")
     final, call = sound & (action == "final"), sound & (action == "tool_call")
     only = lambda when, ok: ~F.coalesce(when, F.lit(False)) | F.coalesce(ok, F.lit(False))
-    text = lambda path: field(expected, path, "string")
-    flag = lambda path: field(expected, path, "boolean")
-    status, reply = text("technician_status"), text("reply_type")
+    status, reply = F.col("_status"), F.col("_reply")
+    confirmation, info_complete = F.col("_confirmation"), F.col("_info_complete")
     statuses = [json.dumps(s) for s in contract.allowed["technician_status"]]
     replies = [json.dumps(r) for r in contract.allowed["reply_type"]]
     trailing = F.col("tool_last")
-    unrelated, unchecked = flag("unrelated"), status == "not_checked"
-    gaps = F.array_compact(F.array(*[F.when(F.coalesce(kind_of(expected, s), F.lit("VOID")) == "VOID", F.lit(s)) for s in contract.slots]))
-    lacks = field(expected, "missing_info", "array<string>")
+    unrelated, unchecked = F.col("_unrelated"), status == "not_checked"
+    gaps, lacks = F.col("_gaps"), F.col("_lacks")
     asks = F.lit(None).cast("string")
     for slots, name in ASKS.items():
         asks = F.when(lacks == F.array(*map(F.lit, slots)), name).otherwise(asks)
@@ -242,7 +263,7 @@ def record_rules(contract: Contract) -> dict[str, Column]:
     until_read = F.lit(True)
     for name, value in UNTIL_READ.items():
         until_read = until_read & (written(state, name) == value)
-    tool = text("tool_name")
+    tool = F.col("_tool")
     known_tool = tool.isin(*contract.tools)
     wanted = F.create_map(*[x for name, keys in contract.tools.items() for x in (F.lit(name), F.array(*map(F.lit, sorted(keys))))])[tool]
     given = F.try_variant_get(expected, "$.arguments", "variant")
@@ -254,11 +275,11 @@ def record_rules(contract: Contract) -> dict[str, Column]:
         "available_tools": F.coalesce(F.col("available_tools") == F.array(*map(F.lit, contract.tools)), F.lit(False)),
         "user_input": F.when(said.isNull(), trailing).otherwise(F.trim(said) != ""),
         "state": missing(state) | has_state,
-        "state_keys": only(has_state, keys_of(state) == F.array(*map(F.lit, sorted(STATE_KEYS)))),
-        "state_values": only(has_state & (keys_of(state) == F.array(*map(F.lit, sorted(STATE_KEYS)))), values_hold(state, contract)),
+        "state_keys": only(has_state, F.col("_state_keys")),
+        "state_values": only(has_state & F.col("_state_keys"), values_hold(state, contract)),
         "state_flags": only(
-            has_state & (keys_of(state) == F.array(*map(F.lit, sorted(STATE_KEYS)))),
-            written(state, "technician_status").isin(*statuses)
+            has_state & F.col("_state_keys"),
+            F.col("_state_status").isin(*statuses)
             & (kind_of(state, "confirmation") == "BOOLEAN")
             & (kind_of(state, "info_complete") == "BOOLEAN")
             & (kind_of(state, "unrelated") == "BOOLEAN")
@@ -268,34 +289,35 @@ def record_rules(contract: Contract) -> dict[str, Column]:
         "trailing": ~trailing | has_exchange,
         "state_follows": only(trailing & has_exchange & has_state, same(state, arguments, *TAKEN_OVER)),
         "state_unread": only(trailing & has_exchange & has_state, until_read & (written(state, "technician_gender") == "null")),
-        "evidence": only(has_state & (written(state, "technician_status") != '"not_checked"'), has_exchange),
+        "evidence": only(has_state & (F.col("_state_status") != '"not_checked"'), has_exchange),
         "output_kind": F.coalesce(action == F.col("output_kind"), F.lit(False)),
         "conversation_kind": F.col("conversation_kind") == F.when(user_turns >= 2, "multi_turn").otherwise("single_turn"),
         "output": sound,
         "values": only(final, values_hold(expected, contract)) & only(call, values_hold(given, contract, "gender_preference")),
         "status": only(final, status.isin(*[s for s in contract.allowed["technician_status"] if s])),
         "unrelated_reply": only(final & unrelated, (reply == "handoff") & (written(expected, "reply") == "null")),
-        "unrelated_flags": only(final & unrelated, ~flag("confirmation") & ~flag("info_complete") & (F.size(lacks) == 0) & unchecked),
+        "unrelated_flags": only(final & unrelated, ~confirmation & ~info_complete & (F.size(lacks) == 0) & unchecked),
         "missing_info": only(open_, lacks == gaps),
-        "info_complete": only(open_, flag("info_complete") == (F.size(gaps) == 0)),
+        "info_complete": only(open_, info_complete == (F.size(gaps) == 0)),
         "asks": only(open_ & asks.isNotNull(), reply == asks),
-        "complete": only(checked, (F.size(gaps) == 0) & flag("info_complete") & (F.size(lacks) == 0)),
+        "complete": only(checked, (F.size(gaps) == 0) & info_complete & (F.size(lacks) == 0)),
         "supported": only(checked & (reply == tells), _supported(expected, arguments, result)),
         "paused": only(checked & (reply == "appointment_paused"), (status == "available") & planned & (written(state, "last_reply_type") == '"confirm_available"')),
-        "authorized": only(checked & (reply == "booking_authorized"), flag("confirmation") & (status == "available") & planned),
-        "acknowledged": only(checked & (reply == "acknowledge_result"), ~flag("confirmation") & failed & planned),
+        "authorized": only(checked & (reply == "booking_authorized"), confirmation & (status == "available") & planned),
+        "acknowledged": only(checked & (reply == "acknowledge_result"), ~confirmation & failed & planned),
         "reply_type": only(checked, (reply == tells) | reply.isin("appointment_paused", "booking_authorized", "acknowledge_result")),
-        "confirmation": only(final & ~unrelated & flag("confirmation"), reply.isin("booking_authorized", "acknowledge_result")),
+        "confirmation": only(final & ~unrelated & confirmation, reply.isin("booking_authorized", "acknowledge_result")),
         "call_tool": only(call, known_tool),
         "call_arguments": only(call & known_tool, keys_of(expected, "arguments") == wanted),
-        "expectations": F.when(F.coalesce(action == "tool_call", F.lit(False)), missing(asked)).otherwise(is_object(asked)),
-        "acts": only(is_object(asked), listed("required_acts", contract.acts) & listed("forbidden_acts", contract.acts)),
-        "required_fields": only(is_object(asked), listed("required_fields", contract.fields)),
-        "references": only(is_object(asked) & (reply != "handoff"), F.size(field(asked, "references", "array<string>")) > 0),
+        "expectations": F.when(F.coalesce(action == "tool_call", F.lit(False)), missing(asked)).otherwise(is_asked),
+        "acts": only(is_asked, listed("required_acts", contract.acts) & listed("forbidden_acts", contract.acts)),
+        "required_fields": only(is_asked, listed("required_fields", contract.fields)),
+        "references": only(is_asked & (reply != "handoff"), F.size(field(asked, "references", "array<string>")) > 0),
     }
 
 
 def record_errors(records: DataFrame, contract: Contract) -> DataFrame:
     """``records`` of ``before_answers`` with ``errors``: the names of the broken rules, those of earlier exchanges first."""
     broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in record_rules(contract).items()]))
-    return records.withColumn("errors", F.concat("exchange_errors", broken))
+    read = _read_once(contract)
+    return records.withColumns(read).withColumn("errors", F.concat("exchange_errors", broken)).drop(*read)

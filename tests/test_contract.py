@@ -191,3 +191,11 @@ def test_what_is_before_an_answer_equals_a_plain_walk(spark):
 def test_bad_contracts(text):
     with pytest.raises(R.ContractError):
         R.load_contract(text)
+
+
+def test_an_answer_is_checked_once_for_all_rules(spark):
+    """Rules look at a column of what the answer's checks say, not at the checks themselves."""
+    rules = R.load_contract(TEXT)
+    read = {name: str(column._jc) for name, column in R.record_rules(rules).items()}
+    checks = str((R.F.size(R.output_errors(R.F.col("expected"))) == 0)._jc)
+    assert not [name for name, text in read.items() if checks in text] and "_sound" in read["output"]
