@@ -6,6 +6,7 @@ from datetime import datetime
 from decimal import Decimal
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from lodeframe.functions import text as T
 from lodeframe.functions import times, units, vectors
@@ -307,6 +308,46 @@ def test_reasons_are_traced_once_for_like_requests(spark):
     assert found.groupBy("request_id").sum("providers").where("`sum(providers)` <> 30").isEmpty() and len(want) > 100
 
 
+def test_sketches_leave_few_pairs_and_lose_none():
+    rng = random.Random(31)
+    stems = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "or", "ti", "hi", "as", "to"]
+    word = lambda: "".join(rng.choice(stems) for _ in range(rng.randrange(1, 5)))
+    texts = []
+    for n in (30, 60, 150, 400):
+        for _ in range(12):
+            base = [word() for _ in range(n)]
+            texts += [" ".join(word() if rng.random() < p else w for w in base) + ("." if p else "") for p in (0, 0.02, 0.1)]
+    texts.sort(key=len)
+    shapes, lengths = [matching.Shape(t) for t in texts], np.array([len(t) for t in texts])
+    left = 0
+    for size in (matching.LONG_GRAM, matching.SHORT_GRAM):
+        bits = matching._Bits([matching.sketch(s, size) for s in shapes], lengths, 1.5)
+        grams = lengths - size + 1
+        for i in range(len(texts)):
+            js = np.arange(i + 1, np.searchsorted(lengths, lengths[i] * 1.5, "right"))
+            for j, most in zip(js, bits.at_most(grams, i, js), strict=True):
+                (x, n), (y, m) = shapes[i].counted(size), shapes[j].counted(size)
+                _, p, q = np.intersect1d(x, y, return_indices=True)
+                shared = np.minimum(n[p], m[q]).sum()
+                assert shared <= most
+                left += size == matching.LONG_GRAM and most > shared + 0.2 * lengths[i]
+    assert left == 0
+
+
+def test_common_characters_in_order():
+    rng = random.Random(8)
+    for _ in range(200):
+        x, y = ("".join(rng.choices("abcé ", k=rng.randrange(20))) for _ in range(2))
+        row = [0] * (len(y) + 1)
+        for c in x:
+            new = [0]
+            for k, d in enumerate(y):
+                new.append(row[k] + 1 if c == d else max(row[k + 1], new[k]))
+            row = new
+        got = matching.in_order(x, len(y), matching.places_of(y))
+        assert got == row[-1] and 2 * got >= SequenceMatcher(None, x, y).ratio() * (len(x) + len(y)) - 1e-9
+
+
 def test_similar_texts_miss_no_pair(spark):
     rng = random.Random(4)
     words = ["lorem", "dolor", "sit", "amet", "tempor", "magna", "quis", "velit", "x1", "zj,"]
