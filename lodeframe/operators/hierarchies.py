@@ -13,6 +13,8 @@ from ..sources.shared import discard, stored
 
 #: Edges of a hierarchy, and pairs of its closure, up to which the driver closes it itself.
 SMALL_EDGES, SMALL_PAIRS = 10_000, 200_000
+#: Roots that all tasks may know, and parts over which the jumps to them are dealt.
+ROOTS, PARTS = 10_000, 4096
 #: Longest path that has no cycle for certain; a longer one is refused.
 DEEPEST = 2**24
 
@@ -97,6 +99,25 @@ def closure(edges: DataFrame, child: str, parent: str, small: int = SMALL_EDGES)
     return upto.unionByName(nodes.select(F.col("n").alias("ancestor"), F.col("n").alias("descendant")))
 
 
+def _ahead(walk: DataFrame, below: DataFrame, column: str, roots: DataFrame | None) -> DataFrame:
+    """``walk(node, jump, ...)`` with each jump replaced by the jump of the node that it leads to in ``below``, and that node's ``column`` added to its own.
+
+    ``roots(root, more)`` has the roots' values in that column, which stay the same.
+    Most jumps of a walk that is nearly done lead to a root: these, and nodes without
+    a jump, are dealt over all partitions instead of meeting in one.
+    """
+    if roots is None:
+        roots = walk.limit(0).select(F.col("node").alias("root"), F.lit(0).cast("long").alias("more"))
+    known = walk.join(F.broadcast(roots), F.col("jump") == F.col("root"), "left")
+    done = F.col("jump").isNull() | F.col("root").isNotNull()
+    known = known.withColumns({"_key": F.when(~done, F.col("jump")), "_part": F.when(done, F.pmod(F.xxhash64("node"), F.lit(PARTS))).otherwise(F.lit(0).cast("long"))})
+    # zero, though no literal: the planner would take that out of the join's keys
+    ahead = below.select(F.col("node").alias("_to"), F.pmod(F.xxhash64("node"), F.lit(1)).cast("long").alias("_zero"), F.col("jump").alias("_next"), F.col(column).alias("_more"))
+    joined = known.join(ahead, (F.col("_key") == F.col("_to")) & (F.col("_part") == F.col("_zero")), "left")
+    moved = {"jump": F.col("_next"), column: F.col(column) + F.coalesce("more", "_more", F.lit(0))}
+    return joined.select(*[moved.get(c, F.col(c)).alias(c) for c in walk.columns])
+
+
 def intervals(edges: DataFrame, child: str, parent: str, buckets: int = 256) -> DataFrame:
     """``(node, low, high, depth)`` of a forest: d is a or below a where ``a.low <= d.low <= a.high``.
 
@@ -115,13 +136,14 @@ def intervals(edges: DataFrame, child: str, parent: str, buckets: int = 256) ->
     walk, path = stored(tree.select("node", F.col("up").alias("jump"), sure.cast("long").alias("size"), F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long").alias("depth")), "intervals")
     parents, parents_path = stored(tree.select("node", "up"), "parents")
     steps, nodes = 1, walk.count()
+    few = walk.where("jump is null").limit(ROOTS + 1).count() <= ROOTS
+    roots, roots_path = stored(walk.where("jump is null").select(F.col("node").alias("root"), F.lit(0).cast("long").alias("more")), "roots") if few else (None, None)
     while not walk.where("jump is not null").isEmpty():
         if steps >= nodes:
             raise CycleError("a node is its own ancestor")
         moved = walk.where("jump is not null").groupBy(F.col("jump").alias("node")).agg(F.sum("size").alias("below"))
-        ahead = walk.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("depth").alias("more"))
-        joined = walk.join(moved, "node", "left").join(ahead, "jump", "left")
-        new, new_path = stored(joined.select("node", F.col("next").alias("jump"), (F.col("size") + F.coalesce("below", F.lit(0))).alias("size"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "intervals")
+        larger = walk.join(moved, "node", "left").select("node", "jump", (F.col("size") + F.coalesce("below", F.lit(0))).alias("size"), "depth")
+        new, new_path = stored(_ahead(larger, walk, "depth", roots), "intervals")
         discard(spark, path)
         walk, path, steps = new, new_path, steps * 2
     # the places of a node's children follow each other; the roots are children of none
@@ -136,9 +158,11 @@ def intervals(edges: DataFrame, child: str, parent: str, buckets: int = 256) ->
     walk2, path2 = stored(placed.select("node", F.col("up").alias("jump"), "size", "depth", offset.alias("low")), "preorder")
     discard(spark, path)
     discard(spark, parents_path)
+    if few:
+        discard(spark, roots_path)
+        roots, roots_path = stored(walk2.where("jump is null").select(F.col("node").alias("root"), F.col("low").alias("more")), "roots")
     while not walk2.where("jump is not null").isEmpty():
-        ahead = walk2.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("low").alias("more"))
-        new, new_path = stored(walk2.join(ahead, "jump", "left").select("node", F.col("next").alias("jump"), "size", "depth", (F.col("low") + F.coalesce("more", F.lit(0))).alias("low")), "preorder")
+        new, new_path = stored(_ahead(walk2, walk2, "low", roots), "preorder")
         discard(spark, path2)
         walk2, path2 = new, new_path
     return walk2.select("node", "low", (F.col("low") + F.col("size") - 1).alias("high"), "depth")

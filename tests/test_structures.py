@@ -70,6 +70,24 @@ def test_below_is_a_range(spark):
     assert H.intervals(spark.createDataFrame([], EDGES), "c", "p").collect() == []
 
 
+def test_jumps_to_a_root_meet_in_no_single_partition(spark):
+    rows = [(0, None, 1), *((k, 0, 2) for k in range(1, 2001)), *((k, k - 2000, 3) for k in range(2001, 2101)), *((k, None, 4) for k in range(3000, 5000))]
+    walk = spark.createDataFrame(rows, "node int, jump int, depth int")
+    roots = walk.where("jump is null").selectExpr("node as root", "cast(depth as long) as more")
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in off.items():
+        spark.conf.set(name, value)
+    try:
+        out = H._ahead(walk, walk, "depth", roots).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for name in off:
+            spark.conf.unset(name)
+    up, depth = {n: j for n, j, _ in rows}, {n: d for n, _, d in rows}
+    assert {(r.node, r.jump, r.depth) for r in out} == {(n, up.get(j), d + depth.get(j, 0)) for n, j, d in rows}
+    parts = [r.part for r in out]
+    assert max(map(parts.count, set(parts))) < 0.35 * len(rows)
+
+
 def test_a_deep_hierarchy(spark):
     chain = spark.range(1, 3000).selectExpr("id as c", "id - 1 as p")
     out = H.intervals(chain, "c", "p").agg(F.count("*"), F.max("depth"), F.sum(F.col("high") - F.col("low"))).first()
