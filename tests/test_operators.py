@@ -268,6 +268,22 @@ def test_windows_through_midnight_serve_both_days(spark):
     assert status[4] == "coverage_miss" and status[6] == "not_found" and status[7] == "matched"
 
 
+def test_pairs_of_a_day_are_judged_plainly_and_in_many_tasks(spark):
+    """A match is told without making reasons, and is where there are none; days keep their partitions."""
+    import datetime as d
+
+    rng = random.Random(5)
+    at = lambda: d.datetime(2026, 1, 5) + d.timedelta(minutes=30 * rng.randrange(96))
+    window = lambda: (lambda a: (a, a + d.timedelta(hours=rng.randrange(0, 9))))(at())
+    some = lambda: rng.choice([None, [], ["a"], ["a", "b"], [None]])
+    providers = spark.createDataFrame([(k, rng.choice(["x", "y", None]), rng.choice(["g", "h", None]), some(), [window() for _ in range(rng.randrange(1, 4))]) for k in range(40)], "provider int, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    requests = spark.createDataFrame([(k, rng.choice(["x", None, "z"]), rng.choice(["g", None]), some(), *window()) for k in range(60)], "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    trace = matching.match_providers(requests, providers)
+    rows = trace.collect()
+    assert len({r.matched for r in rows}) == 3 and all(r.matched == (None if r.considered is None else r.considered and not r.reasons) for r in rows)
+    assert "array_compact" not in trace.select("provider", "matched")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_matches_are_counted_without_pairs(spark):
     """Against the pairs themselves: overlapping, nested, repeated and empty windows, groups, skills and names that are null."""
     import datetime as d
