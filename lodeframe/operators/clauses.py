@@ -58,6 +58,9 @@ CLEARS = ("取消", "清除", "不限", "不要", "去掉", "remove", "clear", "
 #: Fixed value: letters and digits that a request has at least.
 LEAST_LETTERS = 4
 
+#: Atoms of terms up to which the others are left out at once; atoms of a clause up to which places aren't summed up beforehand.
+MET, BRIEF = 1000, 256
+
 #: Runs of ASCII letters, digits and underscores; of white space and hyphens; single other characters.
 ATOM = r"[a-z0-9_]+|[\s\-\x{2010}-\x{2015}]+|[^a-z0-9_\s\-\x{2010}-\x{2015}]"
 BETWEEN = r"[\s\-\x{2010}-\x{2015}]+"
@@ -116,18 +119,24 @@ def find_spans(clauses: DataFrame, keys: Sequence[str], terms: DataFrame) -> Dat
     readable = small(_readable(terms))
     around = readable.agg(F.coalesce(F.max("atoms"), F.lit(1))).first()[0]
     atoms = F.regexp_extract_all("clause", F.lit(f"({ATOM})"), F.lit(1))
+    met = [r.atom for r in readable.select("atom").distinct().limit(MET + 1).collect()]
+    # atoms that no term is met by go before their surroundings are made
+    wanted = (lambda x: x["atom"].isin(*met)) if 0 < len(met) <= MET else (lambda x: F.lit(True))
     # every atom with its place and as many atoms before and behind it as the longest term has
     near = lambda all_, start, n: F.array_join(F.slice(all_, start, n), "")
+    told = lambda v: F.filter(F.transform(v["all"], lambda a, k: F.struct(a.alias("atom"), k.alias("k"))), wanted)
     placed = lambda v: F.transform(
-        v["all"],
-        lambda a, k: F.struct(
-            a.alias("atom"),
-            F.get(v["starts"], k).alias("at"),
-            near(v["all"], F.greatest(k - around, F.lit(0)) + 1, F.least(k, F.lit(around))).alias("before"),
-            near(v["all"], k + 1, F.lit(around + 1)).alias("ahead"),
+        told(v),
+        lambda x: F.struct(
+            x["atom"].alias("atom"),
+            F.coalesce(F.get(v["starts"], x["k"]), F.char_length(near(v["all"], F.lit(1), x["k"]))).alias("at"),
+            near(v["all"], F.greatest(x["k"] - around, F.lit(0)) + 1, F.least(x["k"], F.lit(around))).alias("before"),
+            near(v["all"], x["k"] + 1, F.lit(around + 1)).alias("ahead"),
         ),
     )
-    every = T.bound(atoms, lambda all_: T.bound(F.struct(all_.alias("all"), T.starts(F.transform(all_, F.char_length)).alias("starts")), placed))
+    # in a short clause each place is read off what stands before it
+    begun = lambda all_: F.when(F.size(all_) > BRIEF, T.starts(F.transform(all_, F.char_length)))
+    every = T.bound(atoms, lambda all_: T.bound(F.struct(all_.alias("all"), begun(all_).alias("starts")), placed))
     rows = clauses.select(*keys, "clause_no", F.explode(every).alias("x")).select(*keys, "clause_no", "x.*")
     joined = rows.join(readable, "atom")
     word = F.expr("regexp_extract(ahead, pattern, 0)")

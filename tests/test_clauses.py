@@ -57,6 +57,14 @@ def odd_texts():
     return ODD + ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(80)]
 
 
+def test_only_atoms_of_terms_are_placed(spark):
+    text = "no " + "dark " * 400 + "chocolate"
+    clauses = C.split_clauses(spark.createDataFrame([(1, text), (2, "a dark day")], "id int, text string"))
+    spans = C.find_spans(clauses, ["id"], C.term_table(spark, {("term", "c"): ["dark chocolate"], ("negative", "n"): ["no"]}))
+    assert {(r.id, r.start, r.end) for r in spans.collect()} == {(1, 0, 2), (1, 3 + 5 * 399, len(text))}
+    assert "IN (" in (plan := spans._jdf.queryExecution().optimizedPlan().toString()) or "INSET" in plan
+
+
 def test_spans_and_bound_cues(spark):
     texts = odd_texts()
     # clashing column names ride along
