@@ -594,7 +594,9 @@ def raw_sample_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('],"input":{"history":[{"role":"user","content":"hi"},'), pick((k % 2 == 0) & (k % 3 == 0), '{"role":"user","content":"again"},', ""), F.lit(call + ',{"role":"tool","tool_call_id":"'),
         pick(k % 5 == 0, "c2", "c1"), F.lit('","content":"{}"},{"role":"assistant","content":"done"}],"user_input":"thanks"},"expected":{"action":"final"},"dpo_targets":['), pick(k % 11 == 0, '"P7"', '"P5"'), F.lit("]}"),
     )
-    rows = orders(spark, sf_dir).select("k", F.parse_json(body).alias("value"))
+    # a scan is split by bytes, and keys are few bytes for much work, so they are dealt over all tasks
+    keys = orders(spark, sf_dir).select("k").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k")
+    rows = keys.select("k", F.parse_json(body).alias("value"))
     # an exchange whose result names another call leaves its own call open
     return records.scan(rows, raw=True).select("k", F.array_join("errors", ",").alias("errors"))
 

@@ -6,13 +6,14 @@ from collections import Counter
 import pytest
 from lodeframe.facets import CatalogError, load_catalog
 from lodeframe.operators import provenance, records, reports
-from lodeframe.plans import evaluation, intents
+from lodeframe.plans import evaluation, intents, queries_engine
 from lodeframe.plans.queries_engine import POOLS, SCENARIOS
 from lodeframe.plans.queries_engine import CATALOG as SHOP
 from lodeframe.sources import readers, sinks, tool_loop
 from lodeframe.streaming import windows
 from pyspark.sql import functions as F
 
+from .conftest import SMALL
 from .shelf import CATALOG, TEXT
 
 
@@ -92,6 +93,38 @@ def test_raw_scan_wants_exact_keys(spark):
     assert got[0] == set() and got[1] == {"keys"} and got[2] == {"dpo_targets"} and "tags" in got[3] and got[4] == {"action"}
 
 
+def test_scan_reads_a_record_once_and_walks_long_histories(spark):
+    """No rule renders a record as JSON or a schema to learn its keys, a text that can't be JSON isn't parsed, and the walk keeps each call beside its results."""
+    user, said = {"role": "user", "content": "hi"}, {"role": "assistant", "content": "ok"}
+    call = lambda k: {"role": "assistant", "content": None, "tool_calls": [{"id": f"c{k}", "type": "function", "function": {"name": "f", "arguments": "{}"}}]}
+    told = lambda k: {"role": "tool", "tool_call_id": f"c{k}", "content": "{}"}
+    rounds = [t for k in range(500) for t in (user, call(k), told(k), said)]
+    cases = [
+        (set(), rounds),
+        ({"results"}, [*rounds[:1000], user, call(0), told(1), said, *rounds[1000:]]),
+        ({"steps", "results"}, [*rounds, user, call(0), told(0), told(0), said]),
+        ({"calls"}, [*rounds, user, call(9), said]),
+        ({"turns", "results"}, [*rounds, user, call(9), {"role": "tool", "content": "{}"}, said]),
+        ({"turns"}, [*rounds, user, {"role": "assistant", "content": " [1]"}]),
+        (set(), [*rounds, user, {"role": "assistant", "content": "[no JSON"}]),
+    ]
+    texts = [(k, json.dumps(with_history(*turns, user_input="x"))) for k, (_, turns) in enumerate(cases)]
+    frame = spark.createDataFrame(texts, "k int, t string").withColumn("value", F.parse_json("t"))
+    found = records.scan(frame)
+    got = {r.k: set(r.errors) for r in found.collect()}
+    for k, (want, _) in enumerate(cases):
+        # two calls' steps: an assistant may not follow an assistant
+        assert got[k] - {"steps"} == want - {"steps"}, (k, want, got[k])
+    assert found.columns == ["k", "t", "value", "errors"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [f for f in ("to_json", "json_object_keys", "jsonObjectKeys", "regexp_extract", "structstojson") if f.lower() in plan.lower()]
+
+
+def test_raw_samples_are_dealt_over_all_tasks(spark):
+    found = queries_engine.raw_sample_scan(spark, SMALL)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_tool_loop_ends():
     ask = lambda texts: (lambda log, it=iter(texts): next(it))
     call = '{"action":"tool_call","tool_name":"t","arguments":{"x":1}}'
