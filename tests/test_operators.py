@@ -386,6 +386,21 @@ def test_similar_texts_miss_no_pair(spark):
     assert got == want and {tuple(sorted((first[x], first[y]))) for x, y in (("abcde", "abxde"), ("ab", "abc"))} <= got.keys()
 
 
+def test_similar_texts_write_each_text_a_few_times(spark):
+    """However many blocks a text meets, it is shuffled as often: what is written doesn't grow with the pairs."""
+    rng = random.Random(6)
+    texts = spark.createDataFrame([(k, "".join(rng.choice("abcdefghij ") for _ in range(90 + k % 40))) for k in range(160)], "id int, t string").localCheckpoint()
+    gateway = spark.sparkContext._gateway
+
+    def written() -> int:
+        found = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return sum(found.apply(k).shuffleWriteRecords() for k in range(found.size()))
+
+    before = written()
+    assert matching.similar_texts(texts, "id", "t", block=8).count() == 0
+    assert written() - before < 8 * 160
+
+
 def test_similar_vectors_compares_every_pair(spark):
     rng = random.Random(8)
     rows = [(k * 3, [rng.gauss(0, 1) for _ in range(4)], k % 2) for k in range(60)]
