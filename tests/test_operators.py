@@ -284,6 +284,21 @@ def test_pairs_of_a_day_are_judged_plainly_and_in_many_tasks(spark):
     assert "array_compact" not in trace.select("provider", "matched")._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_providers_alike_on_a_day_are_judged_once(spark):
+    """A request meets a row for each class of providers, whatever their number, and is told of each of them."""
+    import datetime as d
+
+    at = lambda hour: d.datetime(2026, 1, 5, hour)
+    providers = spark.createDataFrame([(k, f"n{k % 50}", "gh"[k % 2], ["a"], [(at(9), at(12))]) for k in range(200)], "provider int, name string, grp string, skills array<string>, windows array<struct<start timestamp_ntz, end timestamp_ntz>>")
+    requests = spark.createDataFrame([(1, None, "g", ["a"], at(9), at(10)), (2, "n7", None, [], at(9), at(10))], "request_id int, wanted_name string, wanted_group string, wanted_skills array<string>, start timestamp_ntz, end timestamp_ntz")
+    trace = matching.match_providers(requests, providers)
+    got = {(r.request_id, r.provider): (r.considered, r.matched, r.reasons) for r in trace.collect()}
+    want = {(1, k): (True, k % 2 == 0, ["group"] * (k % 2)) for k in range(200)}
+    assert got == want | {(2, k): (k % 50 == 7, k % 50 == 7, [] if k % 50 == 7 else ["name"]) for k in range(200)}
+    plan = trace._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate inline") < plan.find("Join Inner")
+
+
 def test_matches_are_counted_without_pairs(spark):
     """Against the pairs themselves: overlapping, nested, repeated and empty windows, groups, skills and names that are null."""
     import datetime as d
